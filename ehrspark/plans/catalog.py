@@ -10,7 +10,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import codes
+from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
+
+from ..operators import codes, cohort, drugs, features, labels, models, stats
 from ..sources.fixtures import OmopData
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +73,231 @@ def q_converted_distinct(spark, sf_dir):
     return codes.distinct_converted(q_converted_conditions(spark, sf_dir))
 
 
+# Parameters of the fixture queries (FIXTURES.md): the default 6-month cut-off
+# falls after nearly all fixture dates, so extraction uses 24 months; concept
+# ids stay below 900, so the top-k queries use k = 50.
+CUTOFF_MONTHS = 6
+EXTRACT_MONTHS = 24
+TOP_K = 50
+VOCAB_K = 1000
+DRUG_LIMIT = 100
+OVERLAP_K = 50
+BINOMIAL_TESTS = 10
+DIGITS = 9
+P_DIGITS = 6
+
+
+def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
+    """Round every double column (results are compared across engines)."""
+    return df.select(*[F.round(F.col(f.name), digits).alias(f.name) if isinstance(f.dataType, DoubleType)
+                       else F.col(f.name) for f in df.schema.fields])
+
+
+# -- cohort -----------------------------------------------------------------
+
+def q_cutoff(spark, sf_dir):
+    return cohort.cutoff_date(OmopData(spark, sf_dir).death, CUTOFF_MONTHS)
+
+
+def _persons(d: OmopData) -> DataFrame:
+    return cohort.select_persons(d.person, d.visit_occurrence, d.death)
+
+
+def q_persons_selected(spark, sf_dir):
+    return _persons(OmopData(spark, sf_dir))
+
+
+def _extracted(d: OmopData, names) -> dict[str, DataFrame]:
+    return cohort.extract_tables({n: d.table(n) for n in names}, _persons(d),
+                                 cohort.cutoff_date(d.death, EXTRACT_MONTHS))
+
+
+def q_extract_conditions(spark, sf_dir):
+    return _extracted(OmopData(spark, sf_dir), ["condition_occurrence"])["condition_occurrence"]
+
+
+def q_extract_row_counts(spark, sf_dir):
+    return cohort.extract_row_counts(_extracted(OmopData(spark, sf_dir), list(cohort.DATE_COLUMNS)))
+
+
+# -- drugs ------------------------------------------------------------------
+
+def _drug_counts(d: OmopData, link: str, count: str, population=None) -> DataFrame:
+    family, codes_ = (drugs.T2_FAMILY, drugs.T2_CODES) if link == "visit" else (drugs.T1_FAMILY, drugs.T1_CODES)
+    cond, drug = d.condition_occurrence, d.drug_exposure
+    if population is not None:
+        cond = cond.where(stats.population_of(F.col("person_id")) == population)
+        drug = drug.where(stats.population_of(F.col("person_id")) == population)
+    return drugs.cohort_drug_counts(cond, drug, family, codes_, link=link, count=count, k=DRUG_LIMIT)
+
+
+def q_drugs_by_visit(spark, sf_dir):
+    return _drug_counts(OmopData(spark, sf_dir), "visit", "rows")
+
+
+def q_drugs_by_visit_patients(spark, sf_dir):
+    return _drug_counts(OmopData(spark, sf_dir), "visit", "patients")
+
+
+def q_drugs_by_person(spark, sf_dir):
+    return _drug_counts(OmopData(spark, sf_dir), "person", "rows")
+
+
+def q_drugs_by_person_patients(spark, sf_dir):
+    return _drug_counts(OmopData(spark, sf_dir), "person", "patients")
+
+
+def q_drug_names(spark, sf_dir):
+    d = OmopData(spark, sf_dir)
+    return drugs.name_drugs(_drug_counts(d, "visit", "rows"), d.concept)
+
+
+def _overlap(d: OmopData) -> DataFrame:
+    real = drugs.name_drugs(_drug_counts(d, "person", "rows", population=True), d.concept)
+    synthetic = drugs.name_drugs(_drug_counts(d, "person", "rows", population=False), d.concept)
+    return drugs.drug_overlap(real, synthetic, OVERLAP_K)
+
+
+def q_drug_overlap(spark, sf_dir):
+    return _overlap(OmopData(spark, sf_dir))
+
+
+def q_drug_overlap_rate(spark, sf_dir):
+    return rounded(drugs.overlap_rate(_overlap(OmopData(spark, sf_dir)), OVERLAP_K))
+
+
+# -- two-population statistics ----------------------------------------------
+
+def _prevalence(d: OmopData) -> DataFrame:
+    return stats.disease_counts(d.condition_occurrence, stats.population_of(F.col("person_id")))
+
+
+def q_prevalence_binomial(spark, sf_dir):
+    d = OmopData(spark, sf_dir)
+    real = stats.population_of(F.col("person_id"))
+    n_real = d.person.select(F.count_if(real)).scalar()
+    n_syn = d.person.select(F.count_if(~real)).scalar()
+    out = stats.prevalence_binomial(_prevalence(d), n_syn, n_real, BINOMIAL_TESTS)
+    return rounded(out, P_DIGITS)
+
+
+def q_prevalence_spearman(spark, sf_dir):
+    return stats.spearman_frame(spark, _prevalence(OmopData(spark, sf_dir)), stats.REAL, stats.SYNTH,
+                                with_p=False, digits=DIGITS)
+
+
+def q_prevalence_spearman_test(spark, sf_dir):
+    return stats.spearman_frame(spark, _prevalence(OmopData(spark, sf_dir)), stats.REAL, stats.SYNTH)
+
+
+# -- labels -----------------------------------------------------------------
+
+def _dates(d: OmopData) -> DataFrame:
+    return labels.prediction_dates(d.visit_occurrence, d.death)
+
+
+def q_prediction_dates(spark, sf_dir):
+    return _dates(OmopData(spark, sf_dir))
+
+
+def q_class_balance(spark, sf_dir):
+    return labels.class_balance(_dates(OmopData(spark, sf_dir)))
+
+
+def q_last_visits(spark, sf_dir):
+    return labels.last_visits(OmopData(spark, sf_dir).visit_occurrence)
+
+
+# -- features ---------------------------------------------------------------
+
+def _demo_train(d: OmopData, how: str = "left") -> DataFrame:
+    return features.demographic_features(_dates(d), d.person, how=how)
+
+
+def _demo_infer(d: OmopData) -> DataFrame:
+    return features.demographic_features(labels.last_visits(d.visit_occurrence), d.person,
+                                         date_col="last_visit_date")
+
+
+def q_demographic_train(spark, sf_dir):
+    return rounded(_demo_train(OmopData(spark, sf_dir)))
+
+
+def q_demographic_infer(spark, sf_dir):
+    return rounded(_demo_infer(OmopData(spark, sf_dir)))
+
+
+def _five_train(d: OmopData) -> DataFrame:
+    return features.condition_flags(_demo_train(d, "inner"), d.condition_occurrence, d.concept_set)
+
+
+def q_condition_flags(spark, sf_dir):
+    return rounded(_five_train(OmopData(spark, sf_dir)))
+
+
+def q_condition_patients(spark, sf_dir):
+    d = OmopData(spark, sf_dir)
+    return features.condition_patients(d.condition_occurrence, d.concept_set)
+
+
+def _events(d: OmopData) -> DataFrame:
+    return features.event_concepts(d.condition_occurrence, d.drug_exposure, d.procedure_occurrence)
+
+
+def q_event_concepts(spark, sf_dir):
+    return _events(OmopData(spark, sf_dir))
+
+
+def q_top_concepts(spark, sf_dir):
+    return features.top_concepts(_events(OmopData(spark, sf_dir)), TOP_K)
+
+
+def q_concept_long(spark, sf_dir):
+    ev = _events(OmopData(spark, sf_dir))
+    return features.concept_long(ev, features.top_concepts(ev, TOP_K))
+
+
+def q_concept_wide(spark, sf_dir):
+    ev = _events(OmopData(spark, sf_dir))
+    return features.concept_wide(ev, features.top_concepts(ev, TOP_K), TOP_K)
+
+
+def q_complete_rows(spark, sf_dir):
+    demo = _demo_train(OmopData(spark, sf_dir)).na.drop(how="any")
+    return rounded(demo.drop("person_id"))
+
+
+# -- models (rows-only checks) ----------------------------------------------
+
+def q_score_demographic(spark, sf_dir, folds: int = 20, n_c: int = 10):
+    d = OmopData(spark, sf_dir)
+    train = _demo_train(d).na.drop(how="any")
+    model, _, _ = models.train_logistic_cv(train, features.DEMOGRAPHIC_COLUMNS, "l2", n_c, folds, max_iter=100)
+    return models.score(model, _demo_infer(d))
+
+
+def q_score_five(spark, sf_dir):
+    d = OmopData(spark, sf_dir)
+    model = models.train_logistic(_five_train(d), features.FIVE_DISEASE_COLUMNS, "l2", 1.0, max_iter=1500)
+    infer = features.condition_flags(_demo_infer(d), d.condition_occurrence, d.concept_set)
+    return models.score(model, infer)
+
+
+def q_score_concepts(spark, sf_dir, k: int = VOCAB_K):
+    d = OmopData(spark, sf_dir)
+    ev = _events(d)
+    vocab = features.top_concepts(ev, k)
+    vectors, _ = features.concept_vectors(ev, vocab)
+    label = _dates(d).select("person_id", "death")
+    train = vectors.join(label, "person_id", "left").na.fill(0.0, ["death"])
+    model = models.train_logistic(train, None, "l1", 1.0, max_iter=10000)
+    return models.score_with_fallback(model, vectors, d.visit_occurrence)
+
+
+def q_prediction_violations(spark, sf_dir):
+    return models.validate_predictions(q_score_five(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "code_map": q_code_map,
     "icd_mapper": q_icd_mapper,
@@ -82,4 +310,34 @@ QUERIES: dict[str, Query] = {
     "code_labels": q_code_labels,
     "converted_conditions": q_converted_conditions,
     "converted_distinct": q_converted_distinct,
+    "cutoff": q_cutoff,
+    "persons_selected": q_persons_selected,
+    "extract_conditions": q_extract_conditions,
+    "extract_row_counts": q_extract_row_counts,
+    "drugs_by_visit": q_drugs_by_visit,
+    "drugs_by_visit_patients": q_drugs_by_visit_patients,
+    "drugs_by_person": q_drugs_by_person,
+    "drugs_by_person_patients": q_drugs_by_person_patients,
+    "drug_names": q_drug_names,
+    "drug_overlap": q_drug_overlap,
+    "drug_overlap_rate": q_drug_overlap_rate,
+    "prevalence_binomial": q_prevalence_binomial,
+    "prevalence_spearman": q_prevalence_spearman,
+    "prevalence_spearman_test": q_prevalence_spearman_test,
+    "prediction_dates": q_prediction_dates,
+    "class_balance": q_class_balance,
+    "last_visits": q_last_visits,
+    "demographic_train": q_demographic_train,
+    "demographic_infer": q_demographic_infer,
+    "condition_flags": q_condition_flags,
+    "condition_patients": q_condition_patients,
+    "event_concepts": q_event_concepts,
+    "top_concepts": q_top_concepts,
+    "concept_long": q_concept_long,
+    "concept_wide": q_concept_wide,
+    "complete_rows": q_complete_rows,
+    "score_demographic": q_score_demographic,
+    "score_five": q_score_five,
+    "score_concepts": q_score_concepts,
+    "prediction_violations": q_prediction_violations,
 }

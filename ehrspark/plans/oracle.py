@@ -11,7 +11,8 @@ from __future__ import annotations
 from ..sources.fixtures import duckdb_ctes
 
 # Parameters shared with the Spark catalogue (FIXTURES.md).
-CUTOFF_MONTHS = 24
+CUTOFF_MONTHS = 6
+EXTRACT_MONTHS = 24
 TOP_K = 50
 DRUG_LIMIT = 100
 BINOMIAL_TESTS = 10
@@ -67,12 +68,174 @@ labels AS (
 CODE_CTES = _tier_join_sql()
 
 
+T1_CODES = ("250.01", "250.03", "250.13", "250.23", "250.11", "250.31", "250.33", "250.41", "250.42",
+            "250.43", "250.51", "250.61", "250.71", "250.81", "250.91", "357.2", "366.41", "250.41",
+            "250.51", "250.61", "250.71", "349.89", "353.5", "355.9", "357.2", "362.01", "362.02",
+            "362.04", "362.05", "362.06", "362.07", "443.81", "523.8", "536.3", "713.5", "716.8",
+            "785.4", "250.53", "250.63", "250.73", "250.83", "250.93")
+
+PERSONS_SQL = """
+persons_sel AS (
+  SELECT p.* FROM person p
+  WHERE p.person_id NOT IN (
+      SELECT p2.person_id FROM visit_occurrence v RIGHT JOIN person p2 ON p2.person_id = v.person_id
+      GROUP BY p2.person_id, make_date(p2.year_of_birth, p2.month_of_birth, p2.day_of_birth)
+      HAVING MIN(v.visit_start_date) < make_date(p2.year_of_birth, p2.month_of_birth, p2.day_of_birth))
+    AND p.person_id NOT IN (
+      SELECT d.person_id FROM visit_occurrence v RIGHT JOIN death d ON d.person_id = v.person_id
+      GROUP BY d.person_id, d.death_date
+      HAVING MAX(v.visit_start_date) > d.death_date)
+    AND p.person_id IN (
+      SELECT person_id FROM visit_occurrence GROUP BY person_id
+      HAVING COUNT(DISTINCT visit_occurrence_id) >= 3))"""
+
+
+def _cut_sql(months: int) -> str:
+    return f"cut AS (SELECT CAST(CAST(max(death_datetime) AS DATE) - INTERVAL {months} MONTH AS DATE) AS c FROM death)"
+
+
+EXTRACT_DATES = {
+    "condition_occurrence": "condition_start_date",
+    "death": "death_datetime",
+    "drug_exposure": "drug_exposure_start_date",
+    "measurement": "measurement_date",
+    "observation": "observation_date",
+    "observation_period": "observation_period_start_date",
+    "procedure_occurrence": "procedure_date",
+    "visit_occurrence": "visit_start_date",
+}
+
+
+def _extract_sql(table: str) -> str:
+    col = EXTRACT_DATES[table]
+    bound = "CAST((SELECT c FROM cut) AS TIMESTAMP)" if col == "death_datetime" else "(SELECT c FROM cut)"
+    return (f"SELECT * FROM {table} WHERE person_id IN (SELECT person_id FROM persons_sel) "
+            f"AND {col} < {bound}")
+
+
+def _in_list(codes) -> str:
+    return ", ".join(f"'{c}'" for c in codes)
+
+
+def _drug_sql(link: str, count: str, population: int | None = None, limit: int = DRUG_LIMIT) -> str:
+    if link == "visit":
+        family, codes, key = "E11", T2_CODES, "visit_occurrence_id"
+    else:
+        family, codes, key = "E10", T1_CODES, "person_id"
+    agg = "count(*)" if count == "rows" else "count(DISTINCT c.person_id)"
+    pop = "" if population is None else f" AND c.person_id % 2 = {population}"
+    return f"""SELECT d.drug_concept_id, {agg} AS count
+  FROM condition_occurrence c LEFT JOIN drug_exposure d ON c.{key} = d.{key}
+  WHERE (regexp_matches(c.condition_source_value, '^{family}[.][A-Z0-9]')
+         OR c.condition_source_value IN ({_in_list(codes)})){pop}
+  GROUP BY d.drug_concept_id
+  ORDER BY count DESC, d.drug_concept_id ASC NULLS LAST
+  LIMIT {limit}"""
+
+
+def _named_sql(inner: str) -> str:
+    return f"""SELECT cn.concept_name AS drug, t.count FROM ({inner}) t
+  JOIN concept cn ON cn.concept_id = t.drug_concept_id"""
+
+
+OVERLAP_SQL = f"""
+real_named AS ({_named_sql(_drug_sql("person", "rows", 0))}),
+syn_named AS ({_named_sql(_drug_sql("person", "rows", 1))}),
+real_top AS (SELECT * FROM real_named ORDER BY count DESC, drug ASC LIMIT {TOP_K}),
+overlap AS (SELECT r.drug, r.count, s.count AS synpuf_count FROM real_top r LEFT JOIN syn_named s ON s.drug = r.drug)"""
+
+PREVALENCE_SQL = """
+pairs AS (SELECT DISTINCT condition_concept_id, person_id, person_id % 2 = 0 AS is_real
+          FROM condition_occurrence WHERE person_id IS NOT NULL AND condition_concept_id IS NOT NULL),
+tab AS (SELECT condition_concept_id,
+               count(*) FILTER (WHERE is_real) AS disease_conut_in_real_patients,
+               count(*) FILTER (WHERE NOT is_real) AS disease_conut_in_synpuf_patients
+        FROM pairs GROUP BY condition_concept_id
+        HAVING count(*) FILTER (WHERE is_real) > 0)"""
+
+BINOMIAL_SQL = PREVALENCE_SQL + f""",
+pop AS (SELECT count(*) FILTER (WHERE person_id % 2 = 0) AS n_real,
+               count(*) FILTER (WHERE person_id % 2 <> 0) AS n_syn FROM person),
+tests AS (SELECT t.condition_concept_id, t.disease_conut_in_synpuf_patients AS x, pop.n_syn AS n,
+                 t.disease_conut_in_real_patients / pop.n_real AS p
+          FROM tab t CROSS JOIN pop
+          ORDER BY t.disease_conut_in_real_patients DESC, t.condition_concept_id LIMIT {BINOMIAL_TESTS}),
+grid AS (SELECT t.*, unnest(generate_series(0, t.n)) AS k FROM tests t),
+lp AS (SELECT condition_concept_id, x, n, p, k,
+              exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + k * ln(p) + (n - k) * ln(1 - p)) AS pmf,
+              exp(lgamma(n + 1) - lgamma(x + 1) - lgamma(n - x + 1) + x * ln(p) + (n - x) * ln(1 - p)) AS d
+       FROM grid),
+pv AS (SELECT condition_concept_id,
+              CASE WHEN min(x) = min(n * p) THEN 1.0
+                   ELSE least(1.0, sum(CASE WHEN x < n * p
+                        THEN (CASE WHEN k <= x OR (k >= ceil(n * p) AND pmf <= d * (1 + 1e-7)) THEN pmf ELSE 0 END)
+                        ELSE (CASE WHEN (k <= floor(n * p) AND pmf <= d * (1 + 1e-7)) OR k >= x THEN pmf ELSE 0 END)
+                        END)) END AS p_value
+       FROM lp GROUP BY condition_concept_id)"""
+
+DATES_SQL = """
+pos AS (SELECT v.person_id, min(v.visit_start_date) AS prediction_date, CAST(1.0 AS DOUBLE) AS death
+        FROM death d JOIN visit_occurrence v ON d.person_id = v.person_id
+        WHERE d.death_date - v.visit_start_date <= 180
+        GROUP BY v.person_id),
+neg AS (SELECT person_id, max(visit_start_date) AS prediction_date, CAST(0.0 AS DOUBLE) AS death
+        FROM visit_occurrence
+        WHERE person_id IS NOT NULL AND person_id NOT IN (SELECT person_id FROM pos)
+        GROUP BY person_id),
+pdates AS (SELECT * FROM pos UNION ALL SELECT * FROM neg)"""
+
+GENDERS = (8532,)
+RACES = (8516, 8515, 8527, 8557, 8657)
+
+
+def _demo_sql(name: str, dates: str, date_col: str, with_death: bool, inner: bool = False) -> str:
+    death = "j.death, " if with_death else ""
+    flags = ", ".join([f"CASE WHEN j.gender_concept_id = {g} THEN 1.0 ELSE 0.0 END::DOUBLE AS g_{g}" for g in GENDERS]
+                      + [f"CASE WHEN j.race_concept_id = {r} THEN 1.0 ELSE 0.0 END::DOUBLE AS r_{r}" for r in RACES])
+    keep = "WHERE j.known" if inner else ""
+    return f"""
+{name}_j AS (SELECT dd.*, (dd.{date_col} - make_date(p.year_of_birth, 1, 1)) / 365.25 AS age,
+                 p.gender_concept_id, p.race_concept_id, p.person_id IS NOT NULL AS known
+          FROM {dates} dd LEFT JOIN person p ON p.person_id = dd.person_id),
+{name}_b AS (SELECT min(age) AS lo, max(age) AS hi FROM {name}_j),
+{name} AS (SELECT {death}j.person_id,
+             COALESCE(CASE WHEN b.hi > b.lo THEN (j.age - b.lo) / (b.hi - b.lo) ELSE j.age - b.lo END, 0.0)
+               AS scaled_age, {flags}
+           FROM {name}_j j CROSS JOIN {name}_b b {keep})"""
+
+
+LAST_SQL = """
+lastv AS (SELECT person_id, max(visit_start_date) AS last_visit_date FROM visit_occurrence
+          WHERE person_id IS NOT NULL GROUP BY person_id)"""
+
+SETS = ("cancer", "HD", "COPD", "T2DM", "stroke")
+HITS_SQL = """
+hits AS (SELECT DISTINCT c.person_id, s.set_name FROM condition_occurrence c
+         JOIN concept_set s ON s.concept_id = c.condition_concept_id)"""
+
+EVENTS_SQL = """
+ev AS (SELECT DISTINCT person_id, condition_concept_id AS concept_id, 'condition' AS domain FROM condition_occurrence
+       UNION ALL SELECT DISTINCT person_id, drug_concept_id AS concept_id, 'drug' AS domain FROM drug_exposure
+       UNION ALL SELECT DISTINCT person_id, procedure_concept_id AS concept_id, 'procedure' AS domain
+       FROM procedure_occurrence)"""
+
+VOCAB_SQL = EVENTS_SQL + f""",
+cnt AS (SELECT concept_id, count(*) AS count FROM ev WHERE concept_id IS NOT NULL GROUP BY concept_id),
+vocab AS (SELECT CAST(row_number() OVER (ORDER BY count DESC, concept_id) - 1 AS INTEGER) AS pos, concept_id, count
+          FROM cnt ORDER BY count DESC, concept_id LIMIT {TOP_K}),
+clong AS (SELECT DISTINCT e.person_id, v.pos, e.concept_id FROM ev e JOIN vocab v ON v.concept_id = e.concept_id)"""
+
+
+def _r(expr: str, digits: int = ROUND) -> str:
+    return f"round({expr}, {digits})"
+
+
 def _relabel_sql(label_expr: str) -> str:
     return f"""
 counts AS (SELECT condition_source_value, count(condition_source_value) AS cnt
            FROM condition_occurrence GROUP BY condition_source_value),
 lab AS (SELECT condition_source_value, {label_expr} AS lbl FROM labels)
-SELECT COALESCE(d.description, l.lbl) AS condition_source_value, sum(c.cnt) AS count
+SELECT COALESCE(d.description, l.lbl) AS condition_source_value, CAST(sum(c.cnt) AS BIGINT) AS count
 FROM counts c JOIN lab l ON l.condition_source_value = c.condition_source_value
 LEFT JOIN code_description d ON d.code = l.lbl
 WHERE l.lbl IS NOT NULL
@@ -112,6 +275,53 @@ FROM condition_occurrence co LEFT JOIN labels l ON l.condition_source_value = co
     "converted_distinct": CODE_CTES + """
 SELECT count(DISTINCT l.converted) AS n_distinct_codes
 FROM condition_occurrence co JOIN labels l ON l.condition_source_value = co.condition_source_value""",
+    "cutoff": f"SELECT CAST(CAST(max(death_datetime) AS DATE) - INTERVAL {CUTOFF_MONTHS} MONTH AS DATE) AS cutoff_date "
+              "FROM death",
+    "persons_selected": PERSONS_SQL + "\nSELECT * FROM persons_sel",
+    "extract_conditions": PERSONS_SQL + ",\n" + _cut_sql(EXTRACT_MONTHS) + "\n" + _extract_sql("condition_occurrence"),
+    "extract_row_counts": PERSONS_SQL + ",\n" + _cut_sql(EXTRACT_MONTHS) + "\n" + "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM ({_extract_sql(t)}) x" for t in EXTRACT_DATES),
+    "drugs_by_visit": _drug_sql("visit", "rows"),
+    "drugs_by_visit_patients": _drug_sql("visit", "patients"),
+    "drugs_by_person": _drug_sql("person", "rows"),
+    "drugs_by_person_patients": _drug_sql("person", "patients"),
+    "drug_names": _named_sql(_drug_sql("visit", "rows")),
+    "drug_overlap": OVERLAP_SQL + "\nSELECT * FROM overlap",
+    "drug_overlap_rate": OVERLAP_SQL + f"""
+SELECT round(1.0::DOUBLE - CAST(count(*) FILTER (WHERE synpuf_count IS NULL) AS DOUBLE) / {TOP_K}.0, {ROUND})
+  AS overlap_rate FROM overlap""",
+    "prevalence_binomial": BINOMIAL_SQL + f"""
+SELECT t.*, round(pv.p_value, {P_ROUND}) AS p_value FROM tab t LEFT JOIN pv USING (condition_concept_id)""",
+    "prevalence_spearman": PREVALENCE_SQL + f""",
+rk AS (SELECT CAST(rank() OVER (ORDER BY disease_conut_in_real_patients) AS DOUBLE)
+              + CAST(count(*) OVER (PARTITION BY disease_conut_in_real_patients) - 1 AS DOUBLE) / 2.0 AS ra,
+              CAST(rank() OVER (ORDER BY disease_conut_in_synpuf_patients) AS DOUBLE)
+              + CAST(count(*) OVER (PARTITION BY disease_conut_in_synpuf_patients) - 1 AS DOUBLE) / 2.0 AS rb
+       FROM tab)
+SELECT count(*) AS n_rows, round(corr(ra, rb), {ROUND}) AS rho FROM rk""",
+    "prediction_dates": DATES_SQL + "\nSELECT * FROM pdates",
+    "class_balance": DATES_SQL + "\nSELECT death, count(*) AS n_persons FROM pdates GROUP BY death",
+    "last_visits": LAST_SQL + "\nSELECT * FROM lastv",
+    "demographic_train": DATES_SQL + "," + _demo_sql("demo", "pdates", "prediction_date", True) + f"""
+SELECT death, person_id, {_r("scaled_age")} AS scaled_age, g_8532, r_8516, r_8515, r_8527, r_8557, r_8657 FROM demo""",
+    "demographic_infer": LAST_SQL + "," + _demo_sql("demo", "lastv", "last_visit_date", False) + f"""
+SELECT person_id, {_r("scaled_age")} AS scaled_age, g_8532, r_8516, r_8515, r_8527, r_8557, r_8657 FROM demo""",
+    "condition_flags": DATES_SQL + "," + _demo_sql("demo", "pdates", "prediction_date", True, inner=True) + ","
+    + HITS_SQL + f"""
+SELECT f.death, f.person_id, {_r("f.scaled_age")} AS scaled_age, f.g_8532, f.r_8516, f.r_8515, f.r_8527, f.r_8557,
+       f.r_8657, """ + ", ".join(
+        f"CASE WHEN EXISTS (SELECT 1 FROM hits h WHERE h.person_id = f.person_id AND h.set_name = '{s}') "
+        f"THEN 1.0 ELSE 0.0 END::DOUBLE AS {s}" for s in SETS) + "\nFROM demo f",
+    "condition_patients": HITS_SQL + "\nSELECT set_name, count(*) AS n_patients FROM hits GROUP BY set_name",
+    "event_concepts": EVENTS_SQL + "\nSELECT * FROM ev",
+    "top_concepts": VOCAB_SQL + "\nSELECT * FROM vocab",
+    "concept_long": VOCAB_SQL + "\nSELECT * FROM clong",
+    "concept_wide": VOCAB_SQL + "\nSELECT person_id, " + ", ".join(
+        f"max(CASE WHEN pos = {i} THEN 1.0 ELSE 0.0 END)::DOUBLE AS f_{i:03d}" for i in range(TOP_K))
+    + "\nFROM clong GROUP BY person_id",
+    "complete_rows": DATES_SQL + "," + _demo_sql("demo", "pdates", "prediction_date", True) + f"""
+SELECT death, {_r("scaled_age")} AS scaled_age, g_8532, r_8516, r_8515, r_8527, r_8557, r_8657 FROM demo
+WHERE death IS NOT NULL AND scaled_age IS NOT NULL""",
 }
 
 
