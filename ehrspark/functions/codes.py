@@ -15,13 +15,15 @@ def strip_last_digit(code: Column) -> Column:
     return F.regexp_replace(code, "[0-9]$", "")
 
 
+def candidate_keys(code: Column) -> list[Column]:
+    """The five candidate keys of a code, in lookup priority order."""
+    return [code, strip_last_digit(code)] + [F.concat(code, F.lit(s)) for s in CANDIDATE_SUFFIXES]
+
+
 def code_candidates(code: Column) -> Column:
     """Array of ``struct(candidate int, key string)`` in lookup priority order."""
-    items = [F.struct(F.lit(1).alias("candidate"), code.alias("key")),
-             F.struct(F.lit(2).alias("candidate"), strip_last_digit(code).alias("key"))]
-    for i, suffix in enumerate(CANDIDATE_SUFFIXES, start=3):
-        items.append(F.struct(F.lit(i).alias("candidate"), F.concat(code, F.lit(suffix)).alias("key")))
-    return F.array(*items)
+    return F.array(*[F.struct(F.lit(i).alias("candidate"), key.alias("key"))
+                     for i, key in enumerate(candidate_keys(code), start=1)])
 
 
 def icd10_category(code: Column) -> Column:

@@ -6,16 +6,25 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only after checking that it holds at most ``max_rows`` rows.
+def fits_broadcast(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
+    """Persist ``df`` and check whether it holds at most ``max_rows`` rows.
 
-    The side is persisted first so the check does not cost a second
-    evaluation. Above the bound the plain DataFrame is returned and the join
-    stays a shuffle join (AQE still splits skewed partitions).
+    Persisting first means the check does not cost a second evaluation when
+    the side is then used; the count stops at ``max_rows + 1``.
     """
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return df, n <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast ``df`` only after checking that it holds at most ``max_rows`` rows.
+
+    Above the bound the plain DataFrame is returned and the join stays a
+    shuffle join (AQE still splits skewed partitions).
+    """
+    df, small = fits_broadcast(df, max_rows)
+    return F.broadcast(df) if small else df
 
 
 def bounded_broadcast(df: DataFrame) -> DataFrame:

@@ -1,19 +1,25 @@
 """ICD-9 → ICD-10 mapping and condition-code rankings.
 
-The mapping is one lazy plan: distinct recorded codes → five candidate keys
-each (``explode``) → equi-join with the deduplicated dictionary → the best hit
-per code by ``min(struct(tier, candidate, icd10))``. Tier beats candidate:
-a one-to-one hit on any candidate wins over a many-to-one hit on the exact
-code. The fact table is aggregated to distinct codes before any lookup, so the
-joins only ever see one row per code.
+The tiered lookup is one branch of the plan: the fact table is aggregated to
+the keys that matter (distinct codes, or distinct (concept id, code) pairs),
+each key row explodes into its five candidate keys, the candidates are
+left-joined with the deduplicated dictionary, and the best hit is chosen by
+``min(struct(tier, candidate, icd10))`` grouped by the same keys. Grouping by
+the keys the input is already hash-partitioned on adds no shuffle, and the fact
+table is read once. Tier beats candidate: a one-to-one hit on any candidate
+wins over a many-to-one hit on the exact code.
+
+Row-level rewriting (X6c) does not aggregate at all: with a dictionary of
+checked size, the five candidate keys of every row are looked up with five
+broadcast hash joins against the dictionary pivoted to one row per key.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.codes import code_candidates, icd10_category
-from ..functions.joins import broadcast_if_small
+from ..functions.codes import candidate_keys, code_candidates, icd10_category
+from ..functions.joins import broadcast_if_small, fits_broadcast
 
 CODE = "condition_source_value"
 
@@ -21,15 +27,18 @@ CODE = "condition_source_value"
 # 1 one-to-one, 9 many-to-one, 10 one-to-many; type 4 (no relationship) is
 # never used.
 TIER_BY_TYPE = {1: 1, 9: 2, 10: 3}
+TIERS = tuple(TIER_BY_TYPE.values())
 
-# Upper bound for broadcasting a per-code table next to a fact table.
+# Upper bound (rows) for broadcasting a dictionary-sized table. Real code
+# systems have tens of thousands of codes; above the bound the joins stay
+# shuffle joins.
 MAX_BROADCAST_CODES = 2_000_000
 
 
-def _tier(type_col):
+def _tier(type_col: Column) -> Column:
     expr = None
     for type_, tier in TIER_BY_TYPE.items():
-        expr = (F.when(type_col == type_, tier) if expr is None else expr.when(type_col == type_, tier))
+        expr = F.when(type_col == type_, tier) if expr is None else expr.when(type_col == type_, tier)
     return expr
 
 
@@ -40,9 +49,8 @@ def dictionary(converter: DataFrame) -> DataFrame:
     NULL ``icd10`` makes the whole key a miss for that tier.
     Columns: key, tier, icd10.
     """
-    types = list(TIER_BY_TYPE)
     return (converter
-            .where(F.col("convertion_type").isin(types) & F.col("icd9").isNotNull())
+            .where(F.col("convertion_type").isin(list(TIER_BY_TYPE)) & F.col("icd9").isNotNull())
             .groupBy("icd9", "convertion_type")
             .agg(F.min(F.struct("conversion_id", "icd10")).alias("pick"))
             .where(F.col("pick.icd10").isNotNull())
@@ -50,49 +58,68 @@ def dictionary(converter: DataFrame) -> DataFrame:
                     F.col("pick.icd10").alias("icd10")))
 
 
-def distinct_codes(codes: DataFrame, code_col: str = CODE) -> DataFrame:
-    return codes.select(F.col(code_col).alias(CODE)).where(F.col(CODE).isNotNull()).distinct()
+def dictionary_by_key(converter: DataFrame) -> DataFrame:
+    """The dictionary pivoted to one row per key: key, t1, t2, t3 (icd10 per tier)."""
+    return (dictionary(converter).groupBy("key")
+            .agg(*[F.max(F.when(F.col("tier") == t, F.col("icd10"))).alias(f"t{t}") for t in TIERS]))
 
 
-def candidate_hits(codes: DataFrame, converter: DataFrame, strip_dot: bool = False) -> DataFrame:
-    """Every dictionary hit of every candidate key of every distinct code.
+def icd9_codes(converter: DataFrame) -> DataFrame:
+    """The ICD-9 dictionary: every distinct source code of the converter."""
+    return converter.select(F.col("icd9").alias(CODE)).where(F.col(CODE).isNotNull()).distinct()
 
-    Columns: condition_source_value, tier, candidate, icd10.
-    """
-    base = F.col(CODE)
-    if strip_dot:
-        base = F.regexp_replace(base, "[.]", "")
-    cands = (distinct_codes(codes)
-             .select(CODE, F.inline(code_candidates(base))))
-    return (cands.join(dictionary(converter), "key")
-            .select(CODE, "tier", "candidate", "icd10"))
+
+def _icd9_flags(converter: DataFrame) -> DataFrame:
+    flags = icd9_codes(converter).withColumn("is_icd9", F.lit(True))
+    return broadcast_if_small(flags, MAX_BROADCAST_CODES)
 
 
-def map_codes(codes: DataFrame, converter: DataFrame, strip_dot: bool = False) -> DataFrame:
-    """(condition_source_value, icd10, tier, candidate) for each distinct code.
+def _code_base(code: Column, strip_dot: bool) -> Column:
+    return F.regexp_replace(code, "[.]", "") if strip_dot else code
 
-    Unresolved codes stay with NULL icd10 / tier / candidate. NULL codes are
-    not mapped.
+
+def map_codes(codes: DataFrame, converter: DataFrame, strip_dot: bool = False,
+              keys: tuple[str, ...] = (CODE,), already_distinct: bool = False) -> DataFrame:
+    """(keys…, icd10, tier, candidate), one row per distinct ``keys`` with a non-NULL code.
+
+    ``keys`` must contain the code column; extra keys ride along (e.g. a
+    concept id, or a count that depends on the code). Unresolved codes keep
+    NULL icd10 / tier / candidate. ``already_distinct`` skips the distinct
+    for inputs that are one row per ``keys`` already.
     """
-    best = (candidate_hits(codes, converter, strip_dot)
-            .groupBy(CODE)
-            .agg(F.min(F.struct("tier", "candidate", "icd10")).alias("best")))
-    return (distinct_codes(codes)
-            .join(best, CODE, "left")
-            .select(CODE, F.col("best.icd10").alias("icd10"), F.col("best.tier").alias("tier"),
+    keys = tuple(keys)
+    base = codes.select(*keys).where(F.col(CODE).isNotNull())
+    if not already_distinct:
+        base = base.distinct()
+    cands = base.select(*keys, F.inline(code_candidates(_code_base(F.col(CODE), strip_dot))))
+    hits = cands.join(broadcast_if_small(dictionary(converter), MAX_BROADCAST_CODES), "key", "left")
+    best = F.min(F.when(F.col("tier").isNotNull(), F.struct("tier", "candidate", "icd10")))
+    return (hits.groupBy(*keys).agg(best.alias("best"))
+            .select(*keys, F.col("best.icd10").alias("icd10"), F.col("best.tier").alias("tier"),
                     F.col("best.candidate").alias("candidate")))
 
 
+def candidate_hits(codes: DataFrame, converter: DataFrame, strip_dot: bool = False) -> DataFrame:
+    """Every dictionary hit of every candidate key of every distinct code.
+
+    Columns: condition_source_value, tier, candidate, icd10 (a diagnostic
+    listing, e.g. which codes hit on their code + '9' candidate in tier 1).
+    """
+    base = codes.select(CODE).where(F.col(CODE).isNotNull()).distinct()
+    cands = base.select(CODE, F.inline(code_candidates(_code_base(F.col(CODE), strip_dot))))
+    return cands.join(dictionary(converter), "key").select(CODE, "tier", "candidate", "icd10")
+
+
 def build_mapper(conditions: DataFrame, converter: DataFrame, strip_dot: bool = False) -> DataFrame:
     """Distinct (condition_source_concept_id, condition_source_value, icd10).
 
-    The fact table is reduced to distinct (concept id, code) pairs once; the
-    pairs feed both the code mapping and the final join.
+    The fact table is reduced to distinct (concept id, code) pairs; the pairs
+    are mapped in place (grouped by the pair, which is how they are already
+    partitioned), so there is one scan and one shuffle of partial aggregates.
     """
-    pairs = (conditions.select("condition_source_concept_id", CODE)
-             .where(F.col(CODE).isNotNull()).distinct())
-    mapped = map_codes(pairs, converter, strip_dot).select(CODE, "icd10")
-    return pairs.join(mapped, CODE).select("condition_source_concept_id", CODE, "icd10")
+    keys = ("condition_source_concept_id", CODE)
+    pairs = conditions.select(*keys).where(F.col(CODE).isNotNull()).distinct()
+    return map_codes(pairs, converter, strip_dot, keys, already_distinct=True).select(*keys, "icd10")
 
 
 def mapper_report(code_map: DataFrame) -> DataFrame:
@@ -120,50 +147,42 @@ def condition_counts(conditions: DataFrame) -> DataFrame:
             .orderBy(F.desc("count"), F.asc_nulls_first(CODE)))
 
 
-def icd9_codes(converter: DataFrame) -> DataFrame:
-    """The ICD-9 dictionary: every distinct source code of the converter."""
-    return converter.select(F.col("icd9").alias(CODE)).where(F.col(CODE).isNotNull()).distinct()
-
-
-def code_labels(codes: DataFrame, converter: DataFrame, strip_dot: bool = False) -> DataFrame:
+def code_labels(codes: DataFrame, converter: DataFrame, strip_dot: bool = False,
+                keys: tuple[str, ...] = (CODE,), already_distinct: bool = False) -> DataFrame:
     """Per distinct code: is_icd9, converted code and ICD-10 root category.
 
     ``converted`` is the X7 mapping for ICD-9 codes (NULL when unresolved)
     and the code itself otherwise; ``category`` is the text before the dot of
-    the converted code.
+    the converted code. Extra ``keys`` ride along as in ``map_codes``.
     """
-    dcodes = distinct_codes(codes)
-    flagged = dcodes.join(icd9_codes(converter).withColumn("is_icd9", F.lit(True)), CODE, "left")
-    mapped = map_codes(dcodes, converter, strip_dot).select(CODE, F.col("icd10").alias("mapped"))
-    converted = F.when(F.col("is_icd9"), F.col("mapped")).otherwise(F.col(CODE))
-    return (flagged.join(mapped, CODE, "left")
-            .select(CODE, F.coalesce("is_icd9", F.lit(False)).alias("is_icd9"),
-                    converted.alias("converted"))
+    mapped = map_codes(codes, converter, strip_dot, keys, already_distinct)
+    converted = F.when(F.col("is_icd9").isNotNull(), F.col("icd10")).otherwise(F.col(CODE))
+    return (mapped.join(_icd9_flags(converter), CODE, "left")
+            .select(*keys, F.col("is_icd9").isNotNull().alias("is_icd9"), converted.alias("converted"))
             .withColumn("category", icd10_category(F.col("converted"))))
 
 
 def count_icd9_codes(counts: DataFrame, converter: DataFrame) -> DataFrame:
     """How many distinct recorded codes are ICD-9 codes (one row)."""
     return (counts.select(CODE).where(F.col(CODE).isNotNull()).distinct()
-            .join(icd9_codes(converter), CODE, "left_semi")
+            .join(_icd9_flags(converter).select(CODE), CODE, "left_semi")
             .agg(F.count(F.lit(1)).alias("n_icd9_codes")))
 
 
-def _describe(label: DataFrame, label_col: str, descriptions: DataFrame) -> DataFrame:
-    """Replace ``label_col`` by its description; a code without one keeps its text."""
-    desc = descriptions.select(F.col("code").alias(label_col), F.col("description"))
-    return (label.join(desc, label_col, "left")
-            .withColumn(label_col, F.coalesce(F.col("description"), F.col(label_col)))
-            .drop("description"))
-
-
 def _relabelled_counts(conditions, converter, descriptions, label_of, strip_dot):
+    """Counts per code → label (converted or category) → description → summed.
+
+    One branch: the code-level counts carry their count through the lookup.
+    A label without a description keeps its own text; NULL labels drop.
+    """
     counts = conditions.groupBy(CODE).agg(F.count(CODE).alias("count"))
-    labels = code_labels(counts, converter, strip_dot).select(CODE, label_of.alias("label"))
-    labelled = _describe(labels, "label", descriptions)
-    return (counts.join(labelled, CODE, "left")
+    labels = code_labels(counts, converter, strip_dot, keys=(CODE, "count"), already_distinct=True)
+    desc = broadcast_if_small(descriptions.select(F.col("code").alias("label"), "description"),
+                              MAX_BROADCAST_CODES)
+    return (labels.select(label_of.alias("label"), "count")
             .where(F.col("label").isNotNull())
-            .groupBy(F.col("label").alias(CODE))
+            .join(desc, "label", "left")
+            .groupBy(F.coalesce(F.col("description"), F.col("label")).alias(CODE))
             .agg(F.sum("count").alias("count"))
             .orderBy(F.desc("count"), F.asc(CODE)))
 
@@ -183,13 +202,26 @@ def hierarchy_condition_counts(conditions: DataFrame, converter: DataFrame, desc
 def convert_conditions(conditions: DataFrame, converter: DataFrame, strip_dot: bool = False) -> DataFrame:
     """Every condition row with ICD-9 codes rewritten to ICD-10.
 
-    The per-code table (one row per distinct code) is broadcast after a size
-    check, so the fact table is never shuffled for the rewrite.
+    With a dictionary of checked size: five broadcast lookups per row (one
+    per candidate key) and a tier-major COALESCE — one scan, no shuffle of
+    the fact table. Otherwise the per-code labels are built first and joined
+    back by code (AQE splits a hot code's partition).
     """
-    labels = code_labels(conditions, converter, strip_dot).select(CODE, "converted")
-    labels = broadcast_if_small(labels, MAX_BROADCAST_CODES)
     cols = conditions.columns
-    return (conditions.join(labels, CODE, "left")
+    wide, small = fits_broadcast(dictionary_by_key(converter), MAX_BROADCAST_CODES)
+    if small:
+        rows = conditions
+        keys = candidate_keys(_code_base(F.col(CODE), strip_dot))
+        for i, key in enumerate(keys, start=1):
+            look = F.broadcast(wide.select(F.col("key").alias(f"_k{i}"),
+                                           *[F.col(f"t{t}").alias(f"_c{i}t{t}") for t in TIERS]))
+            rows = rows.withColumn(f"_k{i}", key).join(look, f"_k{i}", "left")
+        mapped = F.coalesce(*[F.col(f"_c{i}t{t}") for t in TIERS for i in range(1, len(keys) + 1)])
+        rows = rows.join(_icd9_flags(converter), CODE, "left")
+        return (rows.withColumn(CODE, F.when(F.col("is_icd9").isNotNull(), mapped).otherwise(F.col(CODE)))
+                .select(*cols))
+    labels = code_labels(conditions, converter, strip_dot).select(CODE, "converted")
+    return (conditions.join(broadcast_if_small(labels, MAX_BROADCAST_CODES), CODE, "left")
             .withColumn(CODE, F.col("converted"))
             .select(*cols))
 
