@@ -137,6 +137,18 @@ def mapper_report(code_map: DataFrame) -> DataFrame:
     return counts.select("tier", "candidate", "n_codes", (total - through).alias("unresolved_after_tier"))
 
 
+def tier_candidate_hits(codes: DataFrame, converter: DataFrame, tier: int = 1, candidate: int = 4,
+                        strip_dot: bool = False) -> DataFrame:
+    """Codes whose given candidate hits in the given tier, whether or not it wins.
+
+    The default lists the codes whose code + '9' key has a one-to-one entry.
+    Columns: condition_source_value, icd10.
+    """
+    return (candidate_hits(codes, converter, strip_dot)
+            .where((F.col("tier") == tier) & (F.col("candidate") == candidate))
+            .select(CODE, "icd10"))
+
+
 def unresolved_codes(code_map: DataFrame) -> DataFrame:
     return code_map.where(F.col("icd10").isNull()).select(CODE)
 

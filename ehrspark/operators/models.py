@@ -9,14 +9,13 @@ no feature standardisation. With n training rows that is
 from __future__ import annotations
 
 import math
+from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, functions as F
 
 PID = "person_id"
@@ -81,50 +80,72 @@ def train_logistic(train: DataFrame, feature_cols: list[str] | None = None, pena
     return model
 
 
+def _accuracy(model, rows: DataFrame) -> float:
+    """Share of rows whose predicted class equals the label (one aggregate job)."""
+    hit = (F.col("prediction") == F.col(LABEL)).cast("double")
+    return float(model.transform(rows).agg(F.avg(hit)).first()[0] or 0.0)
+
+
+def cross_validate(data: DataFrame, lr: LogisticRegression, param_maps: list[dict], folds: int,
+                   threads: int = 16, fold_col: str = "_fold") -> list[float]:
+    """Mean validation accuracy of every parameter map over ``folds`` folds.
+
+    All (fold, parameter) fits are independent Spark jobs over the cached
+    ``data``; they are submitted concurrently from a thread pool so small
+    fits overlap their scheduling latency.
+    """
+    def run(task):
+        f, i = task
+        model = lr.copy(param_maps[i]).fit(data.where(F.col(fold_col) != f))
+        return i, _accuracy(model, data.where(F.col(fold_col) == f))
+
+    tasks = [(f, i) for f in range(folds) for i in range(len(param_maps))]
+    sums = [0.0] * len(param_maps)
+    with ThreadPool(max(1, min(threads, len(tasks)))) as pool:
+        for i, acc in pool.imap_unordered(run, tasks):
+            sums[i] += acc
+    return [s / folds for s in sums]
+
+
 def train_logistic_cv(train: DataFrame, feature_cols: list[str] | None = None, penalty: str = "l2",
                       Cs: int | list[float] = 10, folds: int = 20, max_iter: int = 100, tol: float = 1e-4,
-                      parallelism: int = 10, seed_key: str = PID) -> tuple[PipelineModel, float, float]:
+                      threads: int = 16, seed_key: str = PID) -> tuple[PipelineModel, float, float]:
     """Choose C by ``folds``-fold cross-validated accuracy, refit on all rows.
 
     Returns (model, best C, best mean accuracy). Folds come from a hash of
-    the person id; fits of different C values run in parallel. The feature
-    vector is assembled once, before caching, so each of the folds × Cs fits
-    only runs the solver.
+    the person id. The feature vector is assembled once, before caching, so
+    each of the folds × Cs fits only runs the solver. Ties go to the smaller C.
     """
     assembler = VectorAssembler(inputCols=feature_cols, outputCol=FEATURES) if feature_cols else None
     rows = assembler.transform(train) if assembler else train
     data, n = cached_training_set(with_folds(rows.select(seed_key, FEATURES, LABEL), folds, seed_key))
     grid_c = c_grid(Cs) if isinstance(Cs, int) else list(Cs)
     _, lr = _estimator(None, penalty, max_iter, tol)
-    grid = ParamGridBuilder().addGrid(lr.regParam, [1.0 / (c * max(n, 1)) for c in grid_c]).build()
-    evaluator = MulticlassClassificationEvaluator(labelCol=LABEL, metricName="accuracy")
-    cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=evaluator, numFolds=folds,
-                        foldCol="_fold", parallelism=parallelism)
-    cvm = cv.fit(data)
-    best = max(range(len(grid_c)), key=lambda i: cvm.avgMetrics[i])
+    maps = [{lr.regParam: 1.0 / (c * max(n, 1))} for c in grid_c]
+    scores = cross_validate(data, lr, maps, folds, threads)
+    best = max(range(len(grid_c)), key=lambda i: (scores[i], -i))
+    model = lr.copy(maps[best]).fit(data)
     data.unpersist()
-    stages = ([assembler] if assembler else []) + [cvm.bestModel]
-    return PipelineModel(stages=stages), grid_c[best], float(cvm.avgMetrics[best])
+    stages = ([assembler] if assembler else []) + [model]
+    return PipelineModel(stages=stages), grid_c[best], scores[best]
 
 
 def grid_search(train: DataFrame, feature_cols: list[str], max_iters=(100, 200, 500, 1000),
-                penalties=("l1", "l2"), folds: int = 10, parallelism: int = 8) -> DataFrame:
+                penalties=("l1", "l2"), folds: int = 10, threads: int = 16) -> DataFrame:
     """M4: cross-validated accuracy for every (max_iter, penalty) pair at C = 1.
 
     Returns one row per grid point: max_iter, penalty, accuracy.
     """
-    data, n = cached_training_set(with_folds(train, folds))
-    pipe, lr = _estimator(feature_cols, "l2", 100, 1e-4)
+    rows = VectorAssembler(inputCols=feature_cols, outputCol=FEATURES).transform(train)
+    data, n = cached_training_set(with_folds(rows.select(PID, FEATURES, LABEL), folds))
+    _, lr = _estimator(None, "l2", 100, 1e-4)
     lr.setRegParam(1.0 / max(n, 1))
-    grid = (ParamGridBuilder().addGrid(lr.maxIter, list(max_iters))
-            .addGrid(lr.elasticNetParam, [1.0 if p == "l1" else 0.0 for p in penalties]).build())
-    evaluator = MulticlassClassificationEvaluator(labelCol=LABEL, metricName="accuracy")
-    cvm = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=evaluator, numFolds=folds,
-                         foldCol="_fold", parallelism=parallelism).fit(data)
-    rows = [(int(pm[lr.maxIter]), "l1" if pm[lr.elasticNetParam] == 1.0 else "l2", float(m))
-            for pm, m in zip(grid, cvm.avgMetrics)]
+    points = [(m, p) for m in max_iters for p in penalties]
+    maps = [{lr.maxIter: m, lr.elasticNetParam: 1.0 if p == "l1" else 0.0} for m, p in points]
+    scores = cross_validate(data, lr, maps, folds, threads)
     data.unpersist()
-    return train.sparkSession.createDataFrame(rows, "max_iter int, penalty string, accuracy double")
+    out = [(int(m), p, float(a)) for (m, p), a in zip(points, scores)]
+    return train.sparkSession.createDataFrame(out, "max_iter int, penalty string, accuracy double")
 
 
 def score(model: PipelineModel, features: DataFrame) -> DataFrame:

@@ -40,6 +40,11 @@ def q_unresolved_codes(spark, sf_dir):
     return codes.unresolved_codes(_code_map(OmopData(spark, sf_dir)))
 
 
+def q_tier1_nine_hits(spark, sf_dir):
+    d = OmopData(spark, sf_dir)
+    return codes.tier_candidate_hits(d.condition_occurrence, d.icdcode_converter, tier=1, candidate=4)
+
+
 def q_condition_counts(spark, sf_dir):
     return codes.condition_counts(OmopData(spark, sf_dir).condition_occurrence)
 
@@ -276,6 +281,11 @@ def q_score_demographic(spark, sf_dir, folds: int = 20, n_c: int = 10):
     return models.score(model, _demo_infer(d))
 
 
+def q_demographic_grid(spark, sf_dir):
+    train = _demo_train(OmopData(spark, sf_dir)).na.drop(how="any")
+    return models.grid_search(train, features.DEMOGRAPHIC_COLUMNS, folds=10)
+
+
 def q_score_five(spark, sf_dir):
     d = OmopData(spark, sf_dir)
     model = models.train_logistic(_five_train(d), features.FIVE_DISEASE_COLUMNS, "l2", 1.0, max_iter=1500)
@@ -303,6 +313,7 @@ QUERIES: dict[str, Query] = {
     "icd_mapper": q_icd_mapper,
     "mapper_report": q_mapper_report,
     "unresolved_codes": q_unresolved_codes,
+    "tier1_nine_hits": q_tier1_nine_hits,
     "condition_counts": q_condition_counts,
     "mapped_condition_counts": q_mapped_condition_counts,
     "hierarchy_condition_counts": q_hierarchy_condition_counts,
@@ -337,6 +348,7 @@ QUERIES: dict[str, Query] = {
     "concept_wide": q_concept_wide,
     "complete_rows": q_complete_rows,
     "score_demographic": q_score_demographic,
+    "demographic_grid": q_demographic_grid,
     "score_five": q_score_five,
     "score_concepts": q_score_concepts,
     "prediction_violations": q_prediction_violations,

@@ -255,6 +255,7 @@ SELECT g.tier, g.candidate, g.n_codes,
          AS unresolved_after_tier
 FROM g""",
     "unresolved_codes": CODE_CTES + "\nSELECT condition_source_value FROM code_map WHERE icd10 IS NULL",
+    "tier1_nine_hits": CODE_CTES + "\nSELECT v AS condition_source_value, t1k4 AS icd10 FROM wide WHERE t1k4 IS NOT NULL",
     "condition_counts": """
 SELECT condition_source_value, count(condition_source_value) AS count
 FROM condition_occurrence GROUP BY condition_source_value""",
