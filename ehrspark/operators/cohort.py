@@ -5,9 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.dates import birth_date, months_before
+from ..functions.joins import broadcast_if_small
 
 PID = "person_id"
 
+# Cohorts up to this many ids (8 bytes each) are broadcast to the table scans;
+# larger ones are semi-joined by shuffle (AQE splits a hot person's partition).
+MAX_BROADCAST_IDS = 5_000_000
+
 # The date column the cut-off applies to, per extracted table.
 DATE_COLUMNS = {
     "condition_occurrence": "condition_start_date",
@@ -59,8 +64,10 @@ def extract_tables(tables: dict[str, DataFrame], persons: DataFrame, cutoff: Dat
 
     Membership is a left-semi join on the person key (never an id list in the
     plan); the cut-off is a scalar subquery, evaluated once. NULL dates drop.
+    The cohort ids are computed once and persisted for all tables; they are
+    broadcast only after a row-count check.
     """
-    ids = persons.select(PID).where(F.col(PID).isNotNull())
+    ids = broadcast_if_small(persons.select(PID).where(F.col(PID).isNotNull()), MAX_BROADCAST_IDS)
     limit = cutoff.select("cutoff_date").scalar()
     out = {}
     for name, df in tables.items():

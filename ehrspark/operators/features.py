@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -35,11 +36,13 @@ def demographic_features(dates: DataFrame, person: DataFrame, date_col: str = "p
     scaled over the rows of ``dates`` themselves (a constant age scales to 0).
     ``how="inner"`` drops rows whose person is unknown; with ``"left"`` they
     keep all-zero features. Min and max are one scalar subquery; the person
-    join is a shuffle join on the person key.
+    join is a shuffle join on the person key. The joined rows are read twice
+    (bounds, then features), so they are persisted rather than recomputed.
     """
     p = (person.select(PID, "gender_concept_id", "year_of_birth", "race_concept_id")
          .withColumn("_known", F.lit(True)))
-    j = dates.join(p, PID, "left").withColumn("_age", age_years(F.col(date_col), F.col("year_of_birth")))
+    j = (dates.join(p, PID, "left").withColumn("_age", age_years(F.col(date_col), F.col("year_of_birth")))
+         .persist(StorageLevel.MEMORY_AND_DISK))
     bounds = j.select(F.struct(F.min("_age").alias("lo"), F.max("_age").alias("hi"))).scalar()
     lo, hi = bounds.getField("lo"), bounds.getField("hi")
     scaled = F.when(hi > lo, (F.col("_age") - lo) / (hi - lo)).otherwise(F.col("_age") - lo)
