@@ -18,6 +18,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
+from ..session import ensure_checkpoint_dir
+
 PID = "person_id"
 LABEL = "death"
 FEATURES = "features"
@@ -28,12 +30,19 @@ FEATURES = "features"
 ROWS_PER_PARTITION = 1_000_000
 
 
-def cached_training_set(df: DataFrame) -> tuple[DataFrame, int]:
+def cached_training_set(df: DataFrame, reliable: bool = False) -> tuple[DataFrame, int]:
     """Persist the training rows with a partition count sized to their number.
 
     Returns (cached frame, row count). The count is needed anyway for the
     regularisation strength; shrinking uses ``coalesce`` (no shuffle).
+    ``reliable`` first writes the rows to the shared checkpoint folder
+    (``spark.checkpoint.dir``), cutting the lineage: many jobs re-read the
+    set, and a lost executor then costs a re-read, not a recomputation of the
+    whole feature plan.
     """
+    if reliable:
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
     probe = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = probe.count()
     wanted = max(1, -(-n // ROWS_PER_PARTITION))
@@ -118,7 +127,8 @@ def train_logistic_cv(train: DataFrame, feature_cols: list[str] | None = None, p
     """
     assembler = VectorAssembler(inputCols=feature_cols, outputCol=FEATURES) if feature_cols else None
     rows = assembler.transform(train) if assembler else train
-    data, n = cached_training_set(with_folds(rows.select(seed_key, FEATURES, LABEL), folds, seed_key))
+    data, n = cached_training_set(with_folds(rows.select(seed_key, FEATURES, LABEL), folds, seed_key),
+                                  reliable=True)
     grid_c = c_grid(Cs) if isinstance(Cs, int) else list(Cs)
     _, lr = _estimator(None, penalty, max_iter, tol)
     maps = [{lr.regParam: 1.0 / (c * max(n, 1))} for c in grid_c]
@@ -137,7 +147,7 @@ def grid_search(train: DataFrame, feature_cols: list[str], max_iters=(100, 200,
     Returns one row per grid point: max_iter, penalty, accuracy.
     """
     rows = VectorAssembler(inputCols=feature_cols, outputCol=FEATURES).transform(train)
-    data, n = cached_training_set(with_folds(rows.select(PID, FEATURES, LABEL), folds))
+    data, n = cached_training_set(with_folds(rows.select(PID, FEATURES, LABEL), folds), reliable=True)
     _, lr = _estimator(None, "l2", 100, 1e-4)
     lr.setRegParam(1.0 / max(n, 1))
     points = [(m, p) for m in max_iters for p in penalties]

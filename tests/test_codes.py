@@ -70,3 +70,12 @@ def test_mapper_one_icd10_per_code_and_stable_under_repartition(spark):
     assert m.groupBy("condition_source_value").count().where("count > 1").count() == 0
     shuffled = codes.map_codes(d.condition_occurrence.repartition(5), d.icdcode_converter.repartition(3))
     assert sorted(map(tuple, m.collect()), key=str) == sorted(map(tuple, shuffled.collect()), key=str)
+
+
+def test_conversion_fallback_without_broadcast_matches(spark, monkeypatch):
+    from ehrspark.sources.fixtures import OmopData
+    d = OmopData(spark, "/root/testdata/sf0.001")
+    fast = codes.convert_conditions(d.condition_occurrence, d.icdcode_converter)
+    monkeypatch.setattr(codes, "MAX_BROADCAST_CODES", 1)
+    slow = codes.convert_conditions(d.condition_occurrence, d.icdcode_converter)
+    assert fast.count() == slow.count() and fast.exceptAll(slow).count() == 0

@@ -70,3 +70,15 @@ def test_extract_tables_filters_members_and_dates(spark):
     cut = spark.createDataFrame([(D(2000, 6, 1),)], "cutoff_date date")
     out = cohort.extract_tables({"visit_occurrence": visits}, persons, cut)
     assert [r["visit_occurrence_id"] for r in out["visit_occurrence"].collect()] == [1]
+
+
+def test_extract_without_broadcast_matches(spark, monkeypatch):
+    from ehrspark.plans import catalog
+    from ehrspark.sources.fixtures import OmopData
+    d = OmopData(spark, "/root/testdata/sf0.001")
+    fast = catalog._extracted(d, list(cohort.DATE_COLUMNS))
+    monkeypatch.setattr(cohort, "MAX_BROADCAST_IDS", 0)
+    slow = catalog._extracted(d, list(cohort.DATE_COLUMNS))
+    for name in fast:
+        assert fast[name].count() == slow[name].count()
+        assert fast[name].exceptAll(slow[name]).count() == 0

@@ -121,3 +121,32 @@ def test_concept_scores_cover_every_visiting_person(spark):
     visiting = labels.last_visits(d.visit_occurrence).select("person_id")
     assert scores.select("person_id").distinct().count() == scores.count()
     assert visiting.join(scores, "person_id", "left_anti").count() == 0
+
+
+def test_zero_vector_score_for_persons_without_vocabulary(spark):
+    import math
+    from pyspark.ml.linalg import Vectors, VectorUDT
+    from pyspark.sql.types import DoubleType, LongType, StructField, StructType
+    schema = StructType([StructField("person_id", LongType()), StructField("features", VectorUDT()),
+                         StructField("death", DoubleType())])
+    train = spark.createDataFrame([(1, Vectors.sparse(2, [0], [1.0]), 1.0), (2, Vectors.sparse(2, [1], [1.0]), 0.0),
+                                   (3, Vectors.sparse(2, [0, 1], [1.0, 1.0]), 1.0), (4, Vectors.sparse(2, [], []), 0.0)],
+                                  schema)
+    model = models.train_logistic(train, None, "l1", 1.0, max_iter=100)
+    vectors = train.where("person_id < 4").select("person_id", "features")
+    visits = spark.createDataFrame([(1,), (4,), (5,), (5,)], "person_id long")
+    got = {r[0]: r[1] for r in models.score_with_fallback(model, vectors, visits).collect()}
+    b = model.stages[-1].intercept
+    assert set(got) == {1, 2, 3, 4, 5}
+    assert got[4] == pytest.approx(1 / (1 + math.exp(-b))) and got[5] == got[4]
+
+
+@pytest.mark.skipif(not os.path.isdir(REFERENCE), reason="reference folder absent")
+def test_committed_drug_lists_overlap(spark):
+    from ehrspark.operators import drugs
+    read = lambda f: (spark.read.option("header", True).csv(os.path.join(REFERENCE, "drug", f))
+                      .select("drug", F.col("count").cast("long").alias("count")))
+    t1, t2 = read("t1_drug.csv"), read("t2_drug.csv")
+    assert t1.count() == 50 and t2.count() == 50
+    ov = drugs.drug_overlap(t1, t2, k=50)
+    assert drugs.overlap_rate(ov, 50).first()[0] == pytest.approx(0.88)
