@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -101,8 +102,10 @@ def spearman(df: DataFrame, a: str, b: str) -> tuple[float, float, int]:
     """
     vec = VectorAssembler(inputCols=[a, b], outputCol="_v").transform(
         df.select(F.col(a).cast("double").alias(a), F.col(b).cast("double").alias(b)))
+    vec = vec.persist(StorageLevel.MEMORY_AND_DISK)      # read by the count and the correlation
     n = vec.count()
     rho = float(Correlation.corr(vec, "_v", "spearman").head()[0][0, 1])
+    vec.unpersist()
     if n <= 2 or math.isnan(rho):
         return rho, float("nan"), n
     if abs(rho) >= 1.0:
