@@ -58,7 +58,7 @@ code_map AS (
          CASE {cand_cases} END AS candidate
   FROM wide),
 icd9_dict AS (SELECT DISTINCT icd9 FROM icdcode_converter WHERE icd9 IS NOT NULL),
-labels AS (
+code_lab AS (
   SELECT m.condition_source_value,
          (i.icd9 IS NOT NULL) AS is_icd9,
          CASE WHEN i.icd9 IS NOT NULL THEN m.icd10 ELSE m.condition_source_value END AS converted
@@ -234,7 +234,7 @@ def _relabel_sql(label_expr: str) -> str:
     return f"""
 counts AS (SELECT condition_source_value, count(condition_source_value) AS cnt
            FROM condition_occurrence GROUP BY condition_source_value),
-lab AS (SELECT condition_source_value, {label_expr} AS lbl FROM labels)
+lab AS (SELECT condition_source_value, {label_expr} AS lbl FROM code_lab)
 SELECT COALESCE(d.description, l.lbl) AS condition_source_value, CAST(sum(c.cnt) AS BIGINT) AS count
 FROM counts c JOIN lab l ON l.condition_source_value = c.condition_source_value
 LEFT JOIN code_description d ON d.code = l.lbl
@@ -268,14 +268,14 @@ WHERE c.condition_source_value IN (SELECT icd9 FROM icdcode_converter)""",
     "code_labels": CODE_CTES + """
 SELECT condition_source_value, is_icd9, converted,
        CASE WHEN converted IS NULL THEN NULL ELSE split_part(converted, '.', 1) END AS category
-FROM labels""",
+FROM code_lab""",
     "converted_conditions": CODE_CTES + """
 SELECT co.person_id, co.visit_occurrence_id, co.condition_concept_id, co.condition_source_concept_id,
        co.condition_start_date, l.converted AS condition_source_value
-FROM condition_occurrence co LEFT JOIN labels l ON l.condition_source_value = co.condition_source_value""",
+FROM condition_occurrence co LEFT JOIN code_lab l ON l.condition_source_value = co.condition_source_value""",
     "converted_distinct": CODE_CTES + """
 SELECT count(DISTINCT l.converted) AS n_distinct_codes
-FROM condition_occurrence co JOIN labels l ON l.condition_source_value = co.condition_source_value""",
+FROM condition_occurrence co JOIN code_lab l ON l.condition_source_value = co.condition_source_value""",
     "cutoff": f"SELECT CAST(CAST(max(death_datetime) AS DATE) - INTERVAL {CUTOFF_MONTHS} MONTH AS DATE) AS cutoff_date "
               "FROM death",
     "persons_selected": PERSONS_SQL + "\nSELECT * FROM persons_sel",
