@@ -1,6 +1,5 @@
 """Sources, sinks and models: round trips and solver parity."""
 
-import datetime as dt
 import os
 
 import numpy as np
