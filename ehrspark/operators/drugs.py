@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.codes import like_family
 from ..functions.joins import bounded_broadcast
@@ -66,14 +66,38 @@ def cohort_drug_counts(conditions: DataFrame, drugs: DataFrame, family: str, cod
     return counts.orderBy(F.desc("count"), F.asc_nulls_last(DRUG)).limit(k)
 
 
+def cohort_drug_counts_by_group(conditions: DataFrame, drugs: DataFrame, family: str, codes,
+                                group_of, link: str = "person", k: int = 100,
+                                ignore_case: bool = False) -> DataFrame:
+    """X9 for several populations of one table in one pass: (group, drug_concept_id, count).
+
+    ``group_of(person_id_column)`` names the population of a person (e.g.
+    real / synthetic). Joined rows are counted per (group, drug) as in
+    ``cohort_drug_counts(count="rows")``, then the top ``k`` drugs are kept
+    per group. The window partition of a group holds one row per distinct
+    drug, so it is bounded by the drug vocabulary, not by the data.
+    """
+    key = LINK_KEYS[link]
+    group: Column = group_of(F.col("person_id")).alias("group")
+    cohort = cohort_conditions(conditions, family, codes, ignore_case)
+    cond = cohort.groupBy(key, group).agg(F.count(F.lit(1)).alias("_n_cond"))
+    drug = drugs.groupBy(key, DRUG).agg(F.count(F.lit(1)).alias("_n_drug"))
+    counts = (cond.join(drug, key, "left")
+              .groupBy("group", DRUG)
+              .agg(F.sum(F.col("_n_cond") * F.coalesce(F.col("_n_drug"), F.lit(1))).alias("count")))
+    w = Window.partitionBy("group").orderBy(F.desc("count"), F.asc_nulls_last(DRUG))
+    return counts.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= k).drop("_rank")
+
+
 def name_drugs(counts: DataFrame, concept: DataFrame) -> DataFrame:
     """(drug, count) — ids replaced by concept names; ids without a name drop.
 
     ``counts`` is a top-k list (bounded by its limit), so it is the broadcast
     side and the concept table is only scanned.
     """
+    extra = [c for c in counts.columns if c not in (DRUG, "count")]
     return (concept.join(bounded_broadcast(counts), concept["concept_id"] == counts[DRUG])
-            .select(F.col("concept_name").alias("drug"), F.col("count")))
+            .select(*extra, F.col("concept_name").alias("drug"), F.col("count")))
 
 
 def drug_overlap(real: DataFrame, synthetic: DataFrame, k: int = 50) -> DataFrame:

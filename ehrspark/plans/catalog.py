@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType
 
@@ -156,8 +157,16 @@ def q_drug_names(spark, sf_dir):
 
 
 def _overlap(d: OmopData) -> DataFrame:
-    real = drugs.name_drugs(_drug_counts(d, "person", "rows", population=True), d.concept)
-    synthetic = drugs.name_drugs(_drug_counts(d, "person", "rows", population=False), d.concept)
+    # Both populations live in the same tables here: one cohort pass counts
+    # drugs per (population, drug); the named top lists are split afterwards.
+    counts = drugs.cohort_drug_counts_by_group(d.condition_occurrence, d.drug_exposure, drugs.T1_FAMILY,
+                                               drugs.T1_CODES, stats.population_of, link="person", k=DRUG_LIMIT)
+    # The named lists (at most 2 × 100 rows) feed both sides of the overlap;
+    # persisted so the optimizer cannot push each side's filter into its own
+    # copy of the cohort pass.
+    named = drugs.name_drugs(counts, d.concept).persist(StorageLevel.MEMORY_AND_DISK)
+    real = named.where(F.col("group")).drop("group")
+    synthetic = named.where(~F.col("group")).drop("group")
     return drugs.drug_overlap(real, synthetic, OVERLAP_K)
 
 

@@ -6,6 +6,7 @@ import datetime as dt
 from ehrspark.operators import drugs, features
 
 D = dt.date
+DRUG_COL = "drug_concept_id"
 
 
 def test_constant_age_scales_to_zero_and_absent_race_is_zero(spark):
@@ -82,3 +83,20 @@ def test_name_drugs_and_overlap(spark):
     syn = spark.createDataFrame([("A", 7)], "drug string, count long")
     ov = drugs.drug_overlap(real, syn, k=50)
     assert drugs.overlap_rate(ov, 50).first()[0] == 1 - 1 / 50
+
+
+def test_grouped_counts_equal_per_population_counts(spark):
+    from ehrspark.sources.fixtures import OmopData
+    from ehrspark.operators import stats
+    from pyspark.sql import functions as F
+    d = OmopData(spark, "/root/testdata/sf0.001")
+    cond, drug = d.condition_occurrence, d.drug_exposure
+    grouped = drugs.cohort_drug_counts_by_group(cond, drug, drugs.T1_FAMILY, drugs.T1_CODES, stats.population_of,
+                                                link="person", k=100)
+    for pop in (True, False):
+        sel = stats.population_of(F.col("person_id")) == pop
+        one = drugs.cohort_drug_counts(cond.where(sel), drug.where(sel), drugs.T1_FAMILY, drugs.T1_CODES,
+                                       link="person", k=100)
+        got = {(r[DRUG_COL], r["count"]) for r in grouped.where(F.col("group") == pop).collect()}
+        assert got == {(r[DRUG_COL], r["count"]) for r in one.collect()}
+
