@@ -19,6 +19,38 @@ BASE_CONF = {
 }
 
 
+MB = 1 << 20
+
+
+def cluster_conf(shuffle_bytes: int, total_cores: int, partition_bytes: int = 256 * MB,
+                 max_partitions: int = 100_000) -> dict[str, str]:
+    """Settings for a large cluster, sized from the largest expected shuffle.
+
+    ``shuffle_bytes`` is the biggest shuffle a job writes (here partial
+    aggregates, or fact rows on the fallback join paths). The initial shuffle
+    partition count gives each reduce task about ``partition_bytes`` and at
+    least two tasks per core; AQE then coalesces small partitions towards the
+    same advisory size and splits partitions five times the median size
+    (skewed keys). File splits match, so scan tasks and reduce tasks hold
+    similar amounts of data and fit executor memory without spilling.
+    Example: a 20 TB shuffle on 1000 executors × 8 cores → 80,000 partitions.
+    """
+    wanted = -(-shuffle_bytes // partition_bytes)
+    parts = int(min(max_partitions, max(2 * total_cores, wanted)))
+    size = f"{partition_bytes // MB}m"
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": size,
+        # Catalyst's static broadcast choice is for sides it estimates below
+        # this; operator-level broadcasts are checked by row count instead.
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+    }
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app_name: str = "ehrspark", extra: dict | None = None) -> SparkSession:
     """Local session for tests and the bench; on a cluster use the provided one."""

@@ -115,6 +115,13 @@ class OmopData:
         self.sf_dir = sf_dir
         self._frames: dict[str, DataFrame] = {}
 
+    @classmethod
+    def from_tables(cls, spark: SparkSession, tables: dict[str, DataFrame]) -> "OmopData":
+        """Stored OMOP tables (e.g. ``files.read_omop_folder`` or ``store.load_tables``)."""
+        d = cls(spark, "")
+        d._frames.update(tables)
+        return d
+
     def raw(self, name: str) -> DataFrame:
         if name not in self._frames:
             self._frames[name] = self.spark.read.parquet(os.path.join(self.sf_dir, f"{name}.parquet"))
