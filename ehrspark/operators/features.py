@@ -54,6 +54,14 @@ def demographic_features(dates: DataFrame, person: DataFrame, date_col: str = "p
     return j.select(*lead, PID, F.coalesce(scaled, F.lit(0.0)).alias("scaled_age"), *flags)
 
 
+def person_composition(person: DataFrame) -> DataFrame:
+    """Persons per gender and per race concept: (attribute, concept_id, n_persons)."""
+    parts = [person.groupBy(F.col(col).alias("concept_id")).agg(F.count(F.lit(1)).alias("n_persons"))
+             .select(F.lit(name).alias("attribute"), "concept_id", "n_persons")
+             for name, col in (("gender", "gender_concept_id"), ("race", "race_concept_id"))]
+    return parts[0].unionByName(parts[1])
+
+
 def _set_hits(conditions: DataFrame, concept_sets: DataFrame) -> DataFrame:
     sets = broadcast_if_small(concept_sets.select("set_name", "concept_id").distinct(), MAX_BROADCAST_SET_ROWS)
     return (conditions.select(PID, "condition_concept_id")

@@ -239,6 +239,10 @@ def q_demographic_infer(spark, sf_dir):
     return rounded(_demo_infer(OmopData(spark, sf_dir)))
 
 
+def q_person_composition(spark, sf_dir):
+    return features.person_composition(OmopData(spark, sf_dir).person)
+
+
 def _five_train(d: OmopData) -> DataFrame:
     return features.condition_flags(_demo_train(d, "inner"), d.condition_occurrence, d.concept_set)
 
@@ -347,6 +351,7 @@ QUERIES: dict[str, Query] = {
     "last_visits": q_last_visits,
     "demographic_train": q_demographic_train,
     "demographic_infer": q_demographic_infer,
+    "person_composition": q_person_composition,
     "condition_flags": q_condition_flags,
     "condition_patients": q_condition_patients,
     "event_concepts": q_event_concepts,

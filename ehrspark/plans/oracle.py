@@ -313,6 +313,12 @@ SELECT f.death, f.person_id, {_r("f.scaled_age")} AS scaled_age, f.g_8532, f.r_8
        f.r_8657, """ + ", ".join(
         f"CASE WHEN EXISTS (SELECT 1 FROM hits h WHERE h.person_id = f.person_id AND h.set_name = '{s}') "
         f"THEN 1.0 ELSE 0.0 END::DOUBLE AS {s}" for s in SETS) + "\nFROM demo f",
+    "person_composition": """
+SELECT 'gender' AS attribute, CAST(gender_concept_id AS INTEGER) AS concept_id, count(*) AS n_persons
+FROM person GROUP BY gender_concept_id
+UNION ALL
+SELECT 'race' AS attribute, CAST(race_concept_id AS INTEGER) AS concept_id, count(*) AS n_persons
+FROM person GROUP BY race_concept_id""",
     "condition_patients": HITS_SQL + "\nSELECT set_name, count(*) AS n_patients FROM hits GROUP BY set_name",
     "event_concepts": EVENTS_SQL + "\nSELECT * FROM ev",
     "top_concepts": VOCAB_SQL + "\nSELECT * FROM vocab",
