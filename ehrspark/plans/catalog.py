@@ -309,6 +309,8 @@ def q_score_concepts(spark, sf_dir, k: int = VOCAB_K):
     ev = _events(d)
     vocab = features.top_concepts(ev, k)
     vectors, _ = features.concept_vectors(ev, vocab)
+    # One row per person; read by training, scoring and the fallback anti-join.
+    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     label = _dates(d).select("person_id", "death")
     train = vectors.join(label, "person_id", "left").na.fill(0.0, ["death"])
     model = models.train_logistic(train, None, "l1", 1.0, max_iter=10000)
