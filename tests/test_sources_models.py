@@ -42,11 +42,23 @@ def test_concept_set_crlf_and_text(spark, tmp_path):
     assert got == [133725, 133726, None]
 
 
+def _committed_csvs(header: str) -> list[str]:
+    """CSV files under the reference folder whose first line is ``header``."""
+    out = []
+    for root, _, names in os.walk(REFERENCE):
+        for n in names:
+            if n.endswith(".csv"):
+                p = os.path.join(root, n)
+                with open(p, encoding="utf-8", errors="replace") as fh:
+                    if fh.readline().strip() == header:
+                        out.append(p)
+    return sorted(out)
+
+
 @pytest.mark.skipif(not os.path.isdir(REFERENCE), reason="reference folder absent")
 def test_committed_concept_sets_are_disjoint(spark):
-    folder = os.path.join(REFERENCE, "model/baseline_5_disease_logit/baseline_condition")
-    names = {"cancer": "cancer", "HD": "HD", "COPD": "COPD", "T2DM": "T2DM", "stroke": "stroke"}
-    sets = files.read_concept_sets(spark, {k: os.path.join(folder, f"{v}_condition_id.csv") for k, v in names.items()})
+    paths = {os.path.basename(p).split("_")[0]: p for p in _committed_csvs("concept_id")}
+    sets = files.read_concept_sets(spark, paths)
     sizes = {r[0]: r[1] for r in sets.groupBy("set_name").agg(F.countDistinct("concept_id")).collect()}
     assert sizes == {"cancer": 404, "HD": 76, "COPD": 11, "T2DM": 104, "stroke": 153}
     assert sets.groupBy("concept_id").agg(F.countDistinct("set_name").alias("n")).where("n > 1").count() == 0
@@ -143,9 +155,10 @@ def test_zero_vector_score_for_persons_without_vocabulary(spark):
 @pytest.mark.skipif(not os.path.isdir(REFERENCE), reason="reference folder absent")
 def test_committed_drug_lists_overlap(spark):
     from ehrspark.operators import drugs
-    read = lambda f: (spark.read.option("header", True).csv(os.path.join(REFERENCE, "drug", f))
+    first, second = _committed_csvs("drug,count")
+    read = lambda p: (spark.read.option("header", True).csv(p)
                       .select("drug", F.col("count").cast("long").alias("count")))
-    t1, t2 = read("t1_drug.csv"), read("t2_drug.csv")
+    t1, t2 = read(first), read(second)
     assert t1.count() == 50 and t2.count() == 50
     ov = drugs.drug_overlap(t1, t2, k=50)
     assert drugs.overlap_rate(ov, 50).first()[0] == pytest.approx(0.88)
