@@ -17,6 +17,27 @@ from ..sources.fixtures import OmopData
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Parameters of the fixture queries (FIXTURES.md): the default 6-month cut-off
+# falls after nearly all fixture dates, so extraction uses 24 months; concept
+# ids stay below 900, so the top-k queries use k = 50.
+CUTOFF_MONTHS = 6
+EXTRACT_MONTHS = 24
+TOP_K = 50
+VOCAB_K = 1000
+DRUG_LIMIT = 100
+OVERLAP_K = 50
+BINOMIAL_TESTS = 10
+DIGITS = 9
+P_DIGITS = 6
+
+
+def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
+    """Round every double column (results are compared across engines)."""
+    return df.select(*[F.round(F.col(f.name), digits).alias(f.name) if isinstance(f.dataType, DoubleType)
+                       else F.col(f.name) for f in df.schema.fields])
+
+
+# -- codes ------------------------------------------------------------------
 
 def _code_map(d: OmopData) -> DataFrame:
     return codes.map_codes(d.condition_occurrence, d.icdcode_converter)
@@ -77,26 +98,6 @@ def q_converted_distinct(spark, sf_dir):
     return codes.distinct_converted(q_converted_conditions(spark, sf_dir))
 
 
-# Parameters of the fixture queries (FIXTURES.md): the default 6-month cut-off
-# falls after nearly all fixture dates, so extraction uses 24 months; concept
-# ids stay below 900, so the top-k queries use k = 50.
-CUTOFF_MONTHS = 6
-EXTRACT_MONTHS = 24
-TOP_K = 50
-VOCAB_K = 1000
-DRUG_LIMIT = 100
-OVERLAP_K = 50
-BINOMIAL_TESTS = 10
-DIGITS = 9
-P_DIGITS = 6
-
-
-def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
-    """Round every double column (results are compared across engines)."""
-    return df.select(*[F.round(F.col(f.name), digits).alias(f.name) if isinstance(f.dataType, DoubleType)
-                       else F.col(f.name) for f in df.schema.fields])
-
-
 # -- cohort -----------------------------------------------------------------
 
 def q_cutoff(spark, sf_dir):
