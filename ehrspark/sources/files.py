@@ -13,17 +13,19 @@ def read_table(spark: SparkSession, path: str, name: str | None = None, fmt: str
                columns: list[str] | None = None) -> DataFrame:
     """One OMOP table with its fixed schema.
 
-    CSV files have a header and are read with the declared schema (extra
-    columns in the file are tolerated only for parquet). ``columns`` selects a
-    subset; Catalyst prunes the scan to it. Large files are split into
-    partitions by Spark, which replaces chunked reading.
+    CSV files are read by header name, not by position: OMOP exports carry
+    many more columns, in any order. Every column of the fixed schema is taken
+    by name and cast to its type (ANSI casts fail on malformed values);
+    optional columns missing from the file become typed NULLs. ``columns``
+    selects a subset, and Catalyst prunes the scan to it. Large files are split
+    into partitions by Spark, which replaces chunked reading.
     """
-    if fmt == "parquet":
-        df = spark.read.parquet(path)
-    else:
-        schema = schemas.OMOP_SCHEMAS[name] if name else None
-        reader = spark.read.option("header", True).option("mode", "FAILFAST")
-        df = reader.schema(schema).csv(path) if schema is not None else reader.csv(path)
+    df = spark.read.parquet(path) if fmt == "parquet" else spark.read.option("header", True).csv(path)
+    schema = schemas.OMOP_SCHEMAS.get(name) if name else None
+    if schema is not None:
+        present = {c.lower(): c for c in df.columns}
+        df = df.select(*[(F.col(f"`{present[f.name.lower()]}`") if f.name.lower() in present else F.lit(None))
+                         .cast(f.dataType).alias(f.name) for f in schema.fields])
     return df.select(*columns) if columns else df
 
 

@@ -162,3 +162,17 @@ def test_committed_drug_lists_overlap(spark):
     assert t1.count() == 50 and t2.count() == 50
     ov = drugs.drug_overlap(t1, t2, k=50)
     assert drugs.overlap_rate(ov, 50).first()[0] == pytest.approx(0.88)
+
+
+def test_csv_read_by_header_with_extra_columns(spark, tmp_path):
+    p = tmp_path / "visit_occurrence.csv"
+    p.write_text("visit_start_date,care_site_id,person_id,visit_occurrence_id\n2001-02-03,9,7,1\n2002-03-04,9,8,2\n")
+    df = files.read_table(spark, str(p), "visit_occurrence")
+    assert df.columns == ["visit_occurrence_id", "person_id", "visit_start_date"]
+    rows = sorted(map(tuple, df.collect()))
+    import datetime as dt
+    assert rows == [(1, 7, dt.date(2001, 2, 3)), (2, 8, dt.date(2002, 3, 4))]
+    death = tmp_path / "death.csv"
+    death.write_text("person_id,death_date\n7,2003-01-01\n")
+    d = files.read_table(spark, str(death), "death")
+    assert d.first()["death_datetime"] is None and d.schema == files.schemas.DEATH
