@@ -122,6 +122,10 @@ class OmopData:
         d._frames.update(tables)
         return d
 
+    def has(self, name: str) -> bool:
+        """Whether ``name`` can be served (always for fixture folders)."""
+        return bool(self.sf_dir) or name in self._frames
+
     def raw(self, name: str) -> DataFrame:
         if name not in self._frames:
             self._frames[name] = self.spark.read.parquet(os.path.join(self.sf_dir, f"{name}.parquet"))
