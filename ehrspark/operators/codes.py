@@ -69,9 +69,12 @@ def icd9_codes(converter: DataFrame) -> DataFrame:
     return converter.select(F.col("icd9").alias(CODE)).where(F.col(CODE).isNotNull()).distinct()
 
 
-def _icd9_flags(converter: DataFrame) -> DataFrame:
+def _icd9_flags(converter: DataFrame, checked_broadcast: bool = False) -> DataFrame:
+    """(code, is_icd9 = true) per dictionary code. Joined to fact rows it is
+    broadcast after a size check; joined to code-level aggregates the planner
+    (and AQE, from runtime sizes) picks the join."""
     flags = icd9_codes(converter).withColumn("is_icd9", F.lit(True))
-    return broadcast_if_small(flags, MAX_BROADCAST_CODES)
+    return broadcast_if_small(flags, MAX_BROADCAST_CODES) if checked_broadcast else flags
 
 
 def _code_base(code: Column, strip_dot: bool) -> Column:
@@ -189,8 +192,7 @@ def _relabelled_counts(conditions, converter, descriptions, label_of, strip_dot)
     """
     counts = conditions.groupBy(CODE).agg(F.count(CODE).alias("count"))
     labels = code_labels(counts, converter, strip_dot, keys=(CODE, "count"), already_distinct=True)
-    desc = broadcast_if_small(descriptions.select(F.col("code").alias("label"), "description"),
-                              MAX_BROADCAST_CODES)
+    desc = descriptions.select(F.col("code").alias("label"), "description")
     return (labels.select(label_of.alias("label"), "count")
             .where(F.col("label").isNotNull())
             .join(desc, "label", "left")
@@ -229,7 +231,7 @@ def convert_conditions(conditions: DataFrame, converter: DataFrame, strip_dot: b
                                            *[F.col(f"t{t}").alias(f"_c{i}t{t}") for t in TIERS]))
             rows = rows.withColumn(f"_k{i}", key).join(look, f"_k{i}", "left")
         mapped = F.coalesce(*[F.col(f"_c{i}t{t}") for t in TIERS for i in range(1, len(keys) + 1)])
-        rows = rows.join(_icd9_flags(converter), CODE, "left")
+        rows = rows.join(_icd9_flags(converter, checked_broadcast=True), CODE, "left")
         return (rows.withColumn(CODE, F.when(F.col("is_icd9").isNotNull(), mapped).otherwise(F.col(CODE)))
                 .select(*cols))
     labels = code_labels(conditions, converter, strip_dot).select(CODE, "converted")
