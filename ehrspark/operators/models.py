@@ -95,13 +95,22 @@ def _accuracy(model, rows: DataFrame) -> float:
     return float(model.transform(rows).agg(F.avg(hit)).first()[0] or 0.0)
 
 
+# Concurrent fits: small training sets are bound by per-job latency, so many
+# fits overlap; large ones are bound by executor throughput and each fit
+# caches its own copy of the instances, so few run at once.
+SMALL_TRAINING_ROWS = 10_000_000
+
+
+def fit_threads(n_rows: int) -> int:
+    return 32 if n_rows <= SMALL_TRAINING_ROWS else 4
+
+
 def cross_validate(data: DataFrame, lr: LogisticRegression, param_maps: list[dict], folds: int,
                    threads: int = 16, fold_col: str = "_fold") -> list[float]:
     """Mean validation accuracy of every parameter map over ``folds`` folds.
 
     All (fold, parameter) fits are independent Spark jobs over the cached
-    ``data``; they are submitted concurrently from a thread pool so small
-    fits overlap their scheduling latency.
+    ``data``; they are submitted concurrently from a thread pool.
     """
     def run(task):
         f, i = task
@@ -118,7 +127,7 @@ def cross_validate(data: DataFrame, lr: LogisticRegression, param_maps: list[dic
 
 def train_logistic_cv(train: DataFrame, feature_cols: list[str] | None = None, penalty: str = "l2",
                       Cs: int | list[float] = 10, folds: int = 20, max_iter: int = 100, tol: float = 1e-4,
-                      threads: int = 16, seed_key: str = PID) -> tuple[PipelineModel, float, float]:
+                      threads: int | None = None, seed_key: str = PID) -> tuple[PipelineModel, float, float]:
     """Choose C by ``folds``-fold cross-validated accuracy, refit on all rows.
 
     Returns (model, best C, best mean accuracy). Folds come from a hash of
@@ -132,7 +141,7 @@ def train_logistic_cv(train: DataFrame, feature_cols: list[str] | None = None, p
     grid_c = c_grid(Cs) if isinstance(Cs, int) else list(Cs)
     _, lr = _estimator(None, penalty, max_iter, tol)
     maps = [{lr.regParam: 1.0 / (c * max(n, 1))} for c in grid_c]
-    scores = cross_validate(data, lr, maps, folds, threads)
+    scores = cross_validate(data, lr, maps, folds, threads or fit_threads(n))
     best = max(range(len(grid_c)), key=lambda i: (scores[i], -i))
     model = lr.copy(maps[best]).fit(data)
     data.unpersist()
@@ -141,7 +150,7 @@ def train_logistic_cv(train: DataFrame, feature_cols: list[str] | None = None, p
 
 
 def grid_search(train: DataFrame, feature_cols: list[str], max_iters=(100, 200, 500, 1000),
-                penalties=("l1", "l2"), folds: int = 10, threads: int = 16) -> DataFrame:
+                penalties=("l1", "l2"), folds: int = 10, threads: int | None = None) -> DataFrame:
     """M4: cross-validated accuracy for every (max_iter, penalty) pair at C = 1.
 
     Returns one row per grid point: max_iter, penalty, accuracy.
@@ -152,7 +161,7 @@ def grid_search(train: DataFrame, feature_cols: list[str], max_iters=(100, 200,
     lr.setRegParam(1.0 / max(n, 1))
     points = [(m, p) for m in max_iters for p in penalties]
     maps = [{lr.maxIter: m, lr.elasticNetParam: 1.0 if p == "l1" else 0.0} for m, p in points]
-    scores = cross_validate(data, lr, maps, folds, threads)
+    scores = cross_validate(data, lr, maps, folds, threads or fit_threads(n))
     data.unpersist()
     out = [(int(m), p, float(a)) for (m, p), a in zip(points, scores)]
     return train.sparkSession.createDataFrame(out, "max_iter int, penalty string, accuracy double")
