@@ -8,6 +8,8 @@ a real check. Every oracle is prefixed with the fixture views as CTEs.
 
 from __future__ import annotations
 
+from ..operators.drugs import T1_CODES, T2_CODES
+from ..operators.features import DISEASE_SETS, GENDER_CONCEPTS, RACE_CONCEPTS
 from ..sources.fixtures import duckdb_ctes
 
 # Parameters shared with the Spark catalogue (FIXTURES.md).
@@ -19,10 +21,6 @@ BINOMIAL_TESTS = 10
 ROUND = 9
 P_ROUND = 6
 
-T2_CODES = ("250", "250.2", "250.3", "250.4", "250.5", "250.6", "250.7", "250.8", "250.9", "357.2",
-            "366.41", "349.89", "353.5", "355.9", "357.2", "362.01", "362.02", "362.04", "362.03",
-            "362.05", "362.06", "362.07", "443.81", "523.8", "536.3", "713.5", "716.8", "785.6",
-            "250.22", "250.32", "250.42", "250.52", "250.62", "250.72", "250.82", "250.92")
 
 
 def _tier_join_sql() -> str:
@@ -68,26 +66,18 @@ code_lab AS (
 CODE_CTES = _tier_join_sql()
 
 
-T1_CODES = ("250.01", "250.03", "250.13", "250.23", "250.11", "250.31", "250.33", "250.41", "250.42",
-            "250.43", "250.51", "250.61", "250.71", "250.81", "250.91", "357.2", "366.41", "250.41",
-            "250.51", "250.61", "250.71", "349.89", "353.5", "355.9", "357.2", "362.01", "362.02",
-            "362.04", "362.05", "362.06", "362.07", "443.81", "523.8", "536.3", "713.5", "716.8",
-            "785.4", "250.53", "250.63", "250.73", "250.83", "250.93")
 
 PERSONS_SQL = """
 persons_sel AS (
   SELECT p.* FROM person p
-  WHERE p.person_id NOT IN (
-      SELECT p2.person_id FROM visit_occurrence v RIGHT JOIN person p2 ON p2.person_id = v.person_id
-      GROUP BY p2.person_id, make_date(p2.year_of_birth, p2.month_of_birth, p2.day_of_birth)
-      HAVING MIN(v.visit_start_date) < make_date(p2.year_of_birth, p2.month_of_birth, p2.day_of_birth))
-    AND p.person_id NOT IN (
-      SELECT d.person_id FROM visit_occurrence v RIGHT JOIN death d ON d.person_id = v.person_id
-      GROUP BY d.person_id, d.death_date
-      HAVING MAX(v.visit_start_date) > d.death_date)
-    AND p.person_id IN (
-      SELECT person_id FROM visit_occurrence GROUP BY person_id
-      HAVING COUNT(DISTINCT visit_occurrence_id) >= 3))"""
+  WHERE NOT EXISTS (SELECT 1 FROM visit_occurrence v
+                    WHERE v.person_id = p.person_id
+                      AND v.visit_start_date < make_date(p.year_of_birth, p.month_of_birth, p.day_of_birth))
+    AND NOT EXISTS (SELECT 1 FROM visit_occurrence v, death d
+                    WHERE v.person_id = p.person_id AND d.person_id = p.person_id
+                      AND v.visit_start_date > d.death_date)
+    AND (SELECT count(DISTINCT v.visit_occurrence_id) FROM visit_occurrence v
+         WHERE v.person_id = p.person_id) >= 3)"""
 
 
 def _cut_sql(months: int) -> str:
@@ -122,14 +112,16 @@ def _drug_sql(link: str, count: str, population: int | None = None, limit: int =
         family, codes, key = "E11", T2_CODES, "visit_occurrence_id"
     else:
         family, codes, key = "E10", T1_CODES, "person_id"
-    agg = "count(*)" if count == "rows" else "count(DISTINCT c.person_id)"
-    pop = "" if population is None else f" AND c.person_id % 2 = {population}"
-    return f"""SELECT d.drug_concept_id, {agg} AS count
-  FROM condition_occurrence c LEFT JOIN drug_exposure d ON c.{key} = d.{key}
-  WHERE (regexp_matches(c.condition_source_value, '^{family}[.][A-Z0-9]')
-         OR c.condition_source_value IN ({_in_list(codes)})){pop}
-  GROUP BY d.drug_concept_id
-  ORDER BY count DESC, d.drug_concept_id ASC NULLS LAST
+    measure = "count(*)" if count == "rows" else "count(DISTINCT k.person_id)"
+    pop = "" if population is None else f" AND person_id % 2 = {population}"
+    return f"""WITH k AS (
+    SELECT person_id, {key} AS link_key FROM condition_occurrence
+    WHERE (regexp_matches(condition_source_value, '^{family}[.][A-Z0-9]')
+           OR condition_source_value IN ({_in_list(codes)})){pop})
+  SELECT e.drug_concept_id, {measure} AS count
+  FROM k LEFT JOIN drug_exposure e ON e.{key} = k.link_key
+  GROUP BY e.drug_concept_id
+  ORDER BY count DESC, e.drug_concept_id ASC NULLS LAST
   LIMIT {limit}"""
 
 
@@ -184,8 +176,8 @@ neg AS (SELECT person_id, max(visit_start_date) AS prediction_date, CAST(0.0 AS
         GROUP BY person_id),
 pdates AS (SELECT * FROM pos UNION ALL SELECT * FROM neg)"""
 
-GENDERS = (8532,)
-RACES = (8516, 8515, 8527, 8557, 8657)
+GENDERS = GENDER_CONCEPTS
+RACES = RACE_CONCEPTS
 
 
 def _demo_sql(name: str, dates: str, date_col: str, with_death: bool, inner: bool = False) -> str:
@@ -208,7 +200,7 @@ LAST_SQL = """
 lastv AS (SELECT person_id, max(visit_start_date) AS last_visit_date FROM visit_occurrence
           WHERE person_id IS NOT NULL GROUP BY person_id)"""
 
-SETS = ("cancer", "HD", "COPD", "T2DM", "stroke")
+SETS = DISEASE_SETS
 HITS_SQL = """
 hits AS (SELECT DISTINCT c.person_id, s.set_name FROM condition_occurrence c
          JOIN concept_set s ON s.concept_id = c.condition_concept_id)"""
@@ -336,6 +328,9 @@ def full_sql(name: str) -> str:
     """The oracle for ``name`` with the fixture views in front."""
     body = ORACLES[name].strip()
     ctes = duckdb_ctes()
-    if body.upper().startswith("SELECT"):
+    head = body.upper()
+    if head.startswith("SELECT"):
         return ctes + "\n" + body
+    if head.startswith("WITH"):
+        return ctes + "\nSELECT * FROM (" + body + ") q"
     return ctes + ",\n" + body
