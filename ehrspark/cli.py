@@ -24,6 +24,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .operators import codes, cohort, drugs, features, labels, models, stats
+from .session import materialize
 from .sources import files, sinks
 from .sources.fixtures import OmopData
 
@@ -117,7 +118,8 @@ def _features(spark, a, d: OmopData, train: bool) -> DataFrame:
 def cmd_train(spark, a):
     d = _omop(spark, a.omop, a.format)
     if a.model == "concepts":
-        ev = features.event_concepts(d.condition_occurrence, d.drug_exposure, d.procedure_occurrence)
+        ev = materialize(features.event_concepts(d.condition_occurrence, d.drug_exposure,
+                                                 d.procedure_occurrence), "events")
         vocab = features.top_concepts(ev, a.k)
         sinks.save_vocabulary(vocab, os.path.join(a.model_dir, "vocabulary"))
         vectors, _ = features.concept_vectors(ev, vocab)

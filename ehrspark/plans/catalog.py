@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType
 
 from ..operators import codes, cohort, drugs, features, labels, models, stats
+from ..session import materialize
 from ..sources.fixtures import OmopData
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -307,7 +308,9 @@ def q_score_five(spark, sf_dir):
 
 def q_score_concepts(spark, sf_dir, k: int = VOCAB_K):
     d = OmopData(spark, sf_dir)
-    ev = _events(d)
+    # The distinct events feed two passes (vocabulary, then vectors): written
+    # once to the shared checkpoint folder instead of recomputed.
+    ev = materialize(_events(d), "events")
     vocab = features.top_concepts(ev, k)
     vectors, _ = features.concept_vectors(ev, vocab)
     # One row per person; read by training, scoring and the fallback anti-join.

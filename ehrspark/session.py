@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on. AQE re-plans joins from runtime sizes and
 # splits skewed shuffle partitions; the time zone pins date arithmetic.
@@ -84,3 +85,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A location under the shared checkpoint folder for written tables."""
     return os.path.join(ensure_checkpoint_dir(spark), name)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as parquet under the shared checkpoint folder and read it back.
+
+    For intermediates read by several later passes: the lineage is cut, the
+    readers get columnar scans with pruning, and a lost executor costs a
+    re-read instead of a recomputation.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
