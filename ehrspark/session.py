@@ -68,17 +68,22 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+_LOCAL_CHECKPOINT_DIRS: dict[str, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting names shared storage and is used as is. Only when
-    it is unset (local tests) a private temporary folder is created.
+    it is unset (local tests) a private temporary folder is created, once per
+    application. The SparkContext's RDD checkpoint folder is set if missing.
     """
+    sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="ehrspark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+        path = _LOCAL_CHECKPOINT_DIRS.setdefault(sc.applicationId, tempfile.mkdtemp(prefix="ehrspark-ckpt-"))
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(path)
     return path
 
 

@@ -15,3 +15,24 @@ def test_from_tables_serves_stored_frames(spark):
     visits = spark.createDataFrame([(1, 1)], "visit_occurrence_id long, person_id long")
     d = OmopData.from_tables(spark, {"visit_occurrence": visits})
     assert d.visit_occurrence is visits
+
+
+def test_checkpoint_folder_when_unset(tmp_path):
+    """Without spark.checkpoint.dir a private folder is made once per application."""
+    import os
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (
+        "import sys; sys.path.insert(0, %r)\n"
+        "from pyspark.sql import SparkSession\n"
+        "s = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "assert s.conf.get('spark.checkpoint.dir', None) is None\n"
+        "from ehrspark.session import ensure_checkpoint_dir, materialize\n"
+        "a = ensure_checkpoint_dir(s); b = ensure_checkpoint_dir(s)\n"
+        "assert a == b and s.sparkContext.getCheckpointDir() is not None\n"
+        "assert s.range(5).checkpoint(eager=True).count() == 5 and materialize(s.range(5), 't').count() == 5\n"
+        "print('ok')\n" % repo)
+    env = dict(os.environ, SPARK_CONF_DIR=str(tmp_path))
+    out = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=300)
+    assert out.stdout.strip().endswith("ok"), out.stderr[-2000:]
