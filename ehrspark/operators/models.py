@@ -16,7 +16,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import ensure_checkpoint_dir
 
@@ -62,9 +62,29 @@ def c_grid(n_values: int = 10, low_exp: float = -4.0, high_exp: float = 4.0) ->
     return [10.0 ** (low_exp + i * step) for i in range(n_values)]
 
 
-def with_folds(df: DataFrame, folds: int, key: str = PID, col: str = "_fold") -> DataFrame:
-    """Deterministic fold id from a hash of the key (repeatable, distributed)."""
-    return df.withColumn(col, F.pmod(F.xxhash64(F.col(key)), F.lit(folds)).cast("int"))
+# Hash buckets per class used to spread the fold numbering over many tasks.
+FOLD_BUCKETS = 1024
+
+
+def with_folds(df: DataFrame, folds: int, key: str = PID, col: str = "_fold", label: str = LABEL) -> DataFrame:
+    """Stratified, repeatable fold ids: within each class, rows in hash order
+    are dealt round-robin to the folds, so every fold holds ⌊n_c/k⌋ or ⌈n_c/k⌉
+    rows of class c.
+
+    Distributed numbering: rows fall in ``FOLD_BUCKETS`` hash buckets per
+    class; the per-(class, bucket) counts (a table of at most classes ×
+    buckets rows) give each bucket its running offset, and a row's number is
+    that offset plus its rank inside its (class, bucket) window.
+    """
+    h = F.xxhash64(F.col(key))
+    rows = df.withColumn("_h", h).withColumn("_b", F.pmod(h, F.lit(FOLD_BUCKETS)))
+    before = Window.partitionBy(label).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (rows.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_n"))
+               .select(label, "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")))
+    rank = F.row_number().over(Window.partitionBy(label, "_b").orderBy("_h", key))
+    return (rows.join(F.broadcast(offsets), [label, "_b"])
+            .withColumn(col, F.pmod(F.col("_off") + rank - 1, F.lit(folds)).cast("int"))
+            .drop("_h", "_b", "_off"))
 
 
 def _estimator(feature_cols: list[str] | None, penalty: str, max_iter: int, tol: float):
@@ -130,8 +150,8 @@ def train_logistic_cv(train: DataFrame, feature_cols: list[str] | None = None, p
                       threads: int | None = None, seed_key: str = PID) -> tuple[PipelineModel, float, float]:
     """Choose C by ``folds``-fold cross-validated accuracy, refit on all rows.
 
-    Returns (model, best C, best mean accuracy). Folds come from a hash of
-    the person id. The feature vector is assembled once, before caching, so
+    Returns (model, best C, best mean accuracy). Folds are stratified by the
+    label and repeatable (see ``with_folds``). The feature vector is assembled once, before caching, so
     each of the folds × Cs fits only runs the solver. Ties go to the smaller C.
     """
     assembler = VectorAssembler(inputCols=feature_cols, outputCol=FEATURES) if feature_cols else None

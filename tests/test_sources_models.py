@@ -176,3 +176,16 @@ def test_csv_read_by_header_with_extra_columns(spark, tmp_path):
     death.write_text("person_id,death_date\n7,2003-01-01\n")
     d = files.read_table(spark, str(death), "death")
     assert d.first()["death_datetime"] is None and d.schema == files.schemas.DEATH
+
+
+def test_folds_are_stratified_and_repeatable(spark):
+    df = spark.range(0, 5003).select(F.col("id").alias("person_id"),
+                                     F.when(F.col("id") % 7 == 0, 1.0).otherwise(0.0).alias("death"))
+    a = models.with_folds(df, 20)
+    per = a.groupBy("death", "_fold").count().groupBy("death").agg(F.min("count").alias("lo"),
+                                                                    F.max("count").alias("hi"),
+                                                                    F.countDistinct("_fold").alias("k"))
+    for r in per.collect():
+        assert r["k"] == 20 and r["hi"] - r["lo"] <= 1
+    b = models.with_folds(df.repartition(7), 20)
+    assert a.exceptAll(b.select(*a.columns)).count() == 0
