@@ -19,11 +19,15 @@ def condition_count_stream(spark: SparkSession, folder: str, fmt: str = "parquet
 
     Same semantics as the batch ranking: ``count(code)``, so a NULL code
     group counts 0. The state is one running count per distinct code.
+    CSV files must carry the condition columns of the fixed schema, in order;
+    parquet files are matched by column name.
     """
     reader = (spark.readStream.schema(schemas.CONDITION_OCCURRENCE)
               .option("maxFilesPerTrigger", files_per_batch))
     if fmt == "csv":
-        reader = reader.option("header", True)
+        # A streaming source needs its schema up front; the header is checked
+        # against it so a file with other columns fails instead of misaligning.
+        reader = reader.option("header", True).option("enforceSchema", False)
     src = reader.format(fmt).load(folder)
     return src.groupBy(CODE).agg(F.count(CODE).alias("count"))
 
