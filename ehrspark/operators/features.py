@@ -120,7 +120,10 @@ def top_concepts(events: DataFrame, k: int = 1000) -> DataFrame:
 def concept_long(events: DataFrame, vocab: DataFrame) -> DataFrame:
     """X20, long form: (person_id, pos, concept_id) for vocabulary concepts present."""
     v = bounded_broadcast(vocab.select("pos", "concept_id"))
-    return events.join(v, "concept_id").select(PID, "pos", "concept_id").distinct()
+    # Same NULL filter as the vocabulary pass, so both passes over the events
+    # plan identical shuffles that AQE can reuse.
+    return (events.where(F.col("concept_id").isNotNull()).join(v, "concept_id")
+            .select(PID, "pos", "concept_id").distinct())
 
 
 def concept_wide(events: DataFrame, vocab: DataFrame, k: int) -> DataFrame:
