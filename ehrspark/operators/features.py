@@ -55,11 +55,15 @@ def demographic_features(dates: DataFrame, person: DataFrame, date_col: str = "p
 
 
 def person_composition(person: DataFrame) -> DataFrame:
-    """Persons per gender and per race concept: (attribute, concept_id, n_persons)."""
-    parts = [person.groupBy(F.col(col).alias("concept_id")).agg(F.count(F.lit(1)).alias("n_persons"))
-             .select(F.lit(name).alias("attribute"), "concept_id", "n_persons")
-             for name, col in (("gender", "gender_concept_id"), ("race", "race_concept_id"))]
-    return parts[0].unionByName(parts[1])
+    """Persons per gender and per race concept: (attribute, concept_id, n_persons).
+
+    One scan: each person row yields one (attribute, concept) pair per
+    attribute, counted in a single aggregation.
+    """
+    pairs = F.array(F.struct(F.lit("gender").alias("attribute"), F.col("gender_concept_id").alias("concept_id")),
+                    F.struct(F.lit("race").alias("attribute"), F.col("race_concept_id").alias("concept_id")))
+    return (person.select(F.inline(pairs))
+            .groupBy("attribute", "concept_id").agg(F.count(F.lit(1)).alias("n_persons")))
 
 
 def _set_hits(conditions: DataFrame, concept_sets: DataFrame) -> DataFrame:
