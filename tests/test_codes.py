@@ -79,3 +79,11 @@ def test_conversion_fallback_without_broadcast_matches(spark, monkeypatch):
     monkeypatch.setattr(codes, "MAX_BROADCAST_CODES", 1)
     slow = codes.convert_conditions(d.condition_occurrence, d.icdcode_converter)
     assert fast.count() == slow.count() and fast.exceptAll(slow).count() == 0
+
+
+def test_strip_dot_option_matches_dotless_dictionary(spark):
+    rows = [(1, "E11.42", 1, "25042")]
+    assert _map(spark, rows, "250.42")["250.42"]["icd10"] is None
+    conv = spark.createDataFrame(rows, CONV)
+    m = codes.map_codes(_codes(spark, "250.42"), conv, strip_dot=True).first()
+    assert (m["icd10"], m["tier"], m["candidate"]) == ("E11.42", 1, 1)

@@ -100,3 +100,11 @@ def test_write_extract_round_trip(spark, tmp_path):
     sinks.write_extract({"visit_occurrence": visits}, str(tmp_path))
     back = files.read_table(spark, str(tmp_path / "visit_occurrence"), "visit_occurrence")
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, visits.collect()))
+
+
+def test_prediction_dates_min_days_option(spark):
+    death_day = D(2020, 6, 30)
+    visits = _visits(spark, [(1, 1, death_day + dt.timedelta(days=10)), (2, 2, death_day - dt.timedelta(days=30))])
+    deaths = _deaths(spark, [(1, death_day), (2, death_day)])
+    got = {r["person_id"]: r["death"] for r in labels.prediction_dates(visits, deaths, min_days=0).collect()}
+    assert got == {1: 0.0, 2: 1.0}     # a visit after death no longer counts
