@@ -26,7 +26,8 @@ def store_bucketed(spark: SparkSession, tables: dict[str, DataFrame], database:
     ``buckets`` should give files of a few hundred MB for the largest table
     and be the same for all tables that are joined together.
     """
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    location = os.path.join(root, f"_{database}.db")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
     written = []
     for name, df in tables.items():
         (df.write.mode("overwrite").format("parquet")
