@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.dates import days_between
+
 PID = "person_id"
 
 
@@ -22,7 +24,7 @@ def prediction_dates(visit: DataFrame, death: DataFrame, horizon: int = 180, ord
     """
     days = (visit.select(PID, "visit_start_date").where(F.col(PID).isNotNull()).distinct())
     deaths = death.select(PID, "death_date").where(F.col(PID).isNotNull()).distinct()
-    gap = F.datediff(F.col("death_date"), F.col("visit_start_date"))
+    gap = days_between(F.col("death_date"), F.col("visit_start_date"))
     qualifies = gap <= horizon
     if min_days is not None:
         qualifies = qualifies & (gap >= min_days)
