@@ -96,20 +96,29 @@ def compare(spark, sf_dir: str, name: str, con=None) -> dict:
 def main(argv=None):
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
+    ap.add_argument("--json", help="also write all results to this file")
     ap.add_argument("names", nargs="*")
     a = ap.parse_args(argv)
     from ..session import build_session
     spark = build_session()
     con = duck_connection(a.sf)
     names = a.names or list(QUERIES)
-    bad = 0
+    results = []
     for n in names:
         try:
             r = compare(spark, a.sf, n, con)
         except Exception as e:  # report and continue with the next query
             r = {"query": n, "status": f"error: {type(e).__name__}: {str(e)[:400]}"}
-        bad += r["status"] not in ("match", "rows-only")
+        results.append(r)
         print(json.dumps(r, default=str), flush=True)
+    bad = sum(r["status"] not in ("match", "rows-only") for r in results)
+    if a.json:
+        summary = {"sf_dir": a.sf, "queries": len(results),
+                   "match": sum(r["status"] == "match" for r in results),
+                   "rows_only": sum(r["status"] == "rows-only" for r in results),
+                   "failed": bad, "results": results}
+        with open(a.json, "w") as fh:
+            json.dump(summary, fh, indent=1, default=str)
     return 1 if bad else 0
 
 
