@@ -46,3 +46,23 @@ def run_to_table(spark: SparkSession, stream: DataFrame, name: str,
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return q
+
+
+def run_to_path(spark: SparkSession, stream: DataFrame, path: str,
+                checkpoint: str | None = None) -> StreamingQuery:
+    """Process everything available now; after each micro-batch the complete
+    result replaces the parquet folder ``path``.
+
+    Rewriting the whole (small, one row per code) result per batch makes a
+    retried batch idempotent; the checkpoint under ``spark.checkpoint.dir``
+    lets a restarted driver resume after the last committed batch.
+    """
+    checkpoint = checkpoint or scratch_path(spark, os.path.join("streams", os.path.basename(path.rstrip("/"))))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(path)
+
+    q = (stream.writeStream.outputMode("complete").foreachBatch(write)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return q

@@ -19,3 +19,16 @@ def test_stream_counts_match_batch(spark, tmp_path):
     got = {r[0]: r[1] for r in spark.sql(f"SELECT * FROM {name}").collect()}
     want = {r[0]: r[1] for r in codes.condition_counts(cond).collect()}
     assert got == want
+
+
+def test_stream_counts_to_parquet(spark, tmp_path):
+    from ehrspark.streaming.chunked import run_to_path
+    cond = OmopData(spark, SF_SMALL).condition_occurrence
+    folder = str(tmp_path / "conditions")
+    cond.repartition(3).write.parquet(folder)
+    out = str(tmp_path / "counts")
+    run_to_path(spark, condition_count_stream(spark, folder, files_per_batch=2), out,
+                checkpoint=str(tmp_path / "ckpt2"))
+    got = {r[0]: r[1] for r in spark.read.parquet(out).collect()}
+    want = {r[0]: r[1] for r in codes.condition_counts(cond).collect()}
+    assert got == want
