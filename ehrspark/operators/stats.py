@@ -73,7 +73,8 @@ def binomial_p_values(tests: DataFrame, key: str, x: str = "x", n: str = "n", p:
     exact_mean = F.col("_x").cast("double") == F.col("_mean")
     degenerate = (F.col("_p") <= 0) | (F.col("_p") >= 1)
     return (prepared.join(sums, key, "left")
-            .select(key, F.when(exact_mean, F.lit(1.0))
+            .select(key, F.when(F.col("_p").isNull() | F.col("_n").isNull() | F.col("_x").isNull(), F.lit(None))
+                    .when(exact_mean, F.lit(1.0))
                     .when(degenerate, F.lit(0.0))
                     .otherwise(F.least(F.lit(1.0), F.coalesce(F.col("_s"), F.lit(0.0))))
                     .alias("p_value")))
@@ -88,7 +89,7 @@ def prevalence_binomial(table: DataFrame, n_synthetic: Column, n_real: Column, k
     """
     top = table.orderBy(F.desc(REAL), F.asc(CONCEPT)).limit(k)
     tests = top.select(CONCEPT, F.col(SYNTH).alias("x"), n_synthetic.alias("n"),
-                       (F.col(REAL) / n_real).alias("p"))
+                       F.try_divide(F.col(REAL), n_real).alias("p"))
     pv = binomial_p_values(tests, CONCEPT)
     return table.join(pv, CONCEPT, "left")
 

@@ -19,10 +19,11 @@ def test_binomial_p_values_match_known_values(spark):
 
 
 def test_binomial_edges(spark):
-    tests = spark.createDataFrame([(1, 5, 10, 0.5), (2, 0, 10, 0.0), (3, 1, 10, 0.0), (4, 10, 10, 1.0)],
+    tests = spark.createDataFrame([(1, 5, 10, 0.5), (2, 0, 10, 0.0), (3, 1, 10, 0.0), (4, 10, 10, 1.0),
+                                   (5, 3, 10, None)],
                                   "id int, x long, n long, p double")
     got = {r["id"]: r["p_value"] for r in stats.binomial_p_values(tests, "id").collect()}
-    assert got == {1: 1.0, 2: 1.0, 3: 0.0, 4: 1.0}
+    assert got == {1: 1.0, 2: 1.0, 3: 0.0, 4: 1.0, 5: None}
 
 
 def test_small_binomial_against_direct_sum(spark):
