@@ -2,6 +2,7 @@
 
     python -m ehrspark.cli mapper      --omop DIR --converter FILE --out DIR
     python -m ehrspark.cli conditions  --omop DIR --converter FILE --descriptions FILE --out DIR
+    python -m ehrspark.cli convert     --omop DIR --converter FILE --out DIR
     python -m ehrspark.cli cohort      --omop DIR --out DIR [--months 6] [--min-visits 3]
     python -m ehrspark.cli drugs       --omop DIR --concept FILE --out DIR
     python -m ehrspark.cli compare     --real DIR --synthetic DIR --out DIR [--real-drugs F --synthetic-drugs F]
@@ -61,6 +62,14 @@ def cmd_conditions(spark, a):
                     os.path.join(a.out, "hierarchy_condition_count"), single_file=True)
 
 
+def cmd_convert(spark, a):
+    d = _omop(spark, a.omop, a.format)
+    conv = files.read_code_converter(spark, a.converter)
+    converted = codes.convert_conditions(d.condition_occurrence, conv, a.strip_dot)
+    sinks.write_csv(converted, os.path.join(a.out, "condition_occurrence_icd10"))
+    print("distinct codes after conversion:", codes.distinct_converted(converted).first()[0])
+
+
 def cmd_cohort(spark, a):
     d = _omop(spark, a.omop, a.format)
     persons = cohort.select_persons(d.person, d.visit_occurrence, d.death, a.min_visits)
@@ -167,6 +176,8 @@ def parser() -> argparse.ArgumentParser:
         ("--strip-dot", {"action": "store_true"}))
     add("conditions", cmd_conditions, ("--omop", req), ("--converter", req), ("--descriptions", req),
         ("--out", req))
+    add("convert", cmd_convert, ("--omop", req), ("--converter", req), ("--out", req),
+        ("--strip-dot", {"action": "store_true"}))
     add("cohort", cmd_cohort, ("--omop", req), ("--out", req), ("--months", {"type": int, "default": 6}),
         ("--min-visits", {"type": int, "default": 3}))
     add("drugs", cmd_drugs, ("--omop", req), ("--concept", req), ("--out", req),

@@ -45,6 +45,10 @@ def test_command_line_jobs(spark, tmp_path):
         "--out", out)
     assert spark.read.option("header", True).csv(os.path.join(out, "mapped_condition_count")).count() > 0
 
+    run("convert", "--omop", omop, "--converter", conv, "--out", out)
+    converted = spark.read.option("header", True).csv(os.path.join(out, "condition_occurrence_icd10"))
+    assert converted.count() == d.condition_occurrence.count()
+
     run("cohort", "--omop", omop, "--out", os.path.join(root, "cohort"), "--months", "24")
     assert spark.read.option("header", True).csv(os.path.join(root, "cohort", "condition_occurrence")).count() > 0
 
