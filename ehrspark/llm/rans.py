@@ -136,7 +136,7 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze, end = zstandard.ZstdCompressor(level=1), np.array([end_id], "<u4").tobytes()
-        for batch in slices(batches, "text", 2 << 20):
+        for batch in slices(batches, "text", 4 << 20):
             raw = [b + end for b in encoder(tokenizer, "word").encode(batch.column("text").to_pylist())]
             packed = []
             for b in raw:

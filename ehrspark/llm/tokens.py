@@ -5,9 +5,12 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from collections.abc import Iterator
 from functools import cache
 from itertools import islice
 
+import numpy as np
+
 from .common import EVERY_SPACE
 
 #: Both vocabularies split a text at white space, and between letters and
@@ -15,11 +18,15 @@ from .common import EVERY_SPACE
 #: ids of these chunks, one after another. The byte vocabulary keeps white
 #: space: one space goes to the word after it, of a longer run all but the
 #: last character stand alone.
-LATIN = rf"[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[,.{EVERY_SPACE}])"
+LETTERS = "[A-Za-zÀ-ÖØ-öø-ÿ]+"
+LATIN = rf"{LETTERS}(?=[,.{EVERY_SPACE}])"
 CHUNKS = {
     "word": re.compile(rf"{LATIN}|[^{EVERY_SPACE}]+"),
     "byte": re.compile(rf" ?(?:{LATIN}|[^{EVERY_SPACE}]+)|[{EVERY_SPACE}]+(?![^{EVERY_SPACE}])|[{EVERY_SPACE}]+"),
 }
+#: Chunks that can be encoded in one text, and how to tell them apart after:
+#: by tokens that end a word, or that begin with the space before it.
+TOGETHER = {"word": (re.compile(LETTERS), " ", lambda token: token.endswith("</w>")), "byte": (re.compile(f" {LETTERS}"), "", lambda token: token.startswith("Ġ"))}
 
 
 def small(text: str) -> str:
@@ -39,7 +46,7 @@ class ChunkEncoder:
     ``longest`` characters are remembered.
     """
 
-    def __init__(self, path: str, kind: str, keep: int = 800_000, longest: int = 48) -> None:
+    def __init__(self, path: str, kind: str, keep: int = 600_000, longest: int = 48) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -48,6 +55,26 @@ class ChunkEncoder:
         self.chunks, self.keep, self.longest = CHUNKS[kind], keep, longest
         self.known: dict[str, bytes] = {}
         self.lower = kind == "word"  # this vocabulary has no upper case
+        self.plain, self.glue, edge = TOGETHER[kind]
+        vocabulary = self.tokenizer.get_vocab()
+        self.edge = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.edge[[i for token, i in vocabulary.items() if edge(token)]] = True
+
+    def fresh(self, chunks: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Chunks with their ids: plain words many at a time, others, or a group that doesn't come apart, one by one."""
+        plain = [c for c in chunks if self.plain.fullmatch(c)]
+        single = [c for c in chunks if not self.plain.fullmatch(c)]
+        groups = [plain[i : i + 256] for i in range(0, len(plain), 256)]
+        for group, e in zip(groups, self.tokenizer.encode_batch_fast([self.glue.join(g) for g in groups], add_special_tokens=False)):
+            ids = np.array(e.ids, "<u4")
+            edges = np.flatnonzero(self.edge[ids]) + (1 if self.glue else 0)
+            if len(edges) != len(group):
+                single += group
+                continue
+            raw, ends = ids.tobytes(), (4 * (edges if self.glue else np.append(edges[1:], len(ids)))).tolist()
+            yield from zip(group, (raw[a:b] for a, b in zip([0, *ends], ends)))
+        for c, e in zip(single, self.tokenizer.encode_batch_fast(single, add_special_tokens=False)):
+            yield c, array("I", e.ids).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
@@ -57,8 +84,7 @@ class ChunkEncoder:
         here = dict.fromkeys(set().union(*cut))  # small, so the look-ups below stay in the processor's cache
         known = self.known
         new = [c for c in here if c not in known]
-        for c, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            here[c] = array("I", e.ids).tobytes()
+        here.update(self.fresh(new))
         for c, ids in here.items():
             if ids is None:
                 here[c] = known[c]
