@@ -10,10 +10,10 @@ the full sets.
 
 Only components are asked for, so pairs that links already join need no test.
 Three rounds find the rest without listing all pairs of a bucket: each node
-with the least node it shares a bucket with; each node with the least node of
-every other component in its buckets; then all pairs of nodes in one bucket
-that are still in different components. Together they cover every candidate
-pair, whatever the size of a bucket.
+with the least node it shares a bucket with; each node with some drawn from
+its buckets, again and again while that finds links;
+then all pairs of nodes in one bucket that are still in different components.
+Together they cover every candidate pair, whatever the size of a bucket.
 """
 
 from __future__ import annotations
@@ -26,13 +26,15 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import materialize
 from .common import documents, slices
 from .graph import components, follow
 
 HASHES, ROWS, BATCH = 128, 4, 32  # in a signature, a band, a batch
+DRAWS, HEADS = 6, 4  # rounds with drawn heads, and heads for each node
+SMALL = 64 << 20  # bytes of sets, or of signatures, that are broadcast
 #: Odd multipliers and offsets of the hash family, and the shingle's word places.
 RNG = np.random.default_rng(20_240_601)
 TIMES, PLUS = RNG.integers(0, 1 << 32, HASHES, np.uint32) | np.uint32(1), RNG.integers(0, 1 << 32, HASHES, np.uint32)
@@ -105,8 +107,36 @@ def sets_of(docs: DataFrame, rule: Rule) -> DataFrame:
     return docs.mapInArrow(run, "digest binary, shingles binary")
 
 
+def common(sets: DataFrame) -> DataFrame:
+    """(node, n, m): the size of each set, and how many of its shingles are in another of these sets too.
+
+    Two sets have at most the lesser m in common, which is exact where they
+    differ in shingles that no other set has, as edited copies of a text do.
+    """
+    schema = pa.schema([("node", pa.int64()), ("h", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "shingles", 4 << 20):
+            held = [np.frombuffer(b, "<i8") for b in batch.column("shingles").to_pylist()]
+            nodes_ = np.repeat(batch.column("node").to_numpy(), [len(h) for h in held])
+            yield pa.RecordBatch.from_arrays([pa.array(nodes_), pa.array(np.concatenate(held))], schema=schema)
+
+    spread = sets.select("node", "shingles").mapInArrow(run, "node long, h long")
+    lone = spread.groupBy("h").agg(F.count(F.lit(1)).alias("k"), F.max("node").alias("node")).where("k = 1").groupBy("node").agg(F.count(F.lit(1)).alias("lone"))
+    n = F.expr("octet_length(shingles) div 8")
+    return sets.select("node", n.alias("n")).join(lone, "node", "left").select("node", "n", (F.col("n") - F.coalesce("lone", F.lit(0))).alias("m"))
+
+
+def met(pairs: DataFrame, held: DataFrame, column: str) -> DataFrame:
+    """``held`` for the nodes of ``pairs``, to be broadcast if their ``column`` adds up to SMALL at most: many pairs of few nodes need no shuffle of sets then."""
+    some = held.join(pairs.select(F.col("a").alias("node")).distinct().union(pairs.select("b").distinct()), "node", "left_semi")
+    size = some.agg(F.sum(F.octet_length(column) + 64)).first()[0] or 0
+    return F.broadcast(some) if size <= SMALL else held
+
+
 def prune(pairs: DataFrame, known: DataFrame, rule: Rule) -> DataFrame:
     """Pairs (a, b) whose signatures leave them a chance, by the sequential test."""
+    known = met(pairs, known, "signature")
     a, b = (known.select(F.col("node").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("signature").alias(f"s_{x}")) for x in "ab")
     # Sets whose sizes differ too much can't be linked at all.
     fit = (100 * F.least("n_a", "n_b") >= rule.part * F.greatest("n_a", "n_b"))
@@ -127,6 +157,7 @@ def prune(pairs: DataFrame, known: DataFrame, rule: Rule) -> DataFrame:
 
 def verify(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """Pairs (a, b) that are linked by their full sets."""
+    sets = met(pairs, sets, "shingles")
     a, b = (sets.select(F.col("node").alias(x), F.col("shingles").alias(f"s_{x}")) for x in "ab")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,28 +200,56 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     # Round 1: a node and the least node of all its buckets.
     tested = materialize(members.where("node <> least").groupBy("node").agg(F.min("least").alias("a")).select("a", F.col("node").alias("b")), "tested")
     roots = components(links(tested))
-    for last in (False, True):
-        apart = follow(members.select("bucket", "node", F.col("node").alias("comp")), "comp", roots)
-        mixed = apart.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("bucket")
-        apart = materialize(apart.join(mixed, "bucket"), "apart")
-        if apart.isEmpty():
-            break
-        groups = apart.groupBy("bucket", "comp").agg(F.min("node").alias("head"))
-        other = groups.select("bucket", F.col("comp").alias("comp_a"), F.col("head").alias("a"))
-        if last:
-            # Component pairs of a bucket first, so that nodes of one component never meet.
-            both = other.join(groups.select("bucket", F.col("comp").alias("comp_b")), "bucket").where("comp_a < comp_b").select("bucket", "comp_a", "comp_b")
-            pairs = (both.join(apart.select("bucket", F.col("comp").alias("comp_a"), F.col("node").alias("a")), ["bucket", "comp_a"])
-                     .join(apart.select("bucket", F.col("comp").alias("comp_b"), F.col("node").alias("b")), ["bucket", "comp_b"]))
-        else:
-            pairs = other.join(apart.select("bucket", "comp", F.col("node").alias("b")), "bucket").where("comp_a <> comp")
+
+    def mixed() -> DataFrame:
+        """Members of buckets that hold several components still; such a bucket is parted by the sizes of sets,
+        where sets that can be linked share a part."""
+        parts = F.explode(F.array(F.col("step"), F.col("step") + 1))
+        apart = follow(stepped.withColumn("comp", F.col("node")), "comp", roots).withColumn("part", parts)
+        apart = apart.select(F.xxhash64("bucket", "part").alias("bucket"), "node", "comp")
+        some = apart.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("bucket")
+        return materialize(apart.join(some, "bucket"), "apart")
+
+    def test(pairs: DataFrame) -> bool:
+        """Verify those pairs that weren't yet; whether any is linked."""
+        nonlocal tested, roots
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "pairs")
         tested = tested.unionByName(pairs)
         more = links(pairs)
-        if not more.isEmpty():
-            joined = components(follow(follow(more, "a", roots), "b", roots))
-            roots = materialize(follow(roots, "root", joined).unionByName(joined), "roots")
+        if more.isEmpty():
+            return False
+        joined = components(follow(follow(more, "a", roots), "b", roots))
+        roots = materialize(follow(roots, "root", joined).unionByName(joined), "roots")
+        return True
+
+    step = F.floor(F.log(F.col("n_shingles").cast("double")) / F.log(F.lit(100 / rule.part))).alias("step")
+    stepped = materialize(members.select("bucket", "node").join(known.select("node", step), "node"), "stepped")
+    # Round 2, again and again while it helps: in each bucket a head is drawn, the same one in many buckets, and
+    # each node is tested with the heads of other components that it meets most often.
+    for draw in range(1, DRAWS + 1):
+        apart = mixed()
+        drawn = F.xxhash64("node", F.lit(draw))
+        heads = apart.groupBy("bucket").agg(F.min_by("node", drawn).alias("head"), F.min_by("comp", drawn).alias("head_comp"))
+        often = apart.join(heads, "bucket").where("comp <> head_comp").groupBy("node", "head").agg(F.count(F.lit(1)).alias("n"))
+        best = Window.partitionBy("node").orderBy(F.desc("n"), "head")
+        often = often.withColumn("k", F.row_number().over(best)).where(F.col("k") <= HEADS)
+        if not test(often.select(F.col("head").alias("a"), F.col("node").alias("b"))):
+            break
+    # Round 3: what is left. Components of a bucket meet first, and only if their sets could be linked, so that
+    # nodes of one component never meet, and those with too many shingles of their own meet no other.
+    apart = mixed()
+    if not apart.isEmpty():
+        sized = apart.join(common(sets.join(apart.select("node").distinct(), "node", "left_semi")), "node")
+        sized = materialize(sized, "sized")
+        side = lambda x: sized.groupBy("bucket", F.col("comp").alias(f"comp_{x}")).agg(F.min("n").alias(f"n_{x}"), F.max("m").alias(f"m_{x}"))
+        most = F.least("m_a", "m_b")
+        fit = (F.col("comp_a") < F.col("comp_b")) & (100 * most >= rule.part * (F.col("n_a") + F.col("n_b") - most))
+        both = side("a").withColumnRenamed("bucket", "other").join(side("b"), (F.col("other") == F.col("bucket")) & fit).select("bucket", "comp_a", "comp_b")
+        ends = lambda x: sized.select("bucket", F.col("comp").alias(f"comp_{x}"), F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("m").alias(f"m_{x}"))
+        left = both.join(ends("a"), ["bucket", "comp_a"])
+        right = ends("b").withColumnRenamed("bucket", "b_bucket").withColumnRenamed("comp_b", "b_comp")
+        test(left.join(right, (F.col("bucket") == F.col("b_bucket")) & (F.col("comp_b") == F.col("b_comp")) & (100 * most >= rule.part * (F.col("n_a") + F.col("n_b") - most))))
 
     # From nodes back to documents: the least id of a component's rows.
     classes = follow(known.select("digest", F.col("node").alias("comp")), "comp", roots)
