@@ -37,7 +37,10 @@ def _omop(spark: SparkSession, folder: str, fmt: str) -> OmopData:
 def _concept_sets(spark: SparkSession, folder: str) -> DataFrame:
     """Concept-set files named ``<set>_condition_id.csv`` (cancer, HD, COPD, T2DM, stroke)."""
     paths = {name: os.path.join(folder, f"{name}_condition_id.csv") for name in features.DISEASE_SETS}
-    return files.read_concept_sets(spark, {k: v for k, v in paths.items() if os.path.exists(v)})
+    missing = [v for v in paths.values() if not files.exists(spark, v)]
+    if missing:
+        raise FileNotFoundError(f"concept sets: {missing}")
+    return files.read_concept_sets(spark, paths)
 
 
 def cmd_mapper(spark, a):
@@ -54,11 +57,11 @@ def cmd_conditions(spark, a):
     conv = files.read_code_converter(spark, a.converter)
     desc = files.read_table(spark, a.descriptions, "code_description")
     cond = d.condition_occurrence
-    print("number of icd9 codes:", codes.count_icd9_codes(codes.condition_counts(cond), conv).first()[0])
+    print("number of icd9 codes:", codes.count_icd9_codes(codes.condition_counts(cond), conv, a.strip_dot).first()[0])
     sinks.write_csv(codes.condition_counts(cond), os.path.join(a.out, "condition_count"), single_file=True)
-    sinks.write_csv(codes.mapped_condition_counts(cond, conv, desc), os.path.join(a.out, "mapped_condition_count"),
+    sinks.write_csv(codes.mapped_condition_counts(cond, conv, desc, a.strip_dot), os.path.join(a.out, "mapped_condition_count"),
                     single_file=True)
-    sinks.write_csv(codes.hierarchy_condition_counts(cond, conv, desc),
+    sinks.write_csv(codes.hierarchy_condition_counts(cond, conv, desc, a.strip_dot),
                     os.path.join(a.out, "hierarchy_condition_count"), single_file=True)
 
 
@@ -175,7 +178,7 @@ def parser() -> argparse.ArgumentParser:
     add("mapper", cmd_mapper, ("--omop", req), ("--converter", req), ("--out", req),
         ("--strip-dot", {"action": "store_true"}))
     add("conditions", cmd_conditions, ("--omop", req), ("--converter", req), ("--descriptions", req),
-        ("--out", req))
+        ("--out", req), ("--strip-dot", {"action": "store_true"}))
     add("convert", cmd_convert, ("--omop", req), ("--converter", req), ("--out", req),
         ("--strip-dot", {"action": "store_true"}))
     add("cohort", cmd_cohort, ("--omop", req), ("--out", req), ("--months", {"type": int, "default": 6}),

@@ -172,15 +172,17 @@ def code_labels(codes: DataFrame, converter: DataFrame, strip_dot: bool = False,
     """
     mapped = map_codes(codes, converter, strip_dot, keys, already_distinct)
     converted = F.when(F.col("is_icd9").isNotNull(), F.col("icd10")).otherwise(F.col(CODE))
-    return (mapped.join(_icd9_flags(converter), CODE, "left")
+    flags = _icd9_flags(converter).withColumnRenamed(CODE, "_base")
+    return (mapped.withColumn("_base", _code_base(F.col(CODE), strip_dot)).join(flags, "_base", "left")
             .select(*keys, F.col("is_icd9").isNotNull().alias("is_icd9"), converted.alias("converted"))
             .withColumn("category", icd10_category(F.col("converted"))))
 
 
-def count_icd9_codes(counts: DataFrame, converter: DataFrame) -> DataFrame:
+def count_icd9_codes(counts: DataFrame, converter: DataFrame, strip_dot: bool = False) -> DataFrame:
     """How many distinct recorded codes are ICD-9 codes (one row)."""
+    flags = _icd9_flags(converter).select(F.col(CODE).alias("_base"))
     return (counts.select(CODE).where(F.col(CODE).isNotNull()).distinct()
-            .join(_icd9_flags(converter).select(CODE), CODE, "left_semi")
+            .withColumn("_base", _code_base(F.col(CODE), strip_dot)).join(flags, "_base", "left_semi")
             .agg(F.count(F.lit(1)).alias("n_icd9_codes")))
 
 
@@ -231,7 +233,8 @@ def convert_conditions(conditions: DataFrame, converter: DataFrame, strip_dot: b
                                            *[F.col(f"t{t}").alias(f"_c{i}t{t}") for t in TIERS]))
             rows = rows.withColumn(f"_k{i}", key).join(look, f"_k{i}", "left")
         mapped = F.coalesce(*[F.col(f"_c{i}t{t}") for t in TIERS for i in range(1, len(keys) + 1)])
-        rows = rows.join(_icd9_flags(converter, checked_broadcast=True), CODE, "left")
+        flags = _icd9_flags(converter, checked_broadcast=True).withColumnRenamed(CODE, "_base")
+        rows = rows.withColumn("_base", _code_base(F.col(CODE), strip_dot)).join(flags, "_base", "left")
         return (rows.withColumn(CODE, F.when(F.col("is_icd9").isNotNull(), mapped).otherwise(F.col(CODE)))
                 .select(*cols))
     labels = code_labels(conditions, converter, strip_dot).select(CODE, "converted")

@@ -130,11 +130,18 @@ def cross_validate(data: DataFrame, lr: LogisticRegression, param_maps: list[dic
     """Mean validation accuracy of every parameter map over ``folds`` folds.
 
     All (fold, parameter) fits are independent Spark jobs over the cached
-    ``data``; they are submitted concurrently from a thread pool.
+    ``data``; they are submitted concurrently from a thread pool. ``regParam``
+    is given for all rows, 1 / (C n); a fold's fit sees fewer, so its mean loss
+    needs 1 / (C n_fold).
     """
+    sizes = {r[0]: r[1] for r in data.groupBy(fold_col).count().collect()}
+    n = sum(sizes.values())
+
     def run(task):
         f, i = task
-        model = lr.copy(param_maps[i]).fit(data.where(F.col(fold_col) != f))
+        fold_lr = lr.copy(param_maps[i])
+        fold_lr.setRegParam(fold_lr.getRegParam() * n / max(n - sizes.get(f, 0), 1))
+        model = fold_lr.fit(data.where(F.col(fold_col) != f))
         return i, _accuracy(model, data.where(F.col(fold_col) == f))
 
     tasks = [(f, i) for f in range(folds) for i in range(len(param_maps))]

@@ -80,6 +80,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path and not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not path:
         path = _LOCAL_CHECKPOINT_DIRS.setdefault(sc.applicationId, tempfile.mkdtemp(prefix="ehrspark-ckpt-"))
     if sc.getCheckpointDir() is None:

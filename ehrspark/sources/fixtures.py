@@ -128,6 +128,8 @@ class OmopData:
 
     def raw(self, name: str) -> DataFrame:
         if name not in self._frames:
+            if not self.sf_dir:
+                raise KeyError(f"table {name} is not among the stored tables")
             self._frames[name] = self.spark.read.parquet(os.path.join(self.sf_dir, f"{name}.parquet"))
         return self._frames[name]
 
@@ -135,6 +137,8 @@ class OmopData:
         if name in DRIVER_TABLES:
             return self.raw(name)
         if name not in self._frames:
+            if not self.sf_dir:
+                raise KeyError(f"table {name} is not among the stored tables")
             inputs = {t: self.table(t) for t in VIEW_INPUTS[name]}
             self._frames[name] = self.spark.sql(VIEW_SQL[name], **inputs)
         return self._frames[name]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -48,6 +49,11 @@ def run_to_table(spark: SparkSession, stream: DataFrame, name: str,
     return q
 
 
+def target_key(path: str) -> str:
+    """A folder name of its own for each output path, so that outputs never share a checkpoint."""
+    return f"{os.path.basename(path.rstrip('/'))}-{hashlib.sha256(path.rstrip('/').encode()).hexdigest()[:16]}"
+
+
 def run_to_path(spark: SparkSession, stream: DataFrame, path: str,
                 checkpoint: str | None = None) -> StreamingQuery:
     """Process everything available now; after each micro-batch the complete
@@ -57,7 +63,7 @@ def run_to_path(spark: SparkSession, stream: DataFrame, path: str,
     retried batch idempotent; the checkpoint under ``spark.checkpoint.dir``
     lets a restarted driver resume after the last committed batch.
     """
-    checkpoint = checkpoint or scratch_path(spark, os.path.join("streams", os.path.basename(path.rstrip("/"))))
+    checkpoint = checkpoint or scratch_path(spark, os.path.join("streams", target_key(path)))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(path)

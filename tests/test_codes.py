@@ -87,3 +87,14 @@ def test_strip_dot_option_matches_dotless_dictionary(spark):
     conv = spark.createDataFrame(rows, CONV)
     m = codes.map_codes(_codes(spark, "250.42"), conv, strip_dot=True).first()
     assert (m["icd10"], m["tier"], m["candidate"]) == ("E11.42", 1, 1)
+
+
+def test_strip_dot_reaches_every_operator(spark):
+    conv = spark.createDataFrame([(1, "E11.42", 1, "25042")], "conversion_id int, icd10 string, convertion_type int, icd9 string")
+    rows = spark.createDataFrame([(1, "250.42"), (2, "J10")], "person_id long, condition_source_value string")
+    desc = spark.createDataFrame([("E11.42", "nerve damage")], "code string, description string")
+    got = {r.condition_source_value: (r.is_icd9, r.converted) for r in codes.code_labels(rows, conv, strip_dot=True).collect()}
+    assert got == {"250.42": (True, "E11.42"), "J10": (False, "J10")}
+    assert sorted(r.condition_source_value for r in codes.convert_conditions(rows, conv, strip_dot=True).collect()) == ["E11.42", "J10"]
+    assert codes.count_icd9_codes(rows, conv, strip_dot=True).first()[0] == 1
+    assert {r[0] for r in codes.mapped_condition_counts(rows, conv, desc, strip_dot=True).collect()} == {"nerve damage", "J10"}

@@ -168,8 +168,8 @@ def test_csv_read_by_header_with_extra_columns(spark, tmp_path):
     p = tmp_path / "visit_occurrence.csv"
     p.write_text("visit_start_date,care_site_id,person_id,visit_occurrence_id\n2001-02-03,9,7,1\n2002-03-04,9,8,2\n")
     df = files.read_table(spark, str(p), "visit_occurrence")
-    assert df.columns == ["visit_occurrence_id", "person_id", "visit_start_date"]
-    rows = sorted(map(tuple, df.collect()))
+    assert df.columns == ["visit_occurrence_id", "person_id", "visit_start_date", "care_site_id"]
+    rows = sorted(tuple(r)[:3] for r in df.collect())
     import datetime as dt
     assert rows == [(1, 7, dt.date(2001, 2, 3)), (2, 8, dt.date(2002, 3, 4))]
     death = tmp_path / "death.csv"
@@ -189,3 +189,19 @@ def test_folds_are_stratified_and_repeatable(spark):
         assert r["k"] == 20 and r["hi"] - r["lo"] <= 1
     b = models.with_folds(df.repartition(7), 20)
     assert a.exceptAll(b.select(*a.columns)).count() == 0
+
+
+def test_whole_numbers_with_a_fraction_of_zeros_and_uris(spark, tmp_path):
+    (tmp_path / "death.csv").write_text("person_id,death_date,cause\n7.0,2003-01-01,x\n,2003-01-02,y\n")
+    found = files.read_omop_folder(spark, tmp_path.as_uri())
+    assert set(found) == {"death"} and "cause" in found["death"].columns
+    assert sorted(r.person_id or 0 for r in found["death"].collect()) == [0, 7]
+    (tmp_path / "death.csv").write_text("person_id,death_date\n7.5,2003-01-01\n")
+    with pytest.raises(Exception, match="no whole number"):
+        files.read_omop_folder(spark, str(tmp_path))["death"].collect()
+
+
+def test_stored_mode_names_a_missing_table(spark):
+    from ehrspark.sources.fixtures import OmopData
+    with pytest.raises(KeyError, match="death"):
+        OmopData.from_tables(spark, {}).table("death")

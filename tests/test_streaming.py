@@ -32,3 +32,8 @@ def test_stream_counts_to_parquet(spark, tmp_path):
     got = {r[0]: r[1] for r in spark.read.parquet(out).collect()}
     want = {r[0]: r[1] for r in codes.condition_counts(cond).collect()}
     assert got == want
+
+
+def test_outputs_of_one_name_have_checkpoints_of_their_own():
+    from ehrspark.streaming.chunked import target_key
+    assert target_key("/a/counts") != target_key("/b/counts") and target_key("/a/counts/") == target_key("/a/counts")
