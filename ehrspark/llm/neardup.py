@@ -26,7 +26,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import materialize
 from .common import documents, slices
@@ -35,6 +35,7 @@ from .graph import components, follow
 HASHES, ROWS, BATCH = 128, 4, 32  # in a signature, a band, a batch
 DRAWS, HEADS = 6, 4  # rounds with drawn heads, and heads for each node
 SMALL = 64 << 20  # bytes of sets, or of signatures, that are broadcast
+IDS = 2 << 20  # ids that are broadcast, about 100 MB, to pick rows without a shuffle of them
 #: Odd multipliers and offsets of the hash family, and the shingle's word places.
 RNG = np.random.default_rng(20_240_601)
 TIMES, PLUS = RNG.integers(0, 1 << 32, HASHES, np.uint32) | np.uint32(1), RNG.integers(0, 1 << 32, HASHES, np.uint32)
@@ -102,9 +103,19 @@ def sets_of(docs: DataFrame, rule: Rule) -> DataFrame:
         for batch in slices(batches, "text", 1 << 20):
             sets = [shingles(t, rule.words) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
-                                              pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())], ["digest", "shingles"])
+                                              pa.array([len(s) for s in sets], pa.int64()), pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())], ["digest", "n", "shingles"])
 
-    return docs.mapInArrow(run, "digest binary, shingles binary")
+    return docs.mapInArrow(run, "digest binary, n long, shingles binary")
+
+
+def within(held: DataFrame, ids: DataFrame, column: str = "node") -> DataFrame:
+    """Rows of ``held`` whose ``column`` is among ``ids``; a null counts as 0 here.
+
+    Up to IDS ids are broadcast, so that the texts, sets or signatures beside the column stay where they are.
+    """
+    of = lambda c: F.coalesce(c, F.lit(0)).cast("long")
+    ids = materialize(ids.toDF("_id").select(of("_id").alias("_id")).distinct(), "ids")
+    return held.join(F.broadcast(ids) if ids.count() <= IDS else ids, of(F.col(column)) == F.col("_id"), "left_semi")
 
 
 def common(sets: DataFrame) -> DataFrame:
@@ -123,20 +134,19 @@ def common(sets: DataFrame) -> DataFrame:
 
     spread = sets.select("node", "shingles").mapInArrow(run, "node long, h long")
     lone = spread.groupBy("h").agg(F.count(F.lit(1)).alias("k"), F.max("node").alias("node")).where("k = 1").groupBy("node").agg(F.count(F.lit(1)).alias("lone"))
-    n = F.expr("octet_length(shingles) div 8")
-    return sets.select("node", n.alias("n")).join(lone, "node", "left").select("node", "n", (F.col("n") - F.coalesce("lone", F.lit(0))).alias("m"))
+    return sets.select("node", "n").join(lone, "node", "left").select("node", "n", (F.col("n") - F.coalesce("lone", F.lit(0))).alias("m"))
 
 
-def met(pairs: DataFrame, held: DataFrame, column: str) -> DataFrame:
-    """``held`` for the nodes of ``pairs``, to be broadcast if their ``column`` adds up to SMALL at most: many pairs of few nodes need no shuffle of sets then."""
-    some = held.join(pairs.select(F.col("a").alias("node")).distinct().union(pairs.select("b").distinct()), "node", "left_semi")
-    size = some.agg(F.sum(F.octet_length(column) + 64)).first()[0] or 0
-    return F.broadcast(some) if size <= SMALL else held
+def met(pairs: DataFrame, held: DataFrame, bytes_each: Column) -> DataFrame:
+    """``held`` for the nodes of ``pairs``, to be broadcast if its rows add up to SMALL at most: many pairs of few nodes need no shuffle of sets then."""
+    some = within(held, pairs.select("a").union(pairs.select("b")))
+    size = some.agg(F.sum(bytes_each + 64)).first()[0] or 0
+    return F.broadcast(some) if size <= SMALL else some
 
 
 def prune(pairs: DataFrame, known: DataFrame, rule: Rule) -> DataFrame:
     """Pairs (a, b) whose signatures leave them a chance, by the sequential test."""
-    known = met(pairs, known, "signature")
+    known = met(pairs, known, F.lit(4 * HASHES))
     a, b = (known.select(F.col("node").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("signature").alias(f"s_{x}")) for x in "ab")
     # Sets whose sizes differ too much can't be linked at all.
     fit = (100 * F.least("n_a", "n_b") >= rule.part * F.greatest("n_a", "n_b"))
@@ -157,7 +167,7 @@ def prune(pairs: DataFrame, known: DataFrame, rule: Rule) -> DataFrame:
 
 def verify(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """Pairs (a, b) that are linked by their full sets."""
-    sets = met(pairs, sets, "shingles")
+    sets = met(pairs, sets, 8 * F.col("n"))
     a, b = (sets.select(F.col("node").alias(x), F.col("shingles").alias(f"s_{x}")) for x in "ab")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,10 +199,11 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     shared = members.groupBy("bucket").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
     members = materialize(members.join(shared, "bucket").select("bucket", "node", "least"), "members")
 
-    some = members.select("node").distinct()
-    found = known.join(some, "node", "left_semi").select("node", "digest", "witness")
-    wanted = docs.join(found.select(F.col("witness").alias("_w")).distinct(), F.col("doc_id").eqNullSafe(F.col("_w")), "left_semi").select("text")
-    sets = materialize(sets_of(wanted, rule).join(found.select("node", "digest"), "digest").dropDuplicates(["node"]).select("node", "shingles"), "sets")
+    # Only nodes that share a bucket are looked at again; the sets are made from their texts.
+    known_digests = known.select("digest", F.col("node").alias("comp"))
+    known = materialize(within(known, members.select("node")), "met")
+    found = sets_of(within(docs, known.select("witness"), "doc_id").select("text"), rule).dropDuplicates(["digest"])
+    sets = materialize(found.join(known.select("digest", "node"), "digest").select("node", "n", "shingles"), "sets")
 
     def links(pairs: DataFrame) -> DataFrame:
         return materialize(verify(materialize(prune(pairs, known, rule), "survivors"), sets, rule), "found")
@@ -240,7 +251,7 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     # nodes of one component never meet, and those with too many shingles of their own meet no other.
     apart = mixed()
     if not apart.isEmpty():
-        sized = apart.join(common(sets.join(apart.select("node").distinct(), "node", "left_semi")), "node")
+        sized = apart.join(common(within(sets, apart.select("node"))), "node")
         sized = materialize(sized, "sized")
         side = lambda x: sized.groupBy("bucket", F.col("comp").alias(f"comp_{x}")).agg(F.min("n").alias(f"n_{x}"), F.max("m").alias(f"m_{x}"))
         most = F.least("m_a", "m_b")
@@ -252,7 +263,7 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
         test(left.join(right, (F.col("bucket") == F.col("b_bucket")) & (F.col("comp_b") == F.col("b_comp")) & (100 * most >= rule.part * (F.col("n_a") + F.col("n_b") - most))))
 
     # From nodes back to documents: the least id of a component's rows.
-    classes = follow(known.select("digest", F.col("node").alias("comp")), "comp", roots)
+    classes = follow(known_digests, "comp", roots)
     placed = rows.select("doc_id", "n_shingles", "digest").join(classes, "digest", "left")
     least = placed.where("comp is not null").groupBy("comp").agg(F.min(F.coalesce("doc_id", F.lit(-(1 << 63)))).alias("component"))
     out = placed.join(least, "comp", "left")
