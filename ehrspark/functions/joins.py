@@ -2,19 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StringType
 
+# Upper bound (bytes of values) of any side that is broadcast.
+MAX_BROADCAST_BYTES = 512 << 20
 
-def fits_broadcast(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
-    """Persist ``df`` and check whether it holds at most ``max_rows`` rows.
 
-    Persisting first means the check does not cost a second evaluation when
-    the side is then used; the count stops at ``max_rows + 1``.
+def _row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row's values: strings by length, others as 8 each."""
+    sizes = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) if isinstance(f.dataType, StringType) else F.lit(8)
+             for f in df.schema.fields]
+    return sum(sizes, F.lit(0)).cast("long")
+
+
+def fits_broadcast(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """Whether ``df`` holds at most ``max_rows`` rows and ``max_bytes`` bytes.
+
+    Runs a job at once, while the plan is being built; it stops reading at
+    ``max_rows + 1`` rows. Nothing stays cached: the side is evaluated again
+    when it is used, which for the dictionaries, cohort keys and deaths checked
+    here costs less than a cached copy that no one releases.
     """
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = df.limit(max_rows + 1).count()
-    return df, n <= max_rows
+    n, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(_row_bytes(df))).first()
+    return n <= max_rows and (size or 0) <= max_bytes
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
@@ -23,8 +34,7 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     Above the bound the plain DataFrame is returned and the join stays a
     shuffle join (AQE still splits skewed partitions).
     """
-    df, small = fits_broadcast(df, max_rows)
-    return F.broadcast(df) if small else df
+    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
 def bounded_broadcast(df: DataFrame) -> DataFrame:

@@ -224,8 +224,8 @@ def convert_conditions(conditions: DataFrame, converter: DataFrame, strip_dot: b
     back by code (AQE splits a hot code's partition).
     """
     cols = conditions.columns
-    wide, small = fits_broadcast(dictionary_by_key(converter), MAX_BROADCAST_CODES)
-    if small:
+    wide = dictionary_by_key(converter)
+    if fits_broadcast(wide, MAX_BROADCAST_CODES):
         rows = conditions
         keys = candidate_keys(_code_base(F.col(CODE), strip_dot))
         for i, key in enumerate(keys, start=1):

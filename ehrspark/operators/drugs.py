@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.codes import like_family
-from ..functions.joins import bounded_broadcast
+from ..functions.joins import bounded_broadcast, fits_broadcast
 
 CODE = "condition_source_value"
 DRUG = "drug_concept_id"
@@ -26,12 +26,46 @@ T1_FAMILY = "E10"
 
 LINK_KEYS = {"visit": "visit_occurrence_id", "person": "person_id"}
 
+# Upper bound (rows) for broadcasting the cohort's link keys to the drug rows.
+# Above it all drug rows are aggregated and shuffled by their key.
+MAX_BROADCAST_COHORT = 5_000_000
+
 
 def cohort_conditions(conditions: DataFrame, family: str, codes, ignore_case: bool = False) -> DataFrame:
     """Condition rows whose code is ``<family>.[A-Z0-9]…`` or one of ``codes``."""
     return conditions.where(like_family(F.col(CODE), family, ignore_case) | F.col(CODE).isin(list(codes)))
 
 
+def _of_cohort(drugs: DataFrame, cond: DataFrame, key: str, how: str) -> DataFrame:
+    """Drug rows of the cohort's keys, ``cond`` being broadcast.
+
+    Rows without a key go first and the keys are compared null-safely, which is
+    the same but adds no filter to ``cond``: its shuffle stays equal to that of
+    its other use, so the conditions are read and shuffled once.
+    """
+    keyed = drugs.select(F.col(key).alias("_key"), DRUG).where(F.col(key).isNotNull())
+    return keyed.join(F.broadcast(cond), F.col("_key").eqNullSafe(F.col(key)), how)
+
+
+def _weighted(cond: DataFrame, drugs: DataFrame, key: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """(by…, drug, _w): joined rows per cohort key and drug, a key without a drug under the NULL drug.
+
+    ``cond`` holds (key, by…, _n_cond). A cohort of checked size is broadcast,
+    so that only its own drug rows are aggregated and shuffled; both uses of
+    ``cond`` need the same columns, so its shuffle is reused.
+    """
+    if fits_broadcast(cond, MAX_BROADCAST_COHORT):
+        drug = _of_cohort(drugs, cond, key, "inner").groupBy("_key", *by, DRUG).agg(F.sum("_n_cond").alias("_w"))
+        drug = drug.select("_key", *[F.col(c).alias(f"_{c}") for c in by], DRUG, "_w")
+        same = F.col(key) == F.col("_key")
+        for c in by:
+            same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+        return cond.join(drug, same, "left").select(*by, DRUG, F.coalesce("_w", "_n_cond").alias("_w"))
+    drug = drugs.groupBy(key, DRUG).agg(F.count(F.lit(1)).alias("_n_drug"))
+    weight = F.col("_n_cond") * F.coalesce(F.col("_n_drug"), F.lit(1))
+    return cond.join(drug, key, "left").select(*by, DRUG, weight.alias("_w"))
+
+
 def cohort_drug_counts(conditions: DataFrame, drugs: DataFrame, family: str, codes,
                        link: str = "visit", count: str = "rows", k: int = 100,
                        ignore_case: bool = False) -> DataFrame:
@@ -42,25 +76,27 @@ def cohort_drug_counts(conditions: DataFrame, drugs: DataFrame, family: str, cod
     condition without a drug falls in the NULL drug group).
     ``count="rows"`` counts joined rows, ``"patients"`` distinct persons.
 
-    Rows mode never materialises the join: both sides are pre-aggregated per
-    link key — n_cond per key, n_drug per (key, drug) — and the joined row
-    count per drug is Σ n_cond · n_drug (n_drug = 1 for keys without a drug).
-    A person with many conditions and many drugs costs one row per drug.
+    Rows mode never materialises the join: conditions are pre-aggregated per
+    link key, drugs per (key, drug), and the joined row count per drug is
+    Σ n_cond · n_drug (n_drug = 1 for keys without a drug). A person with many
+    conditions and many drugs costs one row per drug. Drug rows are reduced to
+    the cohort's keys first if these can be broadcast.
     """
     key = LINK_KEYS[link]
     cohort = cohort_conditions(conditions, family, codes, ignore_case)
     if count == "rows":
         cond = cohort.groupBy(key).agg(F.count(F.lit(1)).alias("_n_cond"))
-        drug = drugs.groupBy(key, DRUG).agg(F.count(F.lit(1)).alias("_n_drug"))
-        counts = (cond.join(drug, key, "left")
-                  .groupBy(DRUG)
-                  .agg(F.sum(F.col("_n_cond") * F.coalesce(F.col("_n_drug"), F.lit(1))).alias("count")))
+        counts = _weighted(cond, drugs, key).groupBy(DRUG).agg(F.sum("_w").alias("count"))
     elif count == "patients":
         cond = cohort.select(key, "person_id").distinct() if key != "person_id" else \
             cohort.select(key).distinct()
-        drug = drugs.select(key, DRUG).distinct()
-        joined = cond.join(drug, key, "left")
-        counts = joined.groupBy(DRUG).agg(F.countDistinct("person_id").alias("count"))
+        drug = drugs.select(key, DRUG)
+        if fits_broadcast(cond, MAX_BROADCAST_COHORT):
+            drug = _of_cohort(drugs, cond, key, "left_semi").select(F.col("_key").alias(key), DRUG)
+        joined = cond.join(drug.distinct(), key, "left")
+        # A person has one row per drug already if persons are the link.
+        persons = F.count("person_id") if key == "person_id" else F.countDistinct("person_id")
+        counts = joined.groupBy(DRUG).agg(persons.alias("count"))
     else:
         raise ValueError(f"count must be 'rows' or 'patients', not {count!r}")
     return counts.orderBy(F.desc("count"), F.asc_nulls_last(DRUG)).limit(k)
@@ -81,10 +117,7 @@ def cohort_drug_counts_by_group(conditions: DataFrame, drugs: DataFrame, family:
     group: Column = group_of(F.col("person_id")).alias("group")
     cohort = cohort_conditions(conditions, family, codes, ignore_case)
     cond = cohort.groupBy(key, group).agg(F.count(F.lit(1)).alias("_n_cond"))
-    drug = drugs.groupBy(key, DRUG).agg(F.count(F.lit(1)).alias("_n_drug"))
-    counts = (cond.join(drug, key, "left")
-              .groupBy("group", DRUG)
-              .agg(F.sum(F.col("_n_cond") * F.coalesce(F.col("_n_drug"), F.lit(1))).alias("count")))
+    counts = _weighted(cond, drugs, key, ("group",)).groupBy("group", DRUG).agg(F.sum("_w").alias("count"))
     w = Window.partitionBy("group").orderBy(F.desc("count"), F.asc_nulls_last(DRUG))
     return counts.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= k).drop("_rank")
 

@@ -5,9 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.dates import days_between
+from ..functions.joins import fits_broadcast
 
 PID = "person_id"
 
+# Upper bound (rows) for broadcasting the recorded deaths; above it the visits
+# are joined by shuffle, one row per day of a person.
+MAX_BROADCAST_DEATHS = 5_000_000
+
 
 def prediction_dates(visit: DataFrame, death: DataFrame, horizon: int = 180, order: str = "earliest",
                      min_days: int | None = None) -> DataFrame:
@@ -18,24 +23,27 @@ def prediction_dates(visit: DataFrame, death: DataFrame, horizon: int = 180, ord
     the prediction date is the earliest such visit (``order="latest"``: the
     latest). Everyone else with a visit is negative (0.0) at their last visit.
 
-    Visits are first reduced to distinct (person, date) pairs: a person's rows
-    spread over the shuffle by date, and the join with deaths sees at most one
-    row per calendar day of a person, however skewed the visit table is.
+    All visits are shuffled once, as one partially aggregated maximum per
+    person. The hits come from an inner join, so only visits of persons with a
+    death go on: found by broadcast when the deaths are few (checked), else
+    from distinct (person, date) pairs, which spread a skewed person's rows
+    over the shuffle by date.
     """
-    days = (visit.select(PID, "visit_start_date").where(F.col(PID).isNotNull()).distinct())
+    days = visit.select(PID, "visit_start_date").where(F.col(PID).isNotNull())
     deaths = death.select(PID, "death_date").where(F.col(PID).isNotNull()).distinct()
+    if fits_broadcast(deaths, MAX_BROADCAST_DEATHS):
+        deaths = F.broadcast(deaths)
+    else:
+        days = days.distinct()
     gap = days_between(F.col("death_date"), F.col("visit_start_date"))
     qualifies = gap <= horizon
     if min_days is not None:
         qualifies = qualifies & (gap >= min_days)
-    hit = F.when(qualifies, F.col("visit_start_date"))
-    pick = F.min(hit) if order == "earliest" else F.max(hit)
-    per_person = (days.join(deaths, PID, "left")
-                  .groupBy(PID)
-                  .agg(pick.alias("_pos"), F.max("visit_start_date").alias("_last")))
-    return per_person.select(
+    pick = F.min("visit_start_date") if order == "earliest" else F.max("visit_start_date")
+    hits = days.join(deaths, PID).where(qualifies).groupBy(PID).agg(pick.alias("_pos"))
+    return last_visits(visit).join(hits, PID, "left").select(
         PID,
-        F.coalesce("_pos", "_last").alias("prediction_date"),
+        F.coalesce("_pos", "last_visit_date").alias("prediction_date"),
         F.when(F.col("_pos").isNotNull(), 1.0).otherwise(0.0).alias("death"))
 
 

@@ -4,7 +4,7 @@ import pytest
 
 from conftest import SF_SMALL
 from ehrspark.plans.catalog import QUERIES
-from ehrspark.plans.inspect import summarise
+from ehrspark.plans.inspect import plan_nodes, summarise
 
 # query -> expected number of lineitem scans (the condition / drug / procedure rows)
 FACT_SCANS = {
@@ -31,3 +31,24 @@ def test_row_conversion_never_shuffles_fact_rows(spark):
     s = summarise(QUERIES["converted_conditions"](spark, SF_SMALL))
     spark.catalog.clearCache()
     assert s["sort_merge_joins"] == 0 and s["broadcast_joins"] >= 6, s
+
+
+def test_cached_relations_are_counted(spark):
+    """The demographic features are cached; the conditions joined to them and the visits below them both show."""
+    s = summarise(QUERIES["condition_flags"](spark, SF_SMALL))
+    spark.catalog.clearCache()
+    assert s["cached"] > 0 and s["scans"]["lineitem"] == 1 and s["scans"]["orders"] >= 3, s
+
+
+def test_drug_rows_are_reduced_to_the_cohort_before_they_are_aggregated(spark):
+    df = QUERIES["drugs_by_person"](spark, SF_SMALL)
+    s = summarise(df)
+    assert s["scans"]["lineitem"] == 2 and s["reused"] >= 1 and s["sort_merge_joins"] == 0, s
+    kinds = [kind for kind, text in plan_nodes(df) if kind.endswith("JoinExec") or kind == "HashAggregateExec"]
+    # From the top: the drug aggregates stand above the join with the broadcast cohort.
+    assert kinds.index("BroadcastHashJoinExec") > kinds.index("HashAggregateExec")
+
+
+def test_one_dictionary_broadcast_for_the_row_conversion(spark):
+    s = summarise(QUERIES["converted_conditions"](spark, SF_SMALL))
+    assert s["reused"] >= 4, s

@@ -51,3 +51,27 @@ def test_person_linked_drug_counts_with_a_hot_person(spark):
     want = joined.groupby("drug", dropna=False).size().to_dict()
     want = {(None if pd.isna(k) else int(k)): int(v) for k, v in want.items()}
     assert got == want and sum(got.values()) == len(joined)
+
+
+def test_both_sides_of_the_broadcast_bounds_agree(spark, monkeypatch):
+    """Deaths and cohort keys above their bounds go by shuffle, with the same rows; null keys included."""
+    visits = _hot_visits(spark) + [(9001, None, D(2001, 1, 1))]
+    deaths = [(1, D(2002, 6, 1)), (1, D(2002, 7, 1)), (5, D(2001, 3, 1)), (None, D(2001, 1, 1)), (999, D(2001, 1, 1))]
+    v = spark.createDataFrame(visits, "visit_occurrence_id long, person_id long, visit_start_date date")
+    d = spark.createDataFrame(deaths, "person_id long, death_date date")
+    cond = [(1, i, "E10.1") for i in range(50)] + [(p, 10_000 + p, "E10.2") for p in range(2, 20)] + [(None, None, "E10.3"), (None, 7, "E10.3"), (3, None, "E10.4")]
+    drug = [(1, i, i % 7) for i in range(40)] + [(p, 10_000 + p, p % 5) for p in range(2, 15)] + [(None, None, 3), (2, 7, None), (None, 10_005, 4)]
+    c = spark.createDataFrame(cond, "person_id long, visit_occurrence_id long, condition_source_value string")
+    g = spark.createDataFrame(drug, "person_id long, visit_occurrence_id long, drug_concept_id long")
+
+    def results():
+        out = [labels.prediction_dates(v, d, order=order, min_days=m) for order in ("earliest", "latest") for m in (None, 30)]
+        for link in ("visit", "person"):
+            out += [drugs.cohort_drug_counts(c, g, "E10", (), link=link, count=count, k=1000) for count in ("rows", "patients")]
+            out.append(drugs.cohort_drug_counts_by_group(c, g, "E10", (), lambda p: p % 2 == 0, link=link, k=1000))
+        return [sorted(map(str, df.collect())) for df in out]
+
+    small = results()
+    monkeypatch.setattr(labels, "MAX_BROADCAST_DEATHS", 0)
+    monkeypatch.setattr(drugs, "MAX_BROADCAST_COHORT", 0)
+    assert results() == small and all(small)
