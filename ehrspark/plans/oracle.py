@@ -321,6 +321,9 @@ FROM person GROUP BY race_concept_id""",
     "complete_rows": DATES_SQL + "," + _demo_sql("demo", "pdates", "prediction_date", True) + f"""
 SELECT death, {_r("scaled_age")} AS scaled_age, g_8532, r_8516, r_8515, r_8527, r_8557, r_8657 FROM demo
 WHERE death IS NOT NULL AND scaled_age IS NOT NULL""",
+    # The output contract: one probability for each person with a visit.
+    "prediction_violations": LAST_SQL + """
+SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_missing, CAST(0 AS BIGINT) AS n_out_of_range FROM lastv""",
 }
 
 
