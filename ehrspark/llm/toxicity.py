@@ -2,7 +2,8 @@
 
 A document is a bag of sentences. A sentence scores sigmoid(w.x + b) on its
 hashed words and word beginnings, the document by noisy-or of its sentences:
-1 - prod(1 - p). Only documents are labelled; gradients of their likelihood
+1 - prod(1 - p). A sentence without a telling feature counts 0 there, and any
+other by what it scores above a floor, so that length alone adds nothing. Only documents are labelled; gradients of their likelihood
 reach the sentences through the noisy-or, so the sentences that explain the
 labels are found on the way. Gradients are summed by Spark over all labelled
 documents; weights and gradients are vectors of a fixed number of buckets.
@@ -24,6 +25,7 @@ from .common import slices, summed
 
 BUCKETS = 1 << 18
 STEM = 5  # letters of a word that count as its beginning
+FLOOR = 0.02  # a sentence up to here is an ordinary one
 PARTS = re.compile(r"[^\W\d_]+|[.!?\n]")
 SENTENCE = re.compile(r"[^.!?\n]*[^\W\d_][^.!?\n]*[.!?]*")
 KNOWN: dict[str, tuple[int, int]] = {}
@@ -57,13 +59,14 @@ def sentences(text: str) -> tuple[list[int], list[int]]:
     return ids, starts
 
 
-def forward(w: np.ndarray, bias: float, ids: np.ndarray, starts: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sentence scores, and for each document log(prod(1 - p)); ``docs``: where each one's sentences begin, and the end."""
+def forward(w: np.ndarray, bias: float, ids: np.ndarray, starts: np.ndarray, docs: np.ndarray, floor: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+    """Sentence scores above ``floor``, and for each document log(prod(1 - p)); ``docs``: where each one's sentences begin, and the end."""
     z = np.add.reduceat(w[ids], starts) + bias if len(starts) else np.zeros(0)
     p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+    p = (p - floor) / (1 - floor)  # below 0 for an ordinary sentence
     some = np.flatnonzero(np.diff(docs))
-    clean = np.full(len(docs) - 1, np.log1p(-1 / (1 + np.exp(-bias))))  # no sentence: one without words
-    clean[some] = np.add.reduceat(np.log1p(-p), docs[some]) if len(some) else 0
+    clean = np.zeros(len(docs) - 1)
+    clean[some] = np.add.reduceat(np.log1p(-np.maximum(p, 0)), docs[some]) if len(some) else 0
     return p, clean
 
 
@@ -71,6 +74,12 @@ def forward(w: np.ndarray, bias: float, ids: np.ndarray, starts: np.ndarray, doc
 class Model:
     weights: np.ndarray
     bias: float
+    learnt: bool = True  # from both labels
+
+    @property
+    def floor(self) -> float:
+        """At least what a sentence without a telling feature scores."""
+        return max(FLOOR, float(1 / (1 + np.exp(-self.bias))))
 
 
 def encode(docs: DataFrame) -> DataFrame:
@@ -93,15 +102,18 @@ def bags(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
             np.cumsum([0, *map(len, starts)]))
 
 
-def fit(docs: DataFrame, train: Column, steps: int = 15, rate: float = 0.5, penalty: float = 0.02, trust: float = 10.0, calm: float = 10.0, bias: float = -8.0) -> Model:
+def fit(docs: DataFrame, train: Column, steps: int = 40, rate: float = 0.5, penalty: float = 0.02, trust: float = 10.0, calm: float = 10.0, bias: float = -8.0, length: float = 10.0) -> Model:
     """Learn from all rows where ``train`` holds and ``toxic`` is 0 or 1 (others are left out).
 
     Weights start from the log-odds of documents with the feature, drawn
     towards 0 by ``trust`` documents. Features that speak for label 1 by more
     than a unit, in enough of its documents, then go ``steps`` full gradient
     steps, scaled for each by its past gradients (Adagrad from ``calm``); all
-    others stay at 0, so that no document is learnt by its rare words. Without
-    both labels every text scores about the one there is, or 0.5 without any.
+    others stay at 0, so that no document is learnt by its rare words. Only
+    sentences with such a feature take part, and a document of label 0 counts
+    as ``length`` of its kind in a row, as a clean text can be much longer than
+    those with a label. Without both labels (``learnt`` is false) every text
+    scores the one there is, or 0.5 without any.
     """
     rows = materialize(encode(docs.where(train & F.col("toxic").isin(0, 1))), "bags")
 
@@ -119,12 +131,27 @@ def fit(docs: DataFrame, train: Column, steps: int = 15, rate: float = 0.5, pena
     counts = summed(rows, "ids", seen, 2 * BUCKETS + 2)
     n = counts[2 * BUCKETS :]
     if not n.all():
-        return Model(np.zeros(BUCKETS), 0.0 if not n.any() else (-30.0, 30.0)[int(n[1] > 0)])
+        return Model(np.zeros(BUCKETS), 0.0 if not n.any() else (-30.0, 30.0)[int(n[1] > 0)], False)
     a, b = counts[BUCKETS : 2 * BUCKETS], counts[:BUCKETS]
     w = np.where(a + b > 0, np.log((a + 1) / (n[1] + 2)) - np.log((b + 1) / (n[0] + 2)), 0.0)
     w *= (a + b) / (a + b + trust)  # words of few documents tell little
     telling = (w > 1) & (a >= np.clip(n[1] / 50, 2, 20))
     w = np.where(telling, w, 0.0)
+    spoken = docs.sparkSession.sparkContext.broadcast(telling)
+
+    def telling_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Bags of the sentences with a telling feature, and of those features alone."""
+        for batch in batches:
+            out = []
+            for y, ids, starts in zip(*(batch.column(c).to_pylist() for c in ("toxic", "ids", "starts"))):
+                ids, starts = np.frombuffer(ids, "<u4"), np.frombuffer(starts, "<u4")
+                at = np.flatnonzero(spoken.value[ids])
+                if len(at):
+                    first = np.flatnonzero(np.diff(np.searchsorted(starts, at, "right"), prepend=0))
+                    out.append((y, ids[at].tobytes(), first.astype("<u4").tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else ((), (), ()), (pa.int32(), pa.binary(), pa.binary()))], ["toxic", "ids", "starts"])
+
+    few = materialize(rows.mapInArrow(telling_only, "toxic int, ids binary, starts binary"), "telling")
     past = np.full(BUCKETS + 1, calm)
     for _ in range(steps):
         shared = docs.sparkSession.sparkContext.broadcast((w, bias))
@@ -135,12 +162,12 @@ def fit(docs: DataFrame, train: Column, steps: int = 15, rate: float = 0.5, pena
             p, clean = forward(w_, b_, ids, starts, at)
             toxic = -np.expm1(clean)
             # The likelihood's slope by a sentence's z is p (1 - P) / P for label 1, -p for label 0.
-            factor = np.where(y > 0, np.exp(clean) / np.maximum(toxic, 1e-9), -1.0)
+            factor = np.where(y > 0, np.exp(clean) / np.maximum(toxic, 1e-9), -length)
             g = p * np.repeat(factor, np.diff(at))
             n_words = np.diff(np.append(starts, len(ids)))
             return np.append(np.bincount(ids, np.repeat(g, n_words), BUCKETS), g.sum())
 
-        g = summed(rows, "ids", slope, BUCKETS + 1)
+        g = summed(few, "ids", slope, BUCKETS + 1)
         g[:-1] = np.where(telling, g[:-1] - penalty * w, 0.0)
         past += g * g
         move = rate * g / np.sqrt(past)
@@ -155,8 +182,9 @@ def score(docs: DataFrame, model: Model, spans: bool = False) -> DataFrame:
     there is none); with ``spans`` also offending: start, end (code points) and
     score of each sentence that alone scores 0.5 or more.
 
-    ``docs`` must have a string column ``text``; a null or empty text scores as
-    one sentence without words.
+    Sentence scores are those above the model's floor. ``docs`` must have a
+    string column ``text``; one without a sentence, or without a telling
+    feature, scores 0. A model without both labels scores each text alike.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
@@ -169,12 +197,12 @@ def score(docs: DataFrame, model: Model, spans: bool = False) -> DataFrame:
             toxic, count, worst, found = [], [], [], []
             for t in texts:
                 ids, starts = sentences(t)
-                p, clean = forward(m.weights, m.bias, np.array(ids, np.int64), np.array(starts, np.int64), np.array([0, len(starts)]))
-                toxic.append(float(-np.expm1(clean[0])))
+                p, clean = forward(m.weights, m.bias, np.array(ids, np.int64), np.array(starts, np.int64), np.array([0, len(starts)]), m.floor if m.learnt else 0.0)
+                toxic.append(float(-np.expm1(clean[0]) if m.learnt else 1 / (1 + np.exp(-m.bias))))
                 count.append(len(p))
                 worst.append(int(p.argmax()) if len(p) else None)
                 if spans:
-                    places = [x.span() for x in SENTENCE.finditer(t)] if p.size and p.max() >= 0.5 else []
+                    places = [x.span() for x in SENTENCE.finditer(t)] if m.learnt and p.size and p.max() >= 0.5 else []
                     found.append([{"start": s, "end": e, "score": float(v)} for (s, e), v in zip(places, p) if v >= 0.5])
             more = [pa.array(toxic, pa.float64()), pa.array([int(x >= 0.5) for x in toxic], pa.int32()), pa.array(count, pa.int32()), pa.array(worst, pa.int32())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *more, *([pa.array(found, kind)] if spans else [])],

@@ -284,3 +284,24 @@ def test_toxicity_finds_the_sentence(spark, frame):
     assert len(edge) == len(EDGE) and all(0 <= r.score <= 1 for r in edge)
     nothing = toxicity.fit(df.limit(0), F.lit(True))
     assert {round(r.score, 3) for r in toxicity.score(df.limit(3).select("text").limit(0), nothing).collect()} == set()
+
+
+def test_toxicity_of_a_long_clean_text(spark):
+    """Of 20,000 sentences none alone is telling, one in a hundred has a word that toxic texts prefer."""
+    rng = np.random.default_rng(6)
+    plain = [f"w{k}" for k in range(300)]
+
+    def text(toxic, n):
+        some = [" ".join(rng.choice(plain, 8)) + (" mild." if rng.random() < 0.01 else ".") for _ in range(n)]
+        if toxic:
+            some.insert(rng.integers(0, n + 1), rng.choice(["you vilex mild thing!", "you grumpf thing!"]))
+        return " ".join(some)
+
+    made = [(k, text(k % 4 == 0, rng.integers(1, 12)), int(k % 4 == 0)) for k in range(800)]
+    model = toxicity.fit(spark.createDataFrame(made, "doc_id long, text string, toxic int"), F.lit(True))
+    neutral = " ".join("w1 w2 w3." for _ in range(20_000))
+    long = [(0, neutral), (1, text(0, 20_000)), (2, neutral + " you grumpf thing! " + neutral)]
+    got = {r.doc_id: r for r in toxicity.score(spark.createDataFrame(long, "doc_id long, text string"), model).collect()}
+    assert got[0].score == 0 and got[0].n_sentences == 20_000
+    assert got[1].predicted == 0 and got[1].score < 0.5
+    assert got[2].predicted == 1 and got[2].worst == 20_000
