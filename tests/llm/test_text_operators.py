@@ -305,3 +305,23 @@ def test_toxicity_of_a_long_clean_text(spark):
     assert got[0].score == 0 and got[0].n_sentences == 20_000
     assert got[1].predicted == 0 and got[1].score < 0.5
     assert got[2].predicted == 1 and got[2].worst == 20_000
+
+
+def test_licenses_by_their_bodies(frame):
+    """Paragraphs without the opening sentence or notice, wrapped as comments, and prose that is no license."""
+    mit = "THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+    apache = "Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license to reproduce, prepare Derivative Works of, publicly display, publicly perform, sublicense, and distribute the Work and such Derivative Works in Source or Object form."
+    bsd = "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+    isc = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."
+    unlicense = "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."
+    gpl = "You may convey verbatim copies of the Program's source code as you receive it, in any medium, provided that you conspicuously and appropriately publish on each copy an appropriate copyright notice; keep intact all notices stating that this License and any non-permissive terms added in accord with section 7 apply to the code; keep intact all notices of the absence of any warranty; and give all recipients a copy of this License along with the Program."
+    prose = "You may use the software of the library for any purpose, and the terms of the contract apply to the work in the form of a copy of the text."
+    texts = [mit, apache, bsd, isc, unlicense, gpl, prose, "Licensed under the GNU Lesser General Public License.", "Licensed under CC BY 4.0."]
+    got = {r.doc_id: set(r.labels.split(",")) for r in licenses.scan(frame([(i, "some words\n# " + t.replace(", ", ",\n# ") + "\nmore words", None, None) for i, t in enumerate(texts)])).collect()}
+    assert "mit" in got[0] and "apache-2.0" in got[1] and any("bsd-2-clause" in x for x in got[2])
+    assert "isc" in got[3] and "unlicense" in got[4] and "agpl-3.0|gpl-3.0" in got[5] and got[6] == {""}
+    assert "lgpl" in got[7] and got[8] == {"cc-by"}
+    whole = (licenses.Path(licenses.__file__).parent / "license_texts")
+    files = sorted(whole.glob("*.txt"))
+    all_ = {r.doc_id: r.labels for r in licenses.scan(frame([(i, f.read_text(), None, None) for i, f in enumerate(files)])).collect()}
+    assert all(f.stem in all_[i].replace("|", ",").split(",") for i, f in enumerate(files))
