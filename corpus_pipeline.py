@@ -25,14 +25,20 @@ def kept(docs: DataFrame, judge: Callable[[DataFrame], DataFrame], good: Column)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Language ID, learnt from the documents' own lang. Texts without a language (null, or no letter) go."""
+    """Language ID, learnt from the documents' own lang. Texts without a language (null, or no letter) go, and only
+    they, also if no document to learn from has a lang."""
     model = langid.fit(docs, bucket_of(F.col("doc_id")) != 0)
-    return kept(docs, lambda d: langid.predict(d, model), F.col("lang_pred") != "und")
+    return kept(docs, lambda d: langid.predict(d, model, counted=True), F.col("lang_pred") != "und" if model.languages else F.col("n_grams") > 0)
 
 
 def harmless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Toxicity, learnt from the labels of these documents. Those that score 0.5 or more go."""
+    """Toxicity, learnt from the labels of these documents. Those that score 0.5 or more go.
+
+    Where the labels to learn from don't hold both 0 and 1 nothing can be judged and every document stays.
+    """
     model = toxicity.fit(queries.labelled(docs, table(spark, sf_dir, "labels")), bucket_of(F.col("doc_id")) != 0)
+    if not model.learnt:
+        return docs
     return kept(docs, lambda d: toxicity.score(d, model), F.col("predicted") == 0)
 
 

@@ -133,8 +133,9 @@ def fit(docs: DataFrame, train: Column, smoothing: float = 0.5, max_languages: i
 COUNTS = pa.schema([("lang", pa.string()), ("chunk", pa.int32()), ("docs", pa.int64()), ("counts", pa.binary())])
 
 
-def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """Every column of ``docs`` that is asked for, with lang_pred and score.
+def predict(docs: DataFrame, model: Model, counted: bool = False) -> DataFrame:
+    """Every column of ``docs`` that is asked for, with lang_pred and score; with
+    ``counted`` also n_grams, which is 0 for a text that is null or has no letter.
 
     ``docs`` must have a string column ``text``. A text that is null or has no
     letter is ``und`` with score 0, as is every text if no language was learnt;
@@ -161,6 +162,6 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
                 logs = logs[some] / ORDERS + m.prior
                 label[some] = np.array(m.languages, object)[logs.argmax(1)]
                 score[some] = 1 / np.exp(logs - logs.max(1, keepdims=True)).sum(1)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(label, pa.string()), pa.array(score)], [*batch.schema.names, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(label, pa.string()), pa.array(score), *[pa.array(n_grams)] * counted], [*batch.schema.names, "lang_pred", "score", *["n_grams"] * counted])
 
-    return docs.mapInArrow(run, f"{fields}, lang_pred string, score double")
+    return docs.mapInArrow(run, f"{fields}, lang_pred string, score double" + ", n_grams long" * counted)

@@ -90,6 +90,25 @@ def test_pipeline_stages(spark):
     assert last.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 2048").count() == 0
 
 
+def test_pipeline_keeps_what_it_cannot_judge(spark, tmp_path):
+    """No lang to learn from; no label, none that matches, or labels of one kind."""
+    import corpus_pipeline
+    from ehrspark.llm.common import table
+
+    docs = table(spark, SF_SMALL, "documents").limit(60)
+    bad = docs.limit(2).withColumn("doc_id", F.col("doc_id") + 10_000_000).withColumn("text", F.when(F.col("doc_id") % 2 == 0, F.lit("12 !")))
+    docs = corpus_pipeline.materialize(docs.unionByName(bad), "test-no-judge")
+    letters = docs.where(F.col("text").rlike(r"\p{L}")).count()
+    none = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert 0 < letters == docs.count() - 2 == corpus_pipeline.language(spark, none, SF_SMALL).count()
+    ids = docs.select("doc_id")
+    one = lambda d, toxic: d.select("doc_id", F.lit(1).alias("quality"), F.lit(toxic).cast("int").alias("toxic"))
+    for k, labels in enumerate((one(ids.limit(0), 0), one(ids.withColumn("doc_id", -F.col("doc_id") - 1), 1), one(ids, 1), one(ids, 0), one(ids, None))):
+        labels.write.parquet(f"{tmp_path}/{k}/labels.parquet")
+        out = corpus_pipeline.harmless(spark, docs, f"{tmp_path}/{k}")
+        assert out.columns == docs.columns and out.count() == docs.count()
+
+
 def test_registered():
     import __spark_entry__ as e
     names = set(e.queries())
