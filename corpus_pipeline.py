@@ -64,8 +64,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Best-fit packing into sequences of 2048 tokens."""
-    return packing.pack(docs, queries.BYTE_BPE)
+    """Best-fit packing into sequences of 2048 tokens: pieces with their ids, of which ``packing.sequences`` makes the sequences."""
+    return packing.pack(docs, queries.BYTE_BPE, keep_ids=True)
 
 
 STAGES = [("language_id", language), ("toxicity", harmless), ("near_duplicates", distinct), ("mixing", mixture), ("packing", packed)]

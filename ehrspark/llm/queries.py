@@ -39,7 +39,8 @@ def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), BYTE_BPE)
+    placed = packing.pack(table(spark, sf_dir, "documents"), BYTE_BPE, keep_ids=True)
+    return placed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:

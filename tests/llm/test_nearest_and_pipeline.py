@@ -109,6 +109,18 @@ def test_pipeline_keeps_what_it_cannot_judge(spark, tmp_path):
         assert out.columns == docs.columns and out.count() == docs.count()
 
 
+def test_pipeline_result_holds_the_sequences(spark):
+    import corpus_pipeline
+    from ehrspark.llm import packing
+    from ehrspark.llm.common import table
+
+    docs = table(spark, SF_SMALL, "documents").limit(20)
+    last = corpus_pipeline.materialize(corpus_pipeline.packed(spark, docs.unionByName(docs), SF_SMALL), "test-packed")
+    sizes = {r.sequence_id: r.n for r in last.groupBy("sequence_id").agg(F.sum("length").alias("n")).collect()}
+    assert {r.sequence_id: len(r.ids) // 4 for r in packing.sequences(last).collect()} == sizes
+    assert last.where(F.crc32("ids") != F.col("ids_crc32")).count() == 0
+
+
 def test_registered():
     import __spark_entry__ as e
     names = set(e.queries())
