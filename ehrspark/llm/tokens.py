@@ -41,8 +41,8 @@ def small(text: str) -> str:
 class ChunkEncoder:
     """``tokenizers`` with a bounded memory of the chunks it has met.
 
-    ``kind`` names the chunk rule that suits the vocabulary. Special tokens'
-    strings in a text are ordinary text. At most ``keep`` chunks of up to
+    ``kind`` names the chunk rule that suits the vocabulary. A text that holds
+    the string of an added token is encoded whole. At most ``keep`` chunks of up to
     ``longest`` characters are remembered.
     """
 
@@ -51,7 +51,8 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)", re.IGNORECASE)
         self.chunks, self.keep, self.longest = CHUNKS[kind], keep, longest
         self.known: dict[str, bytes] = {}
         self.lower = kind == "word"  # this vocabulary has no upper case
@@ -78,6 +79,9 @@ class ChunkEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
+        whole = [i for i, t in enumerate(texts) if self.added.search(t)]
+        special = {i: array("I", e.ids).tobytes() for i, e in zip(whole, self.tokenizer.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False))}
+        texts = ["" if i in special else t for i, t in enumerate(texts)]
         if self.lower:
             texts = [small(t) for t in texts]
         cut = [self.chunks.findall(t) for t in texts]
@@ -92,7 +96,7 @@ class ChunkEncoder:
             known = self.known = dict(islice(known.items(), self.keep // 2))
         known.update((c, here[c]) for c in new if len(c) <= self.longest)
         get = here.__getitem__
-        return [b"".join(map(get, chunks)) for chunks in cut]
+        return [special[i] if i in special else b"".join(map(get, chunks)) for i, chunks in enumerate(cut)]
 
 
 @cache

@@ -45,6 +45,15 @@ def test_chunks_encode_as_the_whole_text(rows, kind, name):
         assert got == [enc.tokenizer.encode(t, add_special_tokens=False).ids for t in some]
 
 
+@pytest.mark.parametrize("kind,name", [("word", "word_bpe_49k.json"), ("byte", "byte_bpe_50k.json")])
+def test_added_tokens_encode_as_the_library_does(kind, name):
+    path = public_tokenizers.path(name)
+    texts = ["hello <|endoftext|> world", "plain words, here", "<|endoftext|>", "a<|ENDOFTEXT|>b  <|startoftext|>\nC é", "<|endoftext", "", "x <|endoftext|><|endoftext|> y"]
+    want = [Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(b, "<u4").tolist() for b in tokens.ChunkEncoder(path, kind).encode(texts)] == want
+    assert (49407 if kind == "word" else 50256) in want[0]
+
+
 def test_rans_blocks_round_trip():
     rng = np.random.default_rng(0)
     blocks = [(rng.zipf(1.4, n) % 50_000).astype("<u4") for n in (1, 5, 31, 32, 33, 4096, 4097, 16_384)]
