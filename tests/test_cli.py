@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from fixture_paths import SF_SMALL
 from ehrspark import cli
 from ehrspark.operators import codes
 from ehrspark.sources.fixtures import OmopData

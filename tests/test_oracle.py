@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SF_SMALL
+from fixture_paths import SF_SMALL
 from ehrspark.plans.catalog import QUERIES
 from ehrspark.plans.oracle import ORACLES
 from ehrspark.plans.verify import compare, duck_connection

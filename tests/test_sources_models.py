@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import REFERENCE, SF_SMALL
+from fixture_paths import REFERENCE, SF_SMALL
 from ehrspark.operators import features, labels, models
 from ehrspark.plans import catalog
 from ehrspark.sources import files, jdbc, sinks

@@ -2,7 +2,7 @@
 
 import uuid
 
-from conftest import SF_SMALL
+from fixture_paths import SF_SMALL
 from ehrspark.operators import cohort, labels
 from ehrspark.sources.fixtures import OmopData
 from ehrspark.sources.store import load_tables, store_bucketed

@@ -2,7 +2,7 @@
 
 import uuid
 
-from conftest import SF_SMALL
+from fixture_paths import SF_SMALL
 from ehrspark.operators import codes
 from ehrspark.sources.fixtures import OmopData
 from ehrspark.streaming.chunked import condition_count_stream, run_to_table
