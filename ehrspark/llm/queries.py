@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.joins import broadcast_if_small
 from ..session import scratch_path
-from . import blockmatrix, hmm, imatch, langid, licenses, mixing, neardup, packing, rans, toxicity
+from . import blockmatrix, guesses, hmm, imatch, langid, licenses, mixing, neardup, packing, rans, squares, toxicity, turns
 from .common import bucket_of, table
 
 WORD_BPE, BYTE_BPE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
@@ -71,7 +71,31 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(asked, model, spans=True).drop("text")
 
 
-QUERIES = {f.__name__: f for f in (op1_hmm_scores, op2_rans_tokens, op3_near_duplicates, op4_imatch, op5_nearest, op6_packing, op7_language, op8_mixing, op9_licenses, op10_toxicity)}
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = squares.runs(table(spark, sf_dir, "documents"), 12, squares.repeating)
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"), F.col("best.length").alias("length"), (-F.col("best.period")).alias("period"),
+        F.expr("1000 * best.length div -best.period").alias("exponent_milli"), F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op12_guess_cost_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = guesses.scan(table(spark, sf_dir, "documents"), WORD_BPE)
+    of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = F.filter("spans", lambda s: s["kind"] != "guess")
+    costs = F.transform("spans", lambda s: s["cost"]).alias("costs")
+    return found.select("doc_id", of("assign"), of("access"), of("hex"), F.sha2(joined(base), 256).alias("base_sha256"), joined("spans").alias("spans"), of("guess"), costs)
+
+
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fixed = turns.repair(turns.damaged(table(spark, sf_dir, "conversations")))
+    return fixed.withColumn("repaired_sha256", F.sha2("repaired", 256)).drop("repaired")
+
+
+QUERIES = {f.__name__: f for f in (op1_hmm_scores, op2_rans_tokens, op3_near_duplicates, op4_imatch, op5_nearest, op6_packing, op7_language, op8_mixing, op9_licenses, op10_toxicity,
+                                   op11_periodic_runs, op12_guess_cost_secrets, op13_turn_repair)}
 
 ORACLES = {
     "op3_near_duplicates": r"""
