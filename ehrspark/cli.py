@@ -7,7 +7,7 @@
     python -m ehrspark.cli drugs       --omop DIR --concept FILE --out DIR
     python -m ehrspark.cli compare     --real DIR --synthetic DIR --out DIR [--real-drugs F --synthetic-drugs F]
     python -m ehrspark.cli train       --model demographic|five|concepts --omop DIR --model-dir DIR
-                                       [--concept-sets DIR]
+                                       [--concept-sets DIR] [--fit-on rows|train]
     python -m ehrspark.cli infer       --model demographic|five|concepts --omop DIR --model-dir DIR --out DIR
                                        [--concept-sets DIR]
 
@@ -115,13 +115,11 @@ def cmd_compare(spark, a):
         print("overlap rate:", drugs.overlap_rate(ov, a.k).first()[0])
 
 
-def _features(spark, a, d: OmopData, train: bool) -> DataFrame:
-    if train:
-        dates = labels.prediction_dates(d.visit_occurrence, d.death)
-        demo = features.demographic_features(dates, d.person, how="inner" if a.model == "five" else "left")
-    else:
-        demo = features.demographic_features(labels.last_visits(d.visit_occurrence), d.person,
-                                             date_col="last_visit_date")
+def _features(spark, a, d: OmopData, train: bool, raw_age: bool = False) -> DataFrame:
+    how = "inner" if train and a.model == "five" else "left"
+    dates, date_col = ((labels.prediction_dates(d.visit_occurrence, d.death), "prediction_date") if train else
+                       (labels.last_visits(d.visit_occurrence), "last_visit_date"))
+    demo = features.demographic_features(dates, d.person, date_col, how, raw_age=raw_age)
     if a.model == "five":
         return features.condition_flags(demo, d.condition_occurrence, _concept_sets(spark, a.concept_sets))
     return demo.na.drop(how="any") if train else demo
@@ -129,6 +127,7 @@ def _features(spark, a, d: OmopData, train: bool) -> DataFrame:
 
 def cmd_train(spark, a):
     d = _omop(spark, a.omop, a.format)
+    own_scaler = a.fit_on == "train" and a.model != "concepts"
     if a.model == "concepts":
         ev = materialize(features.event_concepts(d.condition_occurrence, d.drug_exposure,
                                                  d.procedure_occurrence), "events")
@@ -138,13 +137,24 @@ def cmd_train(spark, a):
         label = labels.prediction_dates(d.visit_occurrence, d.death).select("person_id", "death")
         train = vectors.join(label, "person_id", "left").na.fill(0.0, ["death"])
         model = models.train_logistic(train, None, "l1", 1.0, max_iter=10000)
-    elif a.model == "five":
-        model = models.train_logistic(_features(spark, a, d, True), features.FIVE_DISEASE_COLUMNS, "l2", 1.0,
-                                      max_iter=1500)
     else:
-        model, c, acc = models.train_logistic_cv(_features(spark, a, d, True), features.DEMOGRAPHIC_COLUMNS,
-                                                 "l2", 10, 20, max_iter=100)
-        print(f"best C={c:g} cross-validated accuracy={acc:.4f}")
+        train = _features(spark, a, d, True, raw_age=own_scaler)
+        if own_scaler:
+            train = materialize(train, "train")     # read for the ages' bounds, then for the fits
+            scaler = models.age_scaler(train)
+            train = scaler.transform(train)
+        if a.model == "five":
+            model = models.train_logistic(train, features.FIVE_DISEASE_COLUMNS, "l2", 1.0, max_iter=1500)
+        else:
+            train = materialize(train, "train")     # read by the grid and by the cross-validation
+            grid = models.grid_search(train, features.DEMOGRAPHIC_COLUMNS)
+            sinks.write_csv(grid, os.path.join(a.model_dir, "grid"), single_file=True)     # eight rows
+            best = grid.orderBy(F.desc("accuracy"), "max_iter", "penalty").first()
+            print(f"grid: max_iter={best.max_iter} penalty={best.penalty} accuracy={best.accuracy:.4f}")
+            model, c, acc = models.train_logistic_cv(train, features.DEMOGRAPHIC_COLUMNS, "l2", 10, 20, max_iter=100)
+            print(f"best C={c:g} cross-validated accuracy={acc:.4f}")
+        if own_scaler:
+            model = models.with_scaler(scaler, model)
     models.save_model(model, os.path.join(a.model_dir, a.model))
 
 
@@ -157,7 +167,8 @@ def cmd_infer(spark, a):
         vectors, _ = features.concept_vectors(ev, vocab)
         pred = models.score_with_fallback(model, vectors, d.visit_occurrence)
     else:
-        pred = models.score(model, _features(spark, a, d, False))
+        pred = models.score(model, _features(spark, a, d, False, raw_age=models.scales_age(model)))
+    pred = materialize(pred, "predictions")     # scored once, for the file and for its check
     sinks.write_csv(pred, os.path.join(a.out, "predictions"))
     print("violations (rows, missing, out of range):", tuple(models.validate_predictions(pred).first()))
 
@@ -194,11 +205,17 @@ def parser() -> argparse.ArgumentParser:
                 ("--k", {"type": int, "default": 1000}))
         if name == "infer":
             p.add_argument("--out", required=True)
+        else:
+            p.add_argument("--fit-on", default="rows", choices=["rows", "train"],
+                           help="scale ages by the rows at hand, or always by those of the training rows")
     return ap
 
 
 def main(argv=None, spark: SparkSession | None = None) -> int:
-    a = parser().parse_args(argv)
+    ap = parser()
+    a = ap.parse_args(argv)
+    if getattr(a, "model", None) == "five" and not a.concept_sets:
+        ap.error("--model five needs --concept-sets")
     if spark is None:
         from .session import build_session
         spark = build_session()

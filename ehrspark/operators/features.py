@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.ml.feature import CountVectorizerModel
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.dates import age_years
 from ..functions.joins import bounded_broadcast, broadcast_if_small
@@ -27,31 +27,52 @@ FIVE_DISEASE_COLUMNS = DEMOGRAPHIC_COLUMNS + list(DISEASE_SETS)
 MAX_BROADCAST_SET_ROWS = 1_000_000
 
 
+def _with_age(dates: DataFrame, person: DataFrame, date_col: str) -> DataFrame:
+    p = (person.select(PID, "gender_concept_id", "year_of_birth", "race_concept_id")
+         .withColumn("_known", F.lit(True)))
+    return dates.join(p, PID, "left").withColumn("_age", age_years(F.col(date_col), F.col("year_of_birth")))
+
+
+def age_bounds(dates: DataFrame, person: DataFrame, date_col: str = "prediction_date") -> DataFrame:
+    """One row (lo, hi): the least and the greatest age over ``dates``."""
+    return _with_age(dates, person, date_col).agg(F.min("_age").alias("lo"), F.max("_age").alias("hi"))
+
+
+def scaled(age: Column, lo: Column, hi: Column) -> Column:
+    """``age`` scaled so that [lo, hi] becomes [0, 1] (a constant age: 0), a missing one 0; values outside are not clipped."""
+    return F.coalesce(F.when(hi > lo, (age - lo) / (hi - lo)).otherwise(age - lo), F.lit(0.0))
+
+
 def demographic_features(dates: DataFrame, person: DataFrame, date_col: str = "prediction_date",
-                         how: str = "left") -> DataFrame:
+                         how: str = "left", bounds: DataFrame | None = None, raw_age: bool = False) -> DataFrame:
     """Scaled age, female flag and five race flags per prediction row.
 
     ``dates`` holds person_id, ``date_col`` and optionally ``death``. Age is
     days from 1 January of the birth year to the date / 365.25, min-max
-    scaled over the rows of ``dates`` themselves (a constant age scales to 0).
+    scaled over the rows of ``dates`` themselves (a constant age scales to 0),
+    or by ``bounds``, one row (lo, hi) such as ``age_bounds`` gives for the training rows, so
+    that a person scores the same alone and in a crowd. ``raw_age`` leaves ``age`` unscaled for a
+    model that holds its own scaler.
     ``how="inner"`` drops rows whose person is unknown; with ``"left"`` they
     keep all-zero features. Min and max are one scalar subquery; the person
-    join is a shuffle join on the person key. The joined rows are read twice
-    (bounds, then features), so they are persisted rather than recomputed.
+    join is a shuffle join on the person key. Where the joined rows are read twice
+    (bounds, then features), they are persisted rather than recomputed.
     """
-    p = (person.select(PID, "gender_concept_id", "year_of_birth", "race_concept_id")
-         .withColumn("_known", F.lit(True)))
-    j = (dates.join(p, PID, "left").withColumn("_age", age_years(F.col(date_col), F.col("year_of_birth")))
-         .persist(StorageLevel.MEMORY_AND_DISK))
-    bounds = j.select(F.struct(F.min("_age").alias("lo"), F.max("_age").alias("hi"))).scalar()
-    lo, hi = bounds.getField("lo"), bounds.getField("hi")
-    scaled = F.when(hi > lo, (F.col("_age") - lo) / (hi - lo)).otherwise(F.col("_age") - lo)
+    j = _with_age(dates, person, date_col)
+    if raw_age:
+        age = F.col("_age").alias("age")
+    else:
+        if bounds is None:
+            j = j.persist(StorageLevel.MEMORY_AND_DISK)
+            bounds = j.agg(F.min("_age").alias("lo"), F.max("_age").alias("hi"))
+        ends = bounds.select(F.struct("lo", "hi")).scalar()
+        age = scaled(F.col("_age"), ends.getField("lo"), ends.getField("hi")).alias("scaled_age")
     if how == "inner":
         j = j.where(F.col("_known"))
     flags = ([F.when(F.col("gender_concept_id") == c, 1.0).otherwise(0.0).alias(f"g_{c}") for c in GENDER_CONCEPTS]
              + [F.when(F.col("race_concept_id") == c, 1.0).otherwise(0.0).alias(f"r_{c}") for c in RACE_CONCEPTS])
     lead = ["death"] if "death" in dates.columns else []
-    return j.select(*lead, PID, F.coalesce(scaled, F.lit(0.0)).alias("scaled_age"), *flags)
+    return j.select(*lead, PID, age, *flags)
 
 
 def person_composition(person: DataFrame) -> DataFrame:

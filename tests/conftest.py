@@ -4,7 +4,10 @@ import sys
 import pytest
 
 HERE = os.path.dirname(os.path.abspath(__file__))
-sys.path[:0] = [HERE, os.path.dirname(HERE)]
+ROOT = os.path.dirname(HERE)
+sys.path[:0] = [HERE, ROOT]
+# The Python workers import the package too, wherever the tests are started.
+os.environ["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, [os.environ.get("PYTHONPATH")])])
 
 
 @pytest.fixture(scope="session")

@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from fixture_paths import SF_SMALL
@@ -69,3 +70,27 @@ def test_command_line_jobs(spark, tmp_path):
             "--out", pred_dir)
         pred = spark.read.option("header", True).csv(os.path.join(pred_dir, "predictions"))
         assert pred.columns == ["person_id", "score"] and pred.count() > 0
+
+    with pytest.raises(SystemExit):
+        run("train", "--model", "five", "--omop", omop, "--model-dir", models_dir)
+
+
+def test_demographic_model_with_its_own_scaler(spark, tmp_path):
+    """A person scores the same alone and in a crowd if the ages are scaled by the training rows."""
+    root = str(tmp_path)
+    d, omop, _ = _export(spark, root)
+    models_dir, few = os.path.join(root, "models"), os.path.join(root, "few")
+    run = lambda *args: cli.main(list(args), spark=spark)
+    run("train", "--model", "demographic", "--omop", omop, "--model-dir", models_dir, "--fit-on", "train")
+    grid = spark.read.option("header", True).csv(os.path.join(models_dir, "grid"))
+    assert grid.count() == 8 and grid.columns == ["max_iter", "penalty", "accuracy"]
+    for t in TABLES:
+        some = d.table(t).where("person_id % 17 = 3") if "person_id" in d.table(t).columns else d.table(t)
+        some.write.option("header", True).csv(os.path.join(few, f"{t}.csv"))
+
+    def scores(folder):
+        run("infer", "--model", "demographic", "--omop", folder, "--model-dir", models_dir, "--out", folder)
+        return {r.person_id: float(r.score) for r in spark.read.option("header", True).csv(os.path.join(folder, "predictions")).collect()}
+
+    all_, alone = scores(omop), scores(few)
+    assert alone and alone == {p: all_[p] for p in alone}

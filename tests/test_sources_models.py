@@ -205,3 +205,51 @@ def test_stored_mode_names_a_missing_table(spark):
     from ehrspark.sources.fixtures import OmopData
     with pytest.raises(KeyError, match="death"):
         OmopData.from_tables(spark, {}).table("death")
+
+
+def _spark_fit(rows, penalty, c, n):
+    """One fit by itself, to a tight tolerance."""
+    from pyspark.ml.functions import array_to_vector
+    _, lr = models._estimator(None, penalty, 2000, 1e-14)
+    lr.setRegParam(1.0 / (c * n))
+    m = lr.fit(rows.select(array_to_vector("_x").alias("features"), F.col("_y").alias("death")))
+    return np.append(m.coefficients.toArray(), m.intercept)
+
+
+def test_shared_fits_equal_separate_fits(spark):
+    from ehrspark.operators import shared_fits
+    rng = np.random.default_rng(8)
+    x = np.column_stack([rng.random(900), rng.random((900, 3)) < [0.5, 0.1, 0.02], rng.normal(size=900), np.zeros(900)]).astype(float)
+    y = (rng.random(900) < 1 / (1 + np.exp(1.5 - 3 * x[:, 0] + 2 * x[:, 2] - x[:, 4]))).astype(float)
+    rows = spark.createDataFrame([(i, v.tolist(), float(t)) for i, (v, t) in enumerate(zip(x, y))], "person_id long, _x array<double>, _y double")
+    rows = models.with_folds(rows, 4, label="_y").cache()
+    fits = [shared_fits.Fit(c, f, p) for p in ("l2", "l1") for c in (0.01, 1.0, 100.0) for f in (None, 0, 3)]
+    passes = shared_fits.newton_fits(rows, fits, 6)
+    assert passes < 40 and shared_fits.residuals(rows, fits, 6)[:, 1].max() < 1e-9
+    for f in fits:
+        own = rows if f.fold is None else rows.where(F.col("_fold") != f.fold)
+        n = own.count()
+        near = dict(atol=1e-6) if f.penalty == "l2" else dict(atol=1e-4)
+        np.testing.assert_allclose(f.weights, _spark_fit(own, f.penalty, f.c, n), **near)
+    hits = shared_fits.held_out_hits(rows, [f.weights for f in fits if f.fold is not None], [f.fold for f in fits if f.fold is not None], 6)
+    held = rows.where("_fold = 3").collect()
+    w = fits[2].weights
+    right = sum((np.dot(r["_x"], w[:-1]) + w[-1] > 0) == (r["_y"] > 0.5) for r in held)
+    assert hits[1].tolist() == [len(held), right]
+    rows.unpersist()
+
+
+def test_steps_of_a_path_are_the_points_of_the_grid(spark):
+    from ehrspark.operators import shared_fits
+    rows = spark.createDataFrame([(i, [i / 40.0], float(i % 3 == 0), i % 2) for i in range(40)], "person_id long, _x array<double>, _y double, _fold int")
+    long, short = shared_fits.Fit(1.0, None, "l2", 50), shared_fits.Fit(1.0, None, "l2", 1)
+    shared_fits.newton_fits(rows, [long], 1)
+    shared_fits.newton_fits(rows, [short], 1)
+    np.testing.assert_allclose(long.weights_after(1), short.weights)
+    np.testing.assert_allclose(long.weights_after(1000), long.weights)
+    one_class = shared_fits.Fit(1.0, None, "l2", 20)
+    shared_fits.newton_fits(rows.withColumn("_y", F.lit(0.0)), [one_class], 1)
+    assert one_class.done and one_class.weights[-1] < -5
+    empty = shared_fits.Fit(1.0, None, "l1")
+    shared_fits.newton_fits(rows.where("false"), [empty], 1)
+    assert empty.done and not empty.weights.any()
