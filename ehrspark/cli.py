@@ -75,7 +75,7 @@ def cmd_convert(spark, a):
 
 def cmd_cohort(spark, a):
     d = _omop(spark, a.omop, a.format)
-    persons = cohort.select_persons(d.person, d.visit_occurrence, d.death, a.min_visits)
+    persons = materialize(cohort.select_persons(d.person, d.visit_occurrence, d.death, a.min_visits), "person")
     sinks.write_csv(persons, os.path.join(a.out, "person"))
     present = {n: d.table(n) for n in cohort.DATE_COLUMNS if d.has(n)}
     extracted = cohort.extract_tables(present, persons, cohort.cutoff_date(d.death, a.months))

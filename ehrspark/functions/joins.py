@@ -3,38 +3,46 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, StringType
+
+from ..session import materialize
 
 # Upper bound (bytes of values) of any side that is broadcast.
 MAX_BROADCAST_BYTES = 512 << 20
 
 
 def _row_bytes(df: DataFrame) -> Column:
-    """Bytes of a row's values: strings by length, others as 8 each."""
-    sizes = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) if isinstance(f.dataType, StringType) else F.lit(8)
-             for f in df.schema.fields]
-    return sum(sizes, F.lit(0)).cast("long")
-
-
-def fits_broadcast(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
-    """Whether ``df`` holds at most ``max_rows`` rows and ``max_bytes`` bytes.
-
-    Runs a job at once, while the plan is being built; it stops reading at
-    ``max_rows + 1`` rows. Nothing stays cached: the side is evaluated again
-    when it is used, which for the dictionaries, cohort keys and deaths checked
-    here costs less than a cached copy that no one releases.
+    """Bytes of a row's values: strings by length, arrays of numbers and others as 8 each."""
+    def size(f):
+        if isinstance(f.dataType, StringType):
+            return F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
+        if isinstance(f.dataType, ArrayType):
+            return 8 * F.coalesce(F.size(F.col(f"`{f.name}`")), F.lit(0))
+        return F.lit(8)
+    return sum([size(f) for f in df.schema.fields], F.lit(0)).cast("long")
+
+
+def measured(df: DataFrame, max_rows: int | None, max_bytes: int | None = None, name: str = "side") -> tuple[DataFrame, bool]:
+    """(``df`` written once and read back, whether it is small enough to broadcast).
+
+    A side is computed once, by a job that runs at once while the plan is
+    built; its size is then summed over the written files by partial
+    aggregation, and every later use reads the files. ``max_rows`` None: only bytes count.
     """
-    n, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(_row_bytes(df))).first()
-    return n <= max_rows and (size or 0) <= max_bytes
+    side = materialize(df, name)
+    n, size = side.agg(F.count(F.lit(1)), F.sum(_row_bytes(side))).first()
+    fits = (max_rows is None or n <= max_rows) and (size or 0) <= (MAX_BROADCAST_BYTES if max_bytes is None else max_bytes)
+    return side, fits
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only after checking that it holds at most ``max_rows`` rows.
+    """``df``, written once, with a broadcast hint if it holds at most ``max_rows`` rows and ``MAX_BROADCAST_BYTES`` bytes.
 
-    Above the bound the plain DataFrame is returned and the join stays a
-    shuffle join (AQE still splits skewed partitions).
+    Above the bounds the join stays a shuffle join (AQE still splits skewed
+    partitions).
     """
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+    side, fits = measured(df, max_rows)
+    return F.broadcast(side) if fits else side
 
 
 def bounded_broadcast(df: DataFrame) -> DataFrame:

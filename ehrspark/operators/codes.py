@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.codes import candidate_keys, code_candidates, icd10_category
-from ..functions.joins import broadcast_if_small, fits_broadcast
+from ..functions.joins import broadcast_if_small, measured
 
 CODE = "condition_source_value"
 
@@ -224,8 +224,8 @@ def convert_conditions(conditions: DataFrame, converter: DataFrame, strip_dot: b
     back by code (AQE splits a hot code's partition).
     """
     cols = conditions.columns
-    wide = dictionary_by_key(converter)
-    if fits_broadcast(wide, MAX_BROADCAST_CODES):
+    wide, small = measured(dictionary_by_key(converter), MAX_BROADCAST_CODES, name="dictionary")
+    if small:
         rows = conditions
         keys = candidate_keys(_code_base(F.col(CODE), strip_dot))
         for i, key in enumerate(keys, start=1):

@@ -5,14 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.dates import birth_date, months_before
-from ..functions.joins import broadcast_if_small
+from ..functions.idsets import measured_set, members
 
 PID = "person_id"
 
-# Cohorts up to this many ids (8 bytes each) are broadcast to the table scans;
-# larger ones are semi-joined by shuffle (AQE splits a hot person's partition).
-MAX_BROADCAST_IDS = 5_000_000
-
 # The date column the cut-off applies to, per extracted table.
 DATE_COLUMNS = {
     "condition_occurrence": "condition_start_date",
@@ -62,18 +58,14 @@ def extract_tables(tables: dict[str, DataFrame], persons: DataFrame, cutoff: Dat
                    date_columns: dict[str, str] = DATE_COLUMNS) -> dict[str, DataFrame]:
     """Each table restricted to cohort members and dates strictly before the cut-off.
 
-    Membership is a left-semi join on the person key (never an id list in the
-    plan); the cut-off is a scalar subquery, evaluated once. NULL dates drop.
-    The cohort ids are computed once and persisted for all tables; they are
-    broadcast only after a row-count check.
+    The cohort's ids become an exact set of bitmaps by bucket, computed and
+    written once for all tables and broadcast if its bytes allow, so a table is read,
+    filtered by date and by one bit, and not shuffled; a set beyond the bound is joined by bucket.
+    The cut-off is a scalar subquery, evaluated once. NULL dates and NULL ids drop.
     """
-    ids = broadcast_if_small(persons.select(PID).where(F.col(PID).isNotNull()), MAX_BROADCAST_IDS)
+    ids, small = measured_set(persons, PID)
     limit = cutoff.select("cutoff_date").scalar()
-    out = {}
-    for name, df in tables.items():
-        date_col = date_columns[name]
-        out[name] = df.join(ids, PID, "left_semi").where(F.col(date_col) < limit)
-    return out
+    return {name: members(df.where(F.col(date_columns[name]) < limit), PID, ids, small) for name, df in tables.items()}
 
 
 def extract_row_counts(extracted: dict[str, DataFrame]) -> DataFrame:

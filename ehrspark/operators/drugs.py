@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.codes import like_family
-from ..functions.joins import bounded_broadcast, fits_broadcast
+from ..functions.joins import bounded_broadcast, measured
 
 CODE = "condition_source_value"
 DRUG = "drug_concept_id"
@@ -37,24 +37,20 @@ def cohort_conditions(conditions: DataFrame, family: str, codes, ignore_case: bo
 
 
 def _of_cohort(drugs: DataFrame, cond: DataFrame, key: str, how: str) -> DataFrame:
-    """Drug rows of the cohort's keys, ``cond`` being broadcast.
-
-    Rows without a key go first and the keys are compared null-safely, which is
-    the same but adds no filter to ``cond``: its shuffle stays equal to that of
-    its other use, so the conditions are read and shuffled once.
-    """
-    keyed = drugs.select(F.col(key).alias("_key"), DRUG).where(F.col(key).isNotNull())
-    return keyed.join(F.broadcast(cond), F.col("_key").eqNullSafe(F.col(key)), how)
+    """Drug rows of the cohort's keys, ``cond`` being broadcast."""
+    keyed = drugs.select(F.col(key).alias("_key"), DRUG)
+    return keyed.join(F.broadcast(cond), F.col("_key") == F.col(key), how)
 
 
 def _weighted(cond: DataFrame, drugs: DataFrame, key: str, by: tuple[str, ...] = ()) -> DataFrame:
     """(by…, drug, _w): joined rows per cohort key and drug, a key without a drug under the NULL drug.
 
-    ``cond`` holds (key, by…, _n_cond). A cohort of checked size is broadcast,
-    so that only its own drug rows are aggregated and shuffled; both uses of
-    ``cond`` need the same columns, so its shuffle is reused.
+    ``cond`` holds (key, by…, _n_cond). It is written once, so the conditions
+    are read once. A cohort of checked size is broadcast,
+    and only its own drug rows are aggregated and shuffled.
     """
-    if fits_broadcast(cond, MAX_BROADCAST_COHORT):
+    cond, small = measured(cond, MAX_BROADCAST_COHORT, name="cohort")
+    if small:
         drug = _of_cohort(drugs, cond, key, "inner").groupBy("_key", *by, DRUG).agg(F.sum("_n_cond").alias("_w"))
         drug = drug.select("_key", *[F.col(c).alias(f"_{c}") for c in by], DRUG, "_w")
         same = F.col(key) == F.col("_key")
@@ -91,7 +87,8 @@ def cohort_drug_counts(conditions: DataFrame, drugs: DataFrame, family: str, cod
         cond = cohort.select(key, "person_id").distinct() if key != "person_id" else \
             cohort.select(key).distinct()
         drug = drugs.select(key, DRUG)
-        if fits_broadcast(cond, MAX_BROADCAST_COHORT):
+        cond, small = measured(cond, MAX_BROADCAST_COHORT, name="cohort")
+        if small:
             drug = _of_cohort(drugs, cond, key, "left_semi").select(F.col("_key").alias(key), DRUG)
         joined = cond.join(drug.distinct(), key, "left")
         # A person has one row per drug already if persons are the link.

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.dates import age_years
 from ..functions.joins import bounded_broadcast, broadcast_if_small
+from ..session import materialize
 
 PID = "person_id"
 
@@ -56,14 +56,14 @@ def demographic_features(dates: DataFrame, person: DataFrame, date_col: str = "p
     ``how="inner"`` drops rows whose person is unknown; with ``"left"`` they
     keep all-zero features. Min and max are one scalar subquery; the person
     join is a shuffle join on the person key. Where the joined rows are read twice
-    (bounds, then features), they are persisted rather than recomputed.
+    (bounds, then features), they are written once rather than recomputed.
     """
     j = _with_age(dates, person, date_col)
     if raw_age:
         age = F.col("_age").alias("age")
     else:
         if bounds is None:
-            j = j.persist(StorageLevel.MEMORY_AND_DISK)
+            j = materialize(j, "aged")
             bounds = j.agg(F.min("_age").alias("lo"), F.max("_age").alias("hi"))
         ends = bounds.select(F.struct("lo", "hi")).scalar()
         age = scaled(F.col("_age"), ends.getField("lo"), ends.getField("hi")).alias("scaled_age")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.dates import days_between
-from ..functions.joins import fits_broadcast
+from ..functions.joins import measured
 
 PID = "person_id"
 
@@ -31,7 +31,8 @@ def prediction_dates(visit: DataFrame, death: DataFrame, horizon: int = 180, ord
     """
     days = visit.select(PID, "visit_start_date").where(F.col(PID).isNotNull())
     deaths = death.select(PID, "death_date").where(F.col(PID).isNotNull()).distinct()
-    if fits_broadcast(deaths, MAX_BROADCAST_DEATHS):
+    deaths, small = measured(deaths, MAX_BROADCAST_DEATHS, name="deaths")
+    if small:
         deaths = F.broadcast(deaths)
     else:
         days = days.distinct()

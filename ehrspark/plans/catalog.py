@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType
 
+from ..functions import idsets
 from ..operators import codes, cohort, drugs, features, labels, models, stats
 from ..session import materialize
 from ..sources.fixtures import OmopData
@@ -125,6 +125,11 @@ def q_extract_conditions(spark, sf_dir):
     return _extracted(OmopData(spark, sf_dir), ["condition_occurrence"])["condition_occurrence"]
 
 
+def q_cohort_id_buckets(spark, sf_dir):
+    """The cohort as bitmaps: how many ids each bucket holds."""
+    return idsets.id_set(_persons(OmopData(spark, sf_dir)), "person_id").select("bucket", "n")
+
+
 def q_extract_row_counts(spark, sf_dir):
     return cohort.extract_row_counts(_extracted(OmopData(spark, sf_dir), list(cohort.DATE_COLUMNS)))
 
@@ -167,9 +172,9 @@ def _overlap(d: OmopData) -> DataFrame:
     counts = drugs.cohort_drug_counts_by_group(d.condition_occurrence, d.drug_exposure, drugs.T1_FAMILY,
                                                drugs.T1_CODES, stats.population_of, link="person", k=DRUG_LIMIT)
     # The named lists (at most 2 × 100 rows) feed both sides of the overlap;
-    # persisted so the optimizer cannot push each side's filter into its own
+    # written once so the optimizer cannot push each side's filter into its own
     # copy of the cohort pass.
-    named = drugs.name_drugs(counts, d.concept).persist(StorageLevel.MEMORY_AND_DISK)
+    named = materialize(drugs.name_drugs(counts, d.concept), "named")
     real = named.where(F.col("group")).drop("group")
     synthetic = named.where(~F.col("group")).drop("group")
     return drugs.drug_overlap(real, synthetic, OVERLAP_K)
@@ -337,7 +342,7 @@ def q_score_concepts(spark, sf_dir, k: int = VOCAB_K):
     vocab = features.top_concepts(ev, k)
     vectors, _ = features.concept_vectors(ev, vocab)
     # One row per person; read by training, scoring and the fallback anti-join.
-    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = materialize(vectors, "vectors")
     label = _dates(d).select("person_id", "death")
     train = vectors.join(label, "person_id", "left").na.fill(0.0, ["death"])
     model = models.train_logistic(train, None, "l1", 1.0, max_iter=10000)
@@ -363,6 +368,7 @@ QUERIES: dict[str, Query] = {
     "converted_distinct": q_converted_distinct,
     "cutoff": q_cutoff,
     "persons_selected": q_persons_selected,
+    "cohort_id_buckets": q_cohort_id_buckets,
     "extract_conditions": q_extract_conditions,
     "extract_row_counts": q_extract_row_counts,
     "drugs_by_visit": q_drugs_by_visit,

@@ -280,6 +280,10 @@ FROM condition_occurrence co JOIN code_lab l ON l.condition_source_value = co.co
     "cutoff": f"SELECT CAST(CAST(max(death_datetime) AS DATE) - INTERVAL {CUTOFF_MONTHS} MONTH AS DATE) AS cutoff_date "
               "FROM death",
     "persons_selected": PERSONS_SQL + "\nSELECT * FROM persons_sel",
+    "cohort_id_buckets": PERSONS_SQL + """
+SELECT CAST(CASE WHEN person_id > 0 THEN 1 + (person_id - 1) // 32768 ELSE -((-person_id) // 32768) END AS BIGINT) AS bucket,
+       count(DISTINCT person_id) AS n
+FROM persons_sel WHERE person_id IS NOT NULL GROUP BY 1""",
     "extract_conditions": PERSONS_SQL + ",\n" + _cut_sql(EXTRACT_MONTHS) + "\n" + _extract_sql("condition_occurrence"),
     "extract_row_counts": PERSONS_SQL + ",\n" + _cut_sql(EXTRACT_MONTHS) + "\n" + "\nUNION ALL\n".join(
         f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM ({_extract_sql(t)}) x" for t in EXTRACT_DATES),

@@ -73,11 +73,12 @@ def test_extract_tables_filters_members_and_dates(spark):
 
 
 def test_extract_without_broadcast_matches(spark, monkeypatch):
+    from ehrspark.functions import joins
     from ehrspark.plans import catalog
     from ehrspark.sources.fixtures import OmopData
     d = OmopData(spark, "/root/testdata/sf0.001")
     fast = catalog._extracted(d, list(cohort.DATE_COLUMNS))
-    monkeypatch.setattr(cohort, "MAX_BROADCAST_IDS", 0)
+    monkeypatch.setattr(joins, "MAX_BROADCAST_BYTES", 0)
     slow = catalog._extracted(d, list(cohort.DATE_COLUMNS))
     for name in fast:
         assert fast[name].count() == slow[name].count()
