@@ -6,14 +6,15 @@ one operator on them; names match ``oracle.ORACLES``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType
 
 from ..functions import idsets
-from ..operators import codes, cohort, drugs, features, labels, models, stats
-from ..session import materialize
+from ..operators import codes, cohort, deliveries, drugs, features, labels, models, stats, topk
+from ..session import materialize, scratch_path
 from ..sources.fixtures import OmopData
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,6 +103,29 @@ def q_converted_distinct(spark, sf_dir):
     return codes.distinct_converted(q_converted_conditions(spark, sf_dir))
 
 
+# -- deliveries ---------------------------------------------------------------
+
+def _two_deliveries(spark, d: OmopData) -> DataFrame:
+    """The merged state of the conditions handed over in two parts, by visit, so that many persons are in both."""
+    folder = scratch_path(spark, f"deliveries-{uuid.uuid4().hex}")
+    for k in (0, 1):
+        deliveries.deliver(d.condition_occurrence.where(F.coalesce(F.pmod("visit_occurrence_id", F.lit(2)), F.lit(0)) == k), folder, f"part-{k}")
+    return deliveries.merge(deliveries.states(spark, folder))
+
+
+def q_delivered_counts(spark, sf_dir):
+    return deliveries.counts(_two_deliveries(spark, OmopData(spark, sf_dir)))
+
+
+def q_delivered_distinct(spark, sf_dir):
+    return deliveries.distinct_keys(_two_deliveries(spark, OmopData(spark, sf_dir)))
+
+
+def q_delivered_set_patients(spark, sf_dir):
+    d = OmopData(spark, sf_dir)
+    return deliveries.set_patients(_two_deliveries(spark, d), d.concept_set)
+
+
 # -- cohort -----------------------------------------------------------------
 
 def q_cutoff(spark, sf_dir):
@@ -285,6 +309,14 @@ def q_top_concepts(spark, sf_dir):
     return features.top_concepts(_events(OmopData(spark, sf_dir)), TOP_K)
 
 
+def q_top_concepts_certified(spark, sf_dir):
+    return topk.certified_top(_events(OmopData(spark, sf_dir)), "concept_id", TOP_K)[0]
+
+
+def q_top_codes_certified(spark, sf_dir):
+    return topk.certified_top(OmopData(spark, sf_dir).condition_occurrence, codes.CODE, DRUG_LIMIT)[0]
+
+
 def q_concept_long(spark, sf_dir):
     ev = _events(OmopData(spark, sf_dir))
     return features.concept_long(ev, features.top_concepts(ev, TOP_K))
@@ -366,6 +398,9 @@ QUERIES: dict[str, Query] = {
     "code_labels": q_code_labels,
     "converted_conditions": q_converted_conditions,
     "converted_distinct": q_converted_distinct,
+    "delivered_counts": q_delivered_counts,
+    "delivered_distinct": q_delivered_distinct,
+    "delivered_set_patients": q_delivered_set_patients,
     "cutoff": q_cutoff,
     "persons_selected": q_persons_selected,
     "cohort_id_buckets": q_cohort_id_buckets,
@@ -392,6 +427,8 @@ QUERIES: dict[str, Query] = {
     "condition_patients": q_condition_patients,
     "event_concepts": q_event_concepts,
     "top_concepts": q_top_concepts,
+    "top_concepts_certified": q_top_concepts_certified,
+    "top_codes_certified": q_top_codes_certified,
     "concept_long": q_concept_long,
     "concept_wide": q_concept_wide,
     "complete_rows": q_complete_rows,

@@ -277,6 +277,12 @@ FROM condition_occurrence co LEFT JOIN code_lab l ON l.condition_source_value =
     "converted_distinct": CODE_CTES + """
 SELECT count(DISTINCT l.converted) AS n_distinct_codes
 FROM condition_occurrence co JOIN code_lab l ON l.condition_source_value = co.condition_source_value""",
+    "delivered_counts": """
+SELECT condition_source_value, count(condition_source_value) AS count, count(DISTINCT person_id) AS n_patients
+FROM condition_occurrence GROUP BY condition_source_value""",
+    "delivered_distinct": "SELECT count(DISTINCT condition_source_value) AS n_keys FROM condition_occurrence",
+    "delivered_set_patients": HITS_SQL + """
+SELECT set_name, count(*) AS n_patients FROM hits WHERE person_id IS NOT NULL GROUP BY set_name""",
     "cutoff": f"SELECT CAST(CAST(max(death_datetime) AS DATE) - INTERVAL {CUTOFF_MONTHS} MONTH AS DATE) AS cutoff_date "
               "FROM death",
     "persons_selected": PERSONS_SQL + "\nSELECT * FROM persons_sel",
@@ -337,6 +343,10 @@ FROM person GROUP BY race_concept_id""",
     "condition_patients": HITS_SQL + "\nSELECT set_name, count(*) AS n_patients FROM hits GROUP BY set_name",
     "event_concepts": EVENTS_SQL + "\nSELECT * FROM ev",
     "top_concepts": VOCAB_SQL + "\nSELECT * FROM vocab",
+    "top_concepts_certified": VOCAB_SQL + "\nSELECT concept_id, count FROM vocab",
+    "top_codes_certified": f"""
+SELECT condition_source_value, count(*) AS count FROM condition_occurrence WHERE condition_source_value IS NOT NULL
+GROUP BY condition_source_value ORDER BY count DESC, condition_source_value LIMIT {DRUG_LIMIT}""",
     "concept_long": VOCAB_SQL + "\nSELECT * FROM clong",
     "concept_wide": VOCAB_SQL + "\nSELECT person_id, " + ", ".join(
         f"max(CASE WHEN pos = {i} THEN 1.0 ELSE 0.0 END)::DOUBLE AS f_{i:03d}" for i in range(TOP_K))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
+from ..operators import deliveries
 from ..session import scratch_path
 
 CODE = "condition_source_value"
@@ -23,29 +24,51 @@ def condition_count_stream(spark: SparkSession, folder: str, fmt: str = "parquet
     CSV files must carry the condition columns of the fixed schema, in order;
     parquet files are matched by column name.
     """
+    src = condition_rows_stream(spark, folder, fmt, files_per_batch)
+    return src.groupBy(CODE).agg(F.count(CODE).alias("count"))
+
+
+def condition_rows_stream(spark: SparkSession, folder: str, fmt: str = "parquet", files_per_batch: int = 1) -> DataFrame:
+    """The condition rows of ``folder`` as a stream, so many files a micro-batch."""
     reader = (spark.readStream.schema(schemas.CONDITION_OCCURRENCE)
               .option("maxFilesPerTrigger", files_per_batch))
     if fmt == "csv":
         # A streaming source needs its schema up front; the header is checked
         # against it so a file with other columns fails instead of misaligning.
         reader = reader.option("header", True).option("enforceSchema", False)
-    src = reader.format(fmt).load(folder)
-    return src.groupBy(CODE).agg(F.count(CODE).alias("count"))
+    return reader.format(fmt).load(folder)
+
+
+def run_to_states(spark: SparkSession, rows: DataFrame, folder: str, checkpoint: str | None = None) -> StreamingQuery:
+    """Process everything available now; each micro-batch becomes one delivery's state under ``folder``.
+
+    The batch's state is written by its number, so a retried batch replaces
+    itself; nothing is kept in a state store or on the driver. Totals come from
+    ``deliveries.merge(deliveries.states(...))`` at any time.
+    """
+    checkpoint = checkpoint or scratch_path(spark, os.path.join("streams", target_key(folder)))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        deliveries.deliver(batch, folder, f"batch-{batch_id:010d}")
+
+    q = (rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return q
 
 
 def run_to_table(spark: SparkSession, stream: DataFrame, name: str,
                  checkpoint: str | None = None) -> StreamingQuery:
     """Process everything available now in micro-batches, then stop.
 
-    Each batch's full result table is written (complete mode) to an
-    in-memory table ``name``. The checkpoint goes under the shared
-    ``spark.checkpoint.dir`` so a restarted driver resumes from the last
-    committed batch.
+    The full result is rewritten after each batch under the shared
+    ``spark.checkpoint.dir`` and offered as the temporary view ``name``; no
+    row of it passes through the driver. The checkpoint goes there too, so a restarted
+    driver resumes from the last committed batch.
     """
-    checkpoint = checkpoint or scratch_path(spark, os.path.join("streams", name))
-    q = (stream.writeStream.outputMode("complete").format("memory").queryName(name)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
+    path = scratch_path(spark, os.path.join("tables", name))
+    q = run_to_path(spark, stream, path, checkpoint or scratch_path(spark, os.path.join("streams", name)))
+    spark.read.parquet(path).createOrReplaceTempView(name)
     return q
 
 
