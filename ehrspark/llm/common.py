@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import materialize
 
-__all__ = ["EVERY_SPACE", "WORD", "bucket_of", "documents", "materialize", "slices", "summed", "table"]
+__all__ = ["DROPS", "EVERY_SPACE", "WORD", "bucket_of", "claim", "documents", "materialize", "slices", "summed", "table"]
 
 #: A word of the contracts: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -41,6 +41,17 @@ def bucket_of(doc_id: Column, n: int = 5) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n
 
 
+#: How to drop what each operator's tasks remember in a worker process. A process serves one stage after another.
+DROPS: dict[str, Callable[[], None]] = {}
+
+
+def claim(owner: str) -> None:
+    """Called as a task begins: what other operators have left in this process goes."""
+    for name, drop in DROPS.items():
+        if name != owner:
+            drop()
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 4 << 20, max_rows: int = 4096) -> Iterator[pa.RecordBatch]:
     """Arrow batches cut so that ``column`` holds about ``max_bytes`` in each (one row at least)."""
     for batch in batches:
@@ -55,8 +66,6 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 4 <<
             yield batch.slice(start)
 
 
-
-
 def summed(rows: DataFrame, column: str, one: Callable[[pa.RecordBatch], np.ndarray], width: int, chunk: int = 1 << 14, max_bytes: int = 4 << 20) -> np.ndarray:
     """Sum over all rows of the vectors of length ``width`` that ``one(batch)`` makes.
 

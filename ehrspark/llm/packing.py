@@ -20,29 +20,38 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..functions.joins import measured
 from ..session import materialize
 from .common import documents, slices
 from .tokens import encoder
 
 
+SMALL = 64 << 20  # bytes of the partitions' shares that are broadcast
+
+
 def pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int, keep_ids: bool = False) -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32[, ids]) of all texts; a null text has its end id alone."""
-    fields = [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("ids", pa.binary())]
+    """(doc_id, piece, start, length, ids_crc32, rank[, ids]) of all texts; a null text has its end id alone.
+
+    ``rank`` numbers the pieces of one length in a partition.
+    """
+    fields = [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("rank", pa.int64()), ("ids", pa.binary())]
     schema = pa.schema(fields if keep_ids else fields[:-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        end = np.array([end_id], "<u4").tobytes()
-        for batch in slices(batches, "text", 4 << 20):
+        end, met = np.array([end_id], "<u4").tobytes(), [0] * (size + 1)
+        for batch in slices(batches, "text", 2 << 20):
             rows = []
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder(tokenizer, "byte").encode(batch.column("text").to_pylist())):
                 ids += end
                 first = len(ids) % (4 * size) or 4 * size
                 cuts = [0, *range(first, len(ids) + 1, 4 * size)]
                 for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                    rows.append((doc_id, i, a // 4, (b - a) // 4, zlib.crc32(ids[a:b]), ids[a:b])[: len(schema)])
+                    n = (b - a) // 4
+                    rows.append((doc_id, i, a // 4, n, zlib.crc32(ids[a:b]), met[n], ids[a:b])[: len(schema)])
+                    met[n] += 1
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
 
-    return documents(docs).mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * keep_ids)
+    return documents(docs).mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long, rank long" + ", ids binary" * keep_ids)
 
 
 def plan(counts: dict[int, int], size: int) -> list[tuple[int, int, int, int, int]]:
@@ -87,19 +96,22 @@ def plan(counts: dict[int, int], size: int) -> list[tuple[int, int, int, int, in
 def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, size: int = 2048, keep_ids: bool = False) -> DataFrame:
     """The pieces with (sequence_id, offset); an empty table gives no rows.
 
-    Ranks within a length are counted by the partitions of the written pieces,
-    so no length, however common, is numbered by one task.
+    Ranks within a length are counted as the pieces are made, partition by
+    partition; what a partition adds to its ranks, the pieces of that length before it, is a small
+    table. It is broadcast up to ``SMALL`` bytes, and beyond that joined by length and
+    partition, so that no task holds more than a partition had.
     """
     spark = docs.sparkSession
     some = pieces(docs, tokenizer, end_id, size, keep_ids).withColumn("part", F.spark_partition_id())
     some = materialize(some, "pieces")
     by_part = some.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n"))
     before = by_part.select("length", "part", (F.sum("n").over(Window.partitionBy("length").orderBy("part")) - F.col("n")).alias("before"))
+    before, small = measured(before, None, SMALL, "before")
     counts = {r["length"]: r["n"] for r in some.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # size rows at most
     runs = plan(counts, size)
     shared = spark.sparkContext.broadcast({k: np.array([r[1:] for r in runs if r[0] == k], np.int64) for k in counts})
-    ranked = some.join(before, ["length", "part"]).withColumn("rank", F.col("before") + F.row_number().over(Window.partitionBy("length", "part").orderBy("doc_id", "piece", "ids_crc32")) - 1)
-    fields = [f for f in some.schema.fieldNames() if f != "part"]
+    ranked = some.join(F.broadcast(before) if small else before, ["length", "part"]).withColumn("rank", F.col("before") + F.col("rank"))
+    fields = [f for f in some.schema.fieldNames() if f not in ("part", "rank")]
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
@@ -114,7 +126,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, size: int = 2048, kee
                 seq[at], offset[at] = run[:, 2] + rank[at] - run[:, 0], run[:, 3]
             yield pa.RecordBatch.from_arrays([*[batch.column(f) for f in fields], pa.array(seq), pa.array(offset)], [*fields, "sequence_id", "offset"])
 
-    out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in some.schema if f.name != "part")
+    out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in some.schema if f.name in fields)
     return ranked.select(*fields, "rank").mapInArrow(place, f"{out}, sequence_id long, offset long")
 
 

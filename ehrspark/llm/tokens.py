@@ -10,8 +10,9 @@ from functools import cache
 from itertools import islice
 
 import numpy as np
+import pyarrow as pa
 
-from .common import EVERY_SPACE
+from .common import DROPS, EVERY_SPACE, claim
 
 #: Both vocabularies split a text at white space, and between letters and
 #: commas or full stops, before they merge pairs, so the ids of a text are the
@@ -19,11 +20,66 @@ from .common import EVERY_SPACE
 #: space: one space goes to the word after it, of a longer run all but the
 #: last character stand alone.
 LETTERS = "[A-Za-zÀ-ÖØ-öø-ÿ]+"
-LATIN = rf"{LETTERS}(?=[,.{EVERY_SPACE}])"
-CHUNKS = {
-    "word": re.compile(rf"{LATIN}|[^{EVERY_SPACE}]+"),
-    "byte": re.compile(rf" ?(?:{LATIN}|[^{EVERY_SPACE}]+)|[{EVERY_SPACE}]+(?![^{EVERY_SPACE}])|[{EVERY_SPACE}]+"),
-}
+#: What a character is, for those up to the last white space.
+OTHER, SPACE, LETTER, STOP, END = range(5)
+KIND = np.zeros(0x3002, np.uint8)
+KIND[[c for c in range(0x3001) if re.match(f"[{EVERY_SPACE}]", chr(c))]] = SPACE
+KIND[[c for c in range(0x100) if re.match(LETTERS, chr(c))]] = LETTER
+KIND[[ord(","), ord(".")]] = STOP
+PART = 1 << 20  # characters of a long text that are cut at once
+SAFE = re.compile(f"(?<=[^{EVERY_SPACE}]) (?=[^{EVERY_SPACE}])")  # before such a space a chunk ends
+
+
+def parts(text: str) -> list[str]:
+    """A very long text in parts that break no chunk (one, if it has no place for it)."""
+    out, start = [], 0
+    while len(text) - start > PART and (cut := SAFE.search(text, start + PART)):
+        out.append(text[start : cut.start()])
+        start = cut.start()
+    return [*out, text[start:]]
+
+
+def chunks(texts: list[str], spaces: bool) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The chunks of all texts, dictionary-encoded, and where in them each text begins, and the end.
+
+    ``spaces``: the rule of the byte vocabulary; otherwise white space is left out.
+    """
+    raw = [np.frombuffer(t.encode("utf-32-le"), "<u4") for t in texts]
+    begins = np.concatenate([[0], np.cumsum([len(r) + 1 for r in raw])])
+    code = np.zeros(begins[-1], np.uint32)
+    for at, r in zip(begins.tolist(), raw):
+        code[at : at + len(r)] = r
+    kind = KIND[np.minimum(code, 0x3001)]
+    kind[begins[1:] - 1] = END  # after each text, of no bytes
+    width = 1 + (code >= 0x80).astype(np.int32) + (code >= 0x800) + (code >= 0x10000)
+    width[begins[1:] - 1] = 0
+    place = np.concatenate([[0], np.cumsum(width, dtype=np.int64)])
+
+    solid = (kind != SPACE) & (kind != END)
+    blank = kind == SPACE
+    before = lambda x: np.concatenate([[False], x[:-1]])
+    word = np.flatnonzero(solid & ~before(solid))  # the first characters of runs without white space
+    mark = blank & ~before(blank)
+    mark[begins[1:] - 1] = True
+    mark[word] = True
+    # Letters that a comma or full stop follows are a chunk, what comes after them another.
+    no_letter = np.flatnonzero(kind != LETTER)
+    stop = no_letter[np.searchsorted(no_letter, word)] if len(word) else word
+    stop = stop[(stop > word) & (kind[stop] == STOP)]
+    mark[stop] = True
+    if spaces:
+        last = word[word > 0] - 1
+        last = last[blank[last]]  # the last character of the white space before a word
+        mark[last] = True
+        mark[last[code[last] == 32] + 1] = False  # one space goes with the word
+    first = np.flatnonzero(mark)
+    offsets = np.append(place[first], place[-1]).astype(np.int32)
+    held = np.isin(kind[first], [END] if spaces else [END, SPACE], invert=True)
+    data = "".join(texts).encode()
+    found = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(data)]).filter(pa.array(held))
+    return found.dictionary_encode(), np.searchsorted(first[held], begins)
+
+
 #: Chunks that can be encoded in one text, and how to tell them apart after:
 #: by tokens that end a word, or that begin with the space before it.
 TOGETHER = {"word": (re.compile(LETTERS), " ", lambda token: token.endswith("</w>")), "byte": (re.compile(f" {LETTERS}"), "", lambda token: token.startswith("Ġ"))}
@@ -43,18 +99,18 @@ class ChunkEncoder:
 
     ``kind`` names the chunk rule that suits the vocabulary. A text that holds
     the string of an added token is encoded whole. At most ``keep`` chunks of up to
-    ``longest`` characters are remembered.
+    ``longest`` bytes are remembered.
     """
 
-    def __init__(self, path: str, kind: str, keep: int = 600_000, longest: int = 48) -> None:
+    def __init__(self, path: str, kind: str, keep: int = 500_000, longest: int = 48) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)", re.IGNORECASE)
-        self.chunks, self.keep, self.longest = CHUNKS[kind], keep, longest
-        self.known: dict[str, bytes] = {}
+        self.spaces, self.keep, self.longest = kind == "byte", keep, longest
+        self.known: dict[bytes, bytes] = {}
         self.lower = kind == "word"  # this vocabulary has no upper case
         self.plain, self.glue, edge = TOGETHER[kind]
         vocabulary = self.tokenizer.get_vocab()
@@ -84,22 +140,39 @@ class ChunkEncoder:
         texts = ["" if i in special else t for i, t in enumerate(texts)]
         if self.lower:
             texts = [small(t) for t in texts]
-        cut = [self.chunks.findall(t) for t in texts]
-        here = dict.fromkeys(set().union(*cut))  # small, so the look-ups below stay in the processor's cache
-        known = self.known
-        new = [c for c in here if c not in known]
-        here.update(self.fresh(new))
-        for c, ids in here.items():
-            if ids is None:
-                here[c] = known[c]
+        cut = [parts(t) for t in texts]
+        found, begins = chunks([p for c in cut for p in c], self.spaces)
+        words, known = found.dictionary.to_pylist(), self.known
+        here = [known.get(w) for w in words]
+        new = [k for k, ids in enumerate(here) if ids is None]
+        where = {words[k].decode(): k for k in new}
+        for c, ids in self.fresh(list(where)):
+            here[where[c]] = ids
         if len(known) + len(new) > self.keep:  # the first met are the most frequent
             known = self.known = dict(islice(known.items(), self.keep // 2))
-        known.update((c, here[c]) for c in new if len(c) <= self.longest)
-        get = here.__getitem__
-        return [special[i] if i in special else b"".join(map(get, chunks)) for i, chunks in enumerate(cut)]
+        known.update((words[k], here[k]) for k in new if len(words[k]) <= self.longest)
+        # Ids of all chunks, taken from those of the distinct ones.
+        sizes = np.fromiter(map(len, here), np.int64, len(here)) // 4
+        flat = np.frombuffer(b"".join(here), "<u4")
+        which = found.indices.to_numpy()
+        many = sizes[which]
+        ends = np.concatenate([[0], np.cumsum(many)])
+        shift = (np.cumsum(sizes) - sizes)[which] - ends[:-1]
+        ids = flat[np.repeat(shift, many) + np.arange(ends[-1])]
+        pieces = np.concatenate([[0], np.cumsum([len(c) for c in cut])])  # where the parts of each text begin
+        bounds = ends[begins[pieces]].tolist()
+        return [special[i] if i in special else ids[a:b].tobytes() for i, (a, b) in enumerate(zip(bounds, bounds[1:]))]
 
 
 @cache
-def encoder(path: str, kind: str) -> ChunkEncoder:
-    """One encoder for each worker process."""
+def held(path: str, kind: str) -> ChunkEncoder:
     return ChunkEncoder(path, kind)
+
+
+DROPS["tokens"] = held.cache_clear
+
+
+def encoder(path: str, kind: str) -> ChunkEncoder:
+    """One encoder for each worker process, as long as no other operator's tasks run there."""
+    claim("tokens")
+    return held(path, kind)
