@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import slices
+from .common import claim, slices
 
 ORDERS = 4  # n-grams of 1 to 4 letters
 BUCKETS = 1 << 16
@@ -92,6 +92,7 @@ def fit(docs: DataFrame, train: Column, smoothing: float = 0.5, max_languages: i
     some = docs.where(train & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("langid")
         total: dict[str, np.ndarray] = {}
         n_docs: dict[str, int] = {}
         for batch in slices(batches, "text", 1 << 19):
@@ -135,7 +136,9 @@ COUNTS = pa.schema([("lang", pa.string()), ("chunk", pa.int32()), ("docs", pa.in
 
 def predict(docs: DataFrame, model: Model, counted: bool = False) -> DataFrame:
     """Every column of ``docs`` that is asked for, with lang_pred and score; with
-    ``counted`` also n_grams, which is 0 for a text that is null or has no letter.
+    ``counted`` also n_grams, which is 0 for a text that is null or has no letter, and
+    evidence: by how much the mean log-probability of an n-gram in that
+    language is above chance, all buckets being equally likely (null if there is none).
 
     ``docs`` must have a string column ``text``. A text that is null or has no
     letter is ``und`` with score 0, as is every text if no language was learnt;
@@ -147,10 +150,11 @@ def predict(docs: DataFrame, model: Model, counted: bool = False) -> DataFrame:
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("langid")
         m = shared.value
         for batch in slices(batches, "text", 1 << 19):
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            label, score = np.full(len(texts), "und", object), np.zeros(len(texts))
+            label, score, evidence = np.full(len(texts), "und", object), np.zeros(len(texts)), np.full(len(texts), None, object)
             logs, n_grams = np.zeros((len(texts), len(m.languages))), np.zeros(len(texts), np.int64)
             for numbers, group in parts(texts) if texts else ():
                 for ids, at in grams(group):
@@ -159,9 +163,10 @@ def predict(docs: DataFrame, model: Model, counted: bool = False) -> DataFrame:
                     for k in range(len(m.languages) if len(some) else 0):
                         np.add.at(logs[:, k], numbers[some], np.add.reduceat(m.weights[k][ids], at[some]))
             if m.languages and len(some := np.flatnonzero(n_grams)):
+                evidence[some] = logs[some].max(1) / n_grams[some] + np.log(BUCKETS)
                 logs = logs[some] / ORDERS + m.prior
                 label[some] = np.array(m.languages, object)[logs.argmax(1)]
                 score[some] = 1 / np.exp(logs - logs.max(1, keepdims=True)).sum(1)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(label, pa.string()), pa.array(score), *[pa.array(n_grams)] * counted], [*batch.schema.names, "lang_pred", "score", *["n_grams"] * counted])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(label, pa.string()), pa.array(score), *[pa.array(n_grams), pa.array(evidence, pa.float64())] * counted], [*batch.schema.names, "lang_pred", "score", *["n_grams", "evidence"] * counted])
 
-    return docs.mapInArrow(run, f"{fields}, lang_pred string, score double" + ", n_grams long" * counted)
+    return docs.mapInArrow(run, f"{fields}, lang_pred string, score double" + ", n_grams long, evidence double" * counted)

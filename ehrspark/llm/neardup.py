@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import materialize
-from .common import documents, slices
+from .common import DROPS, claim, documents, slices
 from .graph import components, follow
 
 HASHES, ROWS, BATCH = 128, 4, 32  # in a signature, a band, a batch
@@ -41,6 +41,7 @@ RNG = np.random.default_rng(20_240_601)
 TIMES, PLUS = RNG.integers(0, 1 << 32, HASHES, np.uint32) | np.uint32(1), RNG.integers(0, 1 << 32, HASHES, np.uint32)
 PLACES = RNG.integers(0, 1 << 63, 64, np.uint64) * np.uint64(2) + np.uint64(1)
 KNOWN: dict[bytes, int] = {}
+DROPS["neardup"] = KNOWN.clear
 
 
 @dataclass(frozen=True)
@@ -86,20 +87,22 @@ def least_matches(rule: Rule) -> list[int]:
     return out
 
 
-def nodes(docs: DataFrame, rule: Rule) -> DataFrame:
-    """(doc_id, n_shingles, digest, signature) of each row; a null or blank text has the null digest."""
+def nodes(docs: DataFrame, rule: Rule, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, n_shingles, digest, signature, carry…) of each row; a null or blank text has the null digest."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("neardup")
         for batch in slices(batches, "text", 1 << 20):
             sets = [shingles(t, rule.words) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
                                               pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
-                                              pa.array([signature(s) if len(s) else None for s in sets], pa.binary())], ["doc_id", "n_shingles", "digest", "signature"])
+                                              pa.array([signature(s) if len(s) else None for s in sets], pa.binary()), *[batch.column(c) for c in carry]], ["doc_id", "n_shingles", "digest", "signature", *carry])
 
-    return documents(docs).mapInArrow(run, "doc_id long, n_shingles long, digest binary, signature binary")
+    return documents(docs, *carry).mapInArrow(run, "doc_id long, n_shingles long, digest binary, signature binary" + "".join(f", `{c}` string" for c in carry))
 
 
 def sets_of(docs: DataFrame, rule: Rule) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("neardup")
         for batch in slices(batches, "text", 1 << 20):
             sets = [shingles(t, rule.words) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
@@ -182,15 +185,18 @@ def verify(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").select("a", "b", "s_a", "s_b").mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
+def near_duplicates(docs: DataFrame, rule: Rule = Rule(), carry: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row for each row of ``docs``.
 
+    ``carry``: names of string columns of ``docs`` that come along, to tell rows of one id apart; then also ``component``,
+    a number of the row's component, as several may have one least doc_id (null for an empty set, which is alone).
+
     component_id is the least doc_id that links lead to. A text that is null or
     has no word has an empty set and no links. Rows that share an id are linked
     by their texts like any others; a null id is less than all.
     """
-    docs = documents(docs)
-    rows = materialize(nodes(docs, rule), "rows")
+    docs = documents(docs, *carry)
+    rows = materialize(nodes(docs, rule, carry), "rows")
     known = rows.where("digest is not null").dropDuplicates(["digest"]).select("digest", "n_shingles", "signature", F.col("doc_id").alias("witness"))
     known = materialize(known.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
@@ -264,9 +270,9 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
 
     # From nodes back to documents: the least id of a component's rows.
     classes = follow(known_digests, "comp", roots)
-    placed = rows.select("doc_id", "n_shingles", "digest").join(classes, "digest", "left")
-    least = placed.where("comp is not null").groupBy("comp").agg(F.min(F.coalesce("doc_id", F.lit(-(1 << 63)))).alias("component"))
+    placed = rows.select("doc_id", "n_shingles", "digest", *carry).join(classes, "digest", "left")
+    least = placed.where("comp is not null").groupBy("comp").agg(F.min(F.coalesce("doc_id", F.lit(-(1 << 63)))).alias("_least"))
     out = placed.join(least, "comp", "left")
-    component = F.when(F.col("comp").isNull(), F.col("doc_id")).otherwise(F.expr("nullif(component, -9223372036854775807 - 1)"))
-    out = out.select("doc_id", "n_shingles", component.alias("component_id"))
+    component = F.when(F.col("comp").isNull(), F.col("doc_id")).otherwise(F.expr("nullif(_least, -9223372036854775807 - 1)"))
+    out = out.select("doc_id", "n_shingles", component.alias("component_id"), *[F.col(c) for c in carry], *([F.col("comp").alias("component")] if carry else []))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialize
-from .common import slices, summed
+from .common import DROPS, claim, slices, summed
 
 BUCKETS = 1 << 18
 STEM = 5  # letters of a word that count as its beginning
@@ -29,6 +29,7 @@ FLOOR = 0.02  # a sentence up to here is an ordinary one
 PARTS = re.compile(r"[^\W\d_]+|[.!?\n]")
 SENTENCE = re.compile(r"[^.!?\n]*[^\W\d_][^.!?\n]*[.!?]*")
 KNOWN: dict[str, tuple[int, int]] = {}
+DROPS["toxicity"] = KNOWN.clear
 
 
 def buckets(word: str) -> tuple[int, int]:
@@ -85,6 +86,7 @@ class Model:
 def encode(docs: DataFrame) -> DataFrame:
     """(toxic, ids, starts) of labelled texts, one row each."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("toxicity")
         for batch in slices(batches, "text", 1 << 20):
             rows = [sentences(t or "") for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array([np.array(i, "<u4").tobytes() for i, _ in rows], pa.binary()),
@@ -191,6 +193,7 @@ def score(docs: DataFrame, model: Model, spans: bool = False) -> DataFrame:
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("toxicity")
         m = shared.value
         for batch in slices(batches, "text", 1 << 20):
             texts = [t or "" for t in batch.column("text").to_pylist()]

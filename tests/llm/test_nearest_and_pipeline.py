@@ -109,6 +109,37 @@ def test_pipeline_keeps_what_it_cannot_judge(spark, tmp_path):
         assert out.columns == docs.columns and out.count() == docs.count()
 
 
+def test_rows_of_one_id_are_judged_each_by_its_own_text(spark, frame):
+    import corpus_pipeline
+
+    a = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty"
+    near, b = a + " more", "quite another text that is like nothing else in this small collection of rows at all"
+    rows = [(1, a, None, "s"), (3, a, None, "s"), (3, b, None, "s"), (3, b, None, "t"), (4, near, None, "s"), (None, b + " x y", None, "s"), (None, None, None, None), (5, None, None, "s"), (5, "", None, "s"), (None, None, None, None), (6, " ", "x", "s")]
+    out = corpus_pipeline.distinct(spark, frame(rows), "")
+    got = sorted((str(r.doc_id), str(r.text)) for r in out.collect())
+    # B's rows lose to the null id's near copy of B; of the rows with one id and no text one stays.
+    assert got == sorted([("1", a), ("None", b + " x y"), ("None", "None"), ("5", "None"), ("5", ""), ("6", " ")])
+    assert out.columns == frame([]).columns
+    alone = corpus_pipeline.distinct(spark, frame(rows[:3]), "").collect()
+    assert sorted((r.doc_id, r.text) for r in alone) == [(1, a), (3, b)]
+    twins = corpus_pipeline.distinct(spark, frame([(7, a, None, "s"), (7, near, None, "s"), (8, near, None, "s")]), "").collect()
+    assert len(twins) == 1 and twins[0].doc_id == 7
+
+
+def test_pipeline_on_empty_tables_nulls_and_an_unknown_language(spark, frame, tmp_path):
+    import corpus_pipeline
+
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for rows in ([], [(None, None, None, None), (None, None, None, None), (1, "Plain words in a row. And a second sentence.", "en", None), (None, "Other words here, also in a row.", "en", "b")]):
+        docs = frame(rows)
+        for name, stage in corpus_pipeline.STAGES:
+            docs = corpus_pipeline.materialize(stage(spark, docs, str(tmp_path)), f"test-{name}")
+        assert docs.where("doc_id is not null").count() >= (1 if rows else 0) and (rows or docs.count() == 0)
+    english = [(i, f"The cat number {i} sat on the mat and looked at the other cats in the house.", "en", "a") for i in range(50)]
+    mixed = english + [(100, "知らない言語で書かれた文章です、全部この通り。", None, "a"), (101, "12 34 !!", "en", "a")]
+    assert sorted(r.doc_id for r in corpus_pipeline.language(spark, frame(mixed), "").collect()) == [i for i, *_ in english]
+
+
 def test_pipeline_result_holds_the_sequences(spark):
     import corpus_pipeline
     from ehrspark.llm import packing
@@ -124,4 +155,4 @@ def test_pipeline_result_holds_the_sequences(spark):
 def test_registered():
     import __spark_entry__ as e
     names = set(e.queries())
-    assert set(queries.QUERIES) | {"pipeline"} <= names and len([n for n in names if n.startswith("op")]) == 10
+    assert set(queries.QUERIES) | {"pipeline"} <= names and len([n for n in names if n.startswith("op")]) == 13

@@ -54,6 +54,74 @@ def test_added_tokens_encode_as_the_library_does(kind, name):
     assert (49407 if kind == "word" else 50256) in want[0]
 
 
+@pytest.mark.parametrize("kind,name", [("word", "word_bpe_49k.json"), ("byte", "byte_bpe_50k.json")])
+def test_long_texts_are_cut_where_no_chunk_breaks(kind, name, monkeypatch):
+    monkeypatch.setattr(tokens, "PART", 40)
+    enc = tokens.ChunkEncoder(public_tokenizers.path(name), kind)
+    texts = ["A longer text, with  two spaces and\nlines. " * 20, "x" * 300, " " * 100 + "a b", "word " * 50, "", "é, è. " * 40]
+    assert max(len(tokens.parts(t)) for t in texts) > 5
+    assert [np.frombuffer(b, "<u4").tolist() for b in enc.encode(texts)] == [enc.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def brute_licenses(text, known, gap, share):
+    """Labels, spans and score of one text by going through all templates."""
+    words = [w for w in __import__("re").split(licenses.NO_WORD, text.translate(str.maketrans(licenses.UPPER, licenses.LOWER))) if w]
+    pairs = [f"{a} {b}" for a, b in zip(words, words[1:])]
+    spans, best = [], 0.0
+    for label, places in known:
+        diagonals = {}
+        for place, pair in enumerate(pairs):
+            for at, p in places:
+                if p == pair:
+                    diagonals.setdefault(place - at, []).append((place, pair))
+        groups, last = [], None
+        for d in sorted(diagonals, key=lambda d: (d, min(diagonals[d])[0])):
+            low, high = min(diagonals[d])[0], max(diagonals[d])[0]
+            if last and d - last[0] <= gap and low - last[1] <= gap:
+                groups[-1] += diagonals[d]
+            else:
+                groups.append(list(diagonals[d]))
+            last = d, high
+        for g in groups:
+            score = len({p for _, p in g}) / len({p for _, p in places})
+            best = max(best, score)
+            if score >= share:
+                spans.append((min(g)[0], max(g)[0] + 1, label, score))
+    return sorted({s[2] for s in spans}), sorted(spans), best
+
+
+def test_license_labels_and_scores_equal_brute_force(spark, frame):
+    rng = np.random.default_rng(12)
+    vocabulary = [f"w{i}" for i in range(12)]
+    draw = lambda n: [str(w) for w in rng.choice(vocabulary, n)]
+    texts = {tuple(draw(int(rng.integers(9, 16)))): f"t{k}" for k in range(6)}
+    notices = {"n": [" ".join(draw(5))], "m": [" ".join(draw(7))]}
+    docs = []
+    for i in range(60):
+        words = draw(int(rng.integers(0, 30)))
+        for part in [list(list(texts)[i % 6])] + [x[0].split() for x in notices.values()]:
+            part = part[:]
+            if rng.random() < 0.5:
+                part.insert(int(rng.integers(0, len(part))), "new")
+            at = int(rng.integers(0, len(words) + 1))
+            words[at:at] = part
+        docs.append((i, " ".join(words), None, None))
+    docs += [(100, "", None, None), (101, None, None, None)]
+    for common, short in ((None, 8), (2, 3)):
+        counts = Counter(p for words in texts for p in set(zip(words, words[1:])))
+        known = [(label, [(i, f"{a} {b}") for i, (a, b) in enumerate(zip(t.split(), t.split()[1:]))]) for label, ts in notices.items() for t in ts]
+        for words, label in texts.items():
+            places = [(i, f"{a} {b}") for i, (a, b) in enumerate(zip(words, words[1:]))]
+            rare = [(i, p) for i, p in places if common is None or counts[tuple(p.split())] <= common]
+            known.append((label, rare if len({p for _, p in rare}) >= short else places))
+        got = licenses.scan(frame(docs), {}, notices, texts=texts, common=common, short=short).collect()
+        assert len(got) == len(docs)
+        for r in got:
+            labels, spans, score = brute_licenses(dict((d[0], d[1]) for d in docs)[r.doc_id] or "", known, 4, 0.8)
+            assert r.labels == ",".join(labels) and r.score == pytest.approx(score), r
+            assert [(s["first"], s["last"], s["label"]) for s in r.spans] == [s[:3] for s in spans]
+
+
 def test_rans_blocks_round_trip():
     rng = np.random.default_rng(0)
     blocks = [(rng.zipf(1.4, n) % 50_000).astype("<u4") for n in (1, 5, 31, 32, 33, 4096, 4097, 16_384)]
