@@ -25,10 +25,12 @@ def kept(docs: DataFrame, judge: Callable[[DataFrame], DataFrame], good: Column)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Language ID, learnt from the documents' own lang. Texts without a language (null, or no letter) go, and only
-    they, also if no document to learn from has a lang."""
+    """Language ID, learnt from the documents' own lang. Texts without a language go: null, without a letter, or such that
+    their n-grams are less likely in the most likely language than by chance. If no document to learn from has a lang,
+    only null texts and those without a letter go."""
     model = langid.fit(docs, bucket_of(F.col("doc_id")) != 0)
-    return kept(docs, lambda d: langid.predict(d, model, counted=True), F.col("lang_pred") != "und" if model.languages else F.col("n_grams") > 0)
+    spoken = F.col("n_grams") > 0
+    return kept(docs, lambda d: langid.predict(d, model, counted=True), spoken & (F.col("evidence") >= 0) if model.languages else spoken)
 
 
 def harmless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,19 +45,23 @@ def harmless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """MinHash near-duplicates: of each component the document with the least id stays, once.
-
-    Of rows that share an id and a text one stays. Rows with one id and
-    different texts stay or go together.
+    """MinHash near-duplicates: of each component one row stays, that with the least id (null first), of several with that id
+    the one whose text has the least digest. Each row is judged by its own text, whatever else has its id; of rows that
+    share an id and a text one stays.
     """
-    found = neardup.near_duplicates(docs)
-    found = materialize(found.groupBy("doc_id").agg(F.min("kept").alias("kept"), F.count(F.lit(1)).alias("n")).where("not kept or n > 1"), "decided")
-    out = {c: f"_{i}" for i, c in enumerate(docs.columns)}
-    numbered = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in out.items()])
-    same = F.col(out["doc_id"]).cast("long").eqNullSafe(F.col("doc_id"))
-    most = numbered.join(found.select("doc_id"), same, "left_anti")
-    repeated = numbered.join(found.where("kept").select("doc_id"), same, "left_semi").dropDuplicates([out["doc_id"], out["text"]])
-    return most.unionByName(repeated).select(*[F.col(n).alias(c) for c, n in out.items()])
+    names = {c: f"_{i}" for i, c in enumerate(docs.columns)}
+    numbered = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()]).withColumn(
+        "said", F.coalesce(F.sha2(F.col(names["text"]).cast("string").cast("binary"), 256), F.lit("")))
+    judged = neardup.near_duplicates(numbered.select(F.col(names["doc_id"]).alias("doc_id"), F.col(names["text"]).alias("text"), "said"), carry=("said",))
+    rows = materialize(judged.groupBy("doc_id", "said").agg(F.first("component").alias("component"), F.min("kept").alias("kept"), F.count(F.lit(1)).alias("n")), "judged")
+    # Several rows of a component may have its least id.
+    firsts = rows.where("kept and component is not null").groupBy("component").agg(F.min("said").alias("first"), F.count(F.lit(1)).alias("k")).where("k > 1").drop("k")
+    rows = rows.join(firsts, "component", "left").withColumn("kept", F.col("kept") & (F.col("first").isNull() | (F.col("said") == F.col("first"))))
+    decided = materialize(rows.where("not kept or n > 1").select("doc_id", F.col("said").alias("_said"), "kept"), "decided")
+    same = F.col(names["doc_id"]).cast("long").eqNullSafe(F.col("doc_id")) & (F.col("said") == F.col("_said"))
+    most = numbered.join(decided, same, "left_anti")
+    repeated = numbered.join(decided.where("kept"), same, "left_semi").dropDuplicates([names["doc_id"], "said"])
+    return most.unionByName(repeated).select(*[F.col(n).alias(c) for c, n in names.items()])
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
