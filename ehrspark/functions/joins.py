@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, StringType
 
 from ..session import scratch_path
@@ -28,16 +28,16 @@ def measured(df: DataFrame, max_rows: int | None, max_bytes: int | None = None,
     """(``df`` written once and read back, whether it is small enough to broadcast).
 
     A side is computed once, by a job that runs at once while the plan is
-    built and sums rows and bytes, task by task, as they are written; every
-    later use reads the files. ``max_rows`` None: only bytes count.
+    built; its size is summed over the written files by partial aggregation
+    (an observation would leave the session, and with it fitted models, not
+    serializable). Every later use reads the files. ``max_rows`` None: only bytes count.
     """
-    spark, seen = df.sparkSession, Observation()
+    spark = df.sparkSession
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
-    counted = df.observe(seen, F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).alias("size"))
-    counted.write.parquet(path)
+    df.write.parquet(path)
     side = spark.read.schema(df.schema).parquet(path)
-    found = seen.get
-    fits = (max_rows is None or found["n"] <= max_rows) and found["size"] <= (MAX_BROADCAST_BYTES if max_bytes is None else max_bytes)
+    n, size = side.agg(F.count(F.lit(1)), F.sum(_row_bytes(side))).first()
+    fits = (max_rows is None or n <= max_rows) and (size or 0) <= (MAX_BROADCAST_BYTES if max_bytes is None else max_bytes)
     return side, fits
 
 

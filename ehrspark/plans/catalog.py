@@ -233,7 +233,7 @@ def q_prevalence_spearman(spark, sf_dir):
 
 
 def q_prevalence_spearman_test(spark, sf_dir):
-    return stats.spearman_frame(spark, _prevalence(OmopData(spark, sf_dir)), stats.REAL, stats.SYNTH)
+    return rounded(stats.spearman_frame(spark, _prevalence(OmopData(spark, sf_dir)), stats.REAL, stats.SYNTH), P_DIGITS)
 
 
 # -- labels -----------------------------------------------------------------

@@ -147,6 +147,13 @@ tab AS (SELECT condition_concept_id,
         FROM pairs GROUP BY condition_concept_id
         HAVING count(*) FILTER (WHERE is_real) > 0)"""
 
+RANKS_SQL = PREVALENCE_SQL + """,
+rk AS (SELECT CAST(rank() OVER (ORDER BY disease_conut_in_real_patients) AS DOUBLE)
+              + CAST(count(*) OVER (PARTITION BY disease_conut_in_real_patients) - 1 AS DOUBLE) / 2.0 AS ra,
+              CAST(rank() OVER (ORDER BY disease_conut_in_synpuf_patients) AS DOUBLE)
+              + CAST(count(*) OVER (PARTITION BY disease_conut_in_synpuf_patients) - 1 AS DOUBLE) / 2.0 AS rb
+       FROM tab)"""
+
 BINOMIAL_SQL = PREVALENCE_SQL + f""",
 pop AS (SELECT count(*) FILTER (WHERE person_id % 2 = 0) AS n_real,
                count(*) FILTER (WHERE person_id % 2 <> 0) AS n_syn FROM person),
@@ -304,13 +311,18 @@ SELECT round(1.0::DOUBLE - CAST(count(*) FILTER (WHERE synpuf_count IS NULL) AS
   AS overlap_rate FROM overlap""",
     "prevalence_binomial": BINOMIAL_SQL + f"""
 SELECT t.*, round(pv.p_value, {P_ROUND}) AS p_value FROM tab t LEFT JOIN pv USING (condition_concept_id)""",
-    "prevalence_spearman": PREVALENCE_SQL + f""",
-rk AS (SELECT CAST(rank() OVER (ORDER BY disease_conut_in_real_patients) AS DOUBLE)
-              + CAST(count(*) OVER (PARTITION BY disease_conut_in_real_patients) - 1 AS DOUBLE) / 2.0 AS ra,
-              CAST(rank() OVER (ORDER BY disease_conut_in_synpuf_patients) AS DOUBLE)
-              + CAST(count(*) OVER (PARTITION BY disease_conut_in_synpuf_patients) - 1 AS DOUBLE) / 2.0 AS rb
-       FROM tab)
+    "prevalence_spearman": RANKS_SQL + f"""
 SELECT count(*) AS n_rows, round(corr(ra, rb), {ROUND}) AS rho FROM rk""",
+    # Twice the tail of Student's t beyond |t|: with t = sqrt(df) tan(a) the density is that of cos(a)^(df - 1),
+    # which Simpson's rule integrates from a to pi / 2.
+    "prevalence_spearman_test": RANKS_SQL + f""",
+r AS (SELECT count(*) AS n, corr(ra, rb) AS rho FROM rk),
+a AS (SELECT n, rho, n - 2 AS df, atan(abs(rho) / sqrt((1 + rho) * (1 - rho))) AS lo FROM r),
+grid AS (SELECT a.*, k, (pi() / 2 - lo) / 20000 AS h, lo + k * (pi() / 2 - lo) / 20000 AS x,
+                CASE WHEN k IN (0, 20000) THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END AS weight FROM a, range(20001) t(k))
+SELECT n AS n_rows, round(rho, {P_ROUND}) AS rho,
+       round(2 * exp(lgamma((df + 1) / 2.0) - lgamma(df / 2.0)) / sqrt(pi()) * sum(weight * pow(greatest(cos(x), 0.0), df - 1)) * min(h) / 3, {P_ROUND}) AS p_value
+FROM grid GROUP BY n, rho, df""",
     "prediction_dates": DATES_SQL + "\nSELECT * FROM pdates",
     "class_balance": DATES_SQL + "\nSELECT death, count(*) AS n_persons FROM pdates GROUP BY death",
     "last_visits": LAST_SQL + "\nSELECT * FROM lastv",
