@@ -242,11 +242,13 @@ def repair(rows: DataFrame, piece_rows: int = PIECE_ROWS) -> DataFrame:
     named = rows.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role").cast("string"), F.lit(" ")).alias("role"),
                         F.coalesce(F.col("text").cast("string"), F.lit(" ")).alias("text"), gone.alias("gone"))
     said = F.concat_ws("\0", F.coalesce(F.col("conv_id").cast("string"), F.lit(" ")), "role", "text")
-    named = named.withColumn("said", F.when(~F.col("gone"), F.unhex(F.sha2(said, 256)))).withColumn("place", F.monotonically_increasing_id())
+    # A row that is gone says nothing; its place stands in, so that such rows don't share a null key in the join below.
+    place = F.monotonically_increasing_id()
+    named = named.withColumn("place", place).withColumn("said", F.when(~F.col("gone"), F.unhex(F.sha2(said, 256))).otherwise(F.col("place").cast("string").cast("binary")))
     named = materialize(named, "turns")
     # What is said more than once: all but the first are duplicates. One row for each such text, not for each of its copies.
     order = F.struct(F.col("turn").isNotNull(), "turn", "place")
-    first = named.where("said is not null").groupBy("said").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first")).where("n > 1").select("said", "first")
+    first = named.where("not gone").groupBy("said").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first")).where("n > 1").select("said", "first")
     flagged = named.join(first, "said", "left").withColumn("seen", F.col("first").isNotNull() & (order != F.col("first")))
     by = ["conv_id", "turn", "role", "text", "seen", "place"]
     sorted_ = flagged.select("conv_id", "turn", "role", "text", "gone", "seen", "place").repartitionByRange(*by).sortWithinPartitions(*by)
