@@ -1,5 +1,5 @@
-"""Numeric helpers: log-factorial and binomial pmf as Spark columns, and the
-Student-t tail for one scalar statistic."""
+"""Numeric helpers: log-factorial, binomial probabilities and tails as Spark
+columns, and the Student-t tail for one scalar statistic."""
 
 from __future__ import annotations
 
@@ -23,10 +23,55 @@ def log_factorial(m: Column) -> Column:
     return F.when(m <= EXACT_FACTORIAL_MAX, exact).otherwise(stirling)
 
 
+def _stirling_error(m: Column) -> Column:
+    """ln(m!) less Stirling's formula without corrections, for an integer column m ≥ 1."""
+    md = m.cast("double")
+    inv2 = 1 / (md * md)
+    series = (F.lit(1 / 12) - (F.lit(1 / 360) - (F.lit(1 / 1260) - F.lit(1 / 1680) * inv2) * inv2) * inv2) / md
+    exact = log_factorial(F.least(m, F.lit(EXACT_FACTORIAL_MAX))) - ((md + 0.5) * F.log(md) - md + F.lit(0.5 * math.log(2 * math.pi)))
+    return F.when(m <= EXACT_FACTORIAL_MAX, exact).otherwise(series)
+
+
+def _deviance(x: Column, mean: Column) -> Column:
+    """x ln(x / mean) + mean - x for x > 0, without cancellation where x is near the mean."""
+    d = x - mean
+    v = d / (x + mean)
+    v2 = v * v
+    series = F.lit(1 / 21)
+    for j in range(19, 1, -2):      # |v| < 0.1: the next term is below 1e-20
+        series = F.lit(1 / j) + v2 * series
+    return F.when(F.abs(v) < 0.1, d * v + 2 * x * v * v2 * series).otherwise(x * F.log(x / mean) - d)
+
+
 def binomial_log_pmf(k: Column, n: Column, p: Column) -> Column:
-    """ln P(X = k) for X ~ Binomial(n, p), 0 < p < 1."""
-    return (log_factorial(n) - log_factorial(k) - log_factorial(n - k)
-            + k.cast("double") * F.log(p) + (n - k).cast("double") * F.log1p(-p))
+    """ln P(X = k) for X ~ Binomial(n, p), 0 < p < 1, as deviances: its error doesn't grow with n."""
+    kd, nd = k.cast("double"), n.cast("double")
+    inner = (_stirling_error(n) - _stirling_error(k) - _stirling_error(n - k)
+             - _deviance(kd, nd * p) - _deviance(nd - kd, nd * (1 - p))
+             + F.lit(0.5) * F.log(nd / (F.lit(2 * math.pi) * kd * (nd - kd))))
+    return F.when(k <= 0, nd * F.log1p(-p)).when(k >= n, nd * F.log(p)).otherwise(inner)
+
+
+def binomial_lower_tail(k: Column, n: Column, p: Column) -> Column:
+    """P(X ≤ k) for X ~ Binomial(n, p), 0 < p < 1, where k is at most about the mean.
+
+    The tail is an incomplete beta function: the pmf times p times a continued
+    fraction, whose 2·√variance + 60 pairs of terms are evaluated from the
+    last to the first. k < 0 gives 0, k ≥ n gives 1.
+    """
+    a, b = (n - k).cast("double"), (k + 1).cast("double")
+    x = 1 - p
+
+    def term(f: Column, j: Column) -> Column:
+        m = F.floor(j / 2).cast("double")
+        even = m * (b - m) / ((a + 2 * m - 1) * (a + 2 * m))
+        odd = -((a + m) * (a + b + m)) / ((a + 2 * m) * (a + 2 * m + 1))
+        return 1 + F.when(j % 2 == 0, even).otherwise(odd) * x / f
+
+    pairs = F.ceil(2 * F.sqrt(n.cast("double") * p * x)).cast("int") + 60
+    fraction = F.aggregate(F.sequence(2 * pairs, F.lit(1), F.lit(-1)), F.lit(1.0), term)
+    return (F.when(k < 0, F.lit(0.0)).when(k >= n, F.lit(1.0))
+            .otherwise(F.exp(binomial_log_pmf(k, n, p)) * p / fraction))
 
 
 def _beta_continued_fraction(a: float, b: float, x: float) -> float:

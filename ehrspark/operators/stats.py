@@ -4,12 +4,10 @@ from __future__ import annotations
 
 import math
 
-from pyspark import StorageLevel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.mathfn import binomial_log_pmf, student_t_two_sided_p
+from ..functions.mathfn import binomial_log_pmf, binomial_lower_tail, student_t_two_sided_p
+from .ranks import rank_correlation
 
 CONCEPT = "condition_concept_id"
 REAL = "disease_conut_in_real_patients"     # column names as in the reference
@@ -17,11 +15,6 @@ SYNTH = "disease_conut_in_synpuf_patients"
 
 # scipy's relative tolerance for "as likely as the observed count".
 PMF_RTOL = 1 + 1e-7
-# Half-width of the summed band around n·p in units of √n. Beyond 19.2·√n
-# every pmf term is below 1e-320 (Hoeffding: pmf ≤ exp(-2(k-np)²/n)), i.e. it
-# is zero in double precision, so the band sum equals the full sum.
-BAND_SQRT_N = 20.0
-
 
 def population_of(person_id: Column) -> Column:
     """Fixture split: even ids are the real population, odd ids the synthetic one."""
@@ -44,40 +37,48 @@ def disease_counts(conditions: DataFrame, is_real: Column) -> DataFrame:
             .where(F.col(REAL) > 0))
 
 
+def _bisected(lo: Column, hi: Column, holds) -> Column:
+    """The least k in [lo, hi] for which ``holds(k)`` is true, where it is true from some k on; hi + 1 if for none."""
+    bounds = F.struct(lo.cast("bigint").alias("lo"), (hi + 1).cast("bigint").alias("hi"))
+
+    def step(s: Column, _: Column) -> Column:
+        mid = s["lo"] + F.floor((s["hi"] - s["lo"]) / 2).cast("bigint")
+        closed, true = s["lo"] >= s["hi"], holds(mid)
+        return F.struct(F.when(closed | true, s["lo"]).otherwise(mid + 1).alias("lo"), F.when(closed | ~true, s["hi"]).otherwise(mid).alias("hi"))
+
+    steps = F.ceil(F.log2(F.greatest(hi - lo + 2, F.lit(2)).cast("double"))).cast("int") + 1
+    return F.aggregate(F.sequence(F.lit(1), steps), bounds, step, lambda s: s["lo"])
+
+
 def binomial_p_values(tests: DataFrame, key: str, x: str = "x", n: str = "n", p: str = "p") -> DataFrame:
     """Exact two-sided binomial test per row: (key, p_value).
 
     Same rule as the usual exact test: sum the probabilities of all outcomes
     no more likely than the observed one (relative tolerance 1e-7), the tail
-    on the observed side in full. Each test explodes its band of outcomes
-    around n·p (O(√n) rows, see ``BAND_SQRT_N``) and the sums are grouped
-    back per test, so the work is spread over tasks by test key.
+    on the observed side in full. A test stays one row: the opposite tail's
+    first outcome is found by bisection of the pmf, and both tails are
+    incomplete beta functions. Nulls give null; p of 0 or 1 gives 0 unless x
+    is the mean; x outside 0..n has probability 0.
     """
-    prepared = (tests.select(key, F.col(x).cast("bigint").alias("_x"), F.col(n).cast("bigint").alias("_n"),
-                             F.col(p).cast("double").alias("_p"))
-                .withColumn("_mean", F.col("_n").cast("double") * F.col("_p"))
-                .withColumn("_d", F.exp(binomial_log_pmf(F.col("_x"), F.col("_n"), F.col("_p")))))
-    width = F.ceil(F.lit(BAND_SQRT_N) * F.sqrt(F.col("_n").cast("double"))) + 2
-    lo = F.greatest(F.lit(0).cast("bigint"), F.floor(F.col("_mean") - width).cast("bigint"))
-    hi = F.least(F.col("_n"), F.ceil(F.col("_mean") + width).cast("bigint"))
-    grid = (prepared.where((F.col("_p") > 0) & (F.col("_p") < 1))
-            .repartition(key)
-            .select("*", F.explode(F.sequence(lo, hi)).alias("_k"))
-            .withColumn("_pmf", F.exp(binomial_log_pmf(F.col("_k"), F.col("_n"), F.col("_p")))))
-    k, m, xx = F.col("_k"), F.col("_mean"), F.col("_x")
-    rare = F.col("_pmf") <= F.col("_d") * F.lit(PMF_RTOL)
-    below = (k <= xx) | ((k >= F.ceil(m)) & rare)
-    above = ((k <= F.floor(m)) & rare) | (k >= xx)
-    term = F.when(xx.cast("double") < m, F.when(below, F.col("_pmf"))).otherwise(F.when(above, F.col("_pmf")))
-    sums = grid.groupBy(key).agg(F.coalesce(F.sum(term), F.lit(0.0)).alias("_s"))
-    exact_mean = F.col("_x").cast("double") == F.col("_mean")
-    degenerate = (F.col("_p") <= 0) | (F.col("_p") >= 1)
-    return (prepared.join(sums, key, "left")
-            .select(key, F.when(F.col("_p").isNull() | F.col("_n").isNull() | F.col("_x").isNull(), F.lit(None))
-                    .when(exact_mean, F.lit(1.0))
-                    .when(degenerate, F.lit(0.0))
-                    .otherwise(F.least(F.lit(1.0), F.coalesce(F.col("_s"), F.lit(0.0))))
-                    .alias("p_value")))
+    rows = (tests.select(key, F.col(x).cast("bigint").alias("_x"), F.col(n).cast("bigint").alias("_n"),
+                         F.col(p).cast("double").alias("_p"))
+            .withColumn("_mean", F.col("_n").cast("double") * F.col("_p")))
+    regular = (F.col("_p") > 0) & (F.col("_p") < 1) & F.col("_x").between(0, F.col("_n")) & (F.col("_x").cast("double") != F.col("_mean"))
+    # Seen from the side on which x is below the mean: the other side mirrors k to n - k and p to 1 - p.
+    mirrored = F.col("_x").cast("double") > F.col("_mean")
+    rows = (rows.select(key, "_x", "_n", "_p", "_mean", regular.alias("_regular"),
+                        F.when(mirrored, F.col("_n") - F.col("_x")).otherwise(F.col("_x")).alias("_low"),
+                        F.when(mirrored, 1 - F.col("_p")).otherwise(F.col("_p")).alias("_q"))
+            .withColumn("_limit", F.when(F.col("_regular"), binomial_log_pmf(F.col("_low"), F.col("_n"), F.col("_q")) + F.lit(math.log(PMF_RTOL)))))
+    # The mirrored mean is the mean's mirror: 1 - p loses digits that n would magnify.
+    other_mean = F.when(mirrored, F.col("_n").cast("double") - F.col("_mean")).otherwise(F.col("_mean"))
+    first = _bisected(F.ceil(other_mean), F.col("_n"), lambda k: binomial_log_pmf(k, F.col("_n"), F.col("_q")) <= F.col("_limit"))
+    rows = rows.withColumn("_first", F.when(F.col("_regular"), first))
+    own = binomial_lower_tail(F.col("_low"), F.col("_n"), F.col("_q"))
+    opposite = binomial_lower_tail(F.col("_n") - F.col("_first"), F.col("_n"), 1 - F.col("_q"))
+    unknown = F.col("_p").isNull() | F.col("_n").isNull() | F.col("_x").isNull()
+    return rows.select(key, F.when(unknown, F.lit(None)).when(F.col("_x").cast("double") == F.col("_mean"), F.lit(1.0))
+                       .when(F.col("_regular"), F.least(F.lit(1.0), own + opposite)).otherwise(F.lit(0.0)).alias("p_value"))
 
 
 def prevalence_binomial(table: DataFrame, n_synthetic: Column, n_real: Column, k: int = 10) -> DataFrame:
@@ -97,16 +98,12 @@ def prevalence_binomial(table: DataFrame, n_synthetic: Column, n_real: Column, k
 def spearman(df: DataFrame, a: str, b: str) -> tuple[float, float, int]:
     """Spearman's rho between two columns, its two-sided p-value and n.
 
-    Ranks (ties averaged) and the correlation come from Spark ML's
-    distributed Spearman; only the 2×2 result matrix reaches the driver.
-    The p-value uses the t statistic with n - 2 degrees of freedom.
+    Ranks (ties averaged) come from distributed histograms, see ``ranks``;
+    the driver gets n and rho alone. Rows with a null on either side don't
+    count. The p-value uses the t statistic with n - 2 degrees of freedom.
     """
-    vec = VectorAssembler(inputCols=[a, b], outputCol="_v").transform(
-        df.select(F.col(a).cast("double").alias(a), F.col(b).cast("double").alias(b)))
-    vec = vec.persist(StorageLevel.MEMORY_AND_DISK)      # read by the count and the correlation
-    n = vec.count()
-    rho = float(Correlation.corr(vec, "_v", "spearman").head()[0][0, 1])
-    vec.unpersist()
+    got = rank_correlation(df, a, b).first()
+    n, rho = got["n_rows"], float("nan") if got["rho"] is None else got["rho"]
     if n <= 2 or math.isnan(rho):
         return rho, float("nan"), n
     if abs(rho) >= 1.0:
