@@ -1,5 +1,4 @@
-"""Numeric helpers: log-factorial, binomial probabilities and tails as Spark
-columns, and the Student-t tail for one scalar statistic."""
+"""Numeric helpers: log-factorial as a Spark column, binomial probabilities and tails as SQL, and the Student-t tail for one scalar statistic."""
 
 from __future__ import annotations
 
@@ -23,55 +22,50 @@ def log_factorial(m: Column) -> Column:
     return F.when(m <= EXACT_FACTORIAL_MAX, exact).otherwise(stirling)
 
 
-def _stirling_error(m: Column) -> Column:
-    """ln(m!) less Stirling's formula without corrections, for an integer column m ≥ 1."""
-    md = m.cast("double")
-    inv2 = 1 / (md * md)
-    series = (F.lit(1 / 12) - (F.lit(1 / 360) - (F.lit(1 / 1260) - F.lit(1 / 1680) * inv2) * inv2) * inv2) / md
-    exact = log_factorial(F.least(m, F.lit(EXACT_FACTORIAL_MAX))) - ((md + 0.5) * F.log(md) - md + F.lit(0.5 * math.log(2 * math.pi)))
-    return F.when(m <= EXACT_FACTORIAL_MAX, exact).otherwise(series)
+# The following are SQL texts over texts: a test mentions the pmf several times,
+# and hundreds of Column calls take longer to build than the test to run.
+
+def _stirling_error(m: str) -> str:
+    """ln(m!) less Stirling's formula without corrections, for an integer m ≥ 1."""
+    d, small = f"CAST({m} AS DOUBLE)", f"CAST(LEAST({m}, {EXACT_FACTORIAL_MAX}) AS INT)"
+    inv2 = f"(1 / ({d} * {d}))"
+    series = f"({1 / 12!r}D - ({1 / 360!r}D - ({1 / 1260!r}D - {1 / 1680!r}D * {inv2}) * {inv2}) * {inv2}) / {d}"
+    exact = f"ln(CAST(factorial({small}) AS DOUBLE)) - (({d} + 0.5D) * ln({d}) - {d} + {0.5 * math.log(2 * math.pi)!r}D)"
+    return f"CASE WHEN {m} <= {EXACT_FACTORIAL_MAX} THEN {exact} ELSE {series} END"
 
 
-def _deviance(x: Column, mean: Column) -> Column:
+def _deviance(x: str, mean: str) -> str:
     """x ln(x / mean) + mean - x for x > 0, without cancellation where x is near the mean."""
-    d = x - mean
-    v = d / (x + mean)
-    v2 = v * v
-    series = F.lit(1 / 21)
+    v = f"(({x} - {mean}) / ({x} + {mean}))"
+    series = f"{1 / 21!r}D"
     for j in range(19, 1, -2):      # |v| < 0.1: the next term is below 1e-20
-        series = F.lit(1 / j) + v2 * series
-    return F.when(F.abs(v) < 0.1, d * v + 2 * x * v * v2 * series).otherwise(x * F.log(x / mean) - d)
+        series = f"({1 / j!r}D + {v} * {v} * {series})"
+    return (f"CASE WHEN abs({v}) < 0.1D THEN ({x} - {mean}) * {v} + 2 * {x} * {v} * {v} * {v} * {series} "
+            f"ELSE {x} * ln({x} / {mean}) - ({x} - {mean}) END")
 
 
-def binomial_log_pmf(k: Column, n: Column, p: Column) -> Column:
+def binomial_log_pmf(k: str, n: str, p: str) -> str:
     """ln P(X = k) for X ~ Binomial(n, p), 0 < p < 1, as deviances: its error doesn't grow with n."""
-    kd, nd = k.cast("double"), n.cast("double")
-    inner = (_stirling_error(n) - _stirling_error(k) - _stirling_error(n - k)
-             - _deviance(kd, nd * p) - _deviance(nd - kd, nd * (1 - p))
-             + F.lit(0.5) * F.log(nd / (F.lit(2 * math.pi) * kd * (nd - kd))))
-    return F.when(k <= 0, nd * F.log1p(-p)).when(k >= n, nd * F.log(p)).otherwise(inner)
+    kd, nd, rest = f"CAST({k} AS DOUBLE)", f"CAST({n} AS DOUBLE)", f"({n} - {k})"
+    inner = (f"({_stirling_error(n)}) - ({_stirling_error(k)}) - ({_stirling_error(rest)})"
+             f" - ({_deviance(kd, f'({nd} * {p})')}) - ({_deviance(f'({nd} - {kd})', f'({nd} * (1 - {p}))')})"
+             f" + 0.5D * ln({nd} / ({2 * math.pi!r}D * {kd} * ({nd} - {kd})))")
+    return f"CASE WHEN {k} <= 0 THEN {nd} * log1p(-{p}) WHEN {k} >= {n} THEN {nd} * ln({p}) ELSE {inner} END"
 
 
-def binomial_lower_tail(k: Column, n: Column, p: Column) -> Column:
+def binomial_lower_tail(k: str, n: str, p: str) -> str:
     """P(X ≤ k) for X ~ Binomial(n, p), 0 < p < 1, where k is at most about the mean.
 
     The tail is an incomplete beta function: the pmf times p times a continued
     fraction, whose 2·√variance + 60 pairs of terms are evaluated from the
     last to the first. k < 0 gives 0, k ≥ n gives 1.
     """
-    a, b = (n - k).cast("double"), (k + 1).cast("double")
-    x = 1 - p
-
-    def term(f: Column, j: Column) -> Column:
-        m = F.floor(j / 2).cast("double")
-        even = m * (b - m) / ((a + 2 * m - 1) * (a + 2 * m))
-        odd = -((a + m) * (a + b + m)) / ((a + 2 * m) * (a + 2 * m + 1))
-        return 1 + F.when(j % 2 == 0, even).otherwise(odd) * x / f
-
-    pairs = F.ceil(2 * F.sqrt(n.cast("double") * p * x)).cast("int") + 60
-    fraction = F.aggregate(F.sequence(2 * pairs, F.lit(1), F.lit(-1)), F.lit(1.0), term)
-    return (F.when(k < 0, F.lit(0.0)).when(k >= n, F.lit(1.0))
-            .otherwise(F.exp(binomial_log_pmf(k, n, p)) * p / fraction))
+    a, b, m = f"CAST({n} - {k} AS DOUBLE)", f"CAST({k} + 1 AS DOUBLE)", "CAST(j DIV 2 AS DOUBLE)"
+    even = f"{m} * ({b} - {m}) / (({a} + 2 * {m} - 1) * ({a} + 2 * {m}))"
+    odd = f"-(({a} + {m}) * ({a} + {b} + {m})) / (({a} + 2 * {m}) * ({a} + 2 * {m} + 1))"
+    last = f"2 * (CAST(ceil(2 * sqrt(CAST({n} AS DOUBLE) * {p} * (1 - {p}))) AS INT) + 60)"
+    fraction = f"aggregate(sequence({last}, 1, -1), 1D, (f, j) -> 1 + CASE WHEN j % 2 = 0 THEN {even} ELSE {odd} END * (1 - {p}) / f)"
+    return f"CASE WHEN {k} < 0 THEN 0D WHEN {k} >= {n} THEN 1D ELSE exp({binomial_log_pmf(k, n, p)}) * {p} / {fraction} END"
 
 
 def _beta_continued_fraction(a: float, b: float, x: float) -> float:

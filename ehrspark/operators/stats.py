@@ -37,17 +37,14 @@ def disease_counts(conditions: DataFrame, is_real: Column) -> DataFrame:
             .where(F.col(REAL) > 0))
 
 
-def _bisected(lo: Column, hi: Column, holds) -> Column:
-    """The least k in [lo, hi] for which ``holds(k)`` is true, where it is true from some k on; hi + 1 if for none."""
-    bounds = F.struct(lo.cast("bigint").alias("lo"), (hi + 1).cast("bigint").alias("hi"))
-
-    def step(s: Column, _: Column) -> Column:
-        mid = s["lo"] + F.floor((s["hi"] - s["lo"]) / 2).cast("bigint")
-        closed, true = s["lo"] >= s["hi"], holds(mid)
-        return F.struct(F.when(closed | true, s["lo"]).otherwise(mid + 1).alias("lo"), F.when(closed | ~true, s["hi"]).otherwise(mid).alias("hi"))
-
-    steps = F.ceil(F.log2(F.greatest(hi - lo + 2, F.lit(2)).cast("double"))).cast("int") + 1
-    return F.aggregate(F.sequence(F.lit(1), steps), bounds, step, lambda s: s["lo"])
+def _bisected(lo: str, hi: str, holds: str) -> str:
+    """SQL: the least k in [lo, hi] for which ``holds`` (SQL over ``{k}``) is true, where it is true from some k on; hi + 1 if for none."""
+    steps = f"sequence(1, CAST(ceil(log2(CAST(greatest({hi} - {lo} + 2, 2) AS DOUBLE))) AS INT) + 1)"
+    middle = "s.lo + (s.hi - s.lo) DIV 2"
+    half = holds.replace("{k}", f"({middle})")
+    step = (f"CASE WHEN s.lo >= s.hi THEN s WHEN {half} THEN named_struct('lo', s.lo, 'hi', {middle})"
+            f" ELSE named_struct('lo', {middle} + 1, 'hi', s.hi) END")
+    return f"aggregate({steps}, named_struct('lo', CAST({lo} AS BIGINT), 'hi', CAST({hi} + 1 AS BIGINT)), (s, i) -> {step}, s -> s.lo)"
 
 
 def binomial_p_values(tests: DataFrame, key: str, x: str = "x", n: str = "n", p: str = "p") -> DataFrame:
@@ -64,18 +61,17 @@ def binomial_p_values(tests: DataFrame, key: str, x: str = "x", n: str = "n", p:
                          F.col(p).cast("double").alias("_p"))
             .withColumn("_mean", F.col("_n").cast("double") * F.col("_p")))
     regular = (F.col("_p") > 0) & (F.col("_p") < 1) & F.col("_x").between(0, F.col("_n")) & (F.col("_x").cast("double") != F.col("_mean"))
-    # Seen from the side on which x is below the mean: the other side mirrors k to n - k and p to 1 - p.
+    # Seen from the side on which x is below the mean: the other side mirrors k to n - k and p to 1 - p. The
+    # mirrored mean is the mean's mirror, as 1 - p loses digits that n would magnify.
     mirrored = F.col("_x").cast("double") > F.col("_mean")
     rows = (rows.select(key, "_x", "_n", "_p", "_mean", regular.alias("_regular"),
                         F.when(mirrored, F.col("_n") - F.col("_x")).otherwise(F.col("_x")).alias("_low"),
-                        F.when(mirrored, 1 - F.col("_p")).otherwise(F.col("_p")).alias("_q"))
-            .withColumn("_limit", F.when(F.col("_regular"), binomial_log_pmf(F.col("_low"), F.col("_n"), F.col("_q")) + F.lit(math.log(PMF_RTOL)))))
-    # The mirrored mean is the mean's mirror: 1 - p loses digits that n would magnify.
-    other_mean = F.when(mirrored, F.col("_n").cast("double") - F.col("_mean")).otherwise(F.col("_mean"))
-    first = _bisected(F.ceil(other_mean), F.col("_n"), lambda k: binomial_log_pmf(k, F.col("_n"), F.col("_q")) <= F.col("_limit"))
-    rows = rows.withColumn("_first", F.when(F.col("_regular"), first))
-    own = binomial_lower_tail(F.col("_low"), F.col("_n"), F.col("_q"))
-    opposite = binomial_lower_tail(F.col("_n") - F.col("_first"), F.col("_n"), 1 - F.col("_q"))
+                        F.when(mirrored, 1 - F.col("_p")).otherwise(F.col("_p")).alias("_q"),
+                        F.ceil(F.when(mirrored, F.col("_n").cast("double") - F.col("_mean")).otherwise(F.col("_mean"))).alias("_from"))
+            .withColumn("_limit", F.expr(f"CASE WHEN _regular THEN {binomial_log_pmf('_low', '_n', '_q')} + {math.log(PMF_RTOL)!r}D END")))
+    first = _bisected("_from", "_n", f"{binomial_log_pmf('{k}', '_n', '_q')} <= _limit")
+    rows = rows.withColumn("_first", F.expr(f"CASE WHEN _regular THEN _n - {first} END"))
+    own, opposite = F.expr(binomial_lower_tail("_low", "_n", "_q")), F.expr(binomial_lower_tail("_first", "_n", "(1 - _q)"))
     unknown = F.col("_p").isNull() | F.col("_n").isNull() | F.col("_x").isNull()
     return rows.select(key, F.when(unknown, F.lit(None)).when(F.col("_x").cast("double") == F.col("_mean"), F.lit(1.0))
                        .when(F.col("_regular"), F.least(F.lit(1.0), own + opposite)).otherwise(F.lit(0.0)).alias("p_value"))
