@@ -4,8 +4,8 @@ Vectors are cut into blocks of rows and rounded to int8. A tile is one block
 of queries against one block of candidates: the product of the int8 matrices,
 with a bound on what the rounding can hide, says which pairs may be among the
 k nearest; only those are recomputed from the original vectors, in double
-precision. A task keeps a heap for each query over its tiles; the heaps of
-all tasks are merged at the end.
+precision. Tiles are made where a cell's blocks meet (``cells``). A task keeps
+a heap for each query over its tiles; the heaps of all tasks are merged at the end.
 
 Every row takes part, so recall is 1. Copies of one vector tie, and only the
 first k + 1 by id of them can be among the k nearest: a block keeps no more.
@@ -14,6 +14,7 @@ first k + 1 by id of them can be among the k nearest: a block keeps no more.
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -75,9 +76,9 @@ def products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     return out
 
 
-def tile(row: dict, prefix: str) -> tuple[np.ndarray, ...]:
-    ids, v = np.frombuffer(row[f"{prefix}_ids"], "<i8"), np.frombuffer(row[f"{prefix}_vectors"])
-    return ids, np.frombuffer(row[f"{prefix}_small"], np.int8).reshape(len(ids), -1).astype(np.float32), np.frombuffer(row[f"{prefix}_scale"]), np.frombuffer(row[f"{prefix}_lost"]), v.reshape(len(ids), -1)
+def tile(row: dict) -> tuple[np.ndarray, ...]:
+    ids, v = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["vectors"])
+    return ids, np.frombuffer(row["small"], np.int8).reshape(len(ids), -1).astype(np.float32), np.frombuffer(row["scale"]), np.frombuffer(row["lost"]), v.reshape(len(ids), -1)
 
 
 def survivors(query: tuple, candidate: tuple, k: int, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -102,12 +103,29 @@ def survivors(query: tuple, candidate: tuple, k: int, floor: np.ndarray) -> tupl
     return np.nonzero((near + bound >= floor[:, None]) & (near > -np.inf))
 
 
-def nearest(vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding", query_rows: int = 1024, candidate_rows: int = 8192, stripes: int = 4) -> DataFrame:
+def cells(left: DataFrame, right: DataFrame, n_groups: int, n_stripes: int) -> DataFrame:
+    """Blocks of queries (``kind`` 0) and of candidates (1), dealt to the cells of a grid.
+
+    A cell is a group of query blocks against a stripe of candidate blocks: a
+    block of queries is sent once for each stripe, a block of candidates once
+    for each group. A partition has a cell's queries before its candidates.
+    """
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    names = left.columns
+    asked = left.select(F.lit(0).alias("kind"), (F.col("block") % n_groups).cast("int").alias("grp"), every(n_stripes).alias("stripe"), *names)
+    given = right.select(F.lit(1).alias("kind"), every(n_groups).alias("grp"), (F.col("block") % n_stripes).cast("int").alias("stripe"), *names)
+    return asked.unionByName(given).repartition("dim", "grp", "stripe").sortWithinPartitions("dim", "grp", "stripe", "kind", "block")
+
+
+def nearest(vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding", query_rows: int = 1024, candidate_rows: int = 8192, held_blocks: int = 16) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest other rows of each row where ``queries`` (over ``vec_id``) holds.
 
     Nearest: largest inner product, ties to the smaller id; all candidates if
     there are fewer than k. Only vectors of the query's length are candidates.
-    ``stripes``: candidate blocks that one task takes for a block of queries.
+    The grid has about as many groups and stripes as the square roots of the
+    numbers of blocks, so what is sent grows with n to the 1.5; a task holds
+    at most about ``held_blocks`` blocks of queries and one of candidates, beyond
+    which there are more groups.
     """
     spark = vectors.sparkSession
     rows = materialize(usable(vectors, id_col, vec_col), "vectors")
@@ -116,41 +134,41 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "vec
     n_query, n_candidate = max(1, -(-n_asked // query_rows)), max(1, -(-n // candidate_rows))
     left = materialize(blocks(asked, n_query, None), "queries")
     right = materialize(blocks(rows, n_candidate, k + 1), "candidates")
-    side = lambda df, p: df.select(F.col("dim"), *[F.col(c).alias(f"{p}_{c}") for c in df.columns if c != "dim"])
-    stripe = F.floor(F.col("c_block") / stripes)
-    every = F.explode(F.sequence(F.lit(0), F.lit(-(-n_candidate // stripes) - 1)))
-    tiles = side(left, "q").withColumn("stripe", every).join(side(right, "c").withColumn("stripe", stripe), ["dim", "stripe"])
+    root = lambda m: math.isqrt(m - 1) + 1  # noqa: E731  (rounded up)
+    n_groups, n_stripes = max(root(n_query), -(-n_query // held_blocks)), root(n_candidate)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Rows of a task come sorted by the block of queries: one set of heaps is held at a time.
-        block, query, heaps = None, (), []
+        # Rows come by cell, queries first: the queries and heaps of one cell are held at a time.
+        cell, held = None, []
 
         def result() -> Iterator[pa.RecordBatch]:
-            found = [(int(q), -i, s) for q, heap in zip(query[0], heaps) for s, i in heap]
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), FOUND.types)], schema=FOUND)
+            for query, heaps in held:
+                found = [(int(q), -i, s) for q, heap in zip(query[0], heaps) for s, i in heap]
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), FOUND.types)], schema=FOUND)
 
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
-                if block != (row["dim"], row["q_block"]):
-                    if block:
-                        yield from result()
-                    block, query = (row["dim"], row["q_block"]), tile(row, "q")
-                    heaps = [[] for _ in query[0]]
-                candidate = tile(row, "c")
-                floor = np.array([h[0][0] if len(h) == k else -np.inf for h in heaps])
-                a, b = survivors(query, candidate, k, floor)
-                for start in range(0, len(a), 1 << 16):
-                    x, y = a[start : start + (1 << 16)], b[start : start + (1 << 16)]
-                    for at, s, c in zip(x.tolist(), products(query[4][x], candidate[4][y]).tolist(), candidate[0][y].tolist()):
-                        if len(heaps[at]) < k:
-                            heapq.heappush(heaps[at], (s, -c))
-                        elif (s, -c) > heaps[at][0]:
-                            heapq.heapreplace(heaps[at], (s, -c))
-        if block:
-            yield from result()
-
-    found = (tiles.repartition("dim", "stripe", "q_block").sortWithinPartitions("dim", "q_block", "c_block").mapInArrow(run, "query_id long, vec_id long, score double"))
+                if cell != (cell := (row["dim"], row["grp"], row["stripe"])):
+                    yield from result()
+                    held = []
+                block = tile(row)
+                if row["kind"] == 0:
+                    held.append((block, [[] for _ in block[0]]))
+                    continue
+                for query, heaps in held:
+                    floor = np.array([h[0][0] if len(h) == k else -np.inf for h in heaps])
+                    a, b = survivors(query, block, k, floor)
+                    for start in range(0, len(a), 1 << 16):
+                        x, y = a[start : start + (1 << 16)], b[start : start + (1 << 16)]
+                        for at, s, c in zip(x.tolist(), products(query[4][x], block[4][y]).tolist(), block[0][y].tolist()):
+                            if len(heaps[at]) < k:
+                                heapq.heappush(heaps[at], (s, -c))
+                            elif (s, -c) > heaps[at][0]:
+                                heapq.heapreplace(heaps[at], (s, -c))
+        yield from result()
+
+    found = cells(left, right, n_groups, n_stripes).mapInArrow(run, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

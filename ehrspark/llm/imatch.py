@@ -8,14 +8,15 @@ signatures of few terms, which survive edits elsewhere. The likeness of two
 fingerprints is the share of equal signatures among those that either has.
 
 The band's ends are shares of the documents, so the lexicon has at most
-(mean distinct terms) / ``least`` terms, however many documents there are, and
-is broadcast.
+(mean distinct terms) / ``least`` terms, however many documents there are. It
+is broadcast up to 20 million terms and 512 MB, and joined by a shuffle beyond.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.joins import broadcast_if_small
 from ..session import materialize
 from .common import documents
 
@@ -72,51 +73,66 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def ordered_buckets(docs: DataFrame, n: int) -> DataFrame:
-    """``docs`` with ``ord`` (the id; null is least) and ``bucket``: ranges of ``ord`` with about equal numbers of
-    rows. Buckets depend on quantiles of the ids, found in one pass; ``n`` bounds numbers, not rows."""
-    docs = docs.withColumn("ord", F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))))
-    ends = docs.agg(F.percentile_approx("ord", [(i + 1) / n for i in range(n - 1)] or [1.0], 20 * n)).first()[0] or []
-    ends = sorted(set(ends))
+    """``docs`` with ``ord`` (the id; null is least), ``t`` (the text's hash) and ``bucket``: ranges of (ord, t) with
+    about equal numbers of rows, numbered in their order.
+
+    Buckets depend on quantiles of the ids, found in one pass; ``n`` bounds
+    their number, not their rows. An id at which several quantiles lie (null
+    ids, say) is split by the hash into as many buckets.
+    """
+    docs = docs.withColumn("ord", F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))).withColumn("t", F.xxhash64("text"))
+    found = docs.agg(F.percentile_approx("ord", [(i + 1) / n for i in range(n - 1)] or [1.0], 20 * n)).first()[0] or []
+    ends = sorted(set(found))
     if not ends:
         return docs.withColumn("bucket", F.lit(0))
     steps = F.array(*[F.lit(1 << k) for k in range(len(ends).bit_length() - 1, -1, -1)])
     limits = F.lit(ends).cast("array<bigint>")
     # Binary search: the number of ends below ord.
-    bucket = F.aggregate(steps, F.lit(0), lambda lo, s: F.when((lo + s <= len(ends)) & (F.try_element_at(limits, lo + s) < F.col("ord")), lo + s).otherwise(lo))
-    return docs.withColumn("bucket", bucket)
-
-
-def heads_after(first: DataFrame, value: str) -> DataFrame:
-    """(bucket, after): the first ``value`` of the next bucket that has rows, after the last that of the first. A row for each bucket."""
+    below = F.aggregate(steps, F.lit(0), lambda lo, s: F.when((lo + s <= len(ends)) & (F.try_element_at(limits, lo + s) < F.col("ord")), lo + s).otherwise(lo))
+    docs = docs.withColumn("_range", below)
+    # Of a range, ids before its end come first, then those of an end that is met several times, by their hash.
+    times = F.lit([found.count(e) for e in ends] + [1])
+    parts = F.try_element_at(times, F.col("_range") + 1)
+    share = F.col("t").cast("double") / float(1 << 64) + 0.5
+    at_end = F.col("ord") == F.coalesce(F.try_element_at(limits, F.col("_range") + 1), F.lit(None))
+    sub = F.when(at_end & (parts > 1), 1 + F.least(F.floor(share * parts).cast("int"), parts - 1)).otherwise(0)
+    return docs.withColumn("bucket", F.col("_range").cast("long") * (n + 1) + sub).drop("_range")
+
+
+def next_buckets(buckets: DataFrame) -> DataFrame:
+    """(bucket, next_bucket): for each bucket that has rows the one after it, after the last the first. A short row for each bucket."""
     order = Window.orderBy("bucket")
-    wrapped = F.first(value).over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    return first.select("bucket", F.coalesce(F.lead(value).over(order), wrapped).alias("after"))
+    wrapped = F.first("bucket").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    return buckets.select("bucket", F.coalesce(F.lead("bucket").over(order), wrapped).alias("next_bucket"))
 
 
-def fingerprints(docs: DataFrame, least: float = 0.0005, most: float = 0.02) -> DataFrame:
+def fingerprints(docs: DataFrame, least: float = 0.0005, most: float = 0.02, most_buckets: int = 20_000) -> DataFrame:
     """doc_id, n_chars, fingerprint of each text; of its edited text edited_sha256 and edited_fingerprint; near_edited and near_next.
 
     The edited text's last half is the beginning of the next document's text,
     by ascending id, after the last the first. A null text is empty. Rows that
-    share an id go in the order of their texts; a document alone follows itself.
+    share an id go in the order of their texts' hashes; a document alone follows
+    itself. Documents are dealt to at most ``most_buckets`` ranges of the order.
     """
     spark = docs.sparkSession
     docs = documents(docs)
     words = lexicon(docs, least, most).unionByName(spark.sql("select '' as term, cast(null as bigint) as h"))
-    words = materialize(words, "lexicon")
-    n = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = ordered_buckets(docs, n).withColumn("t", F.xxhash64("text"))
-
-    # The first text of each bucket follows the last one of the bucket before.
-    least_of = materialize(placed.groupBy("bucket").agg(F.min("ord").alias("ord")), "heads")  # a row for each bucket
-    firsts = placed.join(F.broadcast(least_of), ["bucket", "ord"])
-    firsts = firsts.withColumn("k", F.row_number().over(Window.partitionBy("bucket").orderBy("t", "text"))).where("k = 1")
-    after = F.broadcast(heads_after(firsts, "text"))
-    in_order = Window.partitionBy("bucket").orderBy("ord", "t", "text")
+    words = broadcast_if_small(words, 20_000_000)
+    n = min(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), most_buckets)
+    placed = ordered_buckets(docs, n)
+
+    # The first text of each bucket also stands, as a row that is no document, at the end of the bucket before.
+    least_of = materialize(placed.groupBy("bucket").agg(F.min(F.struct("ord", "t")).alias("least")).select("bucket", "least.*"), "heads")  # a row for each bucket
+    firsts = placed.join(F.broadcast(least_of), ["bucket", "ord", "t"]).groupBy("bucket").agg(F.min("text").alias("text"))
+    order = F.broadcast(next_buckets(least_of.select("bucket")))
+    ends = firsts.withColumnRenamed("bucket", "next_bucket").join(order, "next_bucket")
+    columns = [F.col(c) for c in ("bucket", "doc_id", "ord", "t", "text")]
+    rows = placed.select(F.lit(0).alias("end"), *columns).unionByName(ends.select(F.lit(1).alias("end"), "bucket", "text"), allowMissingColumns=True)
+    in_order = Window.partitionBy("bucket").orderBy("end", "ord", "t", "text")
     half = F.expr("n_chars div 2")
-    both = (placed.withColumn("next", F.lead("text").over(in_order)).join(after, "bucket", "left")
+    both = (rows.withColumn("next", F.lead("text").over(in_order)).where("end = 0")
             .withColumn("n_chars", F.length("text").cast("long"))
-            .withColumn("edited", F.concat(F.substr("text", F.lit(1), (F.col("n_chars") - half).cast("int")), F.substr(F.coalesce("next", "after"), F.lit(1), half.cast("int"))))
+            .withColumn("edited", F.concat(F.substr("text", F.lit(1), (F.col("n_chars") - half).cast("int")), F.substr("next", F.lit(1), half.cast("int"))))
             .select("bucket", F.monotonically_increasing_id().alias("row"), "doc_id", "n_chars", "t", F.xxhash64("edited").alias("e"), F.unhex(F.sha2("edited", 256)).alias("sha"), "text", "edited"))
 
     # Terms of both texts meet the lexicon where they are: rows of a bucket stay in their partition.
@@ -128,8 +144,9 @@ def fingerprints(docs: DataFrame, least: float = 0.0005, most: float = 0.02) ->
     made = with_signatures(with_signatures(sets, "own", "t", "fingerprint"), "new", "e", "edited_fingerprint")
     made = materialize(made.select("bucket", "row", "doc_id", "n_chars", F.lower(F.hex("sha")).alias("edited_sha256"), "fingerprint", "edited_fingerprint"), "fingerprints")
     # Rows number the documents of a bucket in their order.
-    first = made.join(F.broadcast(made.groupBy("bucket").agg(F.min("row").alias("row"))), ["bucket", "row"]).select("bucket", "fingerprint")
+    first = made.join(F.broadcast(made.groupBy("bucket").agg(F.min("row").alias("row"))), ["bucket", "row"]).select(F.col("bucket").alias("next_bucket"), F.col("fingerprint").alias("after"))
+    heads = first.join(order, "next_bucket").select("bucket", "after")  # a fingerprint for each bucket
     lead = F.lead("fingerprint").over(Window.partitionBy("bucket").orderBy("row"))
-    out = made.withColumn("next", lead).join(F.broadcast(heads_after(first, "fingerprint")), "bucket")
+    out = made.withColumn("next", lead).join(F.broadcast(heads), "bucket")
     return out.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
                       likeness(F.col("fingerprint"), F.coalesce("next", "after")).alias("near_next"))

@@ -38,11 +38,22 @@ def test_nearest_equals_brute_force(spark):
     rows += [rows[7], (7, [9.0] * 8), (None, [1.0] * 8), (500, None), (501, []), (502, [0.0] * 8), (503, [1.0, None] + [1.0] * 6), (504, [float("nan")] * 8), (505, [float("inf")] * 8), (520, [1.0, 2.0]), (521, [2.0, 1.0]), (540, [1e-40] * 8)]
     df = spark.createDataFrame([(i, v, 1, "x") for i, v in rows], "vec_id long, embedding array<float>, score int, query_id string")
     rows = [(r.vec_id, r.embedding) for r in df.collect()]
-    got = blockmatrix.nearest(df, F.col("vec_id") % 20 == 0, k=7, query_rows=8, candidate_rows=64, stripes=2).collect()
+    got = blockmatrix.nearest(df, F.col("vec_id") % 20 == 0, k=7, query_rows=8, candidate_rows=64, held_blocks=2).collect()
     assert sorted(tuple(r) for r in got) == brute(rows, 7)
     assert blockmatrix.nearest(df.limit(0), F.lit(True)).count() == 0
 
 
+def test_blocks_sent_grow_with_the_power_of_one_and_a_half(spark):
+    def sent(n_query, n_candidate):
+        block = lambda n: spark.range(n).select(F.col("id").alias("block"), F.lit(4).alias("dim"))
+        got = blockmatrix.cells(block(n_query), block(n_candidate), round(n_query ** 0.5), round(n_candidate ** 0.5))
+        pairs = got.where("kind = 0").alias("q").join(got.where("kind = 1").alias("c"), ["dim", "grp", "stripe"])
+        assert pairs.select("q.block", "c.block").distinct().count() == pairs.count() == n_query * n_candidate
+        return got.count()
+
+    assert sent(36, 36) <= 8 * sent(9, 9)
+
+
 def test_rounding_bound_holds():
     rng = np.random.default_rng(4)
     v = rng.normal(size=(60, 16)) * rng.choice([1e-3, 1, 50], (60, 1))

@@ -268,6 +268,15 @@ def test_imatch_edited_texts_and_equal_fingerprints(frame, docs, rows):
     assert imatch.fingerprints(frame(EDGE).limit(0)).count() == 0
 
 
+def test_imatch_buckets_split_an_id_of_many_rows_in_order(spark):
+    rows = [(None, f"null {i}") for i in range(400)] + [(i, f"text {i}") for i in range(100)] + [(50, f"again {i}") for i in range(300)]
+    got = imatch.ordered_buckets(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 16).collect()
+    assert len(got) == len(rows)
+    assert [r.bucket for r in sorted(got, key=lambda r: (r.ord, r.t, r.text))] == sorted(r.bucket for r in got)
+    assert len({r.bucket for r in got if r.doc_id is None}) > 4 and len({r.bucket for r in got if r.doc_id == 50}) > 3
+    assert max(Counter(r.bucket for r in got).values()) < 120
+
+
 def test_licenses_equal_brute_force(frame, docs, rows):
     more = [(30, "MIT license mit License, general public\nlicense", None, None), (31, "Licensed under the extra Apache License, Version 2.0.", None, None), (32, "Licensed under CC BY-NC 4.0.", None, None)]
     phrases = {tuple(p.split()): label for p, label in licenses.PHRASES.items()}
