@@ -11,27 +11,64 @@
     python -m ehrspark.cli infer       --model demographic|five|concepts --omop DIR --model-dir DIR --out DIR
                                        [--concept-sets DIR]
 
+    python -m ehrspark.cli store       --omop DIR --out ROOT [--buckets N]
+
 ``--omop`` folders hold one file per OMOP table (``person.csv``, …; or
-``--format parquet``). Results are written as header CSV folders (or parquet
+``--format parquet``; or ``--format store`` for what ``store`` wrote). Results are written as header CSV folders (or parquet
 for the mapper table). On a cluster, paths are shared storage.
+
+With ``--rejects DIR`` faulty rows of CSV tables go to ``DIR/<table>`` (file, line, column, value, reason)
+and the job goes on with the good ones, if at most the share ``--max-rejects`` of a table's rows is faulty.
 """
 
 from __future__ import annotations
 
 import argparse
+import hashlib
 import os
 import sys
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .operators import codes, cohort, drugs, features, labels, models, stats
+from .schemas import STORED_YEAR
 from .session import materialize
-from .sources import files, sinks
+from .sources import files, rejects, sinks, store
 from .sources.fixtures import OmopData
 
-
-def _omop(spark: SparkSession, folder: str, fmt: str) -> OmopData:
-    return OmopData.from_tables(spark, files.read_omop_folder(spark, folder, fmt))
+# The tables each job reads.
+NEEDS = {
+    "mapper": ("condition_occurrence",),
+    "conditions": ("condition_occurrence",),
+    "convert": ("condition_occurrence",),
+    "cohort": ("person", *cohort.DATE_COLUMNS),
+    "store": store.PERSON_KEYED,
+    "drugs": ("condition_occurrence", "drug_exposure"),
+    "compare": ("condition_occurrence", "person"),
+    "demographic": ("person", "visit_occurrence", "death"),
+    "five": ("person", "visit_occurrence", "death", "condition_occurrence"),
+    "concepts": ("visit_occurrence", "death", "condition_occurrence", "drug_exposure", "procedure_occurrence"),
+}
+
+
+def _omop(spark: SparkSession, a, folder: str | None = None, dated: bool = False) -> OmopData:
+    """The tables the job needs; ``dated`` keeps a stored layout's year column."""
+    folder = folder or a.omop
+    needs = NEEDS[getattr(a, "model", None) or a.cmd]
+    if a.format == "store":
+        stored = store.attach(spark, folder, "omop_" + hashlib.sha256(folder.encode()).hexdigest()[:16])
+        return OmopData.from_tables(spark, {n: stored[n] if dated else stored[n].drop(STORED_YEAR) for n in needs if n in stored})
+    if not a.rejects:
+        return OmopData.from_tables(spark, files.read_omop_folder(spark, folder, a.format))
+    tables = {}
+    for name in needs:
+        path = os.path.join(folder, f"{name}.csv")
+        if files.exists(spark, path):
+            checked = rejects.read_checked(spark, path, name)
+            # The report is written also if the job ends here.
+            checked.rejected.write.mode("append").parquet(os.path.join(a.rejects, name))
+            tables[name] = checked.require(a.max_rejects).good
+    return OmopData.from_tables(spark, tables)
 
 
 def _concept_sets(spark: SparkSession, folder: str) -> DataFrame:
@@ -44,37 +81,40 @@ def _concept_sets(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def cmd_mapper(spark, a):
-    d = _omop(spark, a.omop, a.format)
+    d = _omop(spark, a)
     conv = files.read_code_converter(spark, a.converter)
-    sinks.write_table(codes.build_mapper(d.condition_occurrence, conv, a.strip_dot),
-                      os.path.join(a.out, "icd9_icd10_mapper"))
-    report = codes.mapper_report(codes.map_codes(d.condition_occurrence, conv, a.strip_dot))
+    # The conditions are scanned once, for the pairs; the report is on their codes.
+    pairs = materialize(codes.code_pairs(d.condition_occurrence), "pairs")
+    sinks.write_table(codes.build_mapper(pairs, conv, a.strip_dot), os.path.join(a.out, "icd9_icd10_mapper"))
+    report = codes.mapper_report(codes.map_codes(pairs, conv, a.strip_dot))
     sinks.write_csv(report, os.path.join(a.out, "mapper_report"), single_file=True)
 
 
 def cmd_conditions(spark, a):
-    d = _omop(spark, a.omop, a.format)
+    d = _omop(spark, a)
     conv = files.read_code_converter(spark, a.converter)
     desc = files.read_table(spark, a.descriptions, "code_description")
-    cond = d.condition_occurrence
-    print("number of icd9 codes:", codes.count_icd9_codes(codes.condition_counts(cond), conv, a.strip_dot).first()[0])
-    sinks.write_csv(codes.condition_counts(cond), os.path.join(a.out, "condition_count"), single_file=True)
-    sinks.write_csv(codes.mapped_condition_counts(cond, conv, desc, a.strip_dot), os.path.join(a.out, "mapped_condition_count"),
-                    single_file=True)
-    sinks.write_csv(codes.hierarchy_condition_counts(cond, conv, desc, a.strip_dot),
-                    os.path.join(a.out, "hierarchy_condition_count"), single_file=True)
+    # The conditions are scanned once, for the count of each code; all rankings start from these.
+    counts = materialize(codes.code_counts(d.condition_occurrence), "counts")
+    print("number of icd9 codes:", codes.count_icd9_codes(counts, conv, a.strip_dot).first()[0])
+    sinks.write_csv(codes.ranked(counts), os.path.join(a.out, "condition_count"), single_file=True)
+    for name, level in (("mapped_condition_count", "converted"), ("hierarchy_condition_count", "category")):
+        sinks.write_csv(codes.relabelled_counts(counts, conv, desc, F.col(level), a.strip_dot),
+                        os.path.join(a.out, name), single_file=True)
 
 
 def cmd_convert(spark, a):
-    d = _omop(spark, a.omop, a.format)
+    d = _omop(spark, a)
     conv = files.read_code_converter(spark, a.converter)
-    converted = codes.convert_conditions(d.condition_occurrence, conv, a.strip_dot)
-    sinks.write_csv(converted, os.path.join(a.out, "condition_occurrence_icd10"))
+    target = os.path.join(a.out, "condition_occurrence_icd10")
+    sinks.write_csv(codes.convert_conditions(d.condition_occurrence, conv, a.strip_dot), target)
+    # Counted on the written file: the rows are converted once.
+    converted = spark.read.option("header", True).csv(target)
     print("distinct codes after conversion:", codes.distinct_converted(converted).first()[0])
 
 
 def cmd_cohort(spark, a):
-    d = _omop(spark, a.omop, a.format)
+    d = _omop(spark, a, dated=True)
     persons = materialize(cohort.select_persons(d.person, d.visit_occurrence, d.death, a.min_visits), "person")
     sinks.write_csv(persons, os.path.join(a.out, "person"))
     present = {n: d.table(n) for n in cohort.DATE_COLUMNS if d.has(n)}
@@ -82,8 +122,14 @@ def cmd_cohort(spark, a):
     sinks.write_extract(extracted, a.out)
 
 
+def cmd_store(spark, a):
+    d = _omop(spark, a)
+    present = {n: d.table(n) for n in store.PERSON_KEYED if d.has(n)}
+    store.store_dated(spark, present, a.out, a.buckets, cohort.DATE_COLUMNS)
+
+
 def cmd_drugs(spark, a):
-    d = _omop(spark, a.omop, a.format)
+    d = _omop(spark, a)
     concept = files.read_table(spark, a.concept, "concept")
     for name, family, codes_, link in (("t2_drug", drugs.T2_FAMILY, drugs.T2_CODES, "visit"),
                                        ("t1_drug", drugs.T1_FAMILY, drugs.T1_CODES, "person")):
@@ -94,13 +140,13 @@ def cmd_drugs(spark, a):
 
 
 def cmd_compare(spark, a):
-    real, syn = _omop(spark, a.real, a.format), _omop(spark, a.synthetic, a.format)
+    real, syn = _omop(spark, a, a.real), _omop(spark, a, a.synthetic)
     flag = "_is_real"
     both = (real.condition_occurrence.withColumn(flag, F.lit(True))
             .unionByName(syn.condition_occurrence.withColumn(flag, F.lit(False))))
     # Person ids of the two sources may collide: count distinct (source, person).
     keyed = both.withColumn("person_id", F.concat_ws(":", F.col(flag).cast("string"), F.col("person_id")))
-    table = stats.disease_counts(keyed, F.col(flag))
+    table = materialize(stats.disease_counts(keyed, F.col(flag)), "prevalence")     # read by the tests and by the ranks
     n_real = real.person.select(F.count(F.lit(1))).scalar()
     n_syn = syn.person.select(F.count(F.lit(1))).scalar()
     out = stats.prevalence_binomial(table, n_syn, n_real, a.tests).orderBy(F.desc(stats.REAL))
@@ -126,7 +172,7 @@ def _features(spark, a, d: OmopData, train: bool, raw_age: bool = False) -> Data
 
 
 def cmd_train(spark, a):
-    d = _omop(spark, a.omop, a.format)
+    d = _omop(spark, a)
     own_scaler = a.fit_on == "train" and a.model != "concepts"
     if a.model == "concepts":
         ev = materialize(features.event_concepts(d.condition_occurrence, d.drug_exposure,
@@ -159,7 +205,7 @@ def cmd_train(spark, a):
 
 
 def cmd_infer(spark, a):
-    d = _omop(spark, a.omop, a.format)
+    d = _omop(spark, a)
     model = models.load_model(os.path.join(a.model_dir, a.model))
     if a.model == "concepts":
         ev = features.event_concepts(d.condition_occurrence, d.drug_exposure, d.procedure_occurrence)
@@ -180,7 +226,9 @@ def parser() -> argparse.ArgumentParser:
     def add(name, fn, *args):
         p = sub.add_parser(name)
         p.set_defaults(fn=fn)
-        p.add_argument("--format", default="csv", choices=["csv", "parquet"])
+        p.add_argument("--format", default="csv", choices=["csv", "parquet", "store"])
+        p.add_argument("--rejects", help="folder for the rejected rows of CSV tables")
+        p.add_argument("--max-rejects", type=float, default=0.0, help="share of a table's rows that may be rejected")
         for flag, kw in args:
             p.add_argument(flag, **kw)
         return p
@@ -194,6 +242,7 @@ def parser() -> argparse.ArgumentParser:
         ("--strip-dot", {"action": "store_true"}))
     add("cohort", cmd_cohort, ("--omop", req), ("--out", req), ("--months", {"type": int, "default": 6}),
         ("--min-visits", {"type": int, "default": 3}))
+    add("store", cmd_store, ("--omop", req), ("--out", req), ("--buckets", {"type": int, "default": 200}))
     add("drugs", cmd_drugs, ("--omop", req), ("--concept", req), ("--out", req),
         ("--count", {"default": "rows", "choices": ["rows", "patients"]}), ("--k", {"type": int, "default": 100}))
     add("compare", cmd_compare, ("--real", req), ("--synthetic", req), ("--out", req),
@@ -216,6 +265,8 @@ def main(argv=None, spark: SparkSession | None = None) -> int:
     a = ap.parse_args(argv)
     if getattr(a, "model", None) == "five" and not a.concept_sets:
         ap.error("--model five needs --concept-sets")
+    if a.rejects and a.format != "csv":
+        ap.error("--rejects reads CSV tables")
     if spark is None:
         from .session import build_session
         spark = build_session()

@@ -34,6 +34,8 @@ TIERS = tuple(TIER_BY_TYPE.values())
 # shuffle joins.
 MAX_BROADCAST_CODES = 2_000_000
 
+PAIR = ("condition_source_concept_id", CODE)
+
 
 def _tier(type_col: Column) -> Column:
     expr = None
@@ -120,9 +122,12 @@ def build_mapper(conditions: DataFrame, converter: DataFrame, strip_dot: bool =
     are mapped in place (grouped by the pair, which is how they are already
     partitioned), so there is one scan and one shuffle of partial aggregates.
     """
-    keys = ("condition_source_concept_id", CODE)
-    pairs = conditions.select(*keys).where(F.col(CODE).isNotNull()).distinct()
-    return map_codes(pairs, converter, strip_dot, keys, already_distinct=True).select(*keys, "icd10")
+    return map_codes(code_pairs(conditions), converter, strip_dot, PAIR, already_distinct=True).select(*PAIR, "icd10")
+
+
+def code_pairs(conditions: DataFrame) -> DataFrame:
+    """The distinct (condition_source_concept_id, condition_source_value) pairs with a code."""
+    return conditions.select(*PAIR).where(F.col(CODE).isNotNull()).distinct()
 
 
 def mapper_report(code_map: DataFrame) -> DataFrame:
@@ -158,8 +163,16 @@ def unresolved_codes(code_map: DataFrame) -> DataFrame:
 
 def condition_counts(conditions: DataFrame) -> DataFrame:
     """Raw code frequency, ``count(code)`` so the NULL group counts 0."""
-    return (conditions.groupBy(CODE).agg(F.count(CODE).alias("count"))
-            .orderBy(F.desc("count"), F.asc_nulls_first(CODE)))
+    return ranked(code_counts(conditions))
+
+
+def code_counts(conditions: DataFrame) -> DataFrame:
+    """(code, count), one row per code and one of NULL, in no order."""
+    return conditions.groupBy(CODE).agg(F.count(CODE).alias("count"))
+
+
+def ranked(counts: DataFrame) -> DataFrame:
+    return counts.orderBy(F.desc("count"), F.asc_nulls_first(CODE))
 
 
 def code_labels(codes: DataFrame, converter: DataFrame, strip_dot: bool = False,
@@ -186,13 +199,13 @@ def count_icd9_codes(counts: DataFrame, converter: DataFrame, strip_dot: bool =
             .agg(F.count(F.lit(1)).alias("n_icd9_codes")))
 
 
-def _relabelled_counts(conditions, converter, descriptions, label_of, strip_dot):
+def relabelled_counts(counts: DataFrame, converter: DataFrame, descriptions: DataFrame, label_of: Column,
+                      strip_dot: bool = False) -> DataFrame:
     """Counts per code → label (converted or category) → description → summed.
 
-    One branch: the code-level counts carry their count through the lookup.
+    One branch: the ``code_counts`` carry their count through the lookup.
     A label without a description keeps its own text; NULL labels drop.
     """
-    counts = conditions.groupBy(CODE).agg(F.count(CODE).alias("count"))
     labels = code_labels(counts, converter, strip_dot, keys=(CODE, "count"), already_distinct=True)
     desc = descriptions.select(F.col("code").alias("label"), "description")
     return (labels.select(label_of.alias("label"), "count")
@@ -206,13 +219,13 @@ def _relabelled_counts(conditions, converter, descriptions, label_of, strip_dot)
 def mapped_condition_counts(conditions: DataFrame, converter: DataFrame, descriptions: DataFrame,
                             strip_dot: bool = False) -> DataFrame:
     """Counts per described ICD-10 code (ICD-9 codes converted first)."""
-    return _relabelled_counts(conditions, converter, descriptions, F.col("converted"), strip_dot)
+    return relabelled_counts(code_counts(conditions), converter, descriptions, F.col("converted"), strip_dot)
 
 
 def hierarchy_condition_counts(conditions: DataFrame, converter: DataFrame, descriptions: DataFrame,
                                strip_dot: bool = False) -> DataFrame:
     """The same rolled up to the ICD-10 root category."""
-    return _relabelled_counts(conditions, converter, descriptions, F.col("category"), strip_dot)
+    return relabelled_counts(code_counts(conditions), converter, descriptions, F.col("category"), strip_dot)
 
 
 def convert_conditions(conditions: DataFrame, converter: DataFrame, strip_dot: bool = False) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.dates import birth_date, months_before
 from ..functions.idsets import measured_set, members
+from ..schemas import STORED_YEAR
 
 PID = "person_id"
 
@@ -62,10 +63,16 @@ def extract_tables(tables: dict[str, DataFrame], persons: DataFrame, cutoff: Dat
     written once for all tables and broadcast if its bytes allow, so a table is read,
     filtered by date and by one bit, and not shuffled; a set beyond the bound is joined by bucket.
     The cut-off is a scalar subquery, evaluated once. NULL dates and NULL ids drop.
+    A table stored by the year of its date (``sources.store.store_dated``) is read up to the cut-off's year only.
     """
     ids, small = measured_set(persons, PID)
     limit = cutoff.select("cutoff_date").scalar()
-    return {name: members(df.where(F.col(date_columns[name]) < limit), PID, ids, small) for name, df in tables.items()}
+
+    def before(df: DataFrame, date: str) -> DataFrame:
+        rows = df.where(F.col(date) < limit)
+        return rows.where(F.col(STORED_YEAR) <= F.year(limit)).drop(STORED_YEAR) if STORED_YEAR in df.columns else rows
+
+    return {name: members(before(df, date_columns[name]), PID, ids, small) for name, df in tables.items()}
 
 
 def extract_row_counts(extracted: dict[str, DataFrame]) -> DataFrame:

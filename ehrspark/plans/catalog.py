@@ -15,6 +15,7 @@ from pyspark.sql.types import DoubleType
 from ..functions import idsets
 from ..operators import codes, cohort, deliveries, drugs, features, labels, models, stats, topk
 from ..session import materialize, scratch_path
+from ..sources import rejects, sinks
 from ..sources.fixtures import OmopData
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,6 +114,27 @@ def _two_deliveries(spark, d: OmopData) -> DataFrame:
     return deliveries.merge(deliveries.states(spark, folder))
 
 
+def _damaged(cond: DataFrame) -> DataFrame:
+    """Condition rows as text, some of them with a fault that their ids decide (FIXTURES.md)."""
+    text = lambda c: F.col(c).cast("string")
+    return cond.select(
+        F.when(F.expr("person_id % 101 = 9"), F.concat(text("person_id"), F.lit("0" * 19))).otherwise(text("person_id")).alias("person_id"),
+        F.when(F.expr("visit_occurrence_id % 89 = 7"), F.concat(F.lit("v"), text("visit_occurrence_id"))).otherwise(text("visit_occurrence_id")).alias("visit_occurrence_id"),
+        F.when(F.expr("condition_concept_id % 83 = 11"), F.concat(text("condition_concept_id"), F.lit(".5"))).otherwise(text("condition_concept_id")).alias("condition_concept_id"),
+        F.when(F.expr("condition_source_concept_id % 2 = 1"), F.concat(text("condition_source_concept_id"), F.lit(".0"))).otherwise(text("condition_source_concept_id")).alias("condition_source_concept_id"),
+        "condition_source_value",
+        F.when(F.expr("person_id % 97 = 5"), F.date_format("condition_start_date", "dd/MM/yyyy")).otherwise(text("condition_start_date")).alias("condition_start_date"))
+
+
+def q_rejected_conditions(spark, sf_dir):
+    """Faults by column and reason of a delivery with flaws, and the good rows under no column."""
+    path = scratch_path(spark, f"delivery-{uuid.uuid4().hex}")
+    sinks.write_csv(_damaged(OmopData(spark, sf_dir).condition_occurrence), path)
+    got = rejects.read_checked(spark, path, "condition_occurrence")
+    good = got.good.agg(F.lit("").alias("column"), F.lit("good").alias("reason"), F.count(F.lit(1)).alias("n_rows"))
+    return got.rejected.groupBy("column", "reason").agg(F.count(F.lit(1)).alias("n_rows")).unionByName(good)
+
+
 def q_delivered_counts(spark, sf_dir):
     return deliveries.counts(_two_deliveries(spark, OmopData(spark, sf_dir)))
 
@@ -398,6 +420,7 @@ QUERIES: dict[str, Query] = {
     "code_labels": q_code_labels,
     "converted_conditions": q_converted_conditions,
     "converted_distinct": q_converted_distinct,
+    "rejected_conditions": q_rejected_conditions,
     "delivered_counts": q_delivered_counts,
     "delivered_distinct": q_delivered_distinct,
     "delivered_set_patients": q_delivered_set_patients,

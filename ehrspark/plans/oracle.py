@@ -284,6 +284,15 @@ FROM condition_occurrence co LEFT JOIN code_lab l ON l.condition_source_value =
     "converted_distinct": CODE_CTES + """
 SELECT count(DISTINCT l.converted) AS n_distinct_codes
 FROM condition_occurrence co JOIN code_lab l ON l.condition_source_value = co.condition_source_value""",
+    "rejected_conditions": """
+SELECT * FROM (
+  SELECT 'person_id' AS "column", 'out of range' AS reason, count(*) AS n_rows FROM condition_occurrence WHERE person_id % 101 = 9
+  UNION ALL SELECT 'visit_occurrence_id', 'no number', count(*) FROM condition_occurrence WHERE visit_occurrence_id % 89 = 7
+  UNION ALL SELECT 'condition_concept_id', 'no whole number', count(*) FROM condition_occurrence WHERE condition_concept_id % 83 = 11
+  UNION ALL SELECT 'condition_start_date', 'no date', count(*) FROM condition_occurrence WHERE person_id % 97 = 5) f
+WHERE n_rows > 0
+UNION ALL SELECT '', 'good', count(*) FROM condition_occurrence
+WHERE NOT (person_id % 101 = 9 OR visit_occurrence_id % 89 = 7 OR condition_concept_id % 83 = 11 OR person_id % 97 = 5)""",
     "delivered_counts": """
 SELECT condition_source_value, count(condition_source_value) AS count, count(DISTINCT person_id) AS n_patients
 FROM condition_occurrence GROUP BY condition_source_value""",

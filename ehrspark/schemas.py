@@ -28,6 +28,9 @@ OBSERVATION_PERIOD = _s(("person_id", LongType()), ("observation_period_start_da
 CONCEPT = _s(("concept_id", LongType()), ("concept_name", StringType()))
 CODE_DESCRIPTION = _s(("code", StringType()), ("description", StringType()))
 
+# Partition column of a stored layout: the year of a table's date (see sources.store).
+STORED_YEAR = "stored_year"
+
 # The code dictionary file has no header; the column order is fixed.
 ICDCODE_CONVERTER = StructType([
     StructField("conversion_id", IntegerType(), False),
