@@ -12,7 +12,8 @@ Only components are asked for, so pairs that links already join need no test.
 Three rounds find the rest without listing all pairs of a bucket: each node
 with the least node it shares a bucket with; each node with some drawn from
 its buckets, again and again while that finds links;
-then all pairs of nodes in one bucket that are still in different components.
+then all pairs of nodes in one bucket that are still in different components,
+tile by tile, where a tile holds some of a bucket's nodes.
 Together they cover every candidate pair, whatever the size of a bucket.
 """
 
@@ -35,6 +36,7 @@ from .graph import components, follow
 HASHES, ROWS, BATCH = 128, 4, 32  # in a signature, a band, a batch
 DRAWS, HEADS = 6, 4  # rounds with drawn heads, and heads for each node
 SMALL = 64 << 20  # bytes of sets, or of signatures, that are broadcast
+TILE, TILE_IDS, WIDE = 256, 1 << 18, 4096  # sets, and shingles, in a tile of the last round; shingles compared at once
 IDS = 2 << 20  # ids that are broadcast, about 100 MB, to pick rows without a shuffle of them
 #: Odd multipliers and offsets of the hash family, and the shingle's word places.
 RNG = np.random.default_rng(20_240_601)
@@ -185,6 +187,74 @@ def verify(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").select("a", "b", "s_a", "s_b").mapInArrow(run, "a long, b long")
 
 
+def dealt(apart: DataFrame, sets: DataFrame, rule: Rule, tile: int = TILE, ids: int = TILE_IDS) -> DataFrame:
+    """(bucket, i, j, side, node, comp, own, n) of the members of ``apart`` that may have a link, dealt to tiles of some
+    ``tile`` members or ``ids`` shingles. Each tile meets each of its bucket, so a member comes once for each tile.
+
+    Left out are sets with too many shingles of their own to meet any, and buckets whose others are of one component.
+    """
+    sized = apart.join(common(within(sets, apart.select("node"))).where(100 * F.col("m") >= rule.part * F.col("n")), "node")
+    sized = materialize(sized.select("bucket", "node", "comp", "own", "n"), "sized")
+    counts = sized.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.max("own").alias("any"), F.greatest(
+        F.ceil(F.count(F.lit(1)) / tile), F.ceil(F.sum("n") / ids)).cast("int").alias("tiles")).where("x <> y and any").select("bucket", "tiles")
+    rows = sized.join(counts, "bucket").withColumn("at", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    return rows.select("bucket", F.least("at", "other").alias("i"), F.greatest("at", "other").alias("j"), (F.col("at") > F.col("other")).alias("side"), "node", "comp", "own", "n")
+
+
+def between(apart: DataFrame, sets: DataFrame, rule: Rule, tile: int = TILE, ids: int = TILE_IDS) -> DataFrame:
+    """(a, b): links that join all components of ``apart`` (bucket, node, comp, own) that members of one bucket link,
+    at least one of the two in its ``own``.
+
+    All pairs of two tiles are compared at once, as a product of the matrices that tell which shingles a set has. Of
+    the links found there go on those that join components, fewer than these.
+    """
+    rows = dealt(apart, sets, rule, tile, ids)
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = pa.Table.from_batches(list(batches))
+        node, comp, n = (t[c].to_numpy() for c in ("node", "comp", "n"))
+        own, side = (t[c].to_numpy(zero_copy_only=False).astype(bool) for c in ("own", "side"))
+        one = key[1].as_py() == key[2].as_py()
+        x, y = (np.arange(len(n)),) * 2 if one else (np.flatnonzero(~side), np.flatnonzero(side))
+        may = (comp[x, None] != comp[y]) & (own[x, None] | own[y])
+        if not may.any():
+            return
+        held = [np.frombuffer(b, "<u8") for b in t["shingles"].to_pylist()]
+        row = np.repeat(np.arange(len(n)), [len(h) for h in held])
+        _, column, times = np.unique(np.concatenate(held), return_inverse=True, return_counts=True)
+        row, column = row[times[column] > 1], (np.cumsum(times > 1) - 1)[column[times[column] > 1]]
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        both = np.zeros(may.shape, np.int64)
+        for at in range(0, int((times > 1).sum()), WIDE):
+            a, b = np.searchsorted(column, [at, at + WIDE])
+            has = np.zeros((len(n), WIDE), np.float32)
+            has[row[a:b], column[a:b] - at] = 1
+            both += (has[x] @ has[y].T).astype(np.int64)
+        i, j = np.nonzero(may & (100 * both >= rule.part * (n[x, None] + n[y] - both)))
+        # One link for each two components, and of these those that join what is not joined yet.
+        pairs = np.stack([np.minimum(comp[x[i]], comp[y[j]]), np.maximum(comp[x[i]], comp[y[j]])])
+        top: dict[int, int] = {}
+
+        def root(c: int) -> int:
+            while c in top:
+                c = top[c]
+            return c
+
+        found = []
+        for k in np.unique(pairs, axis=1, return_index=True)[1].tolist() if len(i) else []:
+            u, v = root(int(pairs[0, k])), root(int(pairs[1, k]))
+            if u != v:
+                top[v] = u
+                found.append(sorted((int(node[x[i[k]]]), int(node[y[j[k]]]))))
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], schema=schema)
+
+    return rows.join(sets.select("node", "shingles"), "node").groupBy("bucket", "i", "j").applyInArrow(run, "a long, b long").distinct()
+
+
 def near_duplicates(docs: DataFrame, rule: Rule = Rule(), carry: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row for each row of ``docs``.
 
@@ -220,20 +290,24 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), carry: tuple[str, ...]
 
     def mixed() -> DataFrame:
         """Members of buckets that hold several components still; such a bucket is parted by the sizes of sets,
-        where sets that can be linked share a part."""
+        where sets that can be linked share a part, their ``own`` or that of one of them."""
         parts = F.explode(F.array(F.col("step"), F.col("step") + 1))
         apart = follow(stepped.withColumn("comp", F.col("node")), "comp", roots).withColumn("part", parts)
-        apart = apart.select(F.xxhash64("bucket", "part").alias("bucket"), "node", "comp")
+        apart = apart.select(F.xxhash64("bucket", "part").alias("bucket"), "node", "comp", (F.col("part") == F.col("step")).alias("own"))
         some = apart.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("bucket")
         return materialize(apart.join(some, "bucket"), "apart")
 
     def test(pairs: DataFrame) -> bool:
         """Verify those pairs that weren't yet; whether any is linked."""
-        nonlocal tested, roots
+        nonlocal tested
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "pairs")
         tested = tested.unionByName(pairs)
-        more = links(pairs)
+        return join_up(links(pairs))
+
+    def join_up(more: DataFrame) -> bool:
+        """The components that links (a, b) join are one from now on; whether there are any."""
+        nonlocal roots
         if more.isEmpty():
             return False
         joined = components(follow(follow(more, "a", roots), "b", roots))
@@ -253,20 +327,8 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), carry: tuple[str, ...]
         often = often.withColumn("k", F.row_number().over(best)).where(F.col("k") <= HEADS)
         if not test(often.select(F.col("head").alias("a"), F.col("node").alias("b"))):
             break
-    # Round 3: what is left. Components of a bucket meet first, and only if their sets could be linked, so that
-    # nodes of one component never meet, and those with too many shingles of their own meet no other.
-    apart = mixed()
-    if not apart.isEmpty():
-        sized = apart.join(common(within(sets, apart.select("node"))), "node")
-        sized = materialize(sized, "sized")
-        side = lambda x: sized.groupBy("bucket", F.col("comp").alias(f"comp_{x}")).agg(F.min("n").alias(f"n_{x}"), F.max("m").alias(f"m_{x}"))
-        most = F.least("m_a", "m_b")
-        fit = (F.col("comp_a") < F.col("comp_b")) & (100 * most >= rule.part * (F.col("n_a") + F.col("n_b") - most))
-        both = side("a").withColumnRenamed("bucket", "other").join(side("b"), (F.col("other") == F.col("bucket")) & fit).select("bucket", "comp_a", "comp_b")
-        ends = lambda x: sized.select("bucket", F.col("comp").alias(f"comp_{x}"), F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("m").alias(f"m_{x}"))
-        left = both.join(ends("a"), ["bucket", "comp_a"])
-        right = ends("b").withColumnRenamed("bucket", "b_bucket").withColumnRenamed("comp_b", "b_comp")
-        test(left.join(right, (F.col("bucket") == F.col("b_bucket")) & (F.col("comp_b") == F.col("b_comp")) & (100 * most >= rule.part * (F.col("n_a") + F.col("n_b") - most))))
+    # Round 3: what is left.
+    join_up(materialize(between(mixed(), sets, rule), "rest"))
 
     # From nodes back to documents: the least id of a component's rows.
     classes = follow(known_digests, "comp", roots)

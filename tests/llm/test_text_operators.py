@@ -239,6 +239,37 @@ def test_near_duplicates_equal_brute_force(frame, docs, rows):
     assert neardup.near_duplicates(frame(EDGE).limit(0)).count() == 0
 
 
+def test_last_round_meets_tiles_not_pairs(spark):
+    """Links that join components equal brute force for small tiles, and members come once for each tile of a bucket."""
+    rng, rule = np.random.default_rng(5), neardup.Rule()
+    base = rng.integers(0, 1 << 62, 60)
+    sets = [np.unique(np.concatenate([rng.choice(base, int(rng.integers(43, 53)), replace=False), base[:2] + 1 + k % 7])) for k in range(90)]
+    comp = [k // 3 if k < 30 else k for k in range(90)]
+    own = [k % 4 != 0 for k in range(90)]
+    held = spark.createDataFrame([(k, len(s), bytearray(s.astype("<u8").tobytes())) for k, s in enumerate(sets)], "node long, n long, shingles binary")
+    members = [(b, k, comp[k], own[k]) for k in range(90) for b in {k % 2, 2 + k % 5}]
+    apart = spark.createDataFrame(members, "bucket long, node long, comp long, own boolean")
+
+    def classes(links):
+        root = {c: {c} for c in comp}
+        for a, b in links:
+            root |= dict.fromkeys(both := root[comp[a]] | root[comp[b]], both)
+        return {frozenset(x) for x in root.values()}
+
+    of = {}
+    for b, k, *_ in members:
+        of.setdefault(b, []).append(k)
+    want = {(a, b) for some in of.values() for a in some for b in some if a < b and comp[a] != comp[b] and (own[a] or own[b])
+            and 100 * len(np.intersect1d(sets[a], sets[b])) >= 75 * len(np.union1d(sets[a], sets[b]))}
+    assert 0 < len(want) and 1 < len(classes(want)) < len(set(comp))
+    for tile, ids in ((256, 1 << 18), (4, 1 << 18), (256, 200)):
+        got = {(r.a, r.b) for r in neardup.between(apart, held, rule, tile, ids).collect()}
+        assert got <= want and classes(got) == classes(want)
+    many = spark.createDataFrame([(0, k, k, True) for k in range(90)], "bucket long, node long, comp long, own boolean")
+    assert neardup.dealt(many, held, rule, 30).count() == 90 * 3
+    assert neardup.dealt(many, held, rule, 90).count() == 90
+
+
 def test_later_rounds_join_what_the_first_left(spark):
     """A chain of texts in which neighbours are linked and others aren't."""
     words = [f"w{k}" for k in range(400)]
