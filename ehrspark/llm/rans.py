@@ -33,7 +33,7 @@ from .common import documents, slices
 from .tokens import encoder
 
 BITS, LOW = 20, np.uint64(1 << 31)
-LANES, BLOCK, EVERY, TOGETHER = 32, 16_384, 128, 32
+LANES, BLOCK, EVERY, TOGETHER = 32, 16_384, 128, 64
 HEAD = struct.Struct("<4sBBHIIII")
 PIECES = "array<struct<doc_id: bigint, seq: bigint, piece: int, n: bigint, whole: boolean>>"
 BLOCKS = f"part int, block long, before long, n_ids long, ids_crc32 long, payload binary, pieces {PIECES}"
@@ -56,6 +56,7 @@ class Coder:
     def __init__(self, symbols: np.ndarray, freq: np.ndarray) -> None:
         self.symbols, self.freq = symbols, freq.astype(np.uint64)
         self.start = (np.cumsum(freq) - freq).astype(np.uint64)
+        self.full, self.rest = self.freq << np.uint64(63 - BITS), np.uint64(1 << BITS) - self.freq
         self.slot = np.repeat(np.arange(len(symbols), dtype=np.int32), freq)
         self.index = np.zeros(int(symbols.max()) + 1 if len(symbols) else 1, np.int32)
         self.index[symbols] = np.arange(len(symbols))
@@ -65,18 +66,19 @@ class Coder:
         held = np.full((len(blocks), steps * LANES), -1, np.int32)
         for k, b in enumerate(blocks):
             held[k, : len(b)] = self.index[b]
-        held = held.reshape(len(blocks), steps, LANES)
+        held = np.ascontiguousarray(held.reshape(len(blocks), steps, LANES).swapaxes(0, 1))  # by step
+        gaps = (held < 0).any((1, 2))
         words, sent = np.zeros(held.shape, np.uint32), np.zeros(held.shape, bool)
         marks, state = {}, np.full((len(blocks), LANES), LOW, np.uint64)
         for t in range(steps - 1, -1, -1):
-            s = held[:, t]
-            there = s >= 0
-            f, c = self.freq[s], self.start[s]
-            out = there & (state >= (f << np.uint64(63 - BITS)))
-            words[:, t], sent[:, t] = state, out  # the low 32 bits
-            x = np.where(out, state >> np.uint64(32), state)
-            q = x // f
-            state = np.where(there, (q << np.uint64(BITS)) + (x - q * f) + c, state)
+            s = held[t]
+            out = state >= self.full.take(s, mode="wrap")
+            if gaps[t]:
+                out &= s >= 0
+            words[t], sent[t] = state, out  # the low 32 bits
+            x = state >> (out.view(np.uint8) << np.uint8(5))
+            x += x // self.freq.take(s, mode="wrap") * self.rest.take(s, mode="wrap") + self.start.take(s, mode="wrap")
+            state = np.where(s >= 0, x, state) if gaps[t] else x
             if t % EVERY == 0:
                 marks[t] = state
         result = []
@@ -84,8 +86,8 @@ class Coder:
             n = max(1, -(-len(b) // LANES))
             at = [t for t in range(0, n, EVERY)]
             states = np.stack([marks[t][k] for t in at]) if steps else state[k : k + 1]
-            before = np.concatenate([[0], np.cumsum(sent[k].sum(1))])[at].astype("<u4")
-            stream = words[k][sent[k]].astype("<u4")
+            before = np.concatenate([[0], np.cumsum(sent[:, k].sum(1))])[at].astype("<u4")
+            stream = words[:, k][sent[:, k]].astype("<u4")
             rest = states.astype("<u8").tobytes() + before.tobytes() + stream.tobytes()
             result.append(HEAD.pack(b"RANS", 1, LANES.bit_length() - 1, len(at), len(b), len(stream), EVERY, zlib.crc32(rest)) + rest)
         return result
@@ -112,17 +114,24 @@ class Coder:
         at = np.cumsum([0] + [min(len(w), r_n) for _, _, w, r_n in runs])[:-1]
         state = np.stack([r[1] for r in runs]).astype(np.uint64)
         length = np.array([r[3] for r in runs])[:, None]
-        out, lane = np.zeros((len(runs), -(-size // lanes), lanes), np.uint32), np.arange(lanes)
-        for t in range(out.shape[1]):
-            there = t * lanes + lane < length
+        out, lane = np.zeros((-(-size // lanes), len(runs), lanes), np.uint32), np.arange(lanes)
+        symbols, least = self.symbols.astype(np.uint32), int(length.min())
+        for t in range(len(out)):
             slot = state & np.uint64((1 << BITS) - 1)
-            s = self.slot[slot]
-            out[:, t] = self.symbols[s]
-            x = self.freq[s] * (state >> np.uint64(BITS)) + slot - self.start[s]
-            need = there & (x < LOW)
-            where = np.minimum(at[:, None] + np.cumsum(need, 1) - need, len(stream) - 1)
-            x = np.where(need, (x << np.uint64(32)) | stream[where], x)
-            state, at = np.where(there, x, state), at + need.sum(1)
+            s = self.slot.take(slot.view(np.int64))
+            out[t] = symbols.take(s)
+            x = self.freq.take(s) * (state >> np.uint64(BITS)) + slot - self.start.take(s)
+            need = x < LOW
+            if (t + 1) * lanes > least:
+                there = t * lanes + lane < length
+                need &= there
+                x = np.where(there, x, state)
+            r, _ = np.nonzero(need)  # row by row, as the words lie
+            counts = need.sum(1)
+            words = stream[(at - np.cumsum(counts) + counts)[r] + np.arange(len(r))]
+            x[need] = (x[need] << np.uint64(32)) | words
+            state, at = x, at + counts
+        out = out.swapaxes(0, 1)
         found: list[list[np.ndarray]] = [[] for _ in payloads]
         for (k, _, _, n), row in zip(runs, out.reshape(len(runs), -1)):
             found[k].append(row[:n])

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from array import array
 from collections.abc import Iterator
 from functools import cache
 from itertools import islice
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +28,7 @@ KIND = np.zeros(0x3002, np.uint8)
 KIND[[c for c in range(0x3001) if re.match(f"[{EVERY_SPACE}]", chr(c))]] = SPACE
 KIND[[c for c in range(0x100) if re.match(LETTERS, chr(c))]] = LETTER
 KIND[[ord(","), ord(".")]] = STOP
+NARROW = KIND[:0x100].tobytes()
 PART = 1 << 20  # characters of a long text that are cut at once
 SAFE = re.compile(f"(?<=[^{EVERY_SPACE}]) (?=[^{EVERY_SPACE}])")  # before such a space a chunk ends
 
@@ -44,23 +47,29 @@ def chunks(texts: list[str], spaces: bool) -> tuple[pa.DictionaryArray, np.ndarr
 
     ``spaces``: the rule of the byte vocabulary; otherwise white space is left out.
     """
-    raw = [np.frombuffer(t.encode("utf-32-le"), "<u4") for t in texts]
-    begins = np.concatenate([[0], np.cumsum([len(r) + 1 for r in raw])])
-    code = np.zeros(begins[-1], np.uint32)
-    for at, r in zip(begins.tolist(), raw):
-        code[at : at + len(r)] = r
-    kind = KIND[np.minimum(code, 0x3001)]
-    kind[begins[1:] - 1] = END  # after each text, of no bytes
-    width = 1 + (code >= 0x80).astype(np.int32) + (code >= 0x800) + (code >= 0x10000)
-    width[begins[1:] - 1] = 0
-    place = np.concatenate([[0], np.cumsum(width, dtype=np.int64)])
+    lengths = [len(t) + 1 for t in texts]
+    begins = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
+    ends, joined = begins[1:] - 1, "\0".join([*texts, ""])  # after each text, of no bytes
+    count = np.int32 if 4 * len(joined) < 1 << 31 else np.int64
+    try:
+        raw = joined.encode("latin-1")
+        code, kind = np.frombuffer(raw, np.uint8), np.frombuffer(bytearray(raw.translate(NARROW)), np.uint8)
+        width = (code >= 0x80).view(np.uint8) + np.uint8(1)
+    except UnicodeEncodeError:
+        code = np.frombuffer(joined.encode("utf-32-le"), "<u4")
+        kind = KIND[np.minimum(code, 0x3001)]
+        width = 1 + (code >= 0x80).astype(np.uint8) + (code >= 0x800) + (code >= 0x10000)
+    kind[ends] = END
+    width[ends] = 0
+    place = np.zeros(len(joined) + 1, count)
+    np.cumsum(width, out=place[1:])
 
     solid = (kind != SPACE) & (kind != END)
     blank = kind == SPACE
     before = lambda x: np.concatenate([[False], x[:-1]])
     word = np.flatnonzero(solid & ~before(solid))  # the first characters of runs without white space
     mark = blank & ~before(blank)
-    mark[begins[1:] - 1] = True
+    mark[ends] = True
     mark[word] = True
     # Letters that a comma or full stop follows are a chunk, what comes after them another.
     no_letter = np.flatnonzero(kind != LETTER)
@@ -74,7 +83,7 @@ def chunks(texts: list[str], spaces: bool) -> tuple[pa.DictionaryArray, np.ndarr
         mark[last[code[last] == 32] + 1] = False  # one space goes with the word
     first = np.flatnonzero(mark)
     offsets = np.append(place[first], place[-1]).astype(np.int32)
-    held = np.isin(kind[first], [END] if spaces else [END, SPACE], invert=True)
+    held = (kind[first] != END) & (True if spaces else kind[first] != SPACE)
     data = "".join(texts).encode()
     found = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(data)]).filter(pa.array(held))
     return found.dictionary_encode(), np.searchsorted(first[held], begins)
@@ -82,7 +91,15 @@ def chunks(texts: list[str], spaces: bool) -> tuple[pa.DictionaryArray, np.ndarr
 
 #: Chunks that can be encoded in one text, and how to tell them apart after:
 #: by tokens that end a word, or that begin with the space before it.
-TOGETHER = {"word": (re.compile(LETTERS), " ", lambda token: token.endswith("</w>")), "byte": (re.compile(f" {LETTERS}"), "", lambda token: token.startswith("Ġ"))}
+TOGETHER = {"word": ("[a-zß-öø-ÿ]+", " ", lambda token: token.endswith("</w>")), "byte": (f" {LETTERS}", "", lambda token: token.startswith("Ġ"))}
+
+
+def only_words(path: str) -> str:
+    """The vocabulary file with the steps that change plain words in lower case alone: cut at spaces, bytes to symbols, merges."""
+    held = json.loads(Path(path).read_text())
+    symbols = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+    steps = {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, symbols]}
+    return json.dumps(held | {"normalizer": None, "added_tokens": [], "post_processor": None, "pre_tokenizer": steps})
 
 
 def small(text: str) -> str:
@@ -102,7 +119,7 @@ class ChunkEncoder:
     ``longest`` bytes are remembered.
     """
 
-    def __init__(self, path: str, kind: str, keep: int = 500_000, longest: int = 48) -> None:
+    def __init__(self, path: str, kind: str, keep: int = 200_000, longest: int = 48) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -112,17 +129,20 @@ class ChunkEncoder:
         self.spaces, self.keep, self.longest = kind == "byte", keep, longest
         self.known: dict[bytes, bytes] = {}
         self.lower = kind == "word"  # this vocabulary has no upper case
-        self.plain, self.glue, edge = TOGETHER[kind]
+        plain, self.glue, edge = TOGETHER[kind]
+        self.plain = re.compile(plain).fullmatch
+        self.words = Tokenizer.from_str(only_words(path)) if self.lower else self.tokenizer
         vocabulary = self.tokenizer.get_vocab()
         self.edge = np.zeros(max(vocabulary.values()) + 1, bool)
         self.edge[[i for token, i in vocabulary.items() if edge(token)]] = True
 
     def fresh(self, chunks: list[str]) -> Iterator[tuple[str, bytes]]:
         """Chunks with their ids: plain words many at a time, others, or a group that doesn't come apart, one by one."""
-        plain = [c for c in chunks if self.plain.fullmatch(c)]
-        single = [c for c in chunks if not self.plain.fullmatch(c)]
+        plain, single = [], []
+        for c in chunks:
+            (plain if self.plain(c) else single).append(c)
         groups = [plain[i : i + 256] for i in range(0, len(plain), 256)]
-        for group, e in zip(groups, self.tokenizer.encode_batch_fast([self.glue.join(g) for g in groups], add_special_tokens=False)):
+        for group, e in zip(groups, self.words.encode_batch_fast([self.glue.join(g) for g in groups], add_special_tokens=False)):
             ids = np.array(e.ids, "<u4")
             edges = np.flatnonzero(self.edge[ids]) + (1 if self.glue else 0)
             if len(edges) != len(group):
