@@ -50,6 +50,7 @@ def claim(owner: str) -> None:
     for name, drop in DROPS.items():
         if name != owner:
             drop()
+    pa.default_memory_pool().release_unused()
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 4 << 20, max_rows: int = 4096) -> Iterator[pa.RecordBatch]:
