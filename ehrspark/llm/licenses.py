@@ -7,11 +7,13 @@ diagonals of one template, where words were put in or left out, are merged
 within ``gap`` words, and a span is verified by the share of the template's
 distinct pairs that it holds. A phrase of the base stands where all its pairs
 vote for one diagonal. Templates are notices and the paragraphs of the whole
-licenses in ``license_texts``, of which pairs common to many don't vote.
+licenses in ``license_texts``, of which pairs common to many vote last, where
+the others leave the template possible.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from functools import cache
@@ -19,7 +21,7 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from .common import LOWER, UPPER
+from .common import LOWER, UPPER, materialize
 
 #: What is no part of a word, the base's phrases with their
 #: labels, and sentences of well-known licenses with theirs.
@@ -48,7 +50,7 @@ TEMPLATES = {
     "unlicense": ["This is free and unencumbered software released into the public domain."],
 }
 #: Paragraphs of the texts are at least SHORT words long: a shorter one, a heading, goes to the next. Their pairs that
-#: stand in more than COMMON paragraphs don't vote, unless fewer than SHORT others are left.
+#: stand in more than COMMON paragraphs vote only where the others leave a template possible.
 SHORT, COMMON = 8, 8
 PARAGRAPH = re.compile(r"\n[^\w\n]*\n|\n(?=\W*(?:\d+\.|[a-z*]\)|\([a-z]+\))\s)")
 #: What other licenses, not held here, have word for word: GPL 3 but for its name, Creative Commons 4.0 but for the choice.
@@ -82,8 +84,13 @@ def paragraphs(short: int = SHORT) -> dict[tuple[str, ...], str]:
     return {words: "|".join(sorted({x for label in labels for x in label.split("|")})) for words, labels in found.items()}
 
 
-def template_pairs(spark: SparkSession, phrases: dict[str, str], templates: dict[str, list[str]], texts: dict[tuple[str, ...], str], most: int | None = COMMON, short: int = SHORT) -> DataFrame:
-    """(template, label, base, n_pairs, n_distinct, pair, at): the voting word pairs of all templates, some 25,000 rows."""
+def template_pairs(spark: SparkSession, phrases: dict[str, str], templates: dict[str, list[str]], texts: dict[tuple[str, ...], str], most: int | None = None, short: int = SHORT,
+                   rare: int = COMMON, share: float = 0.8) -> DataFrame:
+    """(template, label, base, n_pairs, n_distinct, pair, at, id, first, need): the voting word pairs of all templates, some 25,000 rows.
+
+    Pairs vote ``first`` unless they stand in more than ``rare`` paragraphs. ``need`` of these a text must hold, if a span is to hold
+    ``share`` of all; where that is none, all pairs of the template vote first and ``need`` is null.
+    """
     rows = []
     known = [(label, True, split(p)) for p, label in phrases.items()] + [(label, False, split(t)) for label, texts in templates.items() for t in texts]
     for k, (label, base, words) in enumerate(known):
@@ -92,46 +99,68 @@ def template_pairs(spark: SparkSession, phrases: dict[str, str], templates: dict
     common = Counter(pair for words in texts for pair in set(zip(words, words[1:])))
     for k, (words, label) in enumerate(texts.items(), len(known)):
         pairs = list(enumerate(zip(words, words[1:])))
-        rare = [(i, p) for i, p in pairs if most is None or common[p] <= most]
-        pairs = rare if len({p for _, p in rare}) >= short else pairs
-        rows += [(k, label, False, len(pairs), len({p for _, p in pairs}), " ".join(p), i) for i, p in pairs]
-    return spark.createDataFrame(rows, "template int, label string, base boolean, n_pairs int, n_distinct int, pair string, at int")
+        some = [(i, p) for i, p in pairs if most is None or common[p] <= most]
+        pairs = some if len({p for _, p in some}) >= short else pairs
+        n = len({p for _, p in pairs})
+        late = {p for _, p in pairs if common[p] > rare}
+        need = math.ceil(share * n - 1e-9) - len(late) if late else 0
+        late, need = (late, need) if need > 0 else (set(), None)
+        rows += [(k, label, False, len(pairs), n, " ".join(p), i, p not in late, need) for i, p in pairs]
+    ids = {p: i for i, p in enumerate(sorted({r[5] for r in rows}))}
+    rows = [(*r[:7], ids[r[5]], *(r[7:] or (True, None))) for r in rows]
+    return spark.createDataFrame(rows, "template int, label string, base boolean, n_pairs int, n_distinct int, pair string, at int, id int, first boolean, need int")
 
 
 def words_of(text: Column) -> Column:
     return F.filter(F.split(F.translate(text, UPPER, LOWER), NO_WORD), lambda w: w != "")
 
 
-def hits(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(row, doc_id, n_words, place, template, label, base, n_pairs, n_distinct, at) for each pair of a text that a
-    template has, and for each document one row more with a null template.
+def places(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(row, doc_id, n_words, place, id) of each pair of a text that a template has, and one row more for each document, with a null id.
 
     That row comes as a pair no text can hold, so one pass over the texts
-    gives hits and documents alike.
+    gives places and documents alike.
     """
     w = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), words_of(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("w"))
     both = F.zip_with("w", F.slice("w", 2, F.greatest(F.size("w"), F.lit(1))), lambda a, b: F.concat(a, F.lit(" "), b))  # the last is null
     rolling = w.select("row", "doc_id", F.size("w").cast("long").alias("n_words"), F.posexplode(F.concat(both, F.array(F.lit("")))).alias("place", "pair"))
     rolling = rolling.where(F.col("pair").isNotNull()).withColumn("hash", F.xxhash64("pair"))
-    end = F.struct(*[F.lit(None).cast(t).alias(n) for n, t in (("template", "int"), ("label", "string"), ("base", "boolean"), ("n_pairs", "int"), ("n_distinct", "int"))], F.lit("").alias("pair"), F.lit(None).cast("int").alias("at"))
-    table = pairs.unionByName(pairs.limit(1).select(end.alias("e")).select("e.*")).withColumn("hash", F.xxhash64("pair"))
-    return rolling.join(F.broadcast(table), ["hash", "pair"])  # its size is that of the templates
+    end = F.struct(F.lit("").alias("pair"), F.lit(None).cast("int").alias("id"))
+    table = pairs.select("pair", "id").distinct().unionByName(pairs.limit(1).select(end.alias("e")).select("e.*")).withColumn("hash", F.xxhash64("pair"))
+    return rolling.join(F.broadcast(table), ["hash", "pair"]).drop("hash", "pair")  # its size is that of the templates
+
+
+def hits(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(row, doc_id, n_words, place, template, label, base, n_pairs, n_distinct, pair, at): the votes of each text, and for
+    each document one row more with a null template.
+
+    Pairs that vote first tell which templates a text may hold; for these the template's other pairs vote too.
+    """
+    found = materialize(places(docs, pairs), "places")
+    pairs = pairs.drop("pair").withColumnRenamed("id", "pair")
+    first, late = (F.broadcast(pairs.where(F.col("first") == x).drop("first")) for x in (True, False))
+    votes = found.join(first, F.col("id") == F.col("pair"))
+    may = votes.where("need is not null").groupBy("row", "template").agg(F.count(F.lit(1)).alias("n"), F.first("need").alias("need")).where("n >= need").select("row", "template")
+    more = found.where("id is not null").join(may, "row").join(late, (F.col("id") == F.col("pair")) & (may["template"] == late["template"])).drop(may["template"])
+    ends = found.where("id is null")
+    return votes.unionByName(more).drop("id", "need").unionByName(ends.drop("id"), allowMissingColumns=True)
 
 
-def scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates: dict[str, list[str]] = TEMPLATES, gap: int = 4, share: float = 0.8, texts: dict[tuple[str, ...], str] | None = None, common: int | None = COMMON, short: int = SHORT) -> DataFrame:
+def scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates: dict[str, list[str]] = TEMPLATES, gap: int = 4, share: float = 0.8, texts: dict[tuple[str, ...], str] | None = None, common: int | None = None, short: int = SHORT, rare: int = COMMON) -> DataFrame:
     """One row for each document: doc_id, n_words, n_base, first_word, last_word,
     base_labels, labels, score, and spans (label, first and last word, score).
 
     A null or empty text has no words, no labels (empty strings) and score 0.
     ``texts``: words and label of paragraphs, by default of the whole licenses, in paragraphs of ``short`` words at least.
-    Pairs in more than ``common`` paragraphs don't vote unless fewer than ``short`` others are left; None: all pairs vote.
+    All pairs vote: those in more than ``rare`` paragraphs where the others leave a span of ``share`` possible, so no label or span is lost.
+    With ``common``, pairs in more paragraphs never vote unless fewer than ``short`` others are left.
     The score is the largest share of a template's distinct pairs that a span
-    holds, 1 for a phrase of the base. Spans are those of at least ``share``;
+    holds, 1 for a phrase of the base; below ``share`` pairs that had no vote may be missing in it. Spans are those of at least ``share``;
     those of one label that overlap stay apart if their templates differ.
     """
     texts = paragraphs(short) if texts is None else texts
     # One exchange: what follows groups and orders hits within a text.
-    found = hits(docs, template_pairs(docs.sparkSession, phrases, templates, texts, common, short)).repartition("row")
+    found = hits(docs, template_pairs(docs.sparkSession, phrases, templates, texts, common, short, rare, share)).repartition("row")
     found = found.withColumn("diagonal", F.col("place") - F.col("at"))
     # Votes by diagonal; each document's row without a template comes along.
     votes = found.groupBy("row", "doc_id", "n_words", "template", "label", "base", "n_pairs", "n_distinct", "diagonal").agg(

@@ -122,6 +122,23 @@ def test_license_labels_and_scores_equal_brute_force(spark, frame):
             assert [(s["first"], s["last"], s["label"]) for s in r.spans] == [s[:3] for s in spans]
 
 
+def test_common_pairs_vote_where_a_license_is_possible(frame):
+    """Labels and spans are those of all pairs, whatever few pairs vote first; common ones were left out before."""
+    rng = np.random.default_rng(21)
+    draw = lambda n: [f"w{i}" for i in rng.integers(0, 14, n)]
+    shared = draw(12)
+    texts = {tuple(shared[: 4 + k] + draw(10) + shared[k:]): f"t{k}" for k in range(8)}
+    docs = [(i, " ".join(w for w in draw(5) + list(list(texts)[i % 8]) + draw(5) if rng.random() > 0.04 * (i % 4)), None, None) for i in range(64)]
+    scan = lambda **how: {r.doc_id: (r.labels, [tuple(s) for s in r.spans]) for r in licenses.scan(frame(docs), {}, {"n": ["w1 w2 w3"]}, texts=texts, **how).collect()}
+    want = scan(rare=1000)
+    known = [("n", [(0, "w1 w2"), (1, "w2 w3")])] + [(label, [(i, f"{a} {b}") for i, (a, b) in enumerate(zip(w, w[1:]))]) for w, label in texts.items()]
+    assert {i: got[0] for i, got in want.items()} == {i: ",".join(brute_licenses(t, known, 4, 0.8)[0]) for i, t, *_ in docs}
+    assert 8 < sum(bool(x) for x, _ in want.values()) < 64
+    for rare in (1, 2, 5):
+        assert scan(rare=rare) == want
+    assert scan(common=2, short=3) != want
+
+
 def test_rans_blocks_round_trip():
     rng = np.random.default_rng(0)
     blocks = [(rng.zipf(1.4, n) % 50_000).astype("<u4") for n in (1, 5, 31, 32, 33, 4096, 4097, 16_384)]
