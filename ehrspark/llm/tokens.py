@@ -8,7 +8,7 @@ import re
 from array import array
 from collections.abc import Iterator
 from functools import cache
-from itertools import islice
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -29,7 +29,7 @@ KIND[[c for c in range(0x3001) if re.match(f"[{EVERY_SPACE}]", chr(c))]] = SPACE
 KIND[[c for c in range(0x100) if re.match(LETTERS, chr(c))]] = LETTER
 KIND[[ord(","), ord(".")]] = STOP
 NARROW = KIND[:0x100].tobytes()
-PART = 1 << 20  # characters of a long text that are cut at once
+PART = 1 << 20  # characters that are cut at once
 SAFE = re.compile(f"(?<=[^{EVERY_SPACE}]) (?=[^{EVERY_SPACE}])")  # before such a space a chunk ends
 
 
@@ -42,8 +42,20 @@ def parts(text: str) -> list[str]:
     return [*out, text[start:]]
 
 
-def chunks(texts: list[str], spaces: bool) -> tuple[pa.DictionaryArray, np.ndarray]:
-    """The chunks of all texts, dictionary-encoded, and where in them each text begins, and the end.
+def groups(texts: list[str]) -> Iterator[list[str]]:
+    """Texts in groups that are cut at once, of about ``PART`` characters at most where they are short."""
+    start = size = 0
+    for i, t in enumerate(texts):
+        if i > start and size + len(t) > PART:
+            yield texts[start:i]
+            start, size = i, 0
+        size += len(t)
+    if texts:
+        yield texts[start:]
+
+
+def chunks(texts: list[str], spaces: bool) -> tuple[pa.BinaryArray, np.ndarray]:
+    """The chunks of all texts, and where in them each text begins, and the end.
 
     ``spaces``: the rule of the byte vocabulary; otherwise white space is left out.
     """
@@ -86,12 +98,12 @@ def chunks(texts: list[str], spaces: bool) -> tuple[pa.DictionaryArray, np.ndarr
     held = (kind[first] != END) & (True if spaces else kind[first] != SPACE)
     data = "".join(texts).encode()
     found = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(data)]).filter(pa.array(held))
-    return found.dictionary_encode(), np.searchsorted(first[held], begins)
+    return found, np.searchsorted(first[held], begins)
 
 
 #: Chunks that can be encoded in one text, and how to tell them apart after:
 #: by tokens that end a word, or that begin with the space before it.
-TOGETHER = {"word": ("[a-zß-öø-ÿ]+", " ", lambda token: token.endswith("</w>")), "byte": (f" {LETTERS}", "", lambda token: token.startswith("Ġ"))}
+TOGETHER = {"word": ("^[a-zß-öø-ÿ]+$", " ", lambda token: token.endswith("</w>")), "byte": (f"^ [^{EVERY_SPACE}]+$", "", lambda token: token.startswith("Ġ"))}
 
 
 def only_words(path: str) -> str:
@@ -116,10 +128,11 @@ class ChunkEncoder:
 
     ``kind`` names the chunk rule that suits the vocabulary. A text that holds
     the string of an added token is encoded whole. At most ``keep`` chunks of up to
-    ``longest`` bytes are remembered.
+    ``longest`` bytes are remembered; beyond that the less frequent ones go.
+    They are Arrow and numpy columns: ``names``, where in ``ids`` the ids of each are, and how often it was met.
     """
 
-    def __init__(self, path: str, kind: str, keep: int = 200_000, longest: int = 48) -> None:
+    def __init__(self, path: str, kind: str, keep: int = 400_000, longest: int = 48) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -127,31 +140,51 @@ class ChunkEncoder:
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)", re.IGNORECASE)
         self.spaces, self.keep, self.longest = kind == "byte", keep, longest
-        self.known: dict[bytes, bytes] = {}
+        self.names, self.ids = pa.array([], pa.binary()), np.zeros(0, "<u4")
+        self.at = self.sizes = self.met = np.zeros(0, np.int64)
         self.lower = kind == "word"  # this vocabulary has no upper case
-        plain, self.glue, edge = TOGETHER[kind]
-        self.plain = re.compile(plain).fullmatch
+        self.plain, self.glue, edge = TOGETHER[kind]
         self.words = Tokenizer.from_str(only_words(path)) if self.lower else self.tokenizer
         vocabulary = self.tokenizer.get_vocab()
         self.edge = np.zeros(max(vocabulary.values()) + 1, bool)
         self.edge[[i for token, i in vocabulary.items() if edge(token)]] = True
 
-    def fresh(self, chunks: list[str]) -> Iterator[tuple[str, bytes]]:
-        """Chunks with their ids: plain words many at a time, others, or a group that doesn't come apart, one by one."""
-        plain, single = [], []
-        for c in chunks:
-            (plain if self.plain(c) else single).append(c)
-        groups = [plain[i : i + 256] for i in range(0, len(plain), 256)]
-        for group, e in zip(groups, self.words.encode_batch_fast([self.glue.join(g) for g in groups], add_special_tokens=False)):
-            ids = np.array(e.ids, "<u4")
-            edges = np.flatnonzero(self.edge[ids]) + (1 if self.glue else 0)
+    def fresh(self, chunks: pa.StringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where the ids of each chunk begin, how many they are, and all ids.
+
+        Plain words are encoded many at a time, others, or a group that doesn't come apart, one by one.
+        """
+        names, plain = chunks.to_pylist(), pa.compute.match_substring_regex(chunks, self.plain).to_numpy(zero_copy_only=False)
+        together = np.flatnonzero(plain)
+        some = [together[i : i + 32] for i in range(0, len(together), 32)]
+        single, order, sizes, ids = [np.flatnonzero(~plain)], [], [], []
+        for group, e in zip(some, self.words.encode_batch_fast([self.glue.join([names[i] for i in g.tolist()]) for g in some], add_special_tokens=False)):
+            its = np.array(e.ids, "<u4")
+            edges = np.flatnonzero(self.edge[its]) + (1 if self.glue else 0)
             if len(edges) != len(group):
-                single += group
+                single.append(group)
                 continue
-            raw, ends = ids.tobytes(), (4 * (edges if self.glue else np.append(edges[1:], len(ids)))).tolist()
-            yield from zip(group, (raw[a:b] for a, b in zip([0, *ends], ends)))
-        for c, e in zip(single, self.tokenizer.encode_batch_fast(single, add_special_tokens=False)):
-            yield c, array("I", e.ids).tobytes()
+            order.append(group)
+            sizes.append(np.diff(edges, prepend=0) if self.glue else np.diff(edges, append=len(its)))
+            ids.append(its)
+        rest = np.concatenate(single)
+        found = [e.ids for e in self.tokenizer.encode_batch_fast([names[i] for i in rest.tolist()], add_special_tokens=False)]
+        order, sizes = np.concatenate([*order, rest]), np.concatenate([*sizes, np.fromiter(map(len, found), np.int64, len(found))])
+        at, many = np.zeros((2, len(names)), np.int64)
+        at[order], many[order] = np.cumsum(sizes) - sizes, sizes
+        return at, many, np.concatenate([*ids, np.fromiter(chain.from_iterable(found), "<u4")])
+
+    def remember(self, names: pa.BinaryArray, at: np.ndarray, sizes: np.ndarray, ids: np.ndarray, met: np.ndarray) -> None:
+        """Chunks met first now, with what ``fresh`` found."""
+        short = pa.compute.binary_length(names).to_numpy(zero_copy_only=False) <= self.longest
+        self.names = pa.concat_arrays([self.names, names.filter(pa.array(short))])
+        self.ids = np.concatenate([self.ids, spread(ids, at[short], sizes[short])])
+        self.sizes, self.met = np.concatenate([self.sizes, sizes[short]]), np.concatenate([self.met, met[short]])
+        if len(self.names) > self.keep:
+            best = np.sort(np.argsort(-self.met, kind="stable")[: self.keep * 3 // 4])
+            self.ids = spread(self.ids, (np.cumsum(self.sizes) - self.sizes)[best], self.sizes[best])
+            self.names, self.sizes, self.met = self.names.take(pa.array(best)), self.sizes[best], self.met[best] // 2
+        self.at = np.cumsum(self.sizes) - self.sizes
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
@@ -161,27 +194,34 @@ class ChunkEncoder:
         if self.lower:
             texts = [small(t) for t in texts]
         cut = [parts(t) for t in texts]
-        found, begins = chunks([p for c in cut for p in c], self.spaces)
-        words, known = found.dictionary.to_pylist(), self.known
-        here = [known.get(w) for w in words]
-        new = [k for k, ids in enumerate(here) if ids is None]
-        where = {words[k].decode(): k for k in new}
-        for c, ids in self.fresh(list(where)):
-            here[where[c]] = ids
-        if len(known) + len(new) > self.keep:  # the first met are the most frequent
-            known = self.known = dict(islice(known.items(), self.keep // 2))
-        known.update((words[k], here[k]) for k in new if len(words[k]) <= self.longest)
+        some = [chunks(ps, self.spaces) for ps in groups([p for c in cut for p in c])]
+        shifts = np.cumsum([0, *(len(f) for f, _ in some)])
+        begins = np.concatenate([*(b[:-1] + n for (_, b), n in zip(some, shifts)), shifts[-1:]])
+        found = pa.concat_arrays([pa.array([], pa.binary()), *(f for f, _ in some)]).dictionary_encode()
+        words, which = found.dictionary, found.indices.to_numpy()
+        known = pa.compute.index_in(words, value_set=self.names).fill_null(-1).to_numpy()
+        old, new = np.flatnonzero(known >= 0), np.flatnonzero(known < 0)
+        names = words.take(pa.array(new))
+        first, n, ids = self.fresh(names.cast(pa.string()))
+        at, sizes = np.zeros((2, len(words)), np.int64)
+        at[old], sizes[old] = self.at[known[old]], self.sizes[known[old]]
+        at[new], sizes[new] = first + len(self.ids), n
+        met = np.bincount(which, minlength=len(words))
+        self.met[known[old]] += met[old]
         # Ids of all chunks, taken from those of the distinct ones.
-        sizes = np.fromiter(map(len, here), np.int64, len(here)) // 4
-        flat = np.frombuffer(b"".join(here), "<u4")
-        which = found.indices.to_numpy()
         many = sizes[which]
         ends = np.concatenate([[0], np.cumsum(many)])
-        shift = (np.cumsum(sizes) - sizes)[which] - ends[:-1]
-        ids = flat[np.repeat(shift, many) + np.arange(ends[-1])]
-        pieces = np.concatenate([[0], np.cumsum([len(c) for c in cut])])  # where the parts of each text begin
+        flat = spread(np.concatenate([self.ids, ids]), at[which], many)
+        self.remember(names, first, n, ids, met[new])
+        pieces = np.cumsum([0, *map(len, cut)])  # where the parts of each text begin
         bounds = ends[begins[pieces]].tolist()
-        return [special[i] if i in special else ids[a:b].tobytes() for i, (a, b) in enumerate(zip(bounds, bounds[1:]))]
+        return [special[i] if i in special else flat[a:b].tobytes() for i, (a, b) in enumerate(zip(bounds, bounds[1:]))]
+
+
+def spread(flat: np.ndarray, at: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The stretches of ``flat`` that begin at ``at``, one after another."""
+    ends = np.cumsum(sizes)
+    return flat[np.repeat(at - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
 
 
 @cache

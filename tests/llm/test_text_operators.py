@@ -63,6 +63,42 @@ def test_long_texts_are_cut_where_no_chunk_breaks(kind, name, monkeypatch):
     assert [np.frombuffer(b, "<u4").tolist() for b in enc.encode(texts)] == [enc.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+class Counted:
+    """A tokenizer that counts the chunks it is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.seen = tokenizer, Counter()
+
+    def encode_batch_fast(self, texts, **more):
+        for t in texts:
+            self.seen.update(t.split())
+        return self.tokenizer.encode_batch_fast(texts, **more)
+
+
+@pytest.mark.parametrize("kind,name", [("word", "word_bpe_49k.json"), ("byte", "byte_bpe_50k.json")])
+def test_frequent_chunks_stay_in_memory(kind, name):
+    enc = tokens.ChunkEncoder(public_tokenizers.path(name), kind, keep=400)
+    letters = lambda n, k: "".join(chr(97 + n // 26**i % 26) for i in range(k))
+    often = [letters(k, 3) for k in range(100)]
+    rare = iter(letters(k, 5) for k in range(10**6))
+    enc.encode([" ".join(["x", *(next(rare) for _ in range(400))])])
+    enc.tokenizer = enc.words = seen = Counted(enc.words)
+    for _ in range(12):
+        enc.encode([" ".join(["x", *often * 3, *(next(rare) for _ in range(200)), "z" * 60])])
+    assert max(seen.seen[w] for w in often) <= 1
+    assert len(enc.names) <= 400 and len(enc.ids) == enc.sizes.sum()
+
+
+@pytest.mark.parametrize("kind,name", [("word", "word_bpe_49k.json"), ("byte", "byte_bpe_50k.json")])
+def test_texts_cut_in_groups_encode_as_alone(kind, name, monkeypatch):
+    monkeypatch.setattr(tokens, "PART", 40)
+    enc = tokens.ChunkEncoder(public_tokenizers.path(name), kind)
+    texts = ["", " thnthahe&&& ERNDNDST!!", "Rentwhti$$$ it's,", "", "  don't 555-0362 \u2003é&%", "\n x\x1c y", "", "w " * 70, ""]
+    assert len(list(tokens.groups(texts))) > 2
+    for some in (texts, texts[::-1], [], [""], texts):
+        assert [np.frombuffer(b, "<u4").tolist() for b in enc.encode(some)] == [enc.tokenizer.encode(t, add_special_tokens=False).ids for t in some]
+
+
 def brute_licenses(text, known, gap, share):
     """Labels, spans and score of one text by going through all templates."""
     words = [w for w in __import__("re").split(licenses.NO_WORD, text.translate(str.maketrans(licenses.UPPER, licenses.LOWER))) if w]
