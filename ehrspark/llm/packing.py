@@ -39,7 +39,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int, keep_ids: bo
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end, met = np.array([end_id], "<u4").tobytes(), [0] * (size + 1)
-        for batch in slices(batches, "text", 4 << 20):
+        for batch in slices(batches, "text", 3 << 20):
             rows = []
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder(tokenizer, "byte").encode(batch.column("text").to_pylist())):
                 ids += end

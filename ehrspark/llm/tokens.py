@@ -8,7 +8,7 @@ import re
 from array import array
 from collections.abc import Iterator
 from functools import cache
-from itertools import chain
+from itertools import islice
 from pathlib import Path
 
 import numpy as np
@@ -123,6 +123,13 @@ def small(text: str) -> str:
     return text.lower()
 
 
+def encoded(tokenizer, texts: Iterator[str], n: int) -> Iterator[np.ndarray]:
+    """The ids of each text, ``n`` texts at once: what the library holds of a text is many times its ids."""
+    while some := list(islice(texts, n)):
+        for e in tokenizer.encode_batch_fast(some, add_special_tokens=False):
+            yield np.array(e.ids, "<u4")
+
+
 class ChunkEncoder:
     """``tokenizers`` with a bounded memory of the chunks it has met.
 
@@ -132,7 +139,7 @@ class ChunkEncoder:
     They are Arrow and numpy columns: ``names``, where in ``ids`` the ids of each are, and how often it was met.
     """
 
-    def __init__(self, path: str, kind: str, keep: int = 400_000, longest: int = 48) -> None:
+    def __init__(self, path: str, kind: str, keep: int = 200_000, longest: int = 48) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -158,8 +165,7 @@ class ChunkEncoder:
         together = np.flatnonzero(plain)
         some = [together[i : i + 32] for i in range(0, len(together), 32)]
         single, order, sizes, ids = [np.flatnonzero(~plain)], [], [], []
-        for group, e in zip(some, self.words.encode_batch_fast([self.glue.join([names[i] for i in g.tolist()]) for g in some], add_special_tokens=False)):
-            its = np.array(e.ids, "<u4")
+        for group, its in zip(some, encoded(self.words, (self.glue.join([names[i] for i in g.tolist()]) for g in some), 64)):
             edges = np.flatnonzero(self.edge[its]) + (1 if self.glue else 0)
             if len(edges) != len(group):
                 single.append(group)
@@ -168,11 +174,11 @@ class ChunkEncoder:
             sizes.append(np.diff(edges, prepend=0) if self.glue else np.diff(edges, append=len(its)))
             ids.append(its)
         rest = np.concatenate(single)
-        found = [e.ids for e in self.tokenizer.encode_batch_fast([names[i] for i in rest.tolist()], add_special_tokens=False)]
+        found = list(encoded(self.tokenizer, (names[i] for i in rest.tolist()), 1024))
         order, sizes = np.concatenate([*order, rest]), np.concatenate([*sizes, np.fromiter(map(len, found), np.int64, len(found))])
         at, many = np.zeros((2, len(names)), np.int64)
         at[order], many[order] = np.cumsum(sizes) - sizes, sizes
-        return at, many, np.concatenate([*ids, np.fromiter(chain.from_iterable(found), "<u4")])
+        return at, many, np.concatenate([np.zeros(0, "<u4"), *ids, *found])
 
     def remember(self, names: pa.BinaryArray, at: np.ndarray, sizes: np.ndarray, ids: np.ndarray, met: np.ndarray) -> None:
         """Chunks met first now, with what ``fresh`` found."""
@@ -208,10 +214,10 @@ class ChunkEncoder:
         at[new], sizes[new] = first + len(self.ids), n
         met = np.bincount(which, minlength=len(words))
         self.met[known[old]] += met[old]
-        # Ids of all chunks, taken from those of the distinct ones.
-        many = sizes[which]
-        ends = np.concatenate([[0], np.cumsum(many)])
-        flat = spread(np.concatenate([self.ids, ids]), at[which], many)
+        # Ids of all chunks, taken from those of the distinct ones, group by group.
+        ends = np.concatenate([[0], np.cumsum(sizes[which])])
+        held = np.concatenate([self.ids, ids])
+        flat = np.concatenate([held[:0], *(spread(held, at[w], sizes[w]) for w in (which[a:b] for a, b in zip(shifts, shifts[1:])))])
         self.remember(names, first, n, ids, met[new])
         pieces = np.cumsum([0, *map(len, cut)])  # where the parts of each text begin
         bounds = ends[begins[pieces]].tolist()
