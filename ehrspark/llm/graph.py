@@ -6,6 +6,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import materialize
 
+FEW = 1 << 16  # rows of two numbers that are broadcast, a few MB: no shuffle, whose tasks the driver would all keep account of
+
+
+def light(rows: DataFrame) -> DataFrame:
+    """``rows``, a written table of numbers, to be broadcast if they are FEW at most."""
+    return F.broadcast(rows) if rows.count() <= FEW else rows
+
 
 def follow(table: DataFrame, column: str, roots: DataFrame) -> DataFrame:
     """``column`` replaced by its root, if it has one in (node, root)."""
@@ -28,12 +35,15 @@ def components(links: DataFrame) -> DataFrame:
     total = None
     while not left.isEmpty():
         tree = materialize(left.groupBy("node").agg(F.min("root").alias("root")), "tree")
+        few = tree.count() <= FEW  # as many in each round
         while True:
-            up = tree.select(F.col("node").alias("up"), F.col("root").alias("top"))
-            nearer = tree.join(up, F.col("root") == F.col("up"), "left")
-            if nearer.where("top is not null").isEmpty():
+            top = F.broadcast(tree) if few else tree
+            up = top.select(F.col("node").alias("up"), F.col("root").alias("top"))
+            nearer = materialize(tree.join(up, F.col("root") == F.col("up"), "left").select("node", F.coalesce("top", "root").alias("root"), F.col("top").isNotNull().alias("moved")), "tree")
+            tree = nearer.select("node", "root")
+            if nearer.where("moved").isEmpty():
                 break
-            tree = materialize(nearer.select("node", F.coalesce("top", "root").alias("root")), "tree")
-        total = tree if total is None else materialize(follow(total, "root", tree).unionByName(tree), "roots")
-        left = materialize(pairs("node", "root", follow(follow(left, "node", tree), "root", tree)), "links")
+        top = F.broadcast(tree) if few else tree
+        total = tree if total is None else materialize(follow(total, "root", top).unionByName(tree), "roots")
+        left = materialize(pairs("node", "root", follow(follow(left, "node", top), "root", top)), "links")
     return total if total is not None else left

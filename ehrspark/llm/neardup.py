@@ -31,11 +31,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import materialize
 from .common import DROPS, claim, documents, slices
-from .graph import components, follow
+from .graph import components, follow, light
 
 HASHES, ROWS, BATCH = 128, 4, 32  # in a signature, a band, a batch
 DRAWS, HEADS = 6, 4  # rounds with drawn heads, and heads for each node
-SMALL = 64 << 20  # bytes of sets, or of signatures, that are broadcast
+SMALL, WHOLE = 64 << 20, 16 << 20  # bytes of sets, or of signatures, that are broadcast; that are so without a look for those in need
 TILE, TILE_IDS, WIDE = 256, 1 << 18, 4096  # sets, and shingles, in a tile of the last round; shingles compared at once
 IDS = 2 << 20  # ids that are broadcast, about 100 MB, to pick rows without a shuffle of them
 #: Odd multipliers and offsets of the hash family, and the shingle's word places.
@@ -143,10 +143,17 @@ def common(sets: DataFrame) -> DataFrame:
 
 
 def met(pairs: DataFrame, held: DataFrame, bytes_each: Column) -> DataFrame:
-    """``held`` for the nodes of ``pairs``, to be broadcast if its rows add up to SMALL at most: many pairs of few nodes need no shuffle of sets then."""
+    """``held`` for the nodes of ``pairs``, to be broadcast if its rows add up to SMALL at most: many pairs of few nodes need no shuffle of sets then.
+
+    If all of ``held`` adds up to WHOLE at most, the nodes of ``pairs`` need not be looked for.
+    """
+    def size(rows: DataFrame) -> int:
+        return rows.agg(F.sum(bytes_each + 64)).first()[0] or 0
+
+    if size(held) <= WHOLE:
+        return F.broadcast(held)
     some = within(held, pairs.select("a").union(pairs.select("b")))
-    size = some.agg(F.sum(bytes_each + 64)).first()[0] or 0
-    return F.broadcast(some) if size <= SMALL else some
+    return F.broadcast(some) if size(some) <= SMALL else some
 
 
 def prune(pairs: DataFrame, known: DataFrame, rule: Rule) -> DataFrame:
@@ -292,7 +299,7 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), carry: tuple[str, ...]
         """Members of buckets that hold several components still; such a bucket is parted by the sizes of sets,
         where sets that can be linked share a part, their ``own`` or that of one of them."""
         parts = F.explode(F.array(F.col("step"), F.col("step") + 1))
-        apart = follow(stepped.withColumn("comp", F.col("node")), "comp", roots).withColumn("part", parts)
+        apart = follow(stepped.withColumn("comp", F.col("node")), "comp", light(roots)).withColumn("part", parts)
         apart = apart.select(F.xxhash64("bucket", "part").alias("bucket"), "node", "comp", (F.col("part") == F.col("step")).alias("own"))
         some = apart.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("bucket")
         return materialize(apart.join(some, "bucket"), "apart")
@@ -300,7 +307,7 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), carry: tuple[str, ...]
     def test(pairs: DataFrame) -> bool:
         """Verify those pairs that weren't yet; whether any is linked."""
         nonlocal tested
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(light(tested), ["a", "b"], "left_anti")
         pairs = materialize(pairs, "pairs")
         tested = tested.unionByName(pairs)
         return join_up(links(pairs))
@@ -310,8 +317,9 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), carry: tuple[str, ...]
         nonlocal roots
         if more.isEmpty():
             return False
-        joined = components(follow(follow(more, "a", roots), "b", roots))
-        roots = materialize(follow(roots, "root", joined).unionByName(joined), "roots")
+        known_roots = light(roots)
+        joined = components(follow(follow(more, "a", known_roots), "b", known_roots))
+        roots = materialize(follow(roots, "root", light(joined)).unionByName(joined), "roots")
         return True
 
     step = F.floor(F.log(F.col("n_shingles").cast("double")) / F.log(F.lit(100 / rule.part))).alias("step")
@@ -331,7 +339,7 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), carry: tuple[str, ...]
     join_up(materialize(between(mixed(), sets, rule), "rest"))
 
     # From nodes back to documents: the least id of a component's rows.
-    classes = follow(known_digests, "comp", roots)
+    classes = follow(known_digests, "comp", light(roots))
     placed = rows.select("doc_id", "n_shingles", "digest", *carry).join(classes, "digest", "left")
     least = placed.where("comp is not null").groupBy("comp").agg(F.min(F.coalesce("doc_id", F.lit(-(1 << 63)))).alias("_least"))
     out = placed.join(least, "comp", "left")

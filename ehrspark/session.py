@@ -99,9 +99,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
     For intermediates read by several later passes: the lineage is cut, the
     readers get columnar scans with pruning, and a lost executor costs a
-    re-read instead of a recomputation.
+    re-read instead of a recomputation. The schema is known, so no job looks for it.
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

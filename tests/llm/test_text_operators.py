@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from edge_rows import EDGE
-from ehrspark.llm import hmm, imatch, langid, licenses, mixing, neardup, packing, rans, tokens, toxicity
+from ehrspark.llm import graph, hmm, imatch, langid, licenses, mixing, neardup, packing, rans, tokens, toxicity
 from ehrspark.llm.common import bucket_of, table
 from ehrspark.session import scratch_path
 
@@ -323,6 +323,47 @@ def test_last_round_meets_tiles_not_pairs(spark):
     assert neardup.dealt(many, held, rule, 90).count() == 90
 
 
+def test_few_nodes_are_not_shuffled(spark, monkeypatch):
+    """Small tables of sets, signatures and roots are broadcast as they are, and larger ones lead to the same rows."""
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") != "-1"
+    rng = np.random.default_rng(11)
+    base = [f"w{i}" for i in range(60)]
+    texts = [" ".join(base[:20] if i < 9 else rng.permutation(base)[:30].tolist()) + f" end{i % 3}" for i in range(40)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    made, write = [], neardup.materialize
+    monkeypatch.setattr(neardup, "materialize", lambda rows, name: (made.append(name), write(rows, name))[1])
+
+    def result():
+        made.clear()
+        return sorted(map(tuple, neardup.near_duplicates(df).collect()))
+
+    few = result()
+    assert made.count("ids") == 3 and made.count("found") >= 1  # for the nodes that share a bucket, their texts and the last round
+    monkeypatch.setattr(neardup, "SMALL", 0)
+    monkeypatch.setattr(neardup, "WHOLE", 0)
+    monkeypatch.setattr(graph, "FEW", 0)
+    assert result() == few and made.count("ids") > 4
+    roots = write(spark.createDataFrame([(5, 1)], "node long, root long"), "test-roots")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for most, join in ((0, "SortMergeJoin"), (1, "BroadcastHashJoin")):
+            monkeypatch.setattr(graph, "FEW", most)
+            out = graph.follow(spark.range(7), "id", graph.light(roots))
+            assert join in out._jdf.queryExecution().executedPlan().toString()
+            assert sorted(r.id for r in out.collect()) == [0, 1, 1, 2, 3, 4, 6]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_components_of_chains(spark, monkeypatch):
+    """Roots of long chains, broadcast or shuffled."""
+    links = [(a, a + 1) for a in range(0, 40, 2)] + [(a, a + 1) for a in range(1, 39, 2) if a % 8 != 7] + [(99, 50), (50, 77), (60, 60)]
+    for few in (1 << 16, 3):
+        monkeypatch.setattr(graph, "FEW", few)
+        got = {r.node: r.root for r in graph.components(spark.createDataFrame(links, "a long, b long")).collect()}
+        assert got == {k: k - k % 8 for k in range(40) if k % 8} | {99: 50, 77: 50}
+
+
 def test_later_rounds_join_what_the_first_left(spark):
     """A chain of texts in which neighbours are linked and others aren't."""
     words = [f"w{k}" for k in range(400)]

@@ -1,6 +1,6 @@
 """Cluster sizing and the stored-table entry point."""
 
-from ehrspark.session import MB, cluster_conf
+from ehrspark.session import MB, cluster_conf, materialize
 from ehrspark.sources.fixtures import OmopData
 
 
@@ -17,6 +17,17 @@ def test_from_tables_serves_stored_frames(spark):
     assert d.visit_occurrence is visits
 
 
+def test_materialize_runs_one_job(spark):
+    """Only the rows are written: no job looks for the schema of what was just written."""
+    df = spark.range(5).selectExpr("id", "cast(null as string) as s", "array(struct(id as x)) as a")
+    spark.sparkContext.setJobGroup("test-materialize", "test")
+    out = materialize(df, "test")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("test-materialize")) == 1
+    assert out.dtypes == df.dtypes and sorted(out.collect()) == sorted(df.collect())
+    assert materialize(df.limit(0), "test").count() == 0
+
+
 def test_checkpoint_folder_when_unset(tmp_path):
     """Without spark.checkpoint.dir a private folder is made once per application."""
     import os
