@@ -29,13 +29,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import materialize
+from ..session import materialize, noting
 from .common import DROPS, claim, documents, slices
-from .graph import components, follow, light
+from .graph import counted_components, follow, light
 
 HASHES, ROWS, BATCH = 128, 4, 32  # in a signature, a band, a batch
 DRAWS, HEADS = 6, 4  # rounds with drawn heads, and heads for each node
-SMALL, WHOLE = 64 << 20, 16 << 20  # bytes of sets, or of signatures, that are broadcast; that are so without a look for those in need
+SMALL, WHOLE = 8 << 20, 4 << 20  # bytes of sets, or of signatures, that are broadcast; that are so without a look for those in need
 TILE, TILE_IDS, WIDE = 256, 1 << 18, 4096  # sets, and shingles, in a tile of the last round; shingles compared at once
 IDS = 2 << 20  # ids that are broadcast, about 100 MB, to pick rows without a shuffle of them
 #: Odd multipliers and offsets of the hash family, and the shingle's word places.
@@ -118,9 +118,15 @@ def within(held: DataFrame, ids: DataFrame, column: str = "node") -> DataFrame:
 
     Up to IDS ids are broadcast, so that the texts, sets or signatures beside the column stay where they are.
     """
+    return counted_within(held, ids, column)[0]
+
+
+def counted_within(held: DataFrame, ids: DataFrame, column: str = "node") -> tuple[DataFrame, int]:
+    """``within`` and how many different ids there are."""
     of = lambda c: F.coalesce(c, F.lit(0)).cast("long")
-    ids = materialize(ids.toDF("_id").select(of("_id").alias("_id")).distinct(), "ids")
-    return held.join(F.broadcast(ids) if ids.count() <= IDS else ids, of(F.col(column)) == F.col("_id"), "left_semi")
+    ids, told = noting(ids.toDF("_id").select(of("_id").alias("_id")).distinct())
+    ids, n = materialize(ids, "ids"), told()["n"]
+    return held.join(F.broadcast(ids) if n <= IDS else ids, of(F.col(column)) == F.col("_id"), "left_semi"), n
 
 
 def common(sets: DataFrame) -> DataFrame:
@@ -142,23 +148,30 @@ def common(sets: DataFrame) -> DataFrame:
     return sets.select("node", "n").join(lone, "node", "left").select("node", "n", (F.col("n") - F.coalesce("lone", F.lit(0))).alias("m"))
 
 
-def met(pairs: DataFrame, held: DataFrame, bytes_each: Column) -> DataFrame:
+def bytes_of(each: Column) -> dict[str, Column]:
+    """The bytes of all rows and of the largest, with what a row has beside."""
+    return {k: F.coalesce(f(each + 64), F.lit(0)) for k, f in (("size", F.sum), ("most", F.max))}
+
+
+def met(pairs: DataFrame, held: DataFrame, bytes_each: Column, told: dict[str, int] | None = None) -> DataFrame:
     """``held`` for the nodes of ``pairs``, to be broadcast if its rows add up to SMALL at most: many pairs of few nodes need no shuffle of sets then.
 
-    If all of ``held`` adds up to WHOLE at most, the nodes of ``pairs`` need not be looked for.
+    If all of ``held`` adds up to WHOLE at most, the nodes of ``pairs`` need not be looked for. ``told``: what ``bytes_of`` is
+    for ``held``, if known. The driver builds what is broadcast and keeps it until its garbage is collected.
     """
-    def size(rows: DataFrame) -> int:
-        return rows.agg(F.sum(bytes_each + 64)).first()[0] or 0
+    def sizes(rows: DataFrame) -> dict[str, int]:
+        return rows.agg(*[c.alias(k) for k, c in bytes_of(bytes_each).items()]).first().asDict()
 
-    if size(held) <= WHOLE:
+    told = told or sizes(held)
+    if told["size"] <= WHOLE:
         return F.broadcast(held)
-    some = within(held, pairs.select("a").union(pairs.select("b")))
-    return F.broadcast(some) if size(some) <= SMALL else some
+    some, n = counted_within(held, pairs.select("a").union(pairs.select("b")))
+    return F.broadcast(some) if n * told["most"] <= SMALL or sizes(some)["size"] <= SMALL else some
 
 
-def prune(pairs: DataFrame, known: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs (a, b) whose signatures leave them a chance, by the sequential test."""
-    known = met(pairs, known, F.lit(4 * HASHES))
+def prune(pairs: DataFrame, known: DataFrame, rule: Rule, told: dict[str, int] | None = None) -> DataFrame:
+    """Pairs (a, b) whose signatures leave them a chance, by the sequential test. ``told``: see ``met``."""
+    known = met(pairs, known, F.lit(4 * HASHES), told)
     a, b = (known.select(F.col("node").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("signature").alias(f"s_{x}")) for x in "ab")
     # Sets whose sizes differ too much can't be linked at all.
     fit = (100 * F.least("n_a", "n_b") >= rule.part * F.greatest("n_a", "n_b"))
@@ -177,9 +190,9 @@ def prune(pairs: DataFrame, known: DataFrame, rule: Rule) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def verify(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs (a, b) that are linked by their full sets."""
-    sets = met(pairs, sets, 8 * F.col("n"))
+def verify(pairs: DataFrame, sets: DataFrame, rule: Rule, told: dict[str, int] | None = None) -> DataFrame:
+    """Pairs (a, b) that are linked by their full sets. ``told``: see ``met``."""
+    sets = met(pairs, sets, 8 * F.col("n"), told)
     a, b = (sets.select(F.col("node").alias(x), F.col("shingles").alias(f"s_{x}")) for x in "ab")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,42 +297,50 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), carry: tuple[str, ...]
 
     # Only nodes that share a bucket are looked at again; the sets are made from their texts.
     known_digests = known.select("digest", F.col("node").alias("comp"))
-    known = materialize(within(known, members.select("node")), "met")
+    noted, known_told = noting(within(known, members.select("node")), **bytes_of(F.lit(4 * HASHES)))
+    known = materialize(noted, "met")
     found = sets_of(within(docs, known.select("witness"), "doc_id").select("text"), rule).dropDuplicates(["digest"])
-    sets = materialize(found.join(known.select("digest", "node"), "digest").select("node", "n", "shingles"), "sets")
+    noted, sets_told = noting(found.join(known.select("digest", "node"), "digest").select("node", "n", "shingles"), **bytes_of(8 * F.col("n")))
+    sets = materialize(noted, "sets")
+
+    def counted(rows: DataFrame, name: str) -> tuple[DataFrame, int]:
+        noted, told = noting(rows)
+        return materialize(noted, name), told()["n"]
 
-    def links(pairs: DataFrame) -> DataFrame:
-        return materialize(verify(materialize(prune(pairs, known, rule), "survivors"), sets, rule), "found")
+    def links(pairs: DataFrame) -> tuple[DataFrame, int]:
+        left, n = counted(prune(pairs, known, rule, known_told()), "survivors")
+        return counted(verify(left, sets, rule, sets_told()), "found") if n else (left, 0)
 
     # Round 1: a node and the least node of all its buckets.
-    tested = materialize(members.where("node <> least").groupBy("node").agg(F.min("least").alias("a")).select("a", F.col("node").alias("b")), "tested")
-    roots = components(links(tested))
+    tested, n_tested = counted(members.where("node <> least").groupBy("node").agg(F.min("least").alias("a")).select("a", F.col("node").alias("b")), "tested")
+    roots, n_roots = counted_components(links(tested)[0])
 
-    def mixed() -> DataFrame:
+    def mixed() -> tuple[DataFrame, int]:
         """Members of buckets that hold several components still; such a bucket is parted by the sizes of sets,
-        where sets that can be linked share a part, their ``own`` or that of one of them."""
+        where sets that can be linked share a part, their ``own`` or that of one of them. And how many they are."""
         parts = F.explode(F.array(F.col("step"), F.col("step") + 1))
-        apart = follow(stepped.withColumn("comp", F.col("node")), "comp", light(roots)).withColumn("part", parts)
+        apart = follow(stepped.withColumn("comp", F.col("node")), "comp", light(roots, n_roots)).withColumn("part", parts)
         apart = apart.select(F.xxhash64("bucket", "part").alias("bucket"), "node", "comp", (F.col("part") == F.col("step")).alias("own"))
         some = apart.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("bucket")
-        return materialize(apart.join(some, "bucket"), "apart")
+        return counted(apart.join(some, "bucket"), "apart")
 
     def test(pairs: DataFrame) -> bool:
         """Verify those pairs that weren't yet; whether any is linked."""
-        nonlocal tested
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(light(tested), ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "pairs")
-        tested = tested.unionByName(pairs)
-        return join_up(links(pairs))
-
-    def join_up(more: DataFrame) -> bool:
-        """The components that links (a, b) join are one from now on; whether there are any."""
-        nonlocal roots
-        if more.isEmpty():
+        nonlocal tested, n_tested
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(light(tested, n_tested), ["a", "b"], "left_anti")
+        pairs, n = counted(pairs, "pairs")
+        tested, n_tested = tested.unionByName(pairs), n_tested + n
+        return n > 0 and join_up(*links(pairs))
+
+    def join_up(more: DataFrame, n: int) -> bool:
+        """The components that ``n`` links (a, b) join are one from now on; whether there are any."""
+        nonlocal roots, n_roots
+        if not n:
             return False
-        known_roots = light(roots)
-        joined = components(follow(follow(more, "a", known_roots), "b", known_roots))
-        roots = materialize(follow(roots, "root", light(joined)).unionByName(joined), "roots")
+        known_roots = light(roots, n_roots)
+        joined, n_joined = counted_components(follow(follow(more, "a", known_roots), "b", known_roots))
+        roots = materialize(follow(roots, "root", light(joined, n_joined)).unionByName(joined), "roots")
+        n_roots += n_joined
         return True
 
     step = F.floor(F.log(F.col("n_shingles").cast("double")) / F.log(F.lit(100 / rule.part))).alias("step")
@@ -327,7 +348,9 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), carry: tuple[str, ...]
     # Round 2, again and again while it helps: in each bucket a head is drawn, the same one in many buckets, and
     # each node is tested with the heads of other components that it meets most often.
     for draw in range(1, DRAWS + 1):
-        apart = mixed()
+        apart, n = mixed()
+        if not n:
+            break
         drawn = F.xxhash64("node", F.lit(draw))
         heads = apart.groupBy("bucket").agg(F.min_by("node", drawn).alias("head"), F.min_by("comp", drawn).alias("head_comp"))
         often = apart.join(heads, "bucket").where("comp <> head_comp").groupBy("node", "head").agg(F.count(F.lit(1)).alias("n"))
@@ -335,11 +358,13 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), carry: tuple[str, ...]
         often = often.withColumn("k", F.row_number().over(best)).where(F.col("k") <= HEADS)
         if not test(often.select(F.col("head").alias("a"), F.col("node").alias("b"))):
             break
+    else:
+        apart, _ = mixed()
     # Round 3: what is left.
-    join_up(materialize(between(mixed(), sets, rule), "rest"))
+    join_up(*counted(between(apart, sets, rule), "rest"))
 
     # From nodes back to documents: the least id of a component's rows.
-    classes = follow(known_digests, "comp", light(roots))
+    classes = follow(known_digests, "comp", light(roots, n_roots))
     placed = rows.select("doc_id", "n_shingles", "digest", *carry).join(classes, "digest", "left")
     least = placed.where("comp is not null").groupBy("comp").agg(F.min(F.coalesce("doc_id", F.lit(-(1 << 63)))).alias("_least"))
     out = placed.join(least, "comp", "left")

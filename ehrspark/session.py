@@ -5,8 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 # Settings every job relies on. AQE re-plans joins from runtime sizes and
 # splits skewed shuffle partitions; the time zone pins date arithmetic.
@@ -105,3 +106,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def noting(df: DataFrame, **figures: Column) -> tuple[DataFrame, Callable[[], dict]]:
+    """``df``, and a call that tells, once one job has written it, how many rows it has (``n``) and the ``figures``, aggregates over them.
+
+    Saves the job, with its shuffle, that would read a table just written to count it.
+    """
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("n"), *[c.alias(k) for k, c in figures.items()]), lambda: seen.get

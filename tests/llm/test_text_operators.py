@@ -355,6 +355,33 @@ def test_few_nodes_are_not_shuffled(spark, monkeypatch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_written_tables_are_not_counted_by_jobs_of_their_own(spark, monkeypatch):
+    """How many rows a table has, and whether any, is noted as it is written."""
+    def no(self, *args):
+        raise AssertionError("a job of its own")
+
+    texts = ["a b c d e f g h", "a b c d e f g h i", "a b c d e f g", "x y z", "x y z", "u v w x y z", None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    with monkeypatch.context() as m:
+        for name in ("count", "isEmpty", "collect", "head", "first"):
+            m.setattr(type(df), name, no)
+        out = neardup.near_duplicates(df, neardup.Rule(part=50))
+        empty = neardup.near_duplicates(df.where("doc_id < 0"))
+    assert {r.doc_id: r.component_id for r in out.collect()} == {0: 0, 1: 0, 2: 0, 3: 3, 4: 3, 5: 5, 6: 6, 7: 7}
+    assert empty.count() == 0
+
+
+def test_driver_broadcasts_few_sets_only(spark):
+    """Sets of 10 MB are not broadcast, two of them are, whether their sizes are known or not."""
+    held = spark.range(10).select(F.col("id").alias("node"), F.lit(1 << 17).cast("long").alias("n"))
+    told = {"size": 10 * ((1 << 20) + 64), "most": (1 << 20) + 64}
+    every = spark.range(9).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    for pairs, broadcast, n in ((every, False, 10), (every.limit(1), True, 2)):
+        for known in (told, None):
+            out = neardup.met(pairs, held, 8 * F.col("n"), known)
+            assert ("strategy=broadcast" in out._jdf.queryExecution().analyzed().toString().split("LeftSemi")[0]) == broadcast and out.count() == n
+
+
 def test_components_of_chains(spark, monkeypatch):
     """Roots of long chains, broadcast or shuffled."""
     links = [(a, a + 1) for a in range(0, 40, 2)] + [(a, a + 1) for a in range(1, 39, 2) if a % 8 != 7] + [(99, 50), (50, 77), (60, 60)]

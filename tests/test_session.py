@@ -1,6 +1,8 @@
 """Cluster sizing and the stored-table entry point."""
 
-from ehrspark.session import MB, cluster_conf, materialize
+from pyspark.sql import functions as F
+
+from ehrspark.session import MB, cluster_conf, materialize, noting
 from ehrspark.sources.fixtures import OmopData
 
 
@@ -28,6 +30,20 @@ def test_materialize_runs_one_job(spark):
     assert materialize(df.limit(0), "test").count() == 0
 
 
+def test_figures_are_noted_by_the_job_that_writes(spark):
+    """Rows and sums of a written table, an empty one too, without another job."""
+    df = spark.range(9).selectExpr("id", "id % 2 = 0 as even")
+    cases = [(df, 9, 36, 5), (df.where("id > 100"), 0, None, 0), (df.limit(0), 0, None, 0), (df.join(df.where("id < 0"), "id", "left_semi"), 0, None, 0)]
+    for k, (rows, n, total, even) in enumerate(cases):
+        noted, told = noting(rows, total=F.sum("id"), even=F.count_if("even"))
+        spark.sparkContext.setJobGroup(f"test-noting-{k}", "test")
+        out = materialize(noted, "test")
+        assert told() == {"n": n, "total": total, "even": even}
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert k or len(spark.sparkContext.statusTracker().getJobIdsForGroup("test-noting-0")) == 1
+        assert out.columns == rows.columns and out.count() == n
+
+
 def test_checkpoint_folder_when_unset(tmp_path):
     """Without spark.checkpoint.dir a private folder is made once per application."""
     import os
